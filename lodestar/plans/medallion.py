@@ -51,7 +51,7 @@ class Settings:
     )
     product_sequence: str = "updated_at"
     latest: Sequence[str] = (BATCH_ID, FILE_TIME, SOURCE_FILE)
-    fact_keys: Sequence[str] = ("order_id", "DimCustomerKey", "DimProductKey")
+    fact_keys: Sequence[str] = ("order_id",)
     as_of_order_date: bool = False
     only_changed: bool = False
     buckets: int | None = None

@@ -9,9 +9,11 @@ folder ``_batch_id=N``, so a replayed batch replaces itself.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -50,6 +52,11 @@ def remembered_schema(
         return schema
 
 
+def _literal_path(uri: str) -> str:
+    """The path behind an encoded file URI, with nothing left that reads as a pattern."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(uri))
+
+
 def _unknown_fields(
     found: T.StructType, known: T.StructType, files: list[str]
 ) -> list[T.StructField]:
@@ -76,7 +83,7 @@ def read_files(
     try:
         found = reader.option("mergeSchema", True).parquet(*files).schema
     except PySparkException as error:
-        raise ValueError(f"files among {files[0]} ... have conflicting schemas: {error}") from error
+        raise ValueError(f"cannot merge the schemas of {len(files)} new files: {error}") from error
     unknown = _unknown_fields(found, schema, files)
     complete = T.StructType([*schema.fields, *unknown])
     rows = spark.read.option("basePath", source).schema(complete).parquet(*files)
@@ -119,7 +126,7 @@ def ingest_stream(
     )
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        files = [row["path"] for row in batch.distinct().collect()]
+        files = [_literal_path(row["path"]) for row in batch.distinct().collect()]
         if not files:
             return
         rows = read_files(batch.sparkSession, source, sorted(files), known)

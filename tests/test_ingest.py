@@ -19,7 +19,7 @@ def places(tmp_path):
 
 def test_two_batches_and_an_idle_run(spark, places):
     source, bronze, checkpoint = places
-    put(spark.range(600).selectExpr("id", "'x' a"), source, "first batch")
+    put(spark.range(600).selectExpr("id", "'x' a"), source, "first [batch] 100%")
     assert ingest_stream(spark, source, bronze, checkpoint).count() == 600
     put(spark.range(600, 1000).selectExpr("id", "'y' a"), source, "second")
     assert ingest_stream(spark, source, bronze, checkpoint).count() == 1000
