@@ -131,6 +131,7 @@ def scd2_apply(
     is_touched = same([F.col(k) for k in key], [F.col(f"_touched_{k}") for k in key])
     relevant = logged.join(touched_keys, is_touched, "left_semi")
     latest = dedup_latest(relevant, [*key, sequence_by], [BATCH]).select(*columns)
+    latest = materialise(latest, "scd2-touched")
     fresh = versions(latest, key, sequence_by, track, max_group_rows)
     if not tables.exists(spark, name):
         tables.create(fresh, name, path, buckets, key)

@@ -77,6 +77,8 @@ def touched_buckets(df: DataFrame, buckets: int, columns: Sequence[str]) -> list
 
 def load(spark: SparkSession, name: str, only: Iterable[int] | None = None) -> DataFrame:
     """The table without its bucket column, optionally just some of its buckets."""
+    # A session remembers where a table was; another one may have moved it since.
+    spark.catalog.refreshTable(name)
     df = spark.table(name)
     if only is not None:
         df = df.where(F.col(BUCKET).isin(list(only)))
