@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodestar.operators.segments import same
-from lodestar.scratch import materialise
+from lodestar.scratch import materialise, stored_bytes
 from lodestar.sources import tables
 
 
@@ -18,52 +19,56 @@ def merge_rows(
     *,
     null_safe: bool = True,
     only_changed: Sequence[str] = (),
+    small_source: bool = False,
 ) -> DataFrame:
     """``target`` with rows of ``source`` written over matching keys, and the others added.
 
     With ``only_changed`` a matching row is replaced only if one of those
-    columns differs. Written as a left join plus the unmatched source rows: for
-    a source below the broadcast threshold Catalyst then joins without
-    shuffling the target, which a full outer join cannot do.
+    columns differs. In general this is one full outer join. A
+    ``small_source``, one below the broadcast threshold, is left-joined and its
+    unmatched rows are added instead, which never shuffles the target.
     """
     columns = target.columns
     wanted = {name.lower(): name for name in columns}
     if _types(source) != _types(target):
         raise ValueError(f"source {source.dtypes} differs from target {target.dtypes}")
     source = source.select(*columns)
-
-    def matches(left: Sequence, right: Sequence):
-        if null_safe:
-            return same(left, right)
-        condition = left[0] == right[0]
-        for a, b in zip(left[1:], right[1:]):
-            condition = condition & (a == b)
-        return condition
-
     keys = [wanted[k.lower()] for k in keys]
+    tracked = [wanted[c.lower()] for c in only_changed]
+
     source_keys = [F.col(k).alias(f"_source_{k}") for k in keys]
+    pairs = [(F.col(k), F.col(f"_source_{k}")) for k in keys]
+    at_key = reduce(
+        lambda a, b: a & b, (t.eqNullSafe(s) if null_safe else t == s for t, s in pairs)
+    )
     incoming = source.select(F.struct(*columns).alias("_row"), *source_keys)
-    at_key = matches([F.col(k) for k in keys], [F.col(f"_source_{k}") for k in keys])
-    joined = target.join(incoming, at_key, "left")
+    how = "left" if small_source else "full_outer"
+    joined = target.withColumn("_known", F.lit(True)).join(incoming, at_key, how)
     replaced = F.col("_row").isNotNull()
-    if only_changed:
-        tracked = [wanted[c.lower()] for c in only_changed]
-        replaced = replaced & ~same(
-            [F.col(c) for c in tracked], [F.col(f"_row.{c}") for c in tracked]
-        )
-    kept = joined.select(
+    if tracked:
+        unchanged = same([F.col(c) for c in tracked], [F.col(f"_row.{c}") for c in tracked])
+        replaced = replaced & (F.col("_known").isNull() | ~unchanged)
+    merged = joined.select(
         *(F.when(replaced, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c) for c in columns)
     )
+    if not small_source:
+        return merged
     found = target.select(*keys).join(source.select(*source_keys), at_key, "left_semi")
     found = found.withColumnsRenamed({k: f"_source_{k}" for k in keys})
-    added = source.join(found, at_key, "left_anti")
-    return kept.unionByName(added)
+    return merged.unionByName(source.join(found, at_key, "left_anti"))
 
 
 def _types(df: DataFrame) -> dict[str, str]:
     return {name.lower(): kind for name, kind in df.dtypes}
 
 
+def _broadcast_threshold(spark: SparkSession) -> int:
+    setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if setting.startswith("-"):  # broadcasting is switched off
+        return -1
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
+
+
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
     """Raise if a key repeats; counted on the executors, one row is fetched."""
     repeated = df.groupBy(*keys).count().where("count > 1").first()
@@ -96,8 +101,17 @@ def upsert(
     if not tables.exists(spark, name):
         tables.create(source, name, path, buckets, bucket_by)
         return
+    if source.isEmpty():
+        return
     layout = tables.bucketing(spark, name)
     touched = tables.touched_buckets(source, *layout) if layout else None
     target = tables.load(spark, name, only=touched)
-    merged = merge_rows(target, source, keys, null_safe=null_safe, only_changed=only_changed)
+    merged = merge_rows(
+        target,
+        source,
+        keys,
+        null_safe=null_safe,
+        only_changed=only_changed,
+        small_source=stored_bytes(source) <= _broadcast_threshold(spark),
+    )
     tables.replace(merged, name, path)

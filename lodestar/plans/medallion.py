@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestar.operators.lookup import Lookup, build_fact
 from lodestar.operators.merge import upsert
@@ -23,7 +23,13 @@ from lodestar.sources.ingest import (
     ingested_schema,
     remembered_schema,
 )
-from lodestar.streaming.flows import apply_changes_stream, staged, table_stream, transform_folder
+from lodestar.streaming.flows import (
+    apply_changes_stream,
+    for_each_batch,
+    staged,
+    start_append,
+    table_stream,
+)
 
 DATASETS = [Dataset("orders"), Dataset("products"), Dataset("customers"), Dataset("regions")]
 
@@ -43,7 +49,12 @@ PRODUCT_RULES = {
 
 @dataclass(frozen=True)
 class Settings:
-    """Where the tables live and how they are merged."""
+    """Where the tables live and how they are merged.
+
+    By default a load reads all silver customers and orders again. With
+    ``incremental`` it reads the rows added since the last load; the result is
+    the same, except that customers not delivered again keep their update time.
+    """
 
     root: str
     schemas: Mapping[str, str] = field(
@@ -54,6 +65,7 @@ class Settings:
     fact_keys: Sequence[str] = ("order_id",)
     as_of_order_date: bool = False
     only_changed: bool = False
+    incremental: bool = False
     buckets: int | None = None
 
     def folder(self, layer: str, name: str) -> str:
@@ -74,36 +86,42 @@ def load_silver(spark: SparkSession, s: Settings, datasets: Sequence[Dataset] =
     """Clean what is new in bronze. The cleaning is row by row over append-only
     input, so appending gives the table that a full rewrite would give."""
     tables.create_schema(spark, s.schemas["silver"], f"{s.root}/silver")
-    for dataset in datasets:
-        name = dataset.file_name
+    started = []
+    for name in (d.file_name for d in datasets):
         known = remembered_schema(spark, s.folder("source", name), s.checkpoint(name))
-        transform_folder(
-            spark,
-            s.folder("bronze", name),
-            ingested_schema(known),
-            CLEANERS[name],
-            s.folder("silver", name),
-            s.checkpoint(f"silver_{name}"),
-        )
-        table = s.table("silver", f"{name}_silver")
-        tables.register(spark, table, s.folder("silver", name))
+        bronze = spark.readStream.schema(ingested_schema(known)).parquet(s.folder("bronze", name))
+        silver = CLEANERS[name](bronze)
+        started.append(start_append(silver, s.folder("silver", name), s.checkpoint(f"silver_{name}")))
+    for query in started:
+        query.awaitTermination()
+    for dataset in datasets:
+        table = s.table("silver", f"{dataset.file_name}_silver")
+        tables.register(spark, table, s.folder("silver", dataset.file_name))
         spark.catalog.refreshTable(table)
 
 
 def load_customers(spark: SparkSession, s: Settings, load_ts: Column | None = None) -> None:
-    scd1_upsert(
-        spark,
-        s.table("gold", "DimCustomers"),
-        spark.table(s.table("silver", "customers_silver")),
-        s.folder("gold", "DimCustomers"),
-        key="customer_id",
-        surrogate="DimCustomerKey",
-        latest=s.latest,
-        technical=LINEAGE,
-        load_ts=load_ts,
-        only_changed=s.only_changed,
-        buckets=s.buckets,
-    )
+    customers = s.table("silver", "customers_silver")
+
+    def apply(rows: DataFrame, batch_id: int = 0) -> None:
+        scd1_upsert(
+            rows.sparkSession,
+            s.table("gold", "DimCustomers"),
+            rows,
+            s.folder("gold", "DimCustomers"),
+            key="customer_id",
+            surrogate="DimCustomerKey",
+            latest=s.latest,
+            technical=LINEAGE,
+            load_ts=load_ts,
+            only_changed=s.only_changed,
+            buckets=s.buckets,
+        )
+
+    if s.incremental:
+        for_each_batch(table_stream(spark, customers), apply, s.checkpoint("DimCustomers"))
+    else:
+        apply(spark.table(customers))
 
 
 def products_stage(spark: SparkSession, s: Settings) -> DataFrame:
@@ -125,23 +143,26 @@ def load_products(spark: SparkSession, s: Settings) -> dict:
     )
 
 
-def load_orders(spark: SparkSession, s: Settings) -> None:
-    orders = spark.table(s.table("silver", "orders_silver"))
+def _fact_rows(spark: SparkSession, s: Settings, orders: DataFrame) -> DataFrame:
+    """The latest delivery of each order, with dimension keys."""
     orders = dedup_latest(orders, ["order_id"], s.latest).drop(*LINEAGE)
     customers = tables.load(spark, s.table("gold", "DimCustomers"))
     products = tables.load(spark, s.table("gold", "DimProducts"))
     as_of = "order_date" if s.as_of_order_date else None
-    fact = build_fact(
+    return build_fact(
         orders,
         [
             Lookup(customers, "customer_id", "customer_id", "DimCustomerKey", "DimCustomerKey"),
             Lookup(products, "product_id", "product_id", "product_id", "DimProductKey", as_of),
         ],
     )
+
+
+def _merge_fact(spark: SparkSession, s: Settings, rows: DataFrame) -> None:
     upsert(
         spark,
         s.table("gold", "FactOrders"),
-        fact,
+        rows,
         list(s.fact_keys),
         s.folder("gold", "FactOrders"),
         buckets=s.buckets,
@@ -149,6 +170,44 @@ def load_orders(spark: SparkSession, s: Settings) -> None:
     )
 
 
+def load_orders(spark: SparkSession, s: Settings) -> None:
+    silver = s.table("silver", "orders_silver")
+    if not s.incremental:
+        _merge_fact(spark, s, _fact_rows(spark, s, spark.table(silver)))
+        return
+    if [k.lower() for k in s.fact_keys] != ["order_id"]:
+        raise ValueError("an incremental load merges orders by order_id alone")
+
+    def apply(rows: DataFrame, batch_id: int) -> None:
+        session = rows.sparkSession
+        _merge_fact(session, s, _fact_rows(session, s, rows))
+
+    _resolve_open_keys(spark, s)
+    for_each_batch(table_stream(spark, silver), apply, s.checkpoint("FactOrders"))
+
+
+def _resolve_open_keys(spark: SparkSession, s: Settings) -> None:
+    """Look up again the orders whose customer or product was unknown so far.
+
+    Silver is read only if there are such orders, and only orders that gain a
+    key are merged.
+    """
+    name = s.table("gold", "FactOrders")
+    if not tables.exists(spark, name):
+        return
+    keys = ["DimCustomerKey", "DimProductKey"]
+    missing = [F.col(k).isNull().alias(f"_open_{k}") for k in keys]
+    unresolved = tables.load(spark, name).select("order_id", *missing)
+    unresolved = unresolved.where(" OR ".join(f"_open_{k}" for k in keys))
+    if unresolved.isEmpty():
+        return
+    silver = spark.table(s.table("silver", "orders_silver"))
+    rows = _fact_rows(spark, s, silver.join(unresolved.select("order_id"), "order_id", "left_semi"))
+    gained = " OR ".join(f"(_open_{k} AND {k} IS NOT NULL)" for k in keys)
+    rows = rows.join(unresolved, "order_id").where(gained)
+    _merge_fact(spark, s, rows.drop(*(f"_open_{k}" for k in keys)))
+
+
 def run(
     spark: SparkSession,
     settings: Settings,

@@ -639,21 +639,31 @@ def table_to_stream(spark, sf):
     return spark.read.parquet(target)
 
 
-@query(
-    f"""
+STAR = f"""
     SELECT n_name AS region_name, p_brand AS brand, CAST(year(order_date) AS INTEGER) AS year,
            count(*) AS orders, CAST(sum(total_amount) AS DOUBLE) AS revenue
     FROM ({ORDER_LINES}) JOIN customer ON customer_id = c_custkey
     JOIN nation ON c_nationkey = n_nationkey JOIN part ON product_id = p_partkey
     GROUP BY ALL"""
-)
+
+
+@query(STAR)
 def star_summary(spark, sf):
     """Two complete loads from source files to the star schema, then a report on it.
 
     In the second load customers arrive late, products change their price, and
-    half of the orders are delivered again.
+    some orders are delivered again.
     """
-    settings = _load_twice(spark, sf)
+    return _star_report(spark, _load_twice(spark, sf))
+
+
+@query(STAR)
+def star_summary_incremental(spark, sf):
+    """The same, where the second load reads only what is new, into bucketed tables."""
+    return _star_report(spark, _load_twice(spark, sf, incremental=True, buckets=8))
+
+
+def _star_report(spark: SparkSession, settings: medallion.Settings) -> DataFrame:
     fact = tables.load(spark, settings.table("gold", "FactOrders"))
     customers = tables.load(spark, settings.table("gold", "DimCustomers")).select(
         "DimCustomerKey", "region_id"
@@ -671,11 +681,11 @@ def star_summary(spark, sf):
     )
 
 
-def _load_twice(spark: SparkSession, sf: str) -> medallion.Settings:
+def _load_twice(spark: SparkSession, sf: str, **options) -> medallion.Settings:
     root = new_folder(spark, "medallion")
     unique = uuid.uuid4().hex
     schemas = {layer: f"{layer}_{unique}" for layer in ("bronze", "silver", "gold")}
-    settings = medallion.Settings(root, schemas)
+    settings = medallion.Settings(root, schemas, **options)
     customers = customers_of(spark, sf).join(
         read(spark, sf, "customer").selectExpr("c_custkey AS customer_id", "c_nationkey AS region_id"),
         "customer_id",

@@ -42,6 +42,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_bytes(stored: DataFrame) -> int:
+    """Size of a materialised table on disk."""
+    files = stored.inputFiles()
+    if not files:
+        return 0
+    spark = stored.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getContentSummary(folder).getLength()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder through the file system it lives on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -17,6 +17,7 @@ from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 RESCUED = "_rescued_data"
 SOURCE_FILE = "_source_file"
@@ -100,7 +101,7 @@ def read_files(
     )
 
 
-def ingest_stream(
+def start_ingest(
     spark: SparkSession,
     source: str,
     target: str,
@@ -108,19 +109,12 @@ def ingest_stream(
     *,
     schema: T.StructType | None = None,
     max_files: int = FILES_PER_BATCH,
-    glob: str | None = None,
-) -> DataFrame:
-    """Append the files that are new since the last run, then stop; return the target.
-
-    Progress lives in ``checkpoint``: a run without new files adds nothing.
-    """
-    options = {"pathGlobFilter": glob} if glob else {}
-    if schema is None and glob:
-        schema = spark.read.options(**options).parquet(source).schema
+) -> tuple[StreamingQuery, T.StructType]:
+    """Start appending the files that are new since the last run."""
     known = remembered_schema(spark, source, checkpoint, schema)
     arrivals = (
         spark.readStream.schema(known)
-        .options(maxFilesPerTrigger=max_files, **options)
+        .option("maxFilesPerTrigger", max_files)
         .parquet(source)
         .select(F.col("_metadata.file_path").alias("path"))
     )
@@ -139,6 +133,17 @@ def ingest_stream(
         .trigger(availableNow=True)
         .start()
     )
+    return query, known
+
+
+def ingest_stream(
+    spark: SparkSession, source: str, target: str, checkpoint: str, **options
+) -> DataFrame:
+    """Append the files that are new since the last run, then stop; return the target.
+
+    Progress lives in ``checkpoint``: a run without new files adds nothing.
+    """
+    query, known = start_ingest(spark, source, target, checkpoint, **options)
     query.awaitTermination()
     return read_ingested(spark, target, known)
 
@@ -163,9 +168,12 @@ def read_ingested(spark: SparkSession, target: str, known: T.StructType) -> Data
 def ingest_all(
     spark: SparkSession, datasets: Iterable[Dataset], source: str, bronze: str, checkpoints: str
 ) -> dict[str, DataFrame]:
-    """Ingest every dataset of the list from ``source/NAME`` to ``bronze/NAME``."""
-    return {
-        d.file_name: ingest_stream(
+    """Ingest every dataset of the list from ``source/NAME`` to ``bronze/NAME``.
+
+    The datasets are independent, so their streams run side by side.
+    """
+    started = {
+        d.file_name: start_ingest(
             spark,
             f"{source}/{d.file_name}",
             f"{bronze}/{d.file_name}",
@@ -174,3 +182,9 @@ def ingest_all(
         )
         for d in datasets
     }
+    for query, _ in started.values():
+        query.awaitTermination()
+    return {
+        name: read_ingested(spark, f"{bronze}/{name}", known)
+        for name, (_, known) in started.items()
+    }

@@ -4,40 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from lodestar.operators.quality import expect_all_or_drop
 from lodestar.operators.scd2 import check_sequence, scd2_apply
 from lodestar.operators.segments import MAX_GROUP_ROWS
 
 
-def append_stream(
+def start_append(
     rows: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
-) -> dict:
-    """Append a stream to a Parquet folder exactly once; return the last progress."""
+) -> StreamingQuery:
+    """Start appending a stream to a Parquet folder, exactly once."""
     writer = rows.writeStream.format("parquet").outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = (
+    return (
         writer.option("checkpointLocation", checkpoint)
         .option("path", path)
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return query.lastProgress
 
 
-def transform_folder(
-    spark: SparkSession,
-    source: str,
-    schema: T.StructType,
-    transform: Callable[[DataFrame], DataFrame],
-    target: str,
-    checkpoint: str,
-) -> None:
-    """Append ``transform`` of the files that are new in ``source``."""
-    append_stream(transform(spark.readStream.schema(schema).parquet(source)), target, checkpoint)
+def append_stream(
+    rows: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
+) -> dict:
+    """Append what is available; return the last progress."""
+    query = start_append(rows, path, checkpoint, partition_by)
+    query.awaitTermination()
+    return query.lastProgress
 
 
 def table_stream(spark: SparkSession, name: str) -> DataFrame:
@@ -50,6 +46,21 @@ def staged(stream: DataFrame, rules: Mapping[str, str], observe_as: str = "expec
     return expect_all_or_drop(stream, rules, observe_as)
 
 
+def for_each_batch(
+    stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str
+) -> dict:
+    """Run ``apply`` on each micro-batch of what is available; return the last progress."""
+    query = (
+        stream.writeStream.foreachBatch(apply)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query.lastProgress
+
+
 def apply_changes_stream(
     spark: SparkSession,
     changes: DataFrame,
@@ -84,12 +95,4 @@ def apply_changes_stream(
             max_group_rows=max_group_rows,
         )
 
-    query = (
-        changes.writeStream.foreachBatch(apply)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query.lastProgress
+    return for_each_batch(changes, apply, checkpoint)

@@ -39,11 +39,14 @@ SECOND = {
 }
 
 
-@pytest.mark.parametrize("buckets", [None, 3])
-def test_two_deliveries(spark, tmp_path, buckets):
+@pytest.mark.parametrize("buckets, incremental", [(None, False), (3, True)])
+def test_two_deliveries(spark, tmp_path, buckets, incremental):
     unique = uuid.uuid4().hex
     s = medallion.Settings(
-        str(tmp_path), {k: f"{k}_{unique}" for k in ("bronze", "silver", "gold")}, buckets=buckets
+        str(tmp_path),
+        {k: f"{k}_{unique}" for k in ("bronze", "silver", "gold")},
+        buckets=buckets,
+        incremental=incremental,
     )
 
     def load(delivery, ts):
@@ -73,7 +76,8 @@ def test_two_deliveries(spark, tmp_path, buckets):
     created = tables.load(spark, s.table("gold", "DimCustomers")).select(
         "customer_id", F.day("create_date"), F.day("update_date")
     )
-    assert rows(created) == [("C1", 20, 21), ("C2", 20, 21), ("C9", 21, 21)]
+    c1 = 20 if incremental else 21  # not delivered again
+    assert rows(created) == [("C1", 20, c1), ("C2", 20, 21), ("C9", 21, 21)]
     periods = tables.load(spark, s.table("gold", "DimProducts")).select(
         "price", F.day("valid_from"), F.day("valid_to")
     )

@@ -24,9 +24,11 @@ def test_update_and_insert(spark, table, tmp_path, buckets):
     assert rows(tables.load(spark, table)) == [("a", 1, 1), ("b", None, 20), ("c", 3, 30)]
 
 
-def test_plain_equality_inserts_null_keys_again(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_plain_equality_inserts_null_keys_again(spark, small):
     target = frame(spark, [("b", None, 2)])
-    merged = merge_rows(target, frame(spark, [("b", None, 3)]), ["id", "k"], null_safe=False)
+    source = frame(spark, [("b", None, 3)])
+    merged = merge_rows(target, source, ["id", "k"], null_safe=False, small_source=small)
     assert rows(merged) == [("b", None, 2), ("b", None, 3)]
 
 
@@ -53,16 +55,21 @@ def test_only_touched_buckets_are_rewritten(spark, table, tmp_path):
     assert tables.load(spark, table).count() == 100
 
 
-def test_only_changed(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_only_changed(spark, small):
     target = spark.createDataFrame([("a", 1, "t1"), ("b", 2, "t1")], "id string, v int, at string")
     source = spark.createDataFrame([("a", 1, "t2"), ("b", 3, "t2")], "id string, v int, at string")
-    assert rows(merge_rows(target, source, ["id"], only_changed=["v"])) == [("a", 1, "t1"), ("b", 3, "t2")]
+    source = source.unionByName(spark.createDataFrame([("c", None, "t2")], source.schema))
+    merged = merge_rows(target, source, ["id"], only_changed=["v"], small_source=small)
+    assert rows(merged) == [("a", 1, "t1"), ("b", 3, "t2"), ("c", None, "t2")]
 
 
 def test_small_source_does_not_shuffle_the_target(spark, tmp_path, capsys):
     spark.range(300_000).selectExpr("id", "id v").write.parquet(str(tmp_path / "t"))
     spark.range(10).selectExpr("id", "0L v").write.parquet(str(tmp_path / "s"))
-    merged = merge_rows(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s")), ["id"])
+    merged = merge_rows(
+        spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s")), ["id"], small_source=True
+    )
     merged.explain()
     joins = capsys.readouterr().out
     # both joins that read the target broadcast the source
@@ -70,7 +77,7 @@ def test_small_source_does_not_shuffle_the_target(spark, tmp_path, capsys):
     assert merged.where("v = 0").count() == 10
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.dictionaries(st.integers(0, 20), st.integers()), st.dictionaries(st.integers(0, 20), st.integers()))
 def test_merge_is_a_dictionary_update(spark, old, new):
     ddl = "id long, v decimal(38,0)"
@@ -78,6 +85,6 @@ def test_merge_is_a_dictionary_update(spark, old, new):
     target = target.selectExpr("id", "cast(v as string) v")
     source = spark.createDataFrame([(k, str(v)) for k, v in new.items()], "id long, v string")
     expected = sorted((k, str(v)) for k, v in {**old, **new}.items())
-    once = merge_rows(target, source, ["id"])
+    once = merge_rows(target, source, ["id"], small_source=True)
     assert rows(once) == expected
     assert rows(merge_rows(once, source, ["id"])) == expected
