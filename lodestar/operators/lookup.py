@@ -12,9 +12,11 @@ from lodestar.operators.segments import (
     MAX_GROUP_ROWS,
     SEGMENT,
     attach,
-    earlier,
+    by_segment,
     largest_group,
+    last_place,
     lay_out,
+    rows_at,
 )
 
 # With few versions per key a join on the key may look at all of them.
@@ -116,22 +118,30 @@ def _as_of_sorted(
     )
     rows = layout.rows.withColumn("_seen", F.last("_version", ignorenulls=True).over(so_far))
     if layout.split:
-        # Ordering values that are NULL do not count, so facts are passed over.
-        version_time = F.when(F.col("_is_fact") == 0, F.col("_at"))
-        summary = layout.rows.groupBy("_key", SEGMENT).agg(
-            F.max_by("_version", version_time).alias("_last")
-        )
-        carried = summary.withColumn(
-            "_before", F.last("_last", ignorenulls=True).over(earlier(["_key"]))
-        )
-        carried = carried.where("_before IS NOT NULL").select("_key", SEGMENT, "_before")
-        rows = attach(rows, carried, ["_key"]).withColumn("_seen", F.coalesce("_seen", "_before"))
+        rows = attach(rows, _last_versions(layout.rows), ["_key"])
+        rows = rows.withColumn("_seen", F.coalesce("_seen", "_before"))
     still_valid = F.col("_seen.to").isNull() | (F.col("_at") < F.col("_seen.to"))
     return rows.where("_is_fact = 1").select(
         "_fact.*", F.when(still_valid, F.col("_seen.key")).alias(lookup.out)
     )
 
 
+def _last_versions(timeline: DataFrame) -> DataFrame:
+    """For each segment the last version, in earlier segments, of the key it begins with."""
+    last_key = rows_at(timeline, last_place(timeline)).select(SEGMENT, "_key")
+    points = timeline.where("_is_fact = 0")
+    last_version = rows_at(points, last_place(points)).select(
+        F.col(SEGMENT).alias("_at_segment"), F.col("_key").alias("_version_key"), "_version"
+    )
+    ends = last_key.join(F.broadcast(last_version), F.col(SEGMENT) == F.col("_at_segment"), "left")
+    # A version of another key is not the one that the next segment continues with.
+    own = F.when(F.col("_version_key") == F.col("_key"), F.col("_version"))
+    so_far = Window.partitionBy("_key").orderBy(SEGMENT)
+    ends = ends.withColumn("_version", F.last(own, ignorenulls=True).over(so_far))
+    shifted = F.lag(F.struct("_key", F.col("_version").alias("_before"))).over(by_segment())
+    return ends.select(SEGMENT, shifted.alias("_end")).select(SEGMENT, "_end.*")
+
+
 def build_fact(facts: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Replace the business keys of ``facts`` by dimension keys."""
     for lookup in lookups:

@@ -12,8 +12,10 @@ from lodestar.operators.segments import (
     SEGMENT,
     Layout,
     attach,
-    earlier,
+    by_segment,
+    last_place,
     lay_out,
+    rows_at,
 )
 
 
@@ -39,7 +41,7 @@ def rank_within(
     layout = lay_out(df, partition_by, [value, *ties], max_group_rows)
     local = _local_rankings(layout, value, ties)
     if layout.split:
-        local = _globalise(local, layout.group, order_by)
+        local = _globalise(layout, local, order_by)
     wanted = {"_row_number": row_number, "_rank": rank, "_dense_rank": dense_rank}
     names = {k: v for k, v in wanted.items() if v}
     # bigint, because a split group may hold more rows than an int can count
@@ -57,53 +59,58 @@ def _local_rankings(layout: Layout, value: Column, ties: Sequence[Column]) -> Da
     )
 
 
-def _globalise(local: DataFrame, group: Sequence[str], order_by: str) -> DataFrame:
+def _globalise(layout: Layout, local: DataFrame, order_by: str) -> DataFrame:
     """Turn rankings within a segment into rankings within the whole group."""
-    value = F.struct(F.col(order_by).alias("value"))
-    summary = local.groupBy(*group, SEGMENT).agg(
-        F.count("*").alias("n"),
-        F.max("_dense_rank").alias("values"),
-        F.max("_rank").alias("last_rank"),
-        F.min_by(value, POSITION).alias("first_value"),
-        F.max_by(value, POSITION).alias("last_value"),
+    group, value = F.struct(*layout.group), F.struct(order_by)
+    first = layout.rows.where(F.col(POSITION) == 0).select(
+        F.col(SEGMENT).alias("_first_segment"),
+        group.alias("_first_group"),
+        value.alias("_first_value"),
     )
-    in_order = Window.partitionBy(*group).orderBy(SEGMENT)
-    before = earlier(group)
-    carried = (
-        summary.withColumn(
-            # 1 when the segment begins with the value its predecessor ended with
-            "_continues",
-            F.coalesce(
-                (F.col("first_value") == F.lag("last_value").over(in_order)).cast("int"), F.lit(0)
-            ),
-        )
-        .withColumn("_rows_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn(
-            "_values_before",
-            F.coalesce(F.sum(F.col("values") - F.col("_continues")).over(before), F.lit(0)),
-        )
-        .withColumn(
-            # rank of the last value, where that value begins in this segment
-            "last_start",
-            F.when(
-                (F.col("values") > 1) | (F.col("_continues") == 0),
-                F.col("_rows_before") + F.col("last_rank"),
-            ),
-        )
-        .withColumn("_peer_rank", F.last("last_start", ignorenulls=True).over(before))
-        .where("_rows_before > 0")
-        .select(*group, SEGMENT, "_continues", "_rows_before", "_values_before", "_peer_rank")
+    # The local rankings of a segment's last row tell how far its last group has come.
+    last = rows_at(local, last_place(layout.rows)).select(
+        SEGMENT,
+        group.alias("_group"),
+        value.alias("_value"),
+        F.col("_row_number").alias("_rows"),
+        F.col("_rank").alias("_last_rank"),
+        F.col("_dense_rank").alias("_values"),
+    )
+    ends = last.join(F.broadcast(first), F.col(SEGMENT) == F.col("_first_segment"))
+
+    same_group = F.col("_first_group").eqNullSafe(F.lag("_group").over(by_segment()))
+    same_value = F.col("_first_value").eqNullSafe(F.lag("_value").over(by_segment()))
+    ends = ends.withColumn("_continues", (same_group & same_value).cast("int"))
+    # A value that continues from the segment before is not counted again.
+    repeated = F.when(F.col("_first_group") == F.col("_group"), F.col("_continues")).otherwise(0)
+    so_far = Window.partitionBy("_group").orderBy(SEGMENT)
+    ends = ends.withColumns(
+        {
+            "_repeated": repeated,
+            "_rows_so_far": F.sum("_rows").over(so_far),
+            "_values_so_far": F.sum(F.col("_values") - repeated).over(so_far),
+        }
+    )
+    begins_here = (F.col("_values") > 1) | (F.col("_repeated") == 0)
+    began = F.when(begins_here, F.col("_rows_so_far") - F.col("_rows") + F.col("_last_rank"))
+    ends = ends.withColumn("_began", began)
+    ends = ends.withColumn("_peer_rank", F.last("_began", ignorenulls=True).over(so_far))
+    before = F.lag(F.struct("_group", "_rows_so_far", "_values_so_far", "_peer_rank"))
+    carried = ends.select(SEGMENT, "_continues", before.over(by_segment()).alias("_end")).select(
+        SEGMENT, "_continues", "_end._group.*", "_end._rows_so_far", "_end._values_so_far", "_end._peer_rank"
     )
-    rows_before = F.coalesce("_rows_before", F.lit(0))
+
+    rows = attach(local, carried.where("_rows_so_far IS NOT NULL"), layout.group)
+    rows_before = F.coalesce("_rows_so_far", F.lit(0))
     continues = F.coalesce("_continues", F.lit(0))
-    return attach(local, carried, group).withColumns(
+    in_first_value = (continues == 1) & (F.col("_rank") == 1)
+    return rows.withColumns(
         {
             "_row_number": rows_before + F.col("_row_number"),
-            "_rank": F.when((continues == 1) & (F.col("_rank") == 1), F.col("_peer_rank"))
-            .otherwise(rows_before + F.col("_rank")),
-            "_dense_rank": F.coalesce("_values_before", F.lit(0))
-            + F.col("_dense_rank")
-            - continues,
+            "_rank": F.when(in_first_value, F.col("_peer_rank")).otherwise(
+                rows_before + F.col("_rank")
+            ),
+            "_dense_rank": F.coalesce("_values_so_far", F.lit(0)) + F.col("_dense_rank") - continues,
         }
     )
 

@@ -18,7 +18,11 @@ from lodestar.operators.segments import (
     MAX_GROUP_ROWS,
     SEGMENT,
     attach,
+    by_segment,
+    first_place,
+    last_place,
     lay_out,
+    rows_at,
     same,
 )
 from lodestar.scratch import materialise
@@ -44,30 +48,25 @@ def versions(
     group = list(key)
     tracked = F.struct(*track)
     layout = lay_out(changes, group, [F.col(sequence_by).asc()], max_group_rows)
-    events = layout.rows
     in_order = Window.partitionBy(*layout.keys).orderBy(sequence_by)
-    by_segment = Window.partitionBy(*group).orderBy(SEGMENT)
-    previous = F.lag(tracked).over(in_order)
+    events = layout.rows.withColumn("_previous", F.lag(tracked).over(in_order))
     if layout.split:
-        last = events.groupBy(*group, SEGMENT).agg(F.max_by(tracked, sequence_by).alias("_last"))
-        carried = last.withColumn("_before", F.lag("_last").over(by_segment))
-        carried = carried.where("_before IS NOT NULL").drop("_last")
-        events = attach(events.withColumn("_previous", previous), carried, group)
-        events = events.withColumn("_previous", F.coalesce("_previous", "_before")).drop("_before")
-    else:
-        events = events.withColumn("_previous", previous)
-    opened = events.where(~F.col("_previous").eqNullSafe(tracked)).drop("_previous")
-
-    next_from = F.lead(sequence_by).over(in_order)
+        # The first event of a segment follows the last one of the segment before.
+        last = rows_at(layout.rows, last_place(layout.rows)).select(
+            SEGMENT, F.lag(F.struct(*group, tracked.alias("_before"))).over(by_segment()).alias("_last")
+        )
+        events = attach(events, last.select(SEGMENT, "_last.*"), group)
+        events = events.withColumn("_previous", F.coalesce("_previous", "_before"))
+    opened = events.where(~F.col("_previous").eqNullSafe(tracked))
+    opened = opened.withColumn("valid_to", F.lead(sequence_by).over(in_order))
     if layout.split:
-        opened = materialise(opened, "scd2-opened")
-        first = opened.groupBy(*group, SEGMENT).agg(F.min(sequence_by).alias("_first"))
-        carried = first.withColumn("_after", F.lead("_first").over(by_segment))
-        carried = carried.where("_after IS NOT NULL").drop("_first")
-        opened = attach(opened.withColumn("valid_to", next_from), carried, group)
-        opened = opened.withColumn("valid_to", F.coalesce("valid_to", "_after")).drop("_after", SEGMENT)
-    else:
-        opened = opened.withColumn("valid_to", next_from)
+        # The last version of a segment ends where the next segment opens one of the same key.
+        first = rows_at(layout.rows, first_place(opened)).select(
+            SEGMENT,
+            F.lead(F.struct(*group, F.col(sequence_by).alias("_after"))).over(by_segment()).alias("_next"),
+        )
+        opened = attach(opened, first.select(SEGMENT, "_next.*"), group)
+        opened = opened.withColumn("valid_to", F.coalesce("valid_to", "_after"))
     return opened.select(
         *(c for c in changes.columns if c != sequence_by),
         F.col(sequence_by).alias("valid_from"),

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from lodestar.scratch import materialise
 
@@ -76,7 +76,7 @@ def lay_out(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[Column],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int,
 ) -> Layout:
     """Keep groups whole when all of them fit a task, else cut the rows into segments."""
     group = list(group)
@@ -86,13 +86,26 @@ def lay_out(
     return Layout(rows, group, split=True)
 
 
-def earlier(group: Sequence[str]):
-    """Window over the earlier segments of a group (a group has at most one row per segment)."""
-    return Window.partitionBy(*group).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+def by_segment() -> WindowSpec:
+    """For boundary rows only: there is one row per segment, so the window stays small."""
+    return Window.orderBy(SEGMENT)
+
+
+def rows_at(rows: DataFrame, extreme: DataFrame) -> DataFrame:
+    """The rows at the places listed in ``extreme``, one per segment."""
+    return rows.join(F.broadcast(extreme), [SEGMENT, POSITION])
+
+
+def last_place(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(SEGMENT).agg(F.max(POSITION).alias(POSITION))
+
+
+def first_place(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(SEGMENT).agg(F.min(POSITION).alias(POSITION))
 
 
 def attach(rows: DataFrame, carried: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Join what is carried into the segments; ``carried`` has at most a few rows per segment."""
+    """Join what is carried into the segments; ``carried`` has at most one row per segment."""
     keys = [*group, SEGMENT]
     names = {k: f"_carried_{i}" for i, k in enumerate(keys)}
     carried = carried.withColumnsRenamed(names)
