@@ -1,7 +1,7 @@
 """Incremental ingestion of Parquet files.
 
-A stream over the source folder keeps track of which files are new; it reads
-their names only. Each micro-batch then reads its files as a batch, after
+A stream over the source folder keeps track of which files are new. It yields
+one row per file and does not open it. Each micro-batch then reads its files as a batch, after
 comparing their schema with the remembered one, and writes them to its own
 folder ``_batch_id=N``, so a replayed batch replaces itself.
 """
@@ -13,7 +13,6 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -27,6 +26,9 @@ BATCH_ID = "_batch_id"
 # Columns that tell where a row came from, and in which order it arrived.
 LINEAGE = [SOURCE_FILE, FILE_TIME, BATCH_ID]
 
+# Fixed schema of a file entry; only the path is read.
+FILE_ENTRY = "path string, modificationTime timestamp, length bigint, content binary"
+
 # New files per micro-batch; the driver holds their names.
 FILES_PER_BATCH = 10_000
 
@@ -53,9 +55,9 @@ def remembered_schema(
         return schema
 
 
-def _literal_path(uri: str) -> str:
-    """The path behind an encoded file URI, with nothing left that reads as a pattern."""
-    return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(uri))
+def _literal_path(path: str) -> str:
+    """The path with nothing left that reads as a pattern."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
 
 
 def _unknown_fields(
@@ -113,14 +115,15 @@ def start_ingest(
     """Start appending the files that are new since the last run."""
     known = remembered_schema(spark, source, checkpoint, schema)
     arrivals = (
-        spark.readStream.schema(known)
+        spark.readStream.format("binaryFile")
+        .schema(FILE_ENTRY)
         .option("maxFilesPerTrigger", max_files)
-        .parquet(source)
-        .select(F.col("_metadata.file_path").alias("path"))
+        .load(source)
+        .select("path")
     )
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        files = [_literal_path(row["path"]) for row in batch.distinct().collect()]
+        files = [_literal_path(row["path"]) for row in batch.collect()]
         if not files:
             return
         rows = read_files(batch.sparkSession, source, sorted(files), known)

@@ -65,3 +65,21 @@ def test_dataset_list(spark, tmp_path):
         spark, [Dataset("orders"), Dataset("regions")], f"{tmp_path}/source", f"{tmp_path}/bronze", f"{tmp_path}/cp"
     )
     assert {k: v.count() for k, v in out.items()} == {"orders": 3, "regions": 3}
+
+
+def test_partitioned_source(spark, places):
+    source, bronze, checkpoint = places
+    spark.range(10).selectExpr("id", "id % 2 AS day").write.partitionBy("day").parquet(source, mode="overwrite")
+    got = ingest_stream(spark, source, bronze, checkpoint)
+    assert rows(got, "id", "day") == [(i, i % 2) for i in range(10)]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace as Fake
+
+    from lodestar.scratch import shared_folder
+
+    cluster = Fake(master="yarn", applicationId="a1")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Fake(conf={}, sparkContext=cluster))
+    assert shared_folder(Fake(conf={"spark.checkpoint.dir": "hdfs:///x/"}, sparkContext=cluster)) == "hdfs:///x"
