@@ -79,7 +79,13 @@ class Settings:
 
 
 def load_bronze(spark: SparkSession, s: Settings, datasets: Sequence[Dataset] = DATASETS) -> None:
+    """Ingest new files, and make each dataset a table partitioned by ingestion batch."""
     ingest_all(spark, datasets, f"{s.root}/source", f"{s.root}/bronze", f"{s.root}/checkpoints")
+    tables.create_schema(spark, s.schemas["bronze"], f"{s.root}/bronze")
+    for dataset in datasets:
+        table = s.table("bronze", dataset.file_name)
+        tables.register(spark, table, s.folder("bronze", dataset.file_name))
+        spark.catalog.recoverPartitions(table)
 
 
 def load_silver(spark: SparkSession, s: Settings, datasets: Sequence[Dataset] = DATASETS) -> None:

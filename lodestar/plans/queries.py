@@ -516,7 +516,7 @@ def current_lookup(spark, sf):
 def _order_lines(spark, sf):
     lines = read(spark, sf, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                    F.date_format("l_shipdate", "yyyyMMdd")).alias("order_id"),
+                    F.col("l_shipdate").cast("date")).alias("order_id"),
         "l_orderkey",
         F.col("l_partkey").alias("product_id"),
         (
@@ -533,7 +533,7 @@ def _order_lines(spark, sf):
 
 ORDER_LINES = """
     SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                     strftime(l_shipdate, '%Y%m%d')) AS order_id,
+                     strftime(l_shipdate, '%Y-%m-%d')) AS order_id,
            l_partkey AS product_id, o_custkey AS customer_id, o_orderdate AS order_date,
            CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
                 AS DECIMAL(18,4)) AS total_amount
