@@ -49,6 +49,8 @@ def rank_within(
 
 
 def _local_rankings(layout: Layout, value: Column, ties: Sequence[Column]) -> DataFrame:
+    if layout.split:  # equal rows keep the order in which they were stored
+        ties = [*ties, F.col(POSITION).asc()]
     # row_number comes first: its sort order also serves the two rankings of peers.
     rows = Window.partitionBy(*layout.keys).orderBy(value, *ties)
     peers = Window.partitionBy(*layout.keys).orderBy(value)

@@ -48,6 +48,15 @@ def test_split_on_one_hot_value(spark):
     assert rows(split) == rows(whole)
 
 
+def test_split_without_a_unique_tie_break(spark):
+    """Equal rows may take any order, but numbers neither repeat nor go missing."""
+    data = [(i % 2, i % 3) for i in range(400)]
+    df = spark.createDataFrame(data, "g int, v int")
+    out = rows(rank_within(df, ["g"], "v", ["v"], max_group_rows=0, **NAMES), "g", "rn", "v", "rk", "dr")
+    expected = brute_rankings([(g, v, i) for i, (g, v) in enumerate(data)])
+    assert out == sorted((g, rn, v, rk, dr) for g, v, _, rn, rk, dr in expected)
+
+
 def test_whole_groups_need_one_shuffle(spark, sf, capsys):
     orders = spark.read.parquet(f"{sf}/orders.parquet").withColumn("year", F.year("o_orderdate"))
     rank_within(orders, ["year"], "o_totalprice", ["o_orderkey"], **NAMES).explain()
