@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestar.llm.common import table
 from lodestar.llm.exact_dedup import duplicate_classes
 from lodestar.llm.pii import personal_data_report
+from lodestar.llm.revisits import revisit_report
 from lodestar.llm.secrets import secret_report
+from lodestar.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +32,87 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r"""Every page's later revisit, resolved to the latest earlier response of its canonical URL.
+
+    SQL:
+    WITH r AS (
+      SELECT page_id, url, '"' || md5(coalesce(html, '')) || '"' AS etag,
+             strlen(coalesce(html, '')) AS size,
+             regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''),
+                            '#[\s\S]*$', '') AS rest
+      FROM pages
+    ), q AS (
+      SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')),
+                  ':(80|443)$', ''), '^www[0-9]*\.', '') AS host,
+             regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+             list_sort(list_filter(string_split(regexp_extract(rest, '\?([\s\S]*)$', 1), '&'),
+                  lambda p: p <> '' AND NOT starts_with(p, 'utm_'))) AS parts
+      FROM r
+    ), c AS (
+      SELECT page_id, etag, size, host || path ||
+             CASE WHEN len(parts) > 0 THEN '?' || array_to_string(parts, '&') ELSE '' END AS key
+      FROM q
+    ), joined AS (
+      SELECT v.page_id, v.key, v.etag, v.page_id + 1000 AS later,
+             max_by(f, f.page_id) AS f
+      FROM c v LEFT JOIN c f ON f.key = v.key AND
+           (f.page_id < v.page_id + 1000 OR
+            f.page_id = v.page_id + 1000 AND f.page_id * 2 < v.page_id * 2 + 1)
+      GROUP BY ALL
+    )
+    SELECT page_id * 2 + 1 AS record_id, key AS canonical_url, f.page_id * 2 AS refers_to,
+           CASE WHEN f IS NULL THEN 'missing' WHEN f.etag = etag THEN 'resolved'
+                ELSE 'changed' END AS outcome,
+           CASE WHEN f.etag = etag THEN 'cache-control: max-age=600; content-length: ' || f.size ||
+             '; content-type: text/html; date: ' || later || '; etag: ' || etag END AS headers
+    FROM joined
+    """
+    return revisit_report(table(spark, sf_dir, "pages"))
+
+
+#: The rules of op7 (fixed values): host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r"""The verdict on every page's URL.
+
+    SQL:
+    WITH rules(rhost, rpath, verdict) AS (
+      VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+             ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+    ), u AS (
+      SELECT row_number() OVER () AS rid, page_id,
+             CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+      FROM pages
+    ), p AS (
+      SELECT rid, page_id,
+             translate(regexp_extract(rest, '^[^/?#]*'),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+      FROM u
+    ), best AS (
+      SELECT rid, max_by(rhost || rpath, length(rhost || rpath)) AS rule,
+             max_by(verdict, length(rhost || rpath)) AS verdict
+      FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+      GROUP BY rid
+    )
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+    FROM p LEFT JOIN best USING (rid)
+    """
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 @query
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
