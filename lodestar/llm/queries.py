@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm.common import table
+from lodestar.llm.decontaminate import contamination_report
 from lodestar.llm.exact_dedup import duplicate_classes
 from lodestar.llm.pii import personal_data_report
 from lodestar.llm.revisits import revisit_report
@@ -32,6 +33,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return contamination_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 @query
 def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""Every page's later revisit, resolved to the latest earlier response of its canonical URL.
