@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm.common import table
 from lodestar.llm.decontaminate import contamination_report
 from lodestar.llm.exact_dedup import duplicate_classes
+from lodestar.llm.packing import pack
 from lodestar.llm.pii import personal_data_report
 from lodestar.llm.revisits import revisit_report
 from lodestar.llm.secrets import secret_report
@@ -128,6 +130,16 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+#: The vocabulary that documents are packed with.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    return pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of equal texts of every document.
