@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestar.llm.common import table
 from lodestar.llm.decontaminate import contamination_report
 from lodestar.llm.exact_dedup import duplicate_classes
+from lodestar.llm.language import language_report
 from lodestar.llm.packing import pack
 from lodestar.llm.pii import personal_data_report
 from lodestar.llm.revisits import revisit_report
@@ -43,6 +44,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""Every page's later revisit, resolved to the latest earlier response of its canonical URL.
