@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestar.llm.common import table
 from lodestar.llm.decontaminate import contamination_report
 from lodestar.llm.exact_dedup import duplicate_classes
+from lodestar.llm.kd_shards import kd_shards
 from lodestar.llm.language import language_report
 from lodestar.llm.packing import pack
 from lodestar.llm.pii import personal_data_report
@@ -30,6 +31,13 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of nearly equal bytes."""
+    docs = table(spark, sf_dir, "documents")
+    return kd_shards(docs, ["n_chars", "lang", "source", "doc_id"], shards=16)
+
+
 @query
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
