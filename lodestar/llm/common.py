@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import string
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lodestar.scratch import materialise
+
 #: The most bytes of text that Spark hands a Python worker at a time.
 BATCH_BYTES = 8 << 20
 
@@ -38,3 +41,39 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: The file (as a hash of its path) and the place there: what tells rows of a table apart.
+FILE, PLACE = "_file_hash", "_file_place"
+
+#: The most rows of two numbers that are broadcast; more are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def with_places(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``FILE`` and ``PLACE``, which are the same whenever the result is read.
+
+    Rows of files have a place already. Any other table is stored first.
+    """
+    taken = {c.lower() for c in docs.columns}
+    if {FILE, PLACE} & taken:
+        raise ValueError(f"columns {FILE} and {PLACE} are reserved")
+    marks = [
+        F.xxhash64(F.col("_metadata.file_path")).alias(FILE),
+        F.col("_metadata.row_index").alias(PLACE),
+    ]
+    if "_metadata" not in taken:
+        try:
+            return docs.select("*", *marks)
+        except AnalysisException:
+            pass  # not a scan of files
+    renamed = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    stored = materialise(docs.toDF(*renamed.values()), "placed")
+    return stored.select(*(F.col(n).alias(c) for c, n in renamed.items()), *marks)
+
+
+def without_rows(placed: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of a ``with_places`` table that are not in ``dropped`` (stored FILE and PLACE)."""
+    few = dropped.count() <= BROADCAST_ROWS
+    side = F.broadcast(dropped) if few else dropped.hint("shuffle_hash")
+    return placed.join(side, [FILE, PLACE], "left_anti").drop(FILE, PLACE)

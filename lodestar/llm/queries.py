@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestar.llm.common import table
 from lodestar.llm.decontaminate import contamination_report
 from lodestar.llm.exact_dedup import duplicate_classes
+from lodestar.llm.jaccard_join import near_duplicates
 from lodestar.llm.kd_shards import kd_shards
 from lodestar.llm.language import language_report
 from lodestar.llm.packing import pack
@@ -52,6 +53,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, least=90)
+
+
 @query
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
