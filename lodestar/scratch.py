@@ -24,9 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return _local_folders.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="lodestar-")
-    )
+    application = context.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="lodestar-")
+    return _local_folders[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -53,6 +54,14 @@ def stored_bytes(stored: DataFrame) -> int:
     return system.getContentSummary(folder).getLength()
 
 
+def discard(*stored: DataFrame) -> None:
+    """Remove materialised tables that no later step reads."""
+    for df in stored:
+        folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+        for folder in folders:
+            delete_folder(df.sparkSession, folder)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder through the file system it lives on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
