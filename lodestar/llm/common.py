@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import string
+import tempfile
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import lodestar
 from lodestar.scratch import materialise
 
 #: The most bytes of text that Spark hands a Python worker at a time.
@@ -34,9 +39,22 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker gets at once by bytes, as rows may be very long."""
+_shipped: set[str] = set()
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Give Python workers this package, and texts in batches bounded by bytes, as rows may be very long."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        folder = tempfile.mkdtemp(prefix="package-", dir=SparkFiles.getRootDirectory())
+        package = Path(lodestar.__file__).parent
+        archive = f"{folder}/lodestar.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

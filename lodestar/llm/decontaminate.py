@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 
-from lodestar.llm.common import bounded_batches, column, fresh_name
+from lodestar.llm.common import prepare_workers, column, fresh_name
 from lodestar.llm.tokens import (
     ALPHANUMERIC,
     Words,
@@ -45,7 +45,7 @@ GRAMS = "hash bigint, gram string, item string, words int"
 
 def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The distinct windows of all items: hash, words, text and the ids of the items."""
-    bounded_batches(benchmark.sparkSession)
+    prepare_workers(benchmark.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +123,7 @@ def scan(docs: DataFrame, grams: DataFrame, text_column: str, names: dict[str, s
     first to its last byte. ``grams`` fits a broadcast.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare_workers(spark)
     block = spark.sparkContext.broadcast(WindowSet(grams.collect()))
     again = names["hits"] in docs.columns
     extra = [

@@ -20,11 +20,12 @@ an empty result; other columns of the input are not looked at.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodestar.llm.common import column, fresh_name, lower_ascii
-from lodestar.scratch import materialise
+from lodestar.llm.common import FILE, PLACE, column, lower_ascii, with_places, without_rows
+from lodestar.scratch import discard, materialise
 
 #: Runs that are merged at a time.
 FAN_IN = 16
@@ -45,14 +46,20 @@ def _digest(text: Column) -> list[Column]:
     ]
 
 
-def digest_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def digest_runs(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    more: Sequence[str] = (),
+) -> DataFrame:
     """One sorted run for each partition of ``docs``, stored; ``_row`` tells rows apart."""
     rows = docs.select(
         column(docs, id_column).alias("_id"),
         normalised(column(docs, text_column)).alias("_text"),
         F.monotonically_increasing_id().alias("_row"),
+        *more,
     )
-    runs = rows.select("_id", "_row", *_digest(F.col("_text")))
+    runs = rows.select("_id", "_row", *more, *_digest(F.col("_text")))
     return materialise(runs.sortWithinPartitions(*DIGEST), "digest-runs")
 
 
@@ -108,27 +115,10 @@ def drop_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: str = "largest"
 ) -> DataFrame:
     """``docs`` with one row of each class, all columns as they were."""
-    runs = digest_runs(docs, id_column, text_column)
-    merged = materialise(merge_runs(runs, keep).where("_size > 1"), "digest-classes")
-    # how often the id that stays occurs in its class
-    same = runs.join(merged, DIGEST).where(F.col("_id").eqNullSafe(F.col("_keep_id")))
-    repeats = same.groupBy(*DIGEST).agg(
-        F.first("_keep_id").alias("_keep_id"), F.count("*").alias("_repeats")
-    )
-    names = {c: fresh_name(docs, f"{c}_of_class") for c in [*DIGEST, "_keep_id", "_repeats"]}
-    classes = materialise(
-        repeats.select(*(F.col(c).alias(n) for c, n in names.items())), "digest-keepers"
-    )
-    text = normalised(column(docs, text_column))
-    digest = [fresh_name(docs, f"{c}_of_row") for c in DIGEST]
-    rows = docs.select("*", *(c.alias(n) for c, n in zip(_digest(text), digest)))
-    equal = [F.col(d) == F.col(names[c]) for c, d in zip(DIGEST, digest)]
-    joined = rows.join(classes.hint("shuffle_hash"), equal, "left")
-    repeated = F.coalesce(F.col(names["_repeats"]), F.lit(0)) > 1
-    stays = F.col(names["_repeats"]).isNull() | column(docs, id_column).eqNullSafe(
-        F.col(names["_keep_id"])
-    )
-    once = joined.where(stays & ~repeated)
-    many = joined.where(stays & repeated).dropDuplicates(digest)
-    kept = [column(docs, c) for c in docs.columns]
-    return once.select(*kept).unionAll(many.select(*kept))
+    rows = with_places(docs)
+    runs = digest_runs(rows, id_column, text_column, [FILE, PLACE])
+    classes = materialise(merge_runs(runs, keep).where("_size > 1"), "digest-classes")
+    copies = runs.join(classes, DIGEST).where("_row <> _keep_row")
+    dropped = materialise(copies.select(FILE, PLACE), "copies")
+    discard(runs, classes)
+    return without_rows(rows, dropped)

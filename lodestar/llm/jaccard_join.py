@@ -46,7 +46,7 @@ from lodestar.llm.common import (
     BROADCAST_ROWS,
     FILE,
     PLACE,
-    bounded_batches,
+    prepare_workers,
     column,
     with_places,
     without_rows,
@@ -60,7 +60,7 @@ from lodestar.llm.tokens import (
     windows,
     word_hashes,
 )
-from lodestar.scratch import materialise
+from lodestar.scratch import discard, materialise
 
 #: A shingle counts as frequent from this many prefixes on; doubled until ``MOST_FREQUENT`` fit.
 FREQUENT = 32
@@ -418,15 +418,17 @@ def similar_components(docs: DataFrame, size: int, least: int) -> tuple[DataFram
     per cent.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare_workers(spark)
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, size, least))
-    signed = signatures(docs, size, least, frequent)
+    shown = signatures(docs, size, least, frequent)
+    signed = materialise(shown.select("node", "id", FILE, PLACE, *CLASS), "signed")
     classes = _classes(signed)
     # One document of each class goes on. The others are those of a class but its first.
     others = signed.select("node", *CLASS).join(classes, CLASS).where("node <> first")
     members = materialise(others.select("node", "first"), "members")
-    one_each = signed.join(members.select("node").hint("shuffle_hash"), "node", "left_anti")
+    one_each = shown.join(members.select("node").hint("shuffle_hash"), "node", "left_anti")
     single = materialise(one_each.select("node", "n", "rare", "often").where("size(rare) + size(often) > 0"), "single")
+    discard(shown, classes)
     postings = single.select(
         "node",
         "n",
@@ -449,6 +451,7 @@ def similar_components(docs: DataFrame, size: int, least: int) -> tuple[DataFram
         .union(members.select("node", "first"))
     )
     roots = connected(links)
+    discard(single, members, pairs, stars, texts, differing, more)
     smallest = (
         signed.select("node", "id").join(roots, "node").groupBy("root").agg(F.min("id").alias("least_id"))
     )

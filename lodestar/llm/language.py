@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from lodestar.llm.common import bounded_batches, column, fresh_name
+from lodestar.llm.common import prepare_workers, column, fresh_name
 
 #: N-gram lengths and the number of places they are hashed into.
 LONGEST = 4
@@ -177,7 +177,7 @@ def identify(
     Labels, ids and other columns serve learning at most, never a prediction.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare_workers(spark)
     key, text = column(docs, id_column), column(docs, text_column)
     rows = sample(docs, text, column(docs, label_column), key, ~held_out(key))
     model = fit((r["label"], r["text"]) for r in rows.toLocalIterator())

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lodestar.llm.common import bounded_batches, column
+from lodestar.llm.common import prepare_workers, column
 from lodestar.llm.tokens import text_slices
 from lodestar.scratch import materialise
 
@@ -99,7 +99,7 @@ def pieces(
     end: int = END,
 ) -> DataFrame:
     """Token pieces of all documents, without the ids: place, length and checksum."""
-    bounded_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     rows = docs.select(
         column(docs, id_column).alias("id"),
         F.coalesce(column(docs, text_column), F.lit("")).alias("text"),

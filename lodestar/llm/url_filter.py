@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lodestar.llm.common import bounded_batches, column
+from lodestar.llm.common import prepare_workers, column
 from lodestar.llm.digests import digest, opened, publish
 
 #: Verdict of a URL that no rule fits.
@@ -64,7 +64,7 @@ def judge_urls(
     ``rules`` has the columns host, path (empty, or from a slash on) and verdict.
     """
     spark = pages.sparkSession
-    bounded_batches(spark)
+    prepare_workers(spark)
     # a host has no slash and a path begins with one, so host + path names one rule
     names = publish(rules, F.concat("host", "path"), F.col("verdict"))
     lengths = [r[0] for r in rules.select(F.char_length("path")).distinct().collect()]
