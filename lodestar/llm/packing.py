@@ -19,8 +19,10 @@ gives no pieces. Columns other than the id and the text are not looked at.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lodestar.llm.common import prepare_workers, column
-from lodestar.llm.tokens import text_slices
+from lodestar.llm.tokens import LOWER, Words, text_slices, word_hashes
 from lodestar.scratch import materialise
 
 #: Tokens of a full sequence.
@@ -37,18 +39,57 @@ CAPACITY = 4096
 END = 2
 #: Pieces of a group on average; groups are dealt by a hash, so they differ little.
 GROUP_PIECES = 4096
-#: Words whose ids a worker remembers; it starts anew beyond that.
-CACHED_WORDS = 400_000
+#: Words whose ids a worker remembers, over all its tasks; it starts anew beyond that.
+CACHED_WORDS = 600_000
 #: Longer words are not remembered.
 CACHED_BYTES = 64
+#: Words that are given to the tokenizer as one text.
+JOINED_WORDS = 500
+
+# Kinds of bytes: white space, ASCII punctuation, and all others, which make words.
+_SPACE, _MARK, _WORD = 0, 1, 2
+_KINDS = np.full(256, _WORD, dtype=np.uint8)
+_KINDS[list(b" \t\n\r\x0b\x0c")] = _SPACE
+_KINDS[list(string.punctuation.encode())] = _MARK
+# Between words and ASCII punctuation a token always ends, unless the text has an apostrophe,
+# a control character, or anything beyond ASCII but the letters of Latin-1 (\xc3 and a byte).
+_ODD = np.zeros(256, dtype=bool)
+_ODD[[*b"'", *range(9), *range(0x0E, 0x20), 0x7F, 0xC2, *range(0xC4, 0x100)]] = True
+_SIGNS = np.zeros(256, dtype=bool)
+_SIGNS[[0x97, 0xB7]] = True
+
+
+def find_parts(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """The parts of texts that are tokenized alone, in lower case.
+
+    These are words and runs of punctuation; in odd texts what stands between white space.
+    """
+    data = LOWER[data]
+    kinds = _KINDS[data]
+    odd = _ODD[data]
+    odd[1:] |= (data[:-1] == 0xC3) & _SIGNS[data[1:]]
+    before = np.concatenate([[0], np.cumsum(odd)])[offsets]
+    odd_text = np.repeat(np.diff(before) > 0, np.diff(offsets))
+    kinds[odd_text & (kinds == _MARK)] = _WORD
+    begins = offsets[:-1][offsets[:-1] < len(data)]
+    change = np.ones(len(data), dtype=bool)
+    change[1:] = kinds[1:] != kinds[:-1]
+    change[begins] = True
+    starts = np.flatnonzero(change)
+    ends = np.append(starts[1:], len(data))
+    inside = kinds[starts] != _SPACE
+    starts, ends = starts[inside], ends[inside]
+    text = np.searchsorted(offsets, starts, side="right") - 1
+    return Words(data, starts, ends, text, len(offsets) - 1)
 
 
 class TokenIds:
     """Token ids of texts as little-endian unsigned 32-bit integers.
 
-    The vocabulary ``word_bpe_49k`` looks at each word between white space on
-    its own, so ids of frequent words are remembered. Strings of special tokens
-    in a text are ordinary text.
+    The vocabulary ``word_bpe_49k`` lowers letters, looks at each run of letters
+    on its own and marks its last token as the end of a word. So ids are found
+    word by word, words are remembered, and new words of letters are given to the
+    tokenizer many at a time. Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -57,37 +98,64 @@ class TokenIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Ids of the texts that lie one after the other in ``data``."""
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        known = self.known
-        # bytes.split() splits at ASCII white space only, which no token spans
-        split = [t.split() for t in texts]
-        new = list({w for words in split for w in words if w not in known})
-        long = {}
-        if new:
-            encoded = self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in new], add_special_tokens=False
-            )
-            for word, ids in zip(new, encoded):
-                kept = known if len(word) <= CACHED_BYTES else long
-                kept[word] = np.array(ids.ids, dtype="<u4").tobytes()
-        if long:
-            known = _Both(known, long)
-        return [b"".join([known[w] for w in words]) for words in split]
-
-
-class _Both(dict):
-    """Words of one slice in front of those remembered."""
-
-    def __init__(self, known: dict[bytes, bytes], more: dict[bytes, bytes]):
-        super().__init__(more)
-        self.known = known
-
-    def __missing__(self, word: bytes) -> bytes:
-        return self.known[word]
+        parts = find_parts(data, offsets)
+        _, first, which = np.unique(word_hashes(parts), return_index=True, return_inverse=True)
+        spans = zip(parts.starts[first].tolist(), parts.ends[first].tolist())
+        text = parts.data.tobytes()
+        distinct = [text[s:e] for s, e in spans]
+        ids = list(map(self.known.get, distinct))
+        learnt = self._encode_parts([w for w, i in zip(distinct, ids) if i is None])
+        self.known.update((w, i) for w, i in learnt.items() if len(w) <= CACHED_BYTES)
+        ids = [learnt[w] if i is None else i for w, i in zip(distinct, ids)]
+        # every part's ids, one after the other
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begins = np.cumsum(sizes) - sizes
+        counts = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        take = np.repeat(begins[which] - ends[:-1], counts) + np.arange(ends[-1])
+        every = flat[take]
+        bounds = ends[parts.per_text()].tolist()
+        return [every[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+
+    def _encode_parts(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        texts = [p.decode("utf-8", "replace") for p in parts]
+        ids: dict[bytes, bytes] = {}
+        letters = [i for i, text in enumerate(texts) if text.isalpha()]
+        rest = [i for i, text in enumerate(texts) if not text.isalpha()]
+        groups = [letters[i : i + JOINED_WORDS] for i in range(0, len(letters), JOINED_WORDS)]
+        joined = [" ".join(texts[i] for i in group) for group in groups]
+        for group, encoded in zip(groups, self._batch(joined)):
+            ends = np.flatnonzero(self.ends_word[encoded]) + 1
+            if len(ends) != len(group):  # a letter that is several characters in lower case
+                rest += group
+                continue
+            flat, at = encoded.tobytes(), 0
+            for i, end in zip(group, (ends * 4).tolist()):
+                ids[parts[i]] = flat[at:end]
+                at = end
+        for i, encoded in zip(rest, self._batch([texts[i] for i in rest])):
+            ids[parts[i]] = encoded.tobytes()
+        return ids
+
+    def _batch(self, texts: list[str]) -> list[np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4") for e in encoded]
+
+
+@lru_cache(maxsize=1)
+def token_ids(path: str) -> TokenIds:
+    """One for each worker process, which runs many tasks."""
+    return TokenIds(path)
 
 
 def pieces(
@@ -116,12 +184,11 @@ def pieces(
     last = np.array([end], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = TokenIds(tokenizer)
+        ids_of = token_ids(tokenizer)
         for batch in batches:
             for row, _, data, offsets in text_slices(batch["text"]):
-                texts = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
                 out: list[tuple[int, int, int, int, int]] = []
-                for i, ids in enumerate(ids_of.encode(texts)):
+                for i, ids in enumerate(ids_of.encode(data, offsets)):
                     ids += last
                     for start in range(0, len(ids), 4 * capacity):
                         part = ids[start : start + 4 * capacity]
