@@ -5,11 +5,13 @@ from __future__ import annotations
 import string
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 import lodestar
 from lodestar.scratch import materialise
@@ -57,6 +59,28 @@ def prepare_workers(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def map_batches(
+    docs: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]],
+    added: Sequence[T.StructField],
+) -> DataFrame:
+    """``docs`` with the columns ``added``, whatever the names of its own columns.
+
+    ``function`` gets batches whose columns stand as in ``docs``, and gives all
+    columns of the result for some of the rows at a time.
+    """
+    fields = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
+    schema = T.StructType([*fields, *(T.StructField(f"a{i}", f.dataType) for i, f in enumerate(added))])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in function(batches):
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    plain = docs.toDF(*(f.name for f in fields))
+    return plain.mapInArrow(run, schema).toDF(*docs.columns, *(f.name for f in added))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

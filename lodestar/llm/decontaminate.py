@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 
-from lodestar.llm.common import prepare_workers, column, fresh_name
+from lodestar.llm.common import column, fresh_name, map_batches, prepare_workers
 from lodestar.llm.tokens import (
     ALPHANUMERIC,
     Words,
@@ -125,16 +125,16 @@ def scan(docs: DataFrame, grams: DataFrame, text_column: str, names: dict[str, s
     spark = docs.sparkSession
     prepare_workers(spark)
     block = spark.sparkContext.broadcast(WindowSet(grams.collect()))
-    again = names["hits"] in docs.columns
-    extra = [
+    again = names["hits"] in docs.columns  # of an earlier block
+    base = [c for c in docs.columns if c not in names.values()]
+    added = [
         T.StructField(names["words"], T.LongType()),
         T.StructField(names["hits"], T.ArrayType(T.IntegerType())),
         T.StructField(names["items"], T.ArrayType(T.StringType())),
     ]
-    schema = docs.schema if again else T.StructType([*docs.schema.fields, *extra])
-    place = docs.columns.index(text_column)
+    place = base.index(text_column)
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         windows_of = block.value
         for batch in batches:
             texts = batch.column(place)
@@ -142,8 +142,8 @@ def scan(docs: DataFrame, grams: DataFrame, text_column: str, names: dict[str, s
             hits: list[list[int]] = []
             found: list[list[str]] = []
             kept: list[bytes | None] = []
-            before = batch.column(schema.names.index(names["hits"])).to_pylist() if again else None
-            known = batch.column(schema.names.index(names["items"])).to_pylist() if again else None
+            before = batch.column(len(base) + 1).to_pylist() if again else None
+            known = batch.column(len(base) + 2).to_pylist() if again else None
             filled = texts.fill_null("") if texts.null_count else texts
             for row, last, data, offsets in text_slices(filled):
                 words = find_words(data, offsets, ALPHANUMERIC)
@@ -168,19 +168,19 @@ def scan(docs: DataFrame, grams: DataFrame, text_column: str, names: dict[str, s
                     if cut:
                         text = data[offsets[i] : offsets[i + 1]].tobytes()
                         kept.append(_without(text, runs, words, bounds[i], offsets[i]))
-            added = [
+            results = [
                 pa.array(counts, pa.int64()),
                 pa.array(hits, pa.list_(pa.int32())),
                 pa.array(found, pa.list_(pa.string())),
             ]
-            columns = batch.columns[: len(docs_names)]
+            columns = batch.columns[: len(base)]
             if cut:
                 cleaned = pa.array([t.decode() for t in kept], pa.string())
                 columns[place] = pa.compute.if_else(texts.is_valid(), cleaned, pa.scalar(None, pa.string()))
-            yield pa.RecordBatch.from_arrays([*columns, *added], names=schema.names)
+            yield [*columns, *results]
 
-    docs_names = docs.columns[: -len(extra)] if again else docs.columns
-    return docs.mapInArrow(look, schema)
+    # the three columns of an earlier block are replaced
+    return map_batches(docs, look, [] if again else added)
 
 
 def _without(text: bytes, runs: list[int], words: Words, first: int, offset: int) -> bytes:
