@@ -16,4 +16,5 @@ def part_at(column: str, delimiter: str, index: int) -> Column:
 
 def joined_name(*columns: str) -> Column:
     """The parts separated by a space; NULL as soon as one part is NULL."""
-    return F.expr(" || ' ' || ".join(f"`{name}`" for name in columns))
+    parts = [part for name in columns for part in (F.lit(" "), F.col(f"`{name.replace('`', '``')}`"))]
+    return F.concat(*parts[1:])

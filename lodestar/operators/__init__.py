@@ -4,7 +4,7 @@ from lodestar.operators.merge import merge_rows, upsert
 from lodestar.operators.quality import expect_all_or_drop, expectation_report
 from lodestar.operators.ranking import dedup_latest, rank_within, top_within
 from lodestar.operators.scd1 import scd1_rows, scd1_upsert
-from lodestar.operators.scd2 import scd2_apply, versions
+from lodestar.operators.scd2 import scd2_apply, scd2_create, versions
 
 __all__ = [
     "Lookup",
@@ -20,6 +20,7 @@ __all__ = [
     "scd1_rows",
     "scd1_upsert",
     "scd2_apply",
+    "scd2_create",
     "split_new_existing",
     "top_within",
     "upsert",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from lodestar.operators.merge import require_unique
 from lodestar.operators.segments import (
@@ -13,13 +13,14 @@ from lodestar.operators.segments import (
     SEGMENT,
     attach,
     by_segment,
-    largest_group,
     last_place,
     lay_out,
     rows_at,
 )
+from lodestar.scratch import materialise
 
-# With few versions per key a join on the key may look at all of them.
+# With few versions per key a join on the key may look at all of them. Beyond, the cost of
+# that join would be facts times versions; the answer is the same.
 MAX_JOINED_VERSIONS = 32
 
 
@@ -70,23 +71,50 @@ def lookup_keys(
 def _as_of(
     fact: DataFrame, lookup: Lookup, max_joined_versions: int, max_group_rows: int
 ) -> DataFrame:
-    dimension = lookup.dimension
-    require_unique(dimension, [lookup.business_key, "valid_from"], "the dimension")
-    periods = dimension.select(
+    """The last version that begins at or before the fact, if it has not ended by then.
+
+    Both ways below give the same rows, for overlapping periods and gaps too.
+    A version without a beginning is never found.
+    """
+    periods = lookup.dimension.select(
         F.col(lookup.business_key).alias("_business_key"),
         F.col("valid_from").alias("_from"),
         F.col("valid_to").alias("_to"),
         F.col(lookup.key).alias(lookup.out),
     )
-    if largest_group(periods, ["_business_key"]) <= max_joined_versions:
-        at = F.col(lookup.as_of)
-        matches = (
-            (F.col(lookup.fact_column) == F.col("_business_key"))
-            & (F.col("_from") <= at)
-            & (F.col("_to").isNull() | (at < F.col("_to")))
-        )
-        return fact.join(periods, matches, "left").drop("_business_key", "_from", "_to")
-    return _as_of_sorted(fact, periods, lookup, max_group_rows)
+    # Stored, as the checks and the lookup would each compute the history again.
+    periods = materialise(
+        periods.where(F.col("_business_key").isNotNull() & F.col("_from").isNotNull()), "periods"
+    )
+    if _check_periods(periods) > max_joined_versions:
+        return _as_of_sorted(fact, periods, lookup, max_group_rows)
+    # few versions per key, so this window is small
+    next_begins = F.lead("_from").over(Window.partitionBy("_business_key").orderBy("_from"))
+    spans = periods.withColumn("_until", next_begins)
+    at = F.col(lookup.as_of)
+    last_before = (
+        (F.col(lookup.fact_column) == F.col("_business_key"))
+        & (F.col("_from") <= at)
+        & (F.col("_until").isNull() | (at < F.col("_until")))
+    )
+    found = fact.join(spans, last_before, "left")
+    still_valid = F.col("_to").isNull() | (at < F.col("_to"))
+    return found.withColumn(lookup.out, F.when(still_valid, F.col(lookup.out))).drop(
+        "_business_key", "_from", "_to", "_until"
+    )
+
+
+def _check_periods(periods: DataFrame) -> int:
+    """The most versions of a key; two that begin together are an error. One aggregation."""
+    begun = periods.groupBy("_business_key", "_from").agg(F.count("*").alias("versions"))
+    most = begun.groupBy("_business_key").agg(
+        F.count("*").alias("versions"),
+        F.max(F.when(F.col("versions") > 1, F.struct("_business_key", "_from"))).alias("repeated"),
+    )
+    row = most.agg(F.max("versions").alias("versions"), F.max("repeated").alias("repeated")).first()
+    if row["repeated"] is not None:
+        raise ValueError(f"the dimension repeats the key {row['repeated'].asDict()}")
+    return row["versions"] or 0
 
 
 def _as_of_sorted(
@@ -104,14 +132,16 @@ def _as_of_sorted(
         F.lit(1).alias("_is_fact"),
         F.struct(*columns).alias("_fact"),
     )
-    points = periods.where("_business_key IS NOT NULL").select(
+    points = periods.select(
         F.col("_business_key").alias("_key"),
         F.col("_from").alias("_at"),
         F.lit(0).alias("_is_fact"),
         F.struct(F.col(lookup.out).alias("key"), F.col("_to").alias("to")).alias("_version"),
     )
     timeline = facts.unionByName(points, allowMissingColumns=True)
-    tie = F.xxhash64("_fact")
+    # maps cannot be hashed; they are left out of what only balances the sort
+    hashable = [f"_fact.`{f.name}`" for f in fact.schema.fields if _hashable(f.dataType)]
+    tie = F.xxhash64(*hashable) if hashable else F.lit(0)
     layout = lay_out(timeline, ["_key"], [F.col("_at"), F.col("_is_fact"), tie], max_group_rows)
     so_far = Window.partitionBy(*layout.keys).orderBy("_at", "_is_fact").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -126,6 +156,11 @@ def _as_of_sorted(
     )
 
 
+def _hashable(kind: T.DataType) -> bool:
+    text = kind.simpleString()
+    return "map<" not in text and "variant" not in text
+
+
 def _last_versions(timeline: DataFrame) -> DataFrame:
     """For each segment the last version, in earlier segments, of the key it begins with."""
     last_key = rows_at(timeline, last_place(timeline)).select(SEGMENT, "_key")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodestar.operators.segments import same
-from lodestar.scratch import materialise, stored_bytes
+from lodestar.scratch import discard, materialise, stored_bytes
 from lodestar.sources import tables
 
 
@@ -19,12 +19,14 @@ def merge_rows(
     *,
     null_safe: bool = True,
     only_changed: Sequence[str] = (),
+    sequence: Sequence[str] = (),
     small_source: bool = False,
 ) -> DataFrame:
     """``target`` with rows of ``source`` written over matching keys, and the others added.
 
     With ``only_changed`` a matching row is replaced only if one of those
-    columns differs. In general this is one full outer join. A
+    columns differs, with ``sequence`` only if the source's row is not older by
+    these columns (NULL is oldest). In general this is one full outer join. A
     ``small_source``, one below the broadcast threshold, is left-joined and its
     unmatched rows are added instead, which never shuffles the target.
     """
@@ -48,6 +50,10 @@ def merge_rows(
     if tracked:
         unchanged = same([F.col(c) for c in tracked], [F.col(f"_row.{c}") for c in tracked])
         replaced = replaced & (F.col("_known").isNull() | ~unchanged)
+    if sequence:
+        order = [wanted[c.lower()] for c in sequence]
+        theirs, ours = F.struct(*(f"_row.{c}" for c in order)), F.struct(*order)
+        replaced = replaced & (F.col("_known").isNull() | (theirs >= ours))
     merged = joined.select(
         *(F.when(replaced, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c) for c in columns)
     )
@@ -85,6 +91,7 @@ def upsert(
     *,
     null_safe: bool = True,
     only_changed: Sequence[str] = (),
+    sequence: Sequence[str] = (),
     buckets: int | None = None,
     bucket_by: Sequence[str] | None = None,
 ) -> None:
@@ -97,14 +104,16 @@ def upsert(
     if not {c.lower() for c in bucket_by} <= {k.lower() for k in keys}:
         raise ValueError("bucket_by must consist of merge keys")
     source = materialise(source, "merge-source")
-    require_unique(source, keys, "the source")
-    if not tables.exists(spark, name):
+    created = not tables.exists(spark, name)
+    layout = None if created else tables.bucketing(spark, name)
+    touched = _checked_buckets(source, keys, layout)
+    if created:
         tables.create(source, name, path, buckets, bucket_by)
+        discard(source)
         return
-    if source.isEmpty():
+    if not touched:
         return
-    layout = tables.bucketing(spark, name)
-    touched = tables.touched_buckets(source, *layout) if layout else None
+    touched = touched if layout else None
     target = tables.load(spark, name, only=touched)
     merged = merge_rows(
         target,
@@ -112,6 +121,24 @@ def upsert(
         keys,
         null_safe=null_safe,
         only_changed=only_changed,
+        sequence=sequence,
         small_source=stored_bytes(source) <= _broadcast_threshold(spark),
     )
     tables.replace(merged, name, path)
+    discard(source)
+
+
+def _checked_buckets(
+    source: DataFrame, keys: Sequence[str], layout: tuple[int, Sequence[str]] | None
+) -> list[int]:
+    """The buckets with rows of the source (0 without buckets); a repeated key is an error."""
+    bucket = tables.bucket_of(*layout) if layout else F.lit(0)
+    once = source.groupBy(*keys).agg(F.count("*").alias("_times"), F.first(bucket).alias("_number"))
+    by_bucket = once.groupBy("_number").agg(
+        F.max(F.when(F.col("_times") > 1, F.to_json(F.struct(*keys)))).alias("_repeated")
+    )
+    rows = by_bucket.collect()  # one row per bucket
+    for row in rows:
+        if row["_repeated"] is not None:
+            raise ValueError(f"the source repeats the key {row['_repeated']}")
+    return sorted(row["_number"] for row in rows)

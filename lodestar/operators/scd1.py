@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lodestar.operators.keys import assign_surrogate_keys, max_key, split_new_existing
+from lodestar.operators.keys import assign_surrogate_keys, max_key
 from lodestar.operators.merge import upsert
 from lodestar.operators.ranking import dedup_latest
-from lodestar.scratch import materialise
+from lodestar.scratch import discard, materialise
 from lodestar.sources import tables
 
 CREATED = "create_date"
@@ -30,16 +30,27 @@ def scd1_rows(
     """
     load_ts = F.current_timestamp() if load_ts is None else load_ts
     if dimension is None:
-        new, existing, start = incoming, None, 0
-    else:
-        new, existing = split_new_existing(incoming, dimension, key, [surrogate, CREATED])
-        start = max_key(dimension, surrogate)
-    new = assign_surrogate_keys(new, [key], start, surrogate)
+        new = assign_surrogate_keys(incoming, [key], 0, surrogate)
+        return new.withColumns({UPDATED: load_ts, CREATED: load_ts})
+    # One join tags the known rows with what they keep; the result is read twice and stored.
+    known = dimension.select(
+        F.col(key).alias("_known_key"),
+        F.col(surrogate).alias("_known_surrogate"),
+        F.to_timestamp(CREATED).alias("_known_created")
+        if dict(dimension.dtypes)[CREATED] == "string"
+        else F.col(CREATED).alias("_known_created"),
+    )
+    tagged = materialise(
+        incoming.join(known, F.col(key).eqNullSafe(F.col("_known_key")), "left"), "scd1-tagged"
+    )
+    own = [F.col(f"`{c}`") for c in incoming.columns]
+    new = tagged.where("_known_surrogate IS NULL").select(*own)
+    new = assign_surrogate_keys(new, [key], max_key(dimension, surrogate), surrogate)
     new = new.withColumns({UPDATED: load_ts, CREATED: load_ts})
-    if existing is None:
-        return new
-    created = F.to_timestamp(CREATED) if dict(existing.dtypes)[CREATED] == "string" else F.col(CREATED)
-    return new.unionByName(existing.withColumns({CREATED: created, UPDATED: load_ts}))
+    existing = tagged.where("_known_surrogate IS NOT NULL").select(
+        *own, F.col("_known_surrogate").alias(surrogate), F.col("_known_created").alias(CREATED)
+    )
+    return new.unionByName(existing.withColumn(UPDATED, load_ts))
 
 
 def scd1_upsert(
@@ -61,10 +72,18 @@ def scd1_upsert(
     Of several rows with one key the one with the greatest ``latest`` columns
     counts. ``technical`` columns are dropped after that. The rows are merged
     on the business key, which the surrogate key follows one to one. With
-    ``only_changed`` an unchanged row keeps its update time.
+    ``only_changed`` an unchanged row keeps its update time. ``latest`` columns
+    that are not technical stay in the dimension, and a row that is older by
+    them than the one there changes nothing.
     """
     rows = materialise(dedup_latest(incoming, [key], latest).drop(*technical), "scd1-rows")
     dimension = tables.load(spark, name) if tables.exists(spark, name) else None
     attributes = [c for c in rows.columns if c != key] if only_changed else ()
     source = scd1_rows(rows, dimension, key, surrogate, load_ts)
-    upsert(spark, name, source, [key], path, only_changed=attributes, buckets=buckets)
+    dropped = {c.lower() for c in technical}
+    sequence = [c for c in latest if c.lower() not in dropped]
+    upsert(
+        spark, name, source, [key], path,
+        only_changed=attributes, sequence=sequence, buckets=buckets,
+    )
+    discard(rows)

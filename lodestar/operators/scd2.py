@@ -9,8 +9,11 @@ keys it touches is rebuilt from the log.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from lodestar.operators.ranking import dedup_latest
@@ -25,7 +28,7 @@ from lodestar.operators.segments import (
     rows_at,
     same,
 )
-from lodestar.scratch import materialise
+from lodestar.scratch import delete_folder, discard, folder_exists, materialise
 from lodestar.sources import tables
 
 BATCH = "_batch"
@@ -43,8 +46,12 @@ def versions(
     track: Sequence[str],
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """The complete history of ``changes``, which holds one row per (key, sequence)."""
+    """The complete history of ``changes``, which holds one row per (key, sequence).
+
+    Changes without a sequence value have no place in it and are left out.
+    """
     check_sequence(key, sequence_by)
+    changes = changes.where(F.col(sequence_by).isNotNull())
     group = list(key)
     tracked = F.struct(*track)
     layout = lay_out(changes, group, [F.col(sequence_by).asc()], max_group_rows)
@@ -85,6 +92,63 @@ def _require_consistent(batch: DataFrame, key: Sequence[str], sequence_by: str,
         raise ValueError(f"one batch holds different values for {clash}")
 
 
+def _tracked(
+    columns: Sequence[str], key: Sequence[str], sequence_by: str, track: Sequence[str] | None, arrival: Sequence[str]
+) -> list[str]:
+    return list(track or [c for c in columns if c not in {*key, sequence_by, *arrival}])
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How the log of a dimension is kept: fixed when the dimension is created."""
+
+    spread: int
+    columns: str
+
+    def to_json(self) -> str:
+        return json.dumps({"spread": self.spread, "columns": self.columns})
+
+
+def _layout(spark: SparkSession, name: str, path: str, schema: T.StructType, buckets: int | None) -> Layout:
+    """The layout remembered beside the log; a first call fixes it, later ones must agree in types."""
+    place = f"{path}/layout"
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    try:
+        found = json.loads(spark.read.text(place, wholetext=True).first()[0])
+    except AnalysisException:
+        known = tables.bucketing(spark, name) if tables.exists(spark, name) else None
+        spread = known[0] if known else 1 if tables.exists(spark, name) else buckets or 1
+        made = Layout(spread, columns)
+        spark.createDataFrame([(made.to_json(),)], "value string").coalesce(1).write.text(place)
+        return made
+    layout = Layout(**found)
+    if layout.columns != columns:
+        raise ValueError(f"the changes have columns {columns}, the dimension has {layout.columns}")
+    return layout
+
+
+def scd2_create(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: T.StructType,
+    *,
+    key: Sequence[str],
+    sequence_by: str,
+    track: Sequence[str] | None = None,
+    arrival: Sequence[str] = (),
+    buckets: int | None = None,
+) -> None:
+    """Create the dimension without rows, unless it exists; ``schema`` is that of its changes."""
+    if tables.exists(spark, name):
+        return
+    columns = [*key, sequence_by, *_tracked(schema.names, key, sequence_by, track, arrival)]
+    empty = spark.createDataFrame([], schema).select(*columns)
+    layout = _layout(spark, name, path, empty.schema, buckets)
+    history = versions(empty, key, sequence_by, columns[len(key) + 1 :])
+    tables.create(history, name, path, layout.spread if buckets else None, list(key))
+
+
 def scd2_apply(
     spark: SparkSession,
     name: str,
@@ -94,6 +158,7 @@ def scd2_apply(
     key: Sequence[str],
     sequence_by: str,
     track: Sequence[str] | None = None,
+    arrival: Sequence[str] = (),
     batch_id: int,
     buckets: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
@@ -102,39 +167,63 @@ def scd2_apply(
 
     Batches are numbered by the caller; a later batch wins over an earlier one
     for the same key and sequence, and a repeated number replaces that batch,
-    so a batch can be replayed. With ``buckets`` both the log and the table are
-    read and written only where the batch has keys.
+    so a batch can be replayed. Within a batch the row with the greatest
+    ``arrival`` columns wins. Changes without a sequence value have no place in
+    the history and are left out.
+
+    ``buckets`` counts when the dimension is created: log and table are then
+    read and written only where a batch has keys. Later calls use what was
+    fixed then, whatever they pass.
     """
     check_sequence(key, sequence_by)
     key = list(key)
-    track = list(track or [c for c in changes.columns if c not in {*key, sequence_by}])
+    track = _tracked(changes.columns, key, sequence_by, track, arrival)
     columns = [*key, sequence_by, *track]
-    log = f"{path}/log"
-    spread = buckets or 1
-
-    rows = changes.select(*columns, tables.bucket_of(spread, key).alias(tables.BUCKET))
-    if buckets:
-        rows = rows.hint("rebalance", tables.BUCKET)
-    rows.write.mode("overwrite").partitionBy(tables.BUCKET).parquet(f"{log}/{BATCH}={batch_id}")
     schema = changes.select(*columns).schema
+    scd2_create(
+        spark, name, path, schema, key=key, sequence_by=sequence_by, track=track, buckets=buckets
+    )
+    layout = _layout(spark, name, path, schema, buckets)
+    log, former = f"{path}/log", f"{path}/replaced/{BATCH}={batch_id}"
+    folder = f"{log}/{BATCH}={batch_id}"
+
+    rows = changes.where(F.col(sequence_by).isNotNull())
+    if arrival:
+        order = Window.partitionBy(*key, sequence_by).orderBy(*(F.desc(c) for c in arrival))
+        rows = rows.withColumn("_arrived", F.rank().over(order)).where("_arrived = 1")
+    rows = rows.select(*columns, tables.bucket_of(layout.spread, key).alias(tables.BUCKET))
+    if layout.spread > 1:
+        rows = rows.hint("rebalance", tables.BUCKET)
+    if folder_exists(spark, folder):
+        # Keys that only the former content of this batch had change too. They are kept until
+        # the dimension is published, so a run that dies in between does not lose them.
+        replaced = spark.read.schema(schema).parquet(folder).select(*key).distinct()
+        materialise(replaced, "replaced").write.mode("append").parquet(former)
+    rows.write.mode("overwrite").partitionBy(tables.BUCKET).parquet(folder)
     folders = [T.StructField(BATCH, T.LongType()), T.StructField(tables.BUCKET, T.IntegerType())]
     logged = spark.read.schema(T.StructType([*schema.fields, *folders])).parquet(log)
     batch = logged.where(F.col(BATCH) == batch_id)
     _require_consistent(batch, key, sequence_by, track)
-    touched = tables.touched_buckets(batch, spread, key)
-    if not touched:
+    touched_keys = batch.select(*key)
+    if folder_exists(spark, former):
+        touched_keys = touched_keys.union(spark.read.schema(touched_keys.schema).parquet(former))
+    names = [f"_touched_{k}" for k in key]
+    touched_keys = materialise(touched_keys.distinct().toDF(*names), "touched-keys")
+    in_log = tables.touched_buckets(touched_keys, layout.spread, names)
+    if not in_log:
         return
-    logged = logged.where(F.col(tables.BUCKET).isin(touched))
+    logged = logged.where(F.col(tables.BUCKET).isin(in_log))
 
-    touched_keys = batch.select(*(F.col(k).alias(f"_touched_{k}") for k in key)).distinct()
-    is_touched = same([F.col(k) for k in key], [F.col(f"_touched_{k}") for k in key])
+    is_touched = same([F.col(k) for k in key], [F.col(n) for n in names])
     relevant = logged.join(touched_keys, is_touched, "left_semi")
     latest = dedup_latest(relevant, [*key, sequence_by], [BATCH]).select(*columns)
     latest = materialise(latest, "scd2-touched")
     fresh = versions(latest, key, sequence_by, track, max_group_rows)
-    if not tables.exists(spark, name):
-        tables.create(fresh, name, path, buckets, key)
-        return
-    only = touched if tables.bucketing(spark, name) else None
-    untouched = tables.load(spark, name, only=only).join(touched_keys, is_touched, "left_anti")
-    tables.replace(untouched.unionByName(fresh), name, path)
+    # the table knows its own buckets, whatever those of the log are
+    own = tables.bucketing(spark, name)
+    in_table = tables.touched_buckets(touched_keys, own[0], names) if own else None
+    untouched = tables.load(spark, name, only=in_table).join(touched_keys, is_touched, "left_anti")
+    tables.replace(untouched.unionByName(fresh), name, path, touched=in_table)
+    discard(latest, touched_keys)
+    if folder_exists(spark, former):
+        delete_folder(spark, former)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestar.functions import discounted, joined_name, part_at, register_functions
 from lodestar.sources.ingest import RESCUED
@@ -19,9 +19,9 @@ def clean_orders(orders: DataFrame) -> DataFrame:
     return orders.drop(RESCUED).withColumn("year", F.year("order_date"))
 
 
-def clean_products(products: DataFrame) -> DataFrame:
-    """Add ``discounted_price`` by the SQL pricing function."""
-    function = register_functions(products.sparkSession)
+def clean_products(products: DataFrame, schema: str | None = None) -> DataFrame:
+    """Add ``discounted_price`` by the SQL pricing function, stored in ``schema`` if one is given."""
+    function = register_functions(products.sparkSession, schema)
     return products.drop(RESCUED).withColumn("discounted_price", discounted("price", function))
 
 
@@ -39,6 +39,6 @@ def in_domain(customers: DataFrame, value: str, domain: str = "Domain") -> DataF
     return customers.where(F.col(domain) == value)
 
 
-def preview(df: DataFrame, n: int, *order: str) -> DataFrame:
+def preview(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """The first ``n`` rows in a stated order (Spark keeps ``n`` per task, then merges)."""
     return df.orderBy(*order).limit(n)

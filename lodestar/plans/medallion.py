@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,6 +15,7 @@ from lodestar.operators.scd1 import scd1_upsert
 from lodestar.plans import clean
 from lodestar.sources import tables
 from lodestar.sources.ingest import (
+    ALL_AGES,
     BATCH_ID,
     FILE_TIME,
     LINEAGE,
@@ -40,6 +42,9 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "regions": clean.clean_regions,
 }
 
+# The order of arrival, most significant first.
+LINEAGE_ORDER = (BATCH_ID, FILE_TIME, SOURCE_FILE)
+
 # The quality rules of the product dimension.
 PRODUCT_RULES = {
     "rule1": "product_id IS NOT NULL",
@@ -51,9 +56,16 @@ PRODUCT_RULES = {
 class Settings:
     """Where the tables live and how they are merged.
 
-    By default a load reads all silver customers and orders again. With
-    ``incremental`` it reads the rows added since the last load; the result is
-    the same, except that customers not delivered again keep their update time.
+    A load reads the silver rows added since the last one and rewrites only the
+    buckets they touch. With ``incremental=False`` it reads all silver customers
+    and orders again; the result is the same, except that customers not
+    delivered again keep their update time when the load is incremental. The
+    greatest ``latest`` columns win in either case: those that are data (not
+    lineage) stay in dimension and fact, and an older row changes nothing.
+
+    ``as_of_order_date`` points each order at the product version that was
+    valid at its date, by the version's ``DimProductKey``; otherwise orders
+    carry the product's business key.
     """
 
     root: str
@@ -61,12 +73,12 @@ class Settings:
         default_factory=lambda: {"bronze": "bronze", "silver": "silver", "gold": "gold"}
     )
     product_sequence: str = "updated_at"
-    latest: Sequence[str] = (BATCH_ID, FILE_TIME, SOURCE_FILE)
+    latest: Sequence[str] = LINEAGE_ORDER
     fact_keys: Sequence[str] = ("order_id",)
     as_of_order_date: bool = False
     only_changed: bool = False
-    incremental: bool = False
-    buckets: int | None = None
+    incremental: bool = True
+    buckets: int | None = 8
 
     def folder(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -80,9 +92,11 @@ class Settings:
 
 def load_bronze(spark: SparkSession, s: Settings, datasets: Sequence[Dataset] = DATASETS) -> None:
     """Ingest new files, and make each dataset a table partitioned by ingestion batch."""
-    ingest_all(spark, datasets, f"{s.root}/source", f"{s.root}/bronze", f"{s.root}/checkpoints")
+    ingested = ingest_all(spark, datasets, f"{s.root}/source", f"{s.root}/bronze", f"{s.root}/checkpoints")
     tables.create_schema(spark, s.schemas["bronze"], f"{s.root}/bronze")
-    for dataset in datasets:
+    for dataset, landed in zip(datasets, ingested.values()):
+        if BATCH_ID not in landed.columns or len(landed.columns) == len(LINEAGE) + 1:
+            continue  # no file has arrived yet
         table = s.table("bronze", dataset.file_name)
         tables.register(spark, table, s.folder("bronze", dataset.file_name))
         spark.catalog.recoverPartitions(table)
@@ -92,17 +106,23 @@ def load_silver(spark: SparkSession, s: Settings, datasets: Sequence[Dataset] =
     """Clean what is new in bronze. The cleaning is row by row over append-only
     input, so appending gives the table that a full rewrite would give."""
     tables.create_schema(spark, s.schemas["silver"], f"{s.root}/silver")
-    started = []
+    started, arrived = [], []
     for name in (d.file_name for d in datasets):
         known = remembered_schema(spark, s.folder("source", name), s.checkpoint(name))
-        bronze = spark.readStream.schema(ingested_schema(known)).parquet(s.folder("bronze", name))
-        silver = CLEANERS[name](bronze)
+        if known is None:  # no file has arrived yet
+            continue
+        files = spark.readStream.schema(ingested_schema(known)).options(**ALL_AGES)
+        bronze = files.parquet(s.folder("bronze", name))
+        # the pricing function is stored beside the tables that are made with it
+        options = {"schema": s.schemas["silver"]} if name == "products" else {}
+        silver = CLEANERS[name](bronze, **options)
         started.append(start_append(silver, s.folder("silver", name), s.checkpoint(f"silver_{name}")))
+        arrived.append(name)
     for query in started:
         query.awaitTermination()
-    for dataset in datasets:
-        table = s.table("silver", f"{dataset.file_name}_silver")
-        tables.register(spark, table, s.folder("silver", dataset.file_name))
+    for name in arrived:
+        table = s.table("silver", f"{name}_silver")
+        tables.register(spark, table, s.folder("silver", name))
         spark.catalog.refreshTable(table)
 
 
@@ -131,9 +151,12 @@ def load_customers(spark: SparkSession, s: Settings, load_ts: Column | None = No
 
 
 def products_stage(spark: SparkSession, s: Settings) -> DataFrame:
-    """The silver products that pass the quality rules, as a stream."""
+    """The silver products that pass the quality rules, as a stream.
+
+    A product without a sequence value has no place in the history and fails too.
+    """
     products = table_stream(spark, s.table("silver", "products_silver"))
-    return staged(products, PRODUCT_RULES).drop(*LINEAGE)
+    return staged(products, PRODUCT_RULES | {"sequence": f"{s.product_sequence} IS NOT NULL"})
 
 
 def load_products(spark: SparkSession, s: Settings) -> dict:
@@ -145,21 +168,34 @@ def load_products(spark: SparkSession, s: Settings) -> dict:
         s.checkpoint("DimProducts"),
         key=["product_id"],
         sequence_by=s.product_sequence,
+        arrival=LINEAGE_ORDER,
         buckets=s.buckets,
     )
 
 
+def product_versions(spark: SparkSession, s: Settings) -> DataFrame:
+    """The product dimension with ``DimProductKey``, the key of each version.
+
+    The key is made of the business key and the beginning of the version, so it
+    stays the same when the history is rebuilt.
+    """
+    products = tables.load(spark, s.table("gold", "DimProducts"))
+    begin = F.date_format("valid_from", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    begin = begin if dict(products.dtypes)["valid_from"].startswith("timestamp") else F.col("valid_from")
+    return products.withColumn("DimProductKey", F.concat_ws("@", "product_id", begin))
+
+
 def _fact_rows(spark: SparkSession, s: Settings, orders: DataFrame) -> DataFrame:
     """The latest delivery of each order, with dimension keys."""
     orders = dedup_latest(orders, ["order_id"], s.latest).drop(*LINEAGE)
     customers = tables.load(spark, s.table("gold", "DimCustomers"))
-    products = tables.load(spark, s.table("gold", "DimProducts"))
-    as_of = "order_date" if s.as_of_order_date else None
+    products = product_versions(spark, s)
+    as_of, product_key = ("order_date", "DimProductKey") if s.as_of_order_date else (None, "product_id")
     return build_fact(
         orders,
         [
             Lookup(customers, "customer_id", "customer_id", "DimCustomerKey", "DimCustomerKey"),
-            Lookup(products, "product_id", "product_id", "product_id", "DimProductKey", as_of),
+            Lookup(products, "product_id", "product_id", product_key, "DimProductKey", as_of),
         ],
     )
 
@@ -171,6 +207,7 @@ def _merge_fact(spark: SparkSession, s: Settings, rows: DataFrame) -> None:
         rows,
         list(s.fact_keys),
         s.folder("gold", "FactOrders"),
+        sequence=[c for c in s.latest if c not in LINEAGE],
         buckets=s.buckets,
         bucket_by=["order_id"],
     )
@@ -224,6 +261,11 @@ def run(
     load_bronze(spark, settings, datasets)
     load_silver(spark, settings, datasets)
     tables.create_schema(spark, settings.schemas["gold"], f"{settings.root}/gold")
-    load_customers(spark, settings, load_ts)
-    load_products(spark, settings)
-    load_orders(spark, settings)
+    have = [tables.exists(spark, settings.table("silver", f"{n}_silver")) for n in ("customers", "products", "orders")]
+    # The two dimensions do not depend on each other.
+    steps = [lambda: load_customers(spark, settings, load_ts), lambda: load_products(spark, settings)]
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step, there in zip(steps, have) if there]:
+            done.result()
+    if all(have):
+        load_orders(spark, settings)

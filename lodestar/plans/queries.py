@@ -19,6 +19,7 @@ from lodestar.operators import (
     max_key,
     merge_rows,
     rank_within,
+    scd1_rows,
     scd1_upsert,
     scd2_apply,
     split_new_existing,
@@ -215,7 +216,17 @@ def clean_regions(spark, sf):
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 15")
 def preview(spark, sf):
     customers = read(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return customers.orderBy(F.desc("c_acctbal"), "c_custkey").limit(15)
+    return clean.preview(customers, 15, F.desc("c_acctbal"), "c_custkey")
+
+
+@query(ORACLES["discount"])
+def clean_products(spark, sf):
+    """The pricing function stored in a schema."""
+    tables.create_schema(spark, SCHEMA, new_folder(spark, "schema"))
+    parts = read(spark, sf, "part").select(
+        "p_partkey", F.col("p_retailprice").alias("price"), F.lit(None).cast("string").alias("_rescued_data")
+    )
+    return clean.clean_products(parts, SCHEMA)
 
 
 # ---------------------------------------------------------------- keys
@@ -258,7 +269,7 @@ def surrogate_keys_composite(spark, sf):
 @query("SELECT max(c_custkey) + 1 AS max_surrog_key FROM customer")
 def max_surrogate_key(spark, sf):
     customers = read(spark, sf, "customer").withColumn("DimCustomerKey", F.col("c_custkey") + 1)
-    return customers.agg(F.coalesce(F.max("DimCustomerKey"), F.lit(0)).alias("max_surrog_key"))
+    return spark.range(1).select(F.lit(max_key(customers, "DimCustomerKey")).cast("bigint").alias("max_surrog_key"))
 
 
 def _known_customers(spark, sf):
@@ -400,6 +411,43 @@ def scd1_bucketed(spark, sf):
     return _scd1(spark, sf, buckets=4)
 
 
+@query("SELECT c_custkey AS customer_id, c_name || '@' || c_mktsegment AS email, CAST(2 AS INTEGER) AS seen FROM customer")
+def scd1_late(spark, sf):
+    """The newer rows are loaded first; the older ones that come after change nothing."""
+    newer = customers_of(spark, sf).select("customer_id", "email", F.lit(2).alias("seen"))
+    older = newer.withColumns({"email": F.lit("old@old"), "seen": F.lit(1)})
+    name, path = new_table(spark, "late_customers")
+    for rows in (newer, older):
+        scd1_upsert(
+            spark, name, rows, path, key="customer_id", surrogate="DimCustomerKey", latest=["seen"], buckets=4
+        )
+    return tables.load(spark, name).select("customer_id", "email", "seen")
+
+
+@query(
+    """
+    SELECT c_custkey AS customer_id,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN '2023-05-06 07:08:09' END AS created,
+           c_mktsegment = 'BUILDING' OR k > 0 AS keyed
+    FROM customer, (SELECT count(*) AS k FROM customer)"""
+)
+def scd1_text_dates(spark, sf):
+    """A dimension whose creation time is text, and new rows under the current time."""
+    begun = spark.sql("SELECT current_timestamp()").first()[0]
+    dimension = _known_customers(spark, sf).select(
+        F.col("c_custkey").alias("customer_id"), "DimCustomerKey",
+        F.lit("2023-05-06 07:08:09").alias("create_date"),
+    )
+    rows = scd1_rows(customers_of(spark, sf), dimension, "customer_id", "DimCustomerKey")
+    written = F.date_format("create_date", "yyyy-MM-dd HH:mm:ss")
+    fresh = F.col("create_date") >= F.lit(begun)
+    return rows.select(
+        "customer_id",
+        F.when(~fresh, written).alias("created"),
+        ((F.col("DimCustomerKey") > 0) & (F.col("update_date") >= F.lit(begun))).alias("keyed"),
+    )
+
+
 RULES = {"rule1": "event_type IS NOT NULL", "rule2": "value >= 10"}
 
 
@@ -479,6 +527,20 @@ def scd2_stream(spark, sf):
     return tables.load(spark, name)
 
 
+@query(SCD2)
+def scd2_rebucketed(spark, sf):
+    """Three batches under different bucket counts; what the first one fixed holds."""
+    changes = _changes(spark, sf)
+    name, path = new_table(spark, "rebucketed")
+    kinds = ("event_type = 'click'", "event_type = 'view'", "event_type NOT IN ('click', 'view')")
+    for number, (kind, buckets) in enumerate(zip(kinds, (4, 8, None))):
+        scd2_apply(
+            spark, name, changes.where(kind), path,
+            key=["user_id"], sequence_by="ts", batch_id=number, buckets=buckets,
+        )
+    return tables.load(spark, name)
+
+
 # ---------------------------------------------------------------- facts
 
 ASOF = f"""
@@ -504,6 +566,38 @@ def asof_lookup_segmented(spark, sf):
     return _as_of(spark, sf, max_joined_versions=0, max_group_rows=0)
 
 
+ASOF_OVERLAP = """
+    SELECT e.event_id, CASE WHEN e.ts < d.valid_to THEN d.version END AS version
+    FROM events e ASOF LEFT JOIN (
+        SELECT user_id, ts AS valid_from, ts + INTERVAL 2 DAY AS valid_to, event_id AS version
+        FROM events WHERE event_type = 'error') d
+      ON e.user_id = d.user_id AND e.ts >= d.valid_from"""
+
+
+def _as_of_overlap(spark, sf, **limits):
+    """Periods of two days from each error on: they overlap, and leave gaps."""
+    events = read(spark, sf, "events")
+    periods = events.where("event_type = 'error'").select(
+        "user_id",
+        F.col("ts").alias("valid_from"),
+        F.expr("ts + INTERVAL 2 DAYS").alias("valid_to"),
+        F.col("event_id").alias("version"),
+    )
+    lookup = Lookup(periods, "user_id", "user_id", "version", "version", as_of="ts")
+    facts = events.select("event_id", "user_id", "ts")
+    return lookup_keys(facts, lookup, **limits).select("event_id", "version")
+
+
+@query(ASOF_OVERLAP)
+def asof_overlap(spark, sf):
+    return _as_of_overlap(spark, sf, max_joined_versions=1_000_000)
+
+
+@query(ASOF_OVERLAP)
+def asof_overlap_sorted(spark, sf):
+    return _as_of_overlap(spark, sf, max_joined_versions=0)
+
+
 @query(
     f"SELECT e.event_id, e.user_id, h.event_type AS current_type"
     f" FROM events e LEFT JOIN (SELECT * FROM ({SCD2}) WHERE is_current) h USING (user_id)"
@@ -581,6 +675,17 @@ def fact_upsert(spark, sf):
     return _as_double(tables.load(spark, name))
 
 
+@query("SELECT o_orderkey AS order_id, o_totalprice AS total_amount, CAST(2 AS INTEGER) AS seen FROM orders")
+def fact_late(spark, sf):
+    """Newer orders first, then older ones, which change nothing."""
+    newer = orders_of(spark, sf).select("order_id", "total_amount", F.lit(2).alias("seen"))
+    older = newer.withColumns({"total_amount": F.lit(0.0), "seen": F.lit(1)})
+    name, path = new_table(spark, "late_fact")
+    for rows in (newer, older):
+        upsert(spark, name, rows, ["order_id"], path, sequence=["seen"], buckets=8)
+    return tables.load(spark, name)
+
+
 # ---------------------------------------------------------------- tables, ingestion, everything
 
 
@@ -627,6 +732,57 @@ def ingest_rescued(spark, sf):
     return landed.select("event_id", "event_type", "_rescued_data")
 
 
+@query("SELECT event_id, ts, user_id, event_type, value FROM events")
+def ingest_backdated(spark, sf):
+    """The second delivery's files are dated thirty days before the first one's."""
+    events = read(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    source, bronze, checkpoint = (new_folder(spark, p) for p in ("source", "bronze", "checkpoint"))
+    _deliver(events.where("event_type = 'click'"), source)
+    ingest_stream(spark, source, bronze, checkpoint)
+    _deliver(events.where("event_type <> 'click'"), f"{source}/late")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{source}/late")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in system.listStatus(folder):
+        past = entry.getModificationTime() - 30 * 24 * 3600 * 1000
+        system.setTimes(entry.getPath(), past, -1)
+    options = {"recursiveFileLookup": "true"}
+    return ingest_stream(spark, source, bronze, checkpoint, options=options).select(*events.columns)
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_type <> 'view' THEN user_id END AS user_id,"
+    " CASE WHEN event_type = 'view' THEN '{\"user_id\":\"u' || user_id || '\"}' END AS _rescued_data FROM events"
+)
+def ingest_type_conflict(spark, sf):
+    """Files of another type beside good ones: their values are rescued, all rows arrive."""
+    events = read(spark, sf, "events").select("event_id", "user_id", "event_type")
+    source, bronze, checkpoint = (new_folder(spark, p) for p in ("source", "bronze", "checkpoint"))
+    _deliver(events.where("event_type = 'click'").drop("event_type"), source)
+    ingest_stream(spark, source, bronze, checkpoint)
+    odd = events.where("event_type = 'view'").withColumn("user_id", F.concat(F.lit("u"), "user_id"))
+    _deliver(odd.drop("event_type"), source)
+    _deliver(events.where("event_type NOT IN ('click', 'view')").drop("event_type"), source)
+    return ingest_stream(spark, source, bronze, checkpoint).select("event_id", "user_id", "_rescued_data")
+
+
+@query(
+    "SELECT event_id, event_type, CASE WHEN event_type <> 'click' THEN"
+    " '{\"detail\":{\"event_type\":\"' || event_type || '\",\"user_id\":' || user_id || '}}' END"
+    " AS _rescued_data FROM events"
+)
+def ingest_nested(spark, sf):
+    """The second delivery's struct has a field that the first one's lacked."""
+    events = read(spark, sf, "events")
+    source, bronze, checkpoint = (new_folder(spark, p) for p in ("source", "bronze", "checkpoint"))
+    first = events.where("event_type = 'click'").select("event_id", F.struct("event_type").alias("detail"))
+    _deliver(first, source)
+    ingest_stream(spark, source, bronze, checkpoint)
+    more = F.struct("event_type", "user_id").alias("detail")
+    _deliver(events.where("event_type <> 'click'").select("event_id", more), source)
+    landed = ingest_stream(spark, source, bronze, checkpoint)
+    return landed.select("event_id", F.col("detail.event_type").alias("event_type"), "_rescued_data")
+
+
 @query("SELECT event_id, event_type, value FROM events WHERE value >= 10")
 def table_to_stream(spark, sf):
     """A table read as a stream, filtered by rules, appended to a folder."""
@@ -659,8 +815,50 @@ def star_summary(spark, sf):
 
 @query(STAR)
 def star_summary_incremental(spark, sf):
-    """The same, where the second load reads only what is new, into bucketed tables."""
-    return _star_report(spark, _load_twice(spark, sf, incremental=True, buckets=8))
+    """The same with more buckets; the second load reads only what is new."""
+    return _star_report(spark, _load_twice(spark, sf, incremental=True, buckets=16))
+
+
+@query(STAR)
+def star_summary_full(spark, sf):
+    """The same, where each load reads all silver rows and rewrites whole tables."""
+    return _star_report(spark, _load_twice(spark, sf, incremental=False, buckets=None))
+
+
+@query(
+    f"""
+    SELECT p_brand AS brand, order_date >= TIMESTAMP '1995-06-01' AS dearer, count(*) AS orders,
+           CAST(sum(total_amount) AS DOUBLE) AS revenue
+    FROM ({ORDER_LINES}) JOIN part ON product_id = p_partkey
+    WHERE order_date >= TIMESTAMP '1993-01-01' GROUP BY ALL"""
+)
+def star_as_of(spark, sf):
+    """Each order joined with the product version that was valid at its date."""
+    settings = _star_settings(spark, as_of_order_date=True)
+    products = read(spark, sf, "part").selectExpr(
+        "p_partkey AS product_id", "p_name AS product_name", "p_brand AS brand",
+        "p_retailprice AS price", "timestamp_ntz'1993-01-01' AS updated_at",
+    )
+    dearer = products.withColumns(
+        {"price": F.col("price") + 1, "updated_at": F.expr("timestamp_ntz'1995-06-01'")}
+    )
+    delivery = {
+        "customers": customers_of(spark, sf),
+        "products": products.unionByName(dearer),
+        "orders": _order_lines(spark, sf),
+    }
+    for name, rows in delivery.items():
+        _deliver(rows, settings.folder("source", name))
+    medallion.run(spark, settings)
+    fact = tables.load(spark, settings.table("gold", "FactOrders"))
+    versions_of = medallion.product_versions(spark, settings).select(
+        "DimProductKey", "brand", (F.col("valid_from") >= F.expr("timestamp_ntz'1995-06-01'")).alias("dearer")
+    )
+    return (
+        fact.join(versions_of, "DimProductKey")
+        .groupBy("brand", "dearer")
+        .agg(F.count("*").alias("orders"), F.sum("total_amount").cast("double").alias("revenue"))
+    )
 
 
 def _star_report(spark: SparkSession, settings: medallion.Settings) -> DataFrame:
@@ -681,11 +879,14 @@ def _star_report(spark: SparkSession, settings: medallion.Settings) -> DataFrame
     )
 
 
-def _load_twice(spark: SparkSession, sf: str, **options) -> medallion.Settings:
-    root = new_folder(spark, "medallion")
+def _star_settings(spark: SparkSession, **options) -> medallion.Settings:
     unique = uuid.uuid4().hex
     schemas = {layer: f"{layer}_{unique}" for layer in ("bronze", "silver", "gold")}
-    settings = medallion.Settings(root, schemas, **options)
+    return medallion.Settings(new_folder(spark, "medallion"), schemas, **options)
+
+
+def _load_twice(spark: SparkSession, sf: str, **options) -> medallion.Settings:
+    settings = _star_settings(spark, **options)
     customers = customers_of(spark, sf).join(
         read(spark, sf, "customer").selectExpr("c_custkey AS customer_id", "c_nationkey AS region_id"),
         "customer_id",

@@ -62,6 +62,11 @@ def discard(*stored: DataFrame) -> None:
             delete_folder(df.sparkSession, folder)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder through the file system it lives on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

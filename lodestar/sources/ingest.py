@@ -4,18 +4,24 @@ A stream over the source folder keeps track of which files are new. It yields
 one row per file and does not open it. Each micro-batch then reads its files as a batch, after
 comparing their schema with the remembered one, and writes them to its own
 folder ``_batch_id=N``, so a replayed batch replaces itself.
+
+Whatever does not fit the remembered schema is kept as JSON in ``_rescued_data``
+under its own name: unknown columns, columns of another type (which are then
+NULL), and structs with fields of their own (of which the known fields are also
+read). No file stops the others.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 RESCUED = "_rescued_data"
@@ -32,6 +38,14 @@ FILE_ENTRY = "path string, modificationTime timestamp, length bigint, content bi
 # New files per micro-batch; the driver holds their names.
 FILES_PER_BATCH = 10_000
 
+# By default a file stream ignores files that are a week older than the newest one it has
+# seen. Copied files keep their times, so no age is too old here. The price is that the
+# driver remembers the name of every file, some hundred bytes each.
+ALL_AGES = {"maxFileAge": "36500d"}
+
+# What Spark raises when the schemas of several files cannot be merged.
+CONTRADICTION = (PySparkException, Py4JJavaError)
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -43,66 +57,111 @@ class Dataset:
 
 def remembered_schema(
     spark: SparkSession, source: str, checkpoint: str, schema: T.StructType | None = None
-) -> T.StructType:
-    """The schema of the first run: given or inferred once, then kept beside the checkpoint."""
+) -> T.StructType | None:
+    """The schema of the first run: given or inferred once, then kept beside the checkpoint.
+
+    None for a folder without files, as long as no schema is given.
+    """
     path = f"{checkpoint}/schema"
     try:
         text = spark.read.text(path, wholetext=True).first()[0]
         return T.StructType.fromJson(json.loads(text))
     except AnalysisException:
-        schema = schema or spark.read.parquet(source).schema
-        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(path)
+        schema = schema or _inferred_schema(spark, source)
+        if schema is not None:
+            spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(path)
         return schema
 
 
+def _inferred_schema(spark: SparkSession, source: str) -> T.StructType | None:
+    """The columns of all files; of one file, if their types contradict each other."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(source).schema
+    except CONTRADICTION:
+        pass
+    try:
+        return spark.read.parquet(source).schema
+    except AnalysisException:
+        return None
+
+
 def _literal_path(path: str) -> str:
     """The path with nothing left that reads as a pattern."""
     return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
 
 
-def _unknown_fields(
-    found: T.StructType, known: T.StructType, files: list[str]
-) -> list[T.StructField]:
-    """Fields outside the known schema; a known field of another type is an error."""
-    types = {f.name.lower(): f.dataType.simpleString() for f in known.fields}
-    unknown = []
-    for field in found.fields:
-        expected = types.get(field.name.lower())
-        if expected is None:
-            unknown.append(field)
-        elif expected != field.dataType.simpleString():
-            raise ValueError(
-                f"column {field.name} is {field.dataType.simpleString()}, expected {expected};"
-                f" look among {len(files)} files such as {files[0]}"
-            )
-    return unknown
+def _readable_groups(
+    spark: SparkSession, source: str, files: list[str]
+) -> list[tuple[list[str], T.StructType]]:
+    """Files in groups whose schemas can be merged: all of them, unless types contradict."""
+    reader = spark.read.option("basePath", source).option("mergeSchema", True)
+    try:
+        return [(files, reader.parquet(*files).schema)]
+    except CONTRADICTION:
+        if len(files) == 1:
+            raise
+        half = len(files) // 2
+        return [g for part in (files[:half], files[half:]) for g in _readable_groups(spark, source, part)]
+
+
+def _known_part(value: Column, found: T.DataType, known: T.DataType) -> Column:
+    """What of ``value`` the known type can hold; NULL if the types contradict."""
+    if found.simpleString() == known.simpleString():
+        return value
+    if isinstance(found, T.StructType) and isinstance(known, T.StructType):
+        there = {f.name: f.dataType for f in found.fields}
+        fields = [
+            _known_part(value[f.name], there[f.name], f.dataType).alias(f.name)
+            if f.name in there
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in known.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return F.lit(None).cast(known)
 
 
-def read_files(
-    spark: SparkSession, source: str, files: list[str], schema: T.StructType
+def _read_group(
+    spark: SparkSession, source: str, files: list[str], found: T.StructType, known: T.StructType
 ) -> DataFrame:
-    """Rows of ``files`` in the known schema, with other fields packed into JSON."""
-    reader = spark.read.option("basePath", source)
-    try:
-        found = reader.option("mergeSchema", True).parquet(*files).schema
-    except PySparkException as error:
-        raise ValueError(f"cannot merge the schemas of {len(files)} new files: {error}") from error
-    unknown = _unknown_fields(found, schema, files)
-    complete = T.StructType([*schema.fields, *unknown])
-    rows = spark.read.option("basePath", source).schema(complete).parquet(*files)
+    types = {f.name.lower(): f for f in known.fields}
+    here = {f.name.lower(): f for f in found.fields}
+    odd = [
+        f
+        for f in found.fields
+        if f.name.lower() not in types
+        or f.dataType.simpleString() != types[f.name.lower()].dataType.simpleString()
+    ]
+    # a file without some of the columns has NULLs there
+    absent = [f for f in known.fields if f.name.lower() not in here]
+    rows = spark.read.option("basePath", source).schema(T.StructType([*found.fields, *absent])).parquet(*files)
+    columns = [
+        _known_part(F.col(f"`{f.name}`"), here[f.name.lower()].dataType, f.dataType).alias(f.name)
+        if f.name.lower() in here
+        else F.col(f"`{f.name}`")
+        for f in known.fields
+    ]
     rescued = F.lit(None).cast("string")
-    if unknown:
-        extra = [F.col(f"`{f.name}`") for f in unknown]
+    if odd:
+        extra = [F.col(f"`{f.name}`") for f in odd]
         present = reduce(lambda a, b: a | b, (c.isNotNull() for c in extra))
         rescued = F.when(present, F.to_json(F.struct(*extra)))
     return rows.select(
-        *(F.col(f"`{f.name}`") for f in schema.fields),
+        *columns,
         rescued.alias(RESCUED),
         F.col("_metadata.file_path").alias(SOURCE_FILE),
         F.col("_metadata.file_modification_time").alias(FILE_TIME),
     )
 
 
+def read_files(
+    spark: SparkSession, source: str, files: list[str], schema: T.StructType
+) -> DataFrame:
+    """Rows of ``files`` in the known schema, with all else packed into JSON."""
+    groups = _readable_groups(spark, source, files)
+    parts = [_read_group(spark, source, some, found, schema) for some, found in groups]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def start_ingest(
     spark: SparkSession,
     source: str,
@@ -111,12 +170,19 @@ def start_ingest(
     *,
     schema: T.StructType | None = None,
     max_files: int = FILES_PER_BATCH,
-) -> tuple[StreamingQuery, T.StructType]:
-    """Start appending the files that are new since the last run."""
+    options: Mapping[str, str] | None = None,
+) -> tuple[StreamingQuery | None, T.StructType | None]:
+    """Start appending the files that are new since the last run; nothing starts without files.
+
+    ``options`` are those of Spark's file sources, for example a file name pattern.
+    """
     known = remembered_schema(spark, source, checkpoint, schema)
+    if known is None:
+        return None, None
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(FILE_ENTRY)
+        .options(**ALL_AGES, **(options or {}))
         .option("maxFilesPerTrigger", max_files)
         .load(source)
         .select("path")
@@ -147,7 +213,8 @@ def ingest_stream(
     Progress lives in ``checkpoint``: a run without new files adds nothing.
     """
     query, known = start_ingest(spark, source, target, checkpoint, **options)
-    query.awaitTermination()
+    if query is not None:
+        query.awaitTermination()
     return read_ingested(spark, target, known)
 
 
@@ -164,7 +231,10 @@ def ingested_schema(known: T.StructType) -> T.StructType:
     return T.StructType([*known.fields, *technical.fields])
 
 
-def read_ingested(spark: SparkSession, target: str, known: T.StructType) -> DataFrame:
+def read_ingested(spark: SparkSession, target: str, known: T.StructType | None) -> DataFrame:
+    """What has been ingested; a dataset without any file yet has technical columns only."""
+    if known is None:
+        return spark.createDataFrame([], ingested_schema(T.StructType()))
     return spark.read.schema(ingested_schema(known)).parquet(target)
 
 
@@ -175,18 +245,20 @@ def ingest_all(
 
     The datasets are independent, so their streams run side by side.
     """
-    started = {
-        d.file_name: start_ingest(
-            spark,
-            f"{source}/{d.file_name}",
-            f"{bronze}/{d.file_name}",
-            f"{checkpoints}/{d.file_name}",
-            schema=d.schema,
-        )
-        for d in datasets
-    }
-    for query, _ in started.values():
-        query.awaitTermination()
+    started = {}
+    try:
+        for d in datasets:
+            started[d.file_name] = start_ingest(
+                spark,
+                f"{source}/{d.file_name}",
+                f"{bronze}/{d.file_name}",
+                f"{checkpoints}/{d.file_name}",
+                schema=d.schema,
+            )
+    finally:  # a dataset that cannot start leaves no other one running alone
+        for query, _ in started.values():
+            if query is not None:
+                query.awaitTermination()
     return {
         name: read_ingested(spark, f"{bronze}/{name}", known)
         for name, (_, known) in started.items()

@@ -106,12 +106,15 @@ def create(
     _move_buckets(df, name, path, buckets, bucket_by)
 
 
-def replace(df: DataFrame, name: str, path: str) -> None:
-    """Publish ``df`` as the new content: of the whole table, or of the buckets it holds."""
+def replace(df: DataFrame, name: str, path: str, touched: Iterable[int] | None = None) -> None:
+    """Publish ``df`` as the new content: of the whole table, or of the buckets it holds.
+
+    Buckets of ``touched`` without rows in ``df`` become empty.
+    """
     spark = df.sparkSession
     layout = bucketing(spark, name)
     if layout:
-        _move_buckets(df, name, path, *layout)
+        _move_buckets(df, name, path, *layout, emptied=touched or ())
         return
     version = _new_version(path)
     df.write.parquet(version)
@@ -124,7 +127,12 @@ def _new_version(path: str) -> str:
 
 
 def _move_buckets(
-    df: DataFrame, name: str, path: str, buckets: int, bucket_by: Sequence[str]
+    df: DataFrame,
+    name: str,
+    path: str,
+    buckets: int,
+    bucket_by: Sequence[str],
+    emptied: Iterable[int] = (),
 ) -> None:
     """Write the buckets present in ``df`` and point the table's partitions at them."""
     spark = df.sparkSession
@@ -137,7 +145,10 @@ def _move_buckets(
     known = {
         int(row["partition"].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()
     }
-    for number in sorted(row[BUCKET] for row in listed):
+    held = {row[BUCKET] for row in listed}
+    for number in sorted(known & set(emptied) - held):
+        spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BUCKET} = {number})")
+    for number in sorted(held):
         partition = f"PARTITION ({BUCKET} = {number})"
         folder = f"'{version}/{BUCKET}={number}'"
         if number in known:

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lodestar.operators.quality import expect_all_or_drop
-from lodestar.operators.scd2 import check_sequence, scd2_apply
+from lodestar.operators.scd2 import check_sequence, scd2_apply, scd2_create
 from lodestar.operators.segments import MAX_GROUP_ROWS
+from lodestar.sources.ingest import ALL_AGES
 
 
 def start_append(
@@ -37,8 +38,8 @@ def append_stream(
 
 
 def table_stream(spark: SparkSession, name: str) -> DataFrame:
-    """A table as a stream of the rows appended to it."""
-    return spark.readStream.table(name)
+    """A table as a stream of the rows appended to it, however old their files are."""
+    return spark.readStream.options(**ALL_AGES).table(name)
 
 
 def staged(stream: DataFrame, rules: Mapping[str, str], observe_as: str = "expectations") -> DataFrame:
@@ -71,6 +72,7 @@ def apply_changes_stream(
     key: Sequence[str],
     sequence_by: str,
     track: Sequence[str] | None = None,
+    arrival: Sequence[str] = (),
     buckets: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> dict:
@@ -78,8 +80,13 @@ def apply_changes_stream(
 
     The batch number of the stream numbers the change log, so a batch that is
     replayed after a failure replaces itself there and ends in the same table.
+    The table exists afterwards, even if the stream had no rows.
     """
     check_sequence(key, sequence_by)
+    scd2_create(
+        spark, name, path, changes.schema, key=key, sequence_by=sequence_by, track=track,
+        arrival=arrival, buckets=buckets,
+    )
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         scd2_apply(
@@ -90,6 +97,7 @@ def apply_changes_stream(
             key=key,
             sequence_by=sequence_by,
             track=track,
+            arrival=arrival,
             batch_id=batch_id,
             buckets=buckets,
             max_group_rows=max_group_rows,

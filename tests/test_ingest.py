@@ -1,5 +1,4 @@
 import pytest
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -39,13 +38,52 @@ def test_unknown_columns_are_rescued(spark, places):
     assert rows(got, "id", "a", "_rescued_data") == [(1, "x", None), (2, "y", '{"b":1}'), (3, None, None)]
 
 
-def test_type_conflict_is_an_error(spark, places):
+def test_values_of_another_type_are_rescued_and_stop_nothing(spark, places):
     source, bronze, checkpoint = places
     put(spark.createDataFrame([(1, "x")], "id int, a string"), source, "f1")
     ingest_stream(spark, source, bronze, checkpoint)
     put(spark.createDataFrame([(2, 5)], "id int, a int"), source, "f2")
-    with pytest.raises(StreamingQueryException, match="column a is int, expected string"):
-        ingest_stream(spark, source, bronze, checkpoint)
+    put(spark.createDataFrame([(4, "y")], "id int, a string"), source, "f3")
+    put(spark.createDataFrame([(5, 1.5, 7)], "id int, a double, b int"), source, "f4")
+    got = ingest_stream(spark, source, bronze, checkpoint)
+    rescued = rows(got, "id", "a", "_rescued_data")
+    assert rescued == [(1, "x", None), (2, None, '{"a":5}'), (4, "y", None), (5, None, '{"a":1.5,"b":7}')]
+    assert ingest_stream(spark, source, bronze, checkpoint).count() == 4
+
+
+def test_added_fields_of_a_struct_are_rescued(spark, places):
+    source, bronze, checkpoint = places
+    spark.sql("SELECT 1 id, named_struct('x', 1) s").coalesce(1).write.mode("append").parquet(source)
+    ingest_stream(spark, source, bronze, checkpoint)
+    spark.sql("SELECT 2 id, named_struct('x', 2, 'y', 'z') s").coalesce(1).write.mode("append").parquet(source)
+    got = ingest_stream(spark, source, bronze, checkpoint)
+    assert rows(got, "id", "s.x", "_rescued_data") == [(1, 1, None), (2, 2, '{"s":{"x":2,"y":"z"}}')]
+
+
+def test_schema_is_inferred_from_all_files(spark, places):
+    source, bronze, checkpoint = places
+    put(spark.createDataFrame([(1,)], "id int"), source, "a")
+    put(spark.createDataFrame([(2, 5)], "id int, b int"), source, "b")
+    assert rows(ingest_stream(spark, source, bronze, checkpoint), "id", "b", "_rescued_data") == [(1, None, None), (2, 5, None)]
+
+
+def test_old_files_arrive_too(spark, places):
+    import os
+
+    source, bronze, checkpoint = places
+    put(spark.range(5).toDF("id"), source, "new")
+    ingest_stream(spark, source, bronze, checkpoint)
+    put(spark.range(5, 10).toDF("id"), source, "old")
+    month_ago = os.path.getmtime(f"{source}/new.parquet") - 30 * 24 * 3600
+    os.utime(f"{source}/old.parquet", (month_ago, month_ago))
+    assert ingest_stream(spark, source, bronze, checkpoint).count() == 10
+
+
+def test_a_folder_without_files_is_an_empty_dataset(spark, places):
+    source, bronze, checkpoint = places
+    assert ingest_stream(spark, source, bronze, checkpoint).count() == 0
+    put(spark.range(2).toDF("id"), source, "one")
+    assert ingest_stream(spark, source, bronze, checkpoint).count() == 2
 
 
 def test_file_limit_makes_several_batches(spark, places):

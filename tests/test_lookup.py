@@ -85,3 +85,31 @@ def test_skewed_customer_is_split_by_aqe(spark, capsys):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_as_of_has_one_meaning(spark):
+    """Overlaps, gaps, missing beginnings and map columns: the same rows by join and by sort."""
+    rnd = random.Random(11)
+    begins = rnd.sample(range(200), 25)
+    periods = [(rnd.choice(["P1", "P1", "P2"]), i, f, rnd.choice([None, f + 3, f + 60])) for i, f in enumerate(begins)]
+    periods += [("P1", 99, None, None), (None, 98, 5, None)]
+    facts = [(i, rnd.choice(["P1", "P2", "P3", None]), rnd.choice([None, *range(260)])) for i in range(300)]
+
+    def brute(key, at):
+        before = [p for p in periods if p[0] == key and p[2] is not None and at is not None and p[2] <= at and key]
+        last = max(before, key=lambda p: p[2], default=None)
+        return last[1] if last and (last[3] is None or at < last[3]) else None
+
+    dimension = spark.createDataFrame(periods, "pid string, k int, valid_from int, valid_to int")
+    fact = spark.createDataFrame(facts, "id int, pid2 string, at int").selectExpr("*", "map('a', id) AS extra")
+    expected = sorted((i, brute(key, at)) for i, key, at in facts)
+    for joined, group in ((1000, 10**6), (0, 10**6), (0, 0)):
+        lookup = Lookup(dimension, "pid2", "pid", "k", "found", as_of="at")
+        got = lookup_keys(fact, lookup, max_joined_versions=joined, max_group_rows=group)
+        assert sorted(map(tuple, got.select("id", "found").collect())) == expected
+
+
+def test_two_versions_that_begin_together_are_rejected(spark):
+    twice = spark.createDataFrame([("P1", 1, 1, None), ("P1", 2, 1, None)], "pid string, k int, valid_from int, valid_to int")
+    with pytest.raises(ValueError, match="repeats the key"):
+        lookup_keys(spark.createDataFrame([("P1", 1)], "p string, at int"), Lookup(twice, "p", "pid", "k", "k", as_of="at"))

@@ -1,5 +1,6 @@
 """The literal fixtures through all layers, in two deliveries."""
 
+import time
 import uuid
 
 import pytest
@@ -92,3 +93,60 @@ def test_two_deliveries(spark, tmp_path, buckets, incremental):
     load({}, day(22))  # nothing new
     assert len(gold("FactOrders")) == 3 and len(gold("DimProducts")) == 3
     assert {r[0] for r in tables.list_schemas(spark).collect()} >= set(s.schemas.values())
+
+
+def settings_of(tmp_path, **options):
+    unique = uuid.uuid4().hex
+    return medallion.Settings(str(tmp_path), {k: f"{k}_{unique}" for k in ("bronze", "silver", "gold")}, **options)
+
+
+def deliver(spark, s, delivery):
+    for name, (ddl, data) in delivery.items():
+        frame(spark, data, ddl).coalesce(1).write.mode("append").parquet(s.folder("source", name))
+    medallion.run(spark, s)
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_an_older_load_changes_nothing(spark, tmp_path, incremental):
+    s = settings_of(tmp_path, latest=("seen",), incremental=incremental, buckets=2)
+    customer, order = CUSTOMER + ", seen int", ORDER + ", seen int"
+    for email, amount, seen in (("new@a.org", 2.0, 2), ("old@a.org", 1.0, 1)):
+        deliver(spark, s, {
+            "customers": (customer, [("C1", email, "Ann", "Lee", seen)]),
+            "orders": (order, [("O1", "C1", "P1", day(4), amount, seen)]),
+            "products": (PRODUCT, [("P1", "Pen", 1.0, day(1))]),
+            "regions": (REGION, [("R1", "North")]),
+        })
+    assert rows(tables.load(spark, s.table("gold", "DimCustomers")), "customer_id", "email") == [("C1", "new@a.org")]
+    assert rows(tables.load(spark, s.table("gold", "FactOrders")), "order_id", "total_amount") == [("O1", 2.0)]
+
+
+def test_products_that_all_fail_the_rules_and_missing_datasets(spark, tmp_path):
+    s = settings_of(tmp_path, buckets=2)
+    deliver(spark, s, {"customers": FIRST["customers"], "products": (PRODUCT, [(None, "Cap", 3.0, day(1)), ("P1", "Pen", 1.0, None)])})
+    assert tables.load(spark, s.table("gold", "DimProducts")).count() == 0
+    deliver(spark, s, {"orders": FIRST["orders"]})
+    assert rows(tables.load(spark, s.table("gold", "FactOrders")), "order_id", "DimProductKey") == [("O1", None), ("O2", None), ("O3", None)]
+
+
+def test_orders_point_at_the_version_of_their_date(spark, tmp_path):
+    s = settings_of(tmp_path, as_of_order_date=True, buckets=2)
+    deliver(spark, s, FIRST)
+    deliver(spark, s, SECOND | {"orders": (ORDER, [("O4", "C1", "P1", day(2), 1.0), ("O5", "C1", "P1", day(4), 1.0)])})
+    fact = tables.load(spark, s.table("gold", "FactOrders")).where("order_id IN ('O4', 'O5')")
+    joined = fact.join(medallion.product_versions(spark, s), "DimProductKey")
+    assert rows(joined, "order_id", "price") == [("O4", 10.0), ("O5", 12.0)]
+
+
+def test_a_correction_of_a_product_in_one_load_and_in_two(spark, tmp_path):
+    first, fixed = ("P1", "Pen", 1.0, day(1)), ("P1", "Pen", 2.0, day(1))
+    got = []
+    for name, loads in (("one", [[first, fixed]]), ("two", [[first], [fixed]])):
+        s = settings_of(tmp_path / name)
+        for load in loads:
+            for product in load:  # a file each, in order of arrival
+                frame(spark, [product], PRODUCT).coalesce(1).write.mode("append").parquet(s.folder("source", "products"))
+                time.sleep(1.1)
+            medallion.run(spark, s)
+        got.append(rows(tables.load(spark, s.table("gold", "DimProducts")), "product_id", "price"))
+    assert got == [[("P1", 2.0)]] * 2

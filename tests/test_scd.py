@@ -100,6 +100,66 @@ def test_type2_conflicts(spark, table, tmp_path):
         scd2_apply(spark, table, spark.createDataFrame(P, PRODUCT), path, key=["product_id"], sequence_by="product_id", batch_id=2)
 
 
+@pytest.mark.parametrize("first, second", [(4, 8), (None, 8), (8, None)])
+def test_type2_keeps_every_key_when_another_bucket_count_is_passed(spark, table, tmp_path, first, second):
+    path = str(tmp_path / "d")
+    apply(spark, table, path, [(f"P{i}", "Pen", 1.0, 1) for i in range(40)], 0, buckets=first)
+    apply(spark, table, path, [(f"P{i}", "Pen", 2.0, 2) for i in range(3)], 1, buckets=second)
+    got = history(spark, table)
+    assert len(got) == 43 and len({r[0] for r in got}) == 40
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_type2_replaced_batch_forgets_its_former_keys(spark, table, tmp_path, buckets):
+    path = str(tmp_path / "d")
+    apply(spark, table, path, [("P1", "Pen", 1.0, 1), ("P2", "Cap", 2.0, 1)], 0, buckets=buckets)
+    apply(spark, table, path, [("P1", "Pen", 3.0, 1)], 0, buckets=buckets)
+    assert history(spark, table) == [("P1", 3.0, 1, None)]
+    apply(spark, table, path, [], 0, buckets=buckets)
+    assert history(spark, table) == []
+
+
+def test_type2_arrival_order_and_missing_sequence(spark, tmp_path):
+    """A correction in the same batch and in the next one end in the same rows."""
+    spark.sql("CREATE SCHEMA IF NOT EXISTS testing")
+    first, second = ("P1", "Pen", 1.0, 1, 1), ("P1", "Pen", 2.0, 1, 2)
+    got = []
+    for name, batches in (("one", [[first, second]]), ("two", [[first], [second]])):
+        for number, batch in enumerate([*batches, [("P2", "Cap", 1.0, None, 1)]]):
+            scd2_apply(
+                spark, f"testing.arrival_{name}", spark.createDataFrame(batch, PRODUCT + ", seen int"), str(tmp_path / name),
+                key=["product_id"], sequence_by="updated_at", arrival=["seen"], batch_id=number,
+            )
+        got.append(history(spark, f"testing.arrival_{name}"))
+    assert got == [[("P1", 2.0, 1, None)]] * 2
+
+
+def test_type2_other_types_are_rejected_before_anything_is_written(spark, table, tmp_path):
+    path = str(tmp_path / "d")
+    apply(spark, table, path, [("P1", "Pen", 1.0, 1)], 0)
+    odd = spark.createDataFrame([("P1", "Pen", "2", 2)], PRODUCT.replace("double", "string"))
+    with pytest.raises(ValueError, match="the dimension has"):
+        scd2_apply(spark, table, odd, path, key=["product_id"], sequence_by="updated_at", batch_id=1)
+    assert history(spark, table) == [("P1", 1.0, 1, None)]
+
+
+def test_type2_empty_first_batch_creates_the_table(spark, table, tmp_path):
+    apply(spark, table, str(tmp_path / "d"), [], 0, buckets=3)
+    assert history(spark, table) == []
+    apply(spark, table, str(tmp_path / "d"), [("P1", "Pen", 1.0, 1)], 1, buckets=3)
+    assert history(spark, table) == [("P1", 1.0, 1, None)]
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_type1_older_load_changes_nothing(spark, table, tmp_path, buckets):
+    for data in ([("a", 5, 2)], [("a", 4, 1), ("b", 1, 1)], [("b", 0, None)], [("b", 2, 1)]):
+        scd1_upsert(
+            spark, table, spark.createDataFrame(data, "id string, v int, seen int"), str(tmp_path / "d"),
+            key="id", surrogate="sk", latest=["seen"], buckets=buckets,
+        )
+    assert rows(tables.load(spark, table), "id", "v", "seen", "sk") == [("a", 5, 2, 1), ("b", 2, 1, 2)]
+
+
 def brute_versions(data):
     out = []
     for key in {d[0] for d in data}:
