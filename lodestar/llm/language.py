@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from lodestar.llm.common import prepare_workers, column, fresh_name
+from lodestar.llm.common import column, fresh_name, map_batches, prepare_workers
 
 #: N-gram lengths and the number of places they are hashed into.
 LONGEST = 4
@@ -110,13 +110,16 @@ def sample(docs: DataFrame, text: Column, label: Column, key: Column, learn: Col
     rows = rows.withColumn("check", F.xxhash64("text"))
     ids = rows.select("key", "label", "check").distinct()
     order = F.xxhash64("key", "check")
-    top = Window.partitionBy("label").orderBy(order, "key")
     languages = ids.groupBy("label").count().orderBy(F.desc("count"), "label").limit(SAMPLE_LANGUAGES)
+    # About four times as many as wanted of each language are drawn by their hash, so the
+    # window that picks the exact number sees a bounded group of each.
+    share = F.pmod(order, F.lit(1 << 31)) * F.col("count")
+    drawn = ids.join(F.broadcast(languages), "label").where(share < 4 * SAMPLE_TEXTS * (1 << 31))
+    top = Window.partitionBy("label").orderBy(F.pmod(order, F.lit(1 << 31)), order, "key")
     picked = (
-        ids.withColumn("_rank", F.row_number().over(top))
+        drawn.withColumn("_rank", F.row_number().over(top))
         .where(F.col("_rank") <= SAMPLE_TEXTS)
-        .join(F.broadcast(languages.select("label")), "label", "left_semi")
-        .drop("_rank")
+        .drop("_rank", "count")
     )
     # at most SAMPLE_TEXTS * SAMPLE_LANGUAGES ids, whatever the input
     texts = rows.join(F.broadcast(picked), ["key", "label", "check"])
@@ -183,16 +186,10 @@ def identify(
     model = fit((r["label"], r["text"]) for r in rows.toLocalIterator())
     shared = spark.sparkContext.broadcast(model)
     language, score = fresh_name(docs, "lang_pred"), fresh_name(docs, "score")
-    schema = T.StructType(
-        [
-            *docs.schema.fields,
-            T.StructField(language, T.StringType()),
-            T.StructField(score, T.DoubleType()),
-        ]
-    )
+    added = [T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())]
     place = docs.columns.index(text_column)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         known = shared.value
         for batch in batches:
             names: list[str] = []
@@ -207,12 +204,9 @@ def identify(
                 top = np.clip(values[np.arange(len(best)), best], 0, 1)
                 names += [known.languages[b] if h else UNDETERMINED for b, h in zip(best, has)]
                 scores += np.where(has, top, 0.0).astype(float).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=schema.names,
-            )
+            yield [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())]
 
-    return docs.mapInArrow(predict, schema), language, score
+    return map_batches(docs, predict, added), language, score
 
 
 #: Documents with a lower score than this look like none of the languages.
