@@ -28,11 +28,21 @@ from lodestar.operators.segments import (
     rows_at,
     same,
 )
-from lodestar.scratch import delete_folder, discard, folder_exists, materialise
+from lodestar.scratch import (
+    delete_folder,
+    discard,
+    folder_exists,
+    folder_names,
+    materialise,
+    rename_folder,
+)
 from lodestar.sources import tables
 
 BATCH = "_batch"
 
+# Batches of the log, beyond which all but the last are put into one.
+COMPACT_AFTER = 64
+
 
 def check_sequence(key: Sequence[str], sequence_by: str) -> None:
     if sequence_by.lower() in {k.lower() for k in key}:
@@ -227,3 +237,37 @@ def scd2_apply(
     discard(latest, touched_keys)
     if folder_exists(spark, former):
         delete_folder(spark, former)
+    if len(_batches(spark, log)) > COMPACT_AFTER:
+        scd2_compact(spark, path, layout.spread, key, sequence_by, schema)
+
+
+def _batches(spark: SparkSession, log: str) -> list[int]:
+    return sorted(int(name.split("=")[1]) for name in folder_names(spark, log) if name.startswith(f"{BATCH}="))
+
+
+def scd2_compact(
+    spark: SparkSession, path: str, spread: int, key: Sequence[str], sequence_by: str, schema: T.StructType
+) -> None:
+    """Put all batches of the log but the last into one, keeping the latest row of a key and sequence.
+
+    The last one stays, as a stream may replay it; earlier ones can no longer be
+    replaced afterwards. The new batch has a number below all others, so while
+    old and new ones stand side by side, or after a crash, the history is the same.
+    """
+    log = f"{path}/log"
+    *old, last = _batches(spark, log)
+    if len(old) < 2:
+        return
+    number = min(old[0], 0) - 1
+    folders = [T.StructField(BATCH, T.LongType()), T.StructField(tables.BUCKET, T.IntegerType())]
+    logged = spark.read.schema(T.StructType([*schema.fields, *folders])).parquet(log)
+    earlier = logged.where(F.col(BATCH) < last).drop(tables.BUCKET)
+    rows = dedup_latest(earlier, [*key, sequence_by], [BATCH]).select(
+        *schema.names, tables.bucket_of(spread, key).alias(tables.BUCKET)
+    )
+    # A batch counts as soon as its folder is there, so it is made complete elsewhere first.
+    made = f"{path}/compacted/{BATCH}={number}"
+    rows.hint("rebalance", tables.BUCKET).write.mode("overwrite").partitionBy(tables.BUCKET).parquet(made)
+    rename_folder(spark, made, f"{log}/{BATCH}={number}")
+    for batch in old:
+        delete_folder(spark, f"{log}/{BATCH}={batch}")

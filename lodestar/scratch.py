@@ -67,6 +67,20 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return [entry.getPath().getName() for entry in entries]
+
+
+def rename_folder(spark: SparkSession, path: str, to: str) -> None:
+    source = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder through the file system it lives on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -148,13 +148,14 @@ def _move_buckets(
     held = {row[BUCKET] for row in listed}
     for number in sorted(known & set(emptied) - held):
         spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BUCKET} = {number})")
-    for number in sorted(held):
-        partition = f"PARTITION ({BUCKET} = {number})"
-        folder = f"'{version}/{BUCKET}={number}'"
-        if number in known:
-            spark.sql(f"ALTER TABLE {name} {partition} SET LOCATION {folder}")
-        else:
-            spark.sql(f"ALTER TABLE {name} ADD {partition} LOCATION {folder}")
+    places = {n: f"PARTITION ({BUCKET} = {n})" for n in sorted(held)}
+    folders = {n: f"'{version}/{BUCKET}={n}'" for n in places}
+    added = [f"{places[n]} LOCATION {folders[n]}" for n in places if n not in known]
+    if added:  # all new buckets at once
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(added)}")
+    for n in places:
+        if n in known:
+            spark.sql(f"ALTER TABLE {name} {places[n]} SET LOCATION {folders[n]}")
     spark.catalog.refreshTable(name)
 
 

@@ -160,6 +160,23 @@ def test_type1_older_load_changes_nothing(spark, table, tmp_path, buckets):
     assert rows(tables.load(spark, table), "id", "v", "seen", "sk") == [("a", 5, 2, 1), ("b", 2, 1, 2)]
 
 
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_type2_compacted_log_has_the_same_history(spark, table, tmp_path, buckets, monkeypatch):
+    from lodestar.operators import scd2
+
+    monkeypatch.setattr(scd2, "COMPACT_AFTER", 3)
+    rnd = random.Random(3)
+    path, latest = str(tmp_path / "d"), {}
+    for batch in range(9):
+        rows_now = list({(k, s): (k, "Pen", float(rnd.randrange(3)), s) for k, s in ((f"P{rnd.randrange(4)}", rnd.randrange(8)) for _ in range(5))}.values())
+        latest |= {(r[0], r[3]): r[2] for r in rows_now}
+        apply(spark, table, path, rows_now, batch, buckets=buckets)
+        apply(spark, table, path, rows_now, batch, buckets=buckets)  # replay
+    assert len(scd2._batches(spark, f"{path}/log")) <= 4
+    expected = brute_versions([(k, v, s) for (k, s), v in latest.items()])
+    assert rows(tables.load(spark, table), "product_id", "price", "valid_from", "valid_to") == expected
+
+
 def brute_versions(data):
     out = []
     for key in {d[0] for d in data}:
