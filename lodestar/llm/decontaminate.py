@@ -38,7 +38,7 @@ from lodestar.scratch import materialise
 #: Words of a window.
 WINDOW = 10
 #: The largest set of windows that is broadcast, in bytes.
-SET_BYTES = 64 << 20
+SET_BYTES = 32 << 20
 
 GRAMS = "hash bigint, gram string, item string, words int"
 
