@@ -388,27 +388,27 @@ def differences(stars: DataFrame, texts: DataFrame, size: int, least: int, frequ
 
 
 def difference_candidates(differing: DataFrame, least: int) -> DataFrame:
-    """Pairs a < b of one leader, not both linked to it, that share enough differences."""
+    """Pairs a < b of one leader, not both linked to it, that may share enough differences.
+
+    Two documents with s and t differences that are to differ by no more than d
+    share o = (s + t - d) / 2 of them, so one within the first s - o + 1 and t - o + 1.
+    """
     posted = differing.select(
-        "leader", "node", "n", "size", "linked", F.size("shown").alias("posted"), F.explode("shown").alias("token")
+        "leader", "node", "n", "size", "linked", F.posexplode("shown").alias("place", "token")
     )
     a, b = (
         posted.select(
-            "leader", "token", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "size", "linked", "posted"))
+            "leader", "token", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "size", "linked", "place"))
         )
         for s in ("a", "b")
     )
-    total = F.col("n_a") + F.col("n_b")
-    apart = F.floor(total * (100 - least) / (100 + least)).cast("int")
+    apart = F.floor((F.col("n_a") + F.col("n_b")) * (100 - least) / (100 + least)).cast("int")
+    both = F.floor((F.col("size_a") + F.col("size_b") - apart + 1) / 2).cast("int")
+    both = F.greatest(both, F.lit(1))
     possible = (F.col("node_a") < F.col("node_b")) & ~(F.col("linked_a") & F.col("linked_b"))
-    possible &= F.abs(F.col("size_a") - F.col("size_b")) <= apart
-    pairs = a.join(b, ["leader", "token"]).where(possible)
-    keys = ["leader", "node_a", "node_b", "n_a", "n_b", "size_a", "size_b", "posted_a", "posted_b"]
-    shared = pairs.groupBy(*keys).agg(F.count("*").alias("shared"))
-    hidden = F.greatest(F.col("size_a") - F.col("posted_a"), F.col("size_b") - F.col("posted_b"))
-    # x and y differ by their differences less twice what these share
-    enough = F.col("size_a") + F.col("size_b") - 2 * (F.col("shared") + hidden) <= apart
-    return shared.where(enough).select("node_a", "node_b").distinct()
+    possible &= F.col("place_a") <= F.col("size_a") - both
+    possible &= F.col("place_b") <= F.col("size_b") - both
+    return a.join(b, ["leader", "token"]).where(possible).select("node_a", "node_b").distinct()
 
 
 def similar_components(docs: DataFrame, size: int, least: int) -> tuple[DataFrame, DataFrame]:
