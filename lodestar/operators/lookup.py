@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lodestar.operators.merge import require_unique
 from lodestar.operators.segments import (
@@ -13,6 +13,7 @@ from lodestar.operators.segments import (
     SEGMENT,
     attach,
     by_segment,
+    hashable,
     last_place,
     lay_out,
     rows_at,
@@ -140,8 +141,8 @@ def _as_of_sorted(
     )
     timeline = facts.unionByName(points, allowMissingColumns=True)
     # maps cannot be hashed; they are left out of what only balances the sort
-    hashable = [f"_fact.`{f.name}`" for f in fact.schema.fields if _hashable(f.dataType)]
-    tie = F.xxhash64(*hashable) if hashable else F.lit(0)
+    spread = [f"_fact.`{f.name}`" for f in fact.schema.fields if hashable(f.dataType)]
+    tie = F.xxhash64(*spread) if spread else F.lit(0)
     layout = lay_out(timeline, ["_key"], [F.col("_at"), F.col("_is_fact"), tie], max_group_rows)
     so_far = Window.partitionBy(*layout.keys).orderBy("_at", "_is_fact").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -156,11 +157,6 @@ def _as_of_sorted(
     )
 
 
-def _hashable(kind: T.DataType) -> bool:
-    text = kind.simpleString()
-    return "map<" not in text and "variant" not in text
-
-
 def _last_versions(timeline: DataFrame) -> DataFrame:
     """For each segment the last version, in earlier segments, of the key it begins with."""
     last_key = rows_at(timeline, last_place(timeline)).select(SEGMENT, "_key")

@@ -13,6 +13,7 @@ from lodestar.operators.segments import (
     Layout,
     attach,
     by_segment,
+    hashable,
     last_place,
     lay_out,
     rows_at,
@@ -33,12 +34,14 @@ def rank_within(
 ) -> DataFrame:
     """Add the named rankings of ``order_by`` within ``partition_by``.
 
-    ``tie_break`` makes ``row_number`` repeatable; together with the other
-    columns it should tell rows apart, which also keeps a split sort balanced.
+    ``tie_break`` makes ``row_number`` repeatable. Where it leaves many rows of
+    one value tied, a hash of the row keeps a split sort balanced.
     """
     value = F.col(order_by).desc() if descending else F.col(order_by).asc()
     ties = [F.col(c).asc() for c in tie_break]
-    layout = lay_out(df, partition_by, [value, *ties], max_group_rows)
+    spread = [f"`{f.name}`" for f in df.schema.fields if hashable(f.dataType)]
+    order = [value, *ties, *([F.xxhash64(*spread)] if spread else [])]
+    layout = lay_out(df, partition_by, order, max_group_rows)
     local = _local_rankings(layout, value, ties)
     if layout.split:
         local = _globalise(layout, local, order_by)
@@ -134,7 +137,8 @@ def top_within(
     """
     value = F.col(order_by).desc() if descending else F.col(order_by).asc()
     rows = Window.partitionBy(*partition_by).orderBy(value, *tie_break)
-    return df.withColumn(row_number, F.row_number().over(rows)).where(F.col(row_number) <= n)
+    numbered = df.withColumn(row_number, F.row_number().over(rows)).where(F.col(row_number) <= n)
+    return numbered.withColumn(row_number, F.col(row_number).cast("bigint"))
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) -> DataFrame:

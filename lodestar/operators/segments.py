@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from lodestar.scratch import materialise
 
@@ -86,6 +86,12 @@ def lay_out(
     return Layout(rows, group, split=True)
 
 
+def hashable(kind: T.DataType) -> bool:
+    """Whether Spark can hash values of the type; maps and variants it cannot."""
+    text = kind.simpleString()
+    return "map<" not in text and "variant" not in text
+
+
 def by_segment() -> WindowSpec:
     """For boundary rows only: there is one row per segment, so the window stays small."""
     return Window.orderBy(SEGMENT)

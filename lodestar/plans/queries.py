@@ -149,8 +149,7 @@ def part_ranks_ties_segmented(spark, sf):
 )
 def top_orders_per_year(spark, sf):
     orders = clean.clean_orders(orders_of(spark, sf)).select("order_id", "year", "total_amount")
-    top = top_within(orders, ["year"], "total_amount", ["order_id"], 3)
-    return top.withColumn("row_num_col", F.col("row_num_col").cast("bigint"))
+    return top_within(orders, ["year"], "total_amount", ["order_id"], 3)
 
 
 URL_DOMAIN = "SELECT page_id, url, str_split(url, '/')[3] AS domain FROM pages"
