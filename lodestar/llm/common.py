@@ -17,7 +17,7 @@ import lodestar
 from lodestar.scratch import materialise
 
 #: The most bytes of text that Spark hands a Python worker at a time.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def lower_ascii(text: Column) -> Column:

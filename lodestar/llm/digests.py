@@ -22,7 +22,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: The most text in one file.
-FILE_BYTES = 256 << 20
+FILE_BYTES = 32 << 20
 #: The seed of Spark's xxhash64.
 SEED = 42
 

@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lodestar.llm.common import prepare_workers, column
+from lodestar.llm.common import column, prepare_workers
 from lodestar.llm.tokens import LOWER, Words, text_slices, word_hashes
 from lodestar.scratch import materialise
 
@@ -40,9 +40,11 @@ END = 2
 #: Pieces of a group on average; groups are dealt by a hash, so they differ little.
 GROUP_PIECES = 4096
 #: Words whose ids a worker remembers, over all its tasks; it starts anew beyond that.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 #: Longer words are not remembered.
 CACHED_BYTES = 64
+#: Bytes of text whose distinct words are looked up together.
+SLICE_BYTES = 1 << 20
 #: Words that are given to the tokenizer as one text.
 JOINED_WORDS = 500
 
@@ -186,7 +188,7 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = token_ids(tokenizer)
         for batch in batches:
-            for row, _, data, offsets in text_slices(batch["text"]):
+            for row, _, data, offsets in text_slices(batch["text"], SLICE_BYTES):
                 out: list[tuple[int, int, int, int, int]] = []
                 for i, ids in enumerate(ids_of.encode(data, offsets)):
                     ids += last

@@ -10,7 +10,7 @@ row per segment is carried on to the next ones. Payloads are not touched.
 
 Earlier means before in the order of time and, at the same time, of record
 id. A record without URL or time resolves to nothing and nothing resolves to
-it. Header names count in lower case, and of equal names the first counts;
+it, and a record of unknown kind is left out. Header names count in lower case, and of equal names the first counts;
 null headers are none. Equal rows are resolved one by one. Without records
 the result is empty. Columns not named here are not looked at.
 """
@@ -83,7 +83,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         _plain(column(records, "headers")).alias("headers"),
     ).where("full IS NOT NULL")
     usable = F.col("canonical_url").isNotNull() & F.col("captured_at").isNotNull()
-    # A random place for records that resolve to nothing keeps them from one long run.
+    # Records that resolve to nothing have no key; segments keep them from one task too.
     placed = rows.withColumn("key", F.when(usable, F.col("canonical_url")))
     order = [F.col(c).asc() for c in ("key", "captured_at", "record_id", "full")]
     stored = sorted_segments(placed, order)

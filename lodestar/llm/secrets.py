@@ -73,7 +73,7 @@ RULES = [
     Rule("private_key", 1, r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", _always, "PRIVATE KEY", False),
 ]
 
-SPANS = "array<struct<start:int,end:int,match:string>>"
+#: Columns of the ledger.
 LEDGER = "blob binary, rule string, spans array<struct<start:int,end:int>>"
 
 

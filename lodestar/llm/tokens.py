@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are held as arrays at a time; a longer text stands alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = np.uint64(0xD6E8FEB86659FD93 | 1)
@@ -118,8 +118,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def word_hashes(words: Words) -> np.ndarray:
     """A 64-bit hash of every word."""
-    size = max(SLICE_BYTES, 1 << int(len(words.data) + 1).bit_length()) + 1
-    up, down = _powers(size)
+    up, down = _powers(1 << max(SLICE_BYTES.bit_length(), len(words.data).bit_length()))
     sums = np.zeros(len(words.data) + 1, dtype=_U64)
     np.cumsum((words.data.astype(_U64) + _U64(1)) * up[: len(words.data)], out=sums[1:])
     return mix((sums[words.ends] - sums[words.starts]) * down[words.starts])

@@ -10,7 +10,8 @@ same string.
 A null URL, or one without ``://``, has an empty host and path and fits no
 rule. A URL that no rule fits gets the default verdict. Equal rows are judged
 one by one. An empty table gives an empty result, and an empty rule list
-leaves the default verdict to all. Columns other than the id and the URL are
+leaves the default verdict to all. A rule named twice has the smaller verdict.
+Columns other than the id and the URL are
 not looked at.
 """
 

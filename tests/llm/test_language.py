@@ -43,7 +43,6 @@ def test_labels_of_held_out_documents_are_not_learnt(spark):
 def test_presence_kernel_is_that_of_sets_of_ngrams():
     def grams(text):
         kept = "".join(c if c.isalpha() else " " for c in text.lower())
-        kept = " " + " ".join(kept.split(" ")) if False else kept
         return {kept[i : i + n] for n in range(1, 5) for i in range(len(kept) - n + 1)}
 
     row, other = np.zeros(language.BUCKETS, np.float32), np.zeros(language.BUCKETS, np.float32)
