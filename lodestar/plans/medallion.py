@@ -78,7 +78,7 @@ class Settings:
     as_of_order_date: bool = False
     only_changed: bool = False
     incremental: bool = True
-    buckets: int | None = 8
+    buckets: int | None = 4
 
     def folder(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
