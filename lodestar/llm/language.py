@@ -17,6 +17,14 @@ value of the language, cut to 0 to 1; of equally scored languages the first
 in order of name wins. Rows without id or language are not learnt from.
 Repeated rows are learnt from once and predicted one by one. Other columns are
 passed through, whatever their names.
+
+The scores of a text add up to 1 over all languages, so they tell languages
+apart but not whether a text is in any of them. That is told by the share of a
+text's n-grams of the greatest length (each occurrence counts) that the sample
+of the predicted language shows; a text of several languages may have each
+passage known in another one. What share to expect is learnt by leaving out
+each text of the sample in turn, and does not depend on how many languages
+there are. Texts of a few words are too short to be judged by it.
 """
 
 from __future__ import annotations
@@ -41,6 +49,18 @@ LANDMARKS, RIDGE = 192, 1e-3
 #: Texts scored by one matrix product; code points of a long text that are looked at together.
 ROWS, PART = 64, 1 << 20
 
+#: Places of the n-grams that a language shows, as a power of two.
+SEEN_BITS = 20
+#: What a text must reach of the typical share, the part of the sample that may fall below, and
+#: the fewest different texts to learn the share from.
+LEAST_OF_TYPICAL, LEAST_QUANTILE, LEAST_TEXTS = 0.75, 0.05, 10
+#: N-grams of a passage, of which a text of several languages has some in each.
+PASSAGE = 128
+#: Standard deviations allowed; one is the root of a text's n-grams at most, as each letter is in LONGEST.
+DEVIATIONS = 3
+#: Texts with fewer n-grams (five or six words) are not judged: a name or two may fill them.
+FEWEST_NGRAMS = 32
+
 UNDETERMINED = "und"
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -52,26 +72,46 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def mark_ngrams(text: str, row: np.ndarray) -> bool:
-    """Set the places of all n-grams of ``text`` to one; whether it has a letter."""
-    any_letter = False
+def _parts(text: str) -> Iterator[tuple[np.ndarray, bool]]:
+    """The code points of each part of ``text`` between blanks, and whether the part has a letter."""
     for at in range(0, max(len(text), 1), PART):
         part = text[at : at + PART + LONGEST - 1].lower()
         points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         letter = _letters()[points]
-        any_letter |= bool(letter.any())
         points = np.where(letter, points, 32).astype(np.uint64)
         after_blank = np.concatenate([[False], ~letter[:-1]]) if len(letter) else letter
-        points = np.concatenate([[32], points[letter | ~after_blank], [32]]).astype(np.uint64)
-        grams = np.zeros(len(points), dtype=np.uint64)
-        for n in range(1, LONGEST + 1):
-            if len(points) < n:
-                break
-            grams = grams[: len(points) - n + 1] * _STEP + points[n - 1 :] + np.uint64(n)
-            row[(grams * _MULTIPLY) >> np.uint64(48)] = 1
+        yield (
+            np.concatenate([[32], points[letter | ~after_blank], [32]]).astype(np.uint64),
+            bool(letter.any()),
+        )
+
+
+def _ngrams(points: np.ndarray) -> Iterator[np.ndarray]:
+    """Hashes of the n-grams of one part, length by length; the places are their upper bits."""
+    grams = np.zeros(len(points), dtype=np.uint64)
+    for n in range(1, min(LONGEST, len(points)) + 1):
+        grams = grams[: len(points) - n + 1] * _STEP + points[n - 1 :] + np.uint64(n)
+        yield grams * _MULTIPLY
+
+
+def mark_ngrams(text: str, row: np.ndarray) -> bool:
+    """Set the places of all n-grams of ``text`` to one; whether it has a letter."""
+    any_letter = False
+    for points, letter in _parts(text):
+        any_letter |= letter
+        for grams in _ngrams(points):
+            row[grams >> np.uint64(48)] = 1
     return any_letter
 
 
+def longest_ngrams(text: str) -> Iterator[np.ndarray]:
+    """Places, of 2 to the ``SEEN_BITS``, of all n-grams of the greatest length, part by part."""
+    for points, _ in _parts(text):
+        if len(points) >= LONGEST:
+            *_, grams = _ngrams(points)
+            yield (grams >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+
+
 def presence(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Presence matrices of at most ``ROWS`` texts, and which of these have a letter."""
     matrix = np.zeros((ROWS, BUCKETS), dtype=np.float32)
@@ -90,16 +130,43 @@ def presence(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarr
 
 @dataclass
 class LanguageModel:
-    """Weights of each n-gram place for each language."""
+    """Weights of each n-gram place for each language, and what n-grams its texts show."""
 
     languages: list[str]
     weights: np.ndarray
     bias: np.ndarray
+    #: A bit for each place of the longest n-grams, and the least share of a text's that must be set.
+    seen: list[np.ndarray]
+    least: list[float]
 
     def score(self, matrix: np.ndarray) -> np.ndarray:
         size = np.maximum(matrix.sum(axis=1, keepdims=True), 1)
         return matrix @ self.weights / np.sqrt(size) + self.bias
 
+    def _shown(self, language: int, places: np.ndarray) -> np.ndarray:
+        return (self.seen[language][places >> 3] >> (places & 7).astype(np.uint8)) & 1
+
+    def familiar(self, text: str, language: int) -> bool:
+        """Whether ``text`` may be in the language, or each passage of it in one of the languages."""
+        least = self.least[language]
+        if least <= 0:
+            return True
+        known = count = 0
+        for places in longest_ngrams(text):
+            known += int(self._shown(language, places).sum())
+            count += len(places)
+        needed = least * count - DEVIATIONS * np.sqrt(count)
+        if known >= needed or count < FEWEST_NGRAMS:
+            return True
+        known = 0
+        for places in longest_ngrams(text):
+            begins = np.arange(0, len(places), PASSAGE)
+            best = np.zeros(len(begins), dtype=np.int64)
+            for l in range(len(self.languages)):
+                best = np.maximum(best, np.add.reduceat(self._shown(l, places), begins, dtype=np.int64))
+            known += int(best.sum())
+        return known >= needed
+
 
 def sample(docs: DataFrame, text: Column, label: Column, key: Column, learn: Column) -> DataFrame:
     """A bounded, repeatable sample of labelled texts, in a random order."""
@@ -127,6 +194,26 @@ def sample(docs: DataFrame, text: Column, label: Column, key: Column, learn: Col
     return once.orderBy(F.xxhash64("key", "check"), "key", "label").select("label", "text")
 
 
+def learn_seen(texts: list[str]) -> tuple[np.ndarray, float]:
+    """The bits of all n-grams that one language's texts show, and the least share a text needs."""
+    texts = sorted(set(texts))
+    shown = np.zeros(1 << SEEN_BITS, dtype=np.int32)  # in how many texts
+    for text in texts:
+        own = np.zeros(1 << SEEN_BITS, dtype=bool)
+        for places in longest_ngrams(text):
+            own[places] = True
+        shown += own
+    shares = []
+    for text in texts:
+        others = [shown[places] > 1 for places in longest_ngrams(text)]
+        if others:
+            shares.append(np.concatenate(others).mean())
+    least = 0.0
+    if len(shares) >= LEAST_TEXTS:
+        least = min(LEAST_OF_TYPICAL * np.median(shares), np.quantile(shares, LEAST_QUANTILE))
+    return np.packbits(shown > 0, bitorder="little"), float(least)
+
+
 def fit(examples: Iterable[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel | None:
     """Learn from (language, text) pairs in random order; None without any."""
     examples = list(examples)
@@ -161,7 +248,10 @@ def fit(examples: Iterable[tuple[str, str]], landmarks: int = LANDMARKS, ridge:
     solved = np.linalg.solve(gram, left.T @ (weight * (target - mean)))
     bias = mean - centre @ solved
     weights = marks @ (root @ solved).astype(np.float32)
-    return LanguageModel(languages, weights.astype(np.float32), bias.astype(np.float32))
+    seen, least = zip(*(learn_seen([t for label, t in examples if label == l]) for l in languages))
+    return LanguageModel(
+        languages, weights.astype(np.float32), bias.astype(np.float32), list(seen), list(least)
+    )
 
 
 def held_out(key: Column) -> Column:
@@ -174,10 +264,12 @@ def identify(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "lang",
+    only_familiar: bool = False,
 ) -> tuple[DataFrame, str, str]:
     """``docs`` with two more columns, whose names are returned: the language and its score.
 
-    Labels, ids and other columns serve learning at most, never a prediction.
+    Labels, ids and other columns serve learning at most, never a prediction. With
+    ``only_familiar`` a text that looks like none of the languages is ``und`` with score 0 too.
     """
     spark = docs.sparkSession
     prepare_workers(spark)
@@ -194,7 +286,8 @@ def identify(
         for batch in batches:
             names: list[str] = []
             scores: list[float] = []
-            for matrix, has in presence(t.as_py() for t in batch.column(place)):
+            texts = batch.column(place)
+            for matrix, has in presence(t.as_py() for t in texts):
                 if known is None:
                     names += [UNDETERMINED] * len(has)
                     scores += [0.0] * len(has)
@@ -202,6 +295,11 @@ def identify(
                 values = known.score(matrix)
                 best = values.argmax(axis=1)
                 top = np.clip(values[np.arange(len(best)), best], 0, 1)
+                if only_familiar:
+                    at = len(names)
+                    has = np.array(
+                        [h and known.familiar(texts[at + i].as_py(), b) for i, (b, h) in enumerate(zip(best, has))]
+                    )
                 names += [known.languages[b] if h else UNDETERMINED for b, h in zip(best, has)]
                 scores += np.where(has, top, 0.0).astype(float).tolist()
             yield [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())]
@@ -209,14 +307,10 @@ def identify(
     return map_batches(docs, predict, added), language, score
 
 
-#: Documents with a lower score than this look like none of the languages.
-LEAST_SCORE = 0.2
-
-
-def keep_identified(docs: DataFrame, least: float = LEAST_SCORE, **columns) -> DataFrame:
+def keep_identified(docs: DataFrame, **columns) -> DataFrame:
     """The documents in one of the languages, all columns as they were."""
-    found, language, score = identify(docs, **columns)
-    return found.where((F.col(language) != UNDETERMINED) & (F.col(score) >= least)).drop(language, score)
+    found, language, score = identify(docs, only_familiar=True, **columns)
+    return found.where(F.col(language) != UNDETERMINED).drop(language, score)
 
 
 def language_report(docs: DataFrame) -> DataFrame:

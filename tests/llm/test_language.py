@@ -74,3 +74,35 @@ def test_pipeline_keeps_columns(edge_docs, edge_rows, no_docs):
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id bigint, text string, lang string")
     assert language.language_report(docs).first()["lang_pred"] == "und"
+
+
+def test_documents_in_no_learnt_language_go(spark):
+    rnd = random.Random(5)
+    rows = texts(400)
+    short = [(5000 + i, "".join(rnd.choice(SOUNDS[l]) for _ in range(2)), l) for i, l in enumerate(SOUNDS)]
+    long = [(5100 + i, " ".join(t for _, t, x in rows if x == l) * 20, l) for i, l in enumerate(SOUNDS)]
+    cyrillic = lambda: "".join(rnd.choice("бвгджзклмн") + rnd.choice("аеиоу") for _ in range(3))
+    latin = lambda: "".join(rnd.choice(["wk", "zaf", "py", "hox", "vud"]) for _ in range(3))
+    planted = [
+        (6000 + i, " ".join(make() for _ in range(n)), None)
+        for i, (make, n) in enumerate([(cyrillic, 10), (cyrillic, 300), (latin, 20), (latin, 3000)] * 3)
+    ]
+    ddl = "doc_id bigint, text string, lang string"
+    mixed = [(7000, " ".join(next(t for _, t, x in rows if x == l and len(t) > 200) for l in SOUNDS), None)]
+    good = rows + short + long + mixed
+    kept = {r["doc_id"] for r in language.keep_identified(spark.createDataFrame(good + planted, ddl)).collect()}
+    assert kept == {i for i, *_ in good}
+
+
+def test_what_is_familiar_does_not_depend_on_the_number_of_languages():
+    rnd = random.Random(6)
+    every = {f"l{k:02}": ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(6)] for k in range(12)}
+    make = lambda sounds, n: " ".join("".join(rnd.choice(sounds) for _ in range(2)) for _ in range(n))
+    examples = [(l, make(sounds, 60)) for _ in range(30) for l, sounds in every.items()]
+    foreign = make(["жи", "шу", "цо"], 60)
+    for count in (1, 2, 12):
+        some = sorted(every)[:count]
+        model = language.fit([e for e in examples if e[0] in some])
+        for l in some:
+            assert model.familiar(make(every[l], 60), model.languages.index(l))
+            assert not model.familiar(foreign, model.languages.index(l))
