@@ -7,7 +7,7 @@ starts.
 
 Base kinds (email, ip, card, phone) are reported whenever their check holds.
 The other spans need their checksum or format and enough evidence around them:
-an IBAN passes mod-97; a card of 13 to 15 digits passes Luhn and a social
+an IBAN has its country's length and passes mod-97; a card of 13 to 15 digits passes Luhn and a social
 security number has its format, and both need a context word.
 
 Null text counts as empty, and empty text has no spans. Equal rows are judged
@@ -71,9 +71,39 @@ def _short_card(match: Column) -> Column:
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
+#: Characters of an IBAN by country, of the registry and those in use beside it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """An IBAN as group 1, of which only the first four characters are taken.
+
+    So a code before an IBAN cannot swallow it. Words in capitals may follow. An unknown
+    country's number ends where the run of capitals and digits does.
+    """
+    known = [
+        rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{length - 4}}}"
+        for length, codes in IBAN_LENGTHS.items()
+    ]
+    listed = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    other = rf"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+"
+    whole = rf"((?:{'|'.join([*known, other])})(?![A-Za-z0-9]))"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?={whole})[A-Z]{{2}}[0-9]{{2}}"
+
+
 @dataclass(frozen=True)
 class Kind:
-    """A kind of personal data; ``base`` kinds need no evidence beyond their check."""
+    """A kind of personal data; ``base`` kinds need no evidence beyond their check.
+
+    With ``taken`` a pattern takes that many characters, and the match is its group 1.
+    """
 
     name: str
     pattern: str
@@ -82,6 +112,7 @@ class Kind:
     base: bool = True
     score: float = 0.6
     context: str = ""
+    taken: int | None = None
 
 
 KINDS = [
@@ -124,11 +155,12 @@ KINDS = [
 MORE = [
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        _iban(),
         lambda m: mod_97(F.replace(m, F.lit(" "), F.lit(""))),
         base=False,
         score=0.8,
         context="iban|account|konto|compte|cuenta",
+        taken=4,
     ),
     Kind(
         "card",
@@ -193,9 +225,12 @@ def find_personal_data(
         "_id",
         "_text",
         *(
-            matches(text, k.pattern, F.contains(text, F.lit(k.needs)) if k.needs else None).alias(
-                f"_found{i}"
-            )
+            matches(
+                text,
+                k.pattern,
+                F.contains(text, F.lit(k.needs)) if k.needs else None,
+                1 if k.taken else 0,
+            ).alias(f"_found{i}")
             for i, k in enumerate(kinds)
         ),
     )
@@ -203,7 +238,7 @@ def find_personal_data(
         "_id",
         "_text",
         *(
-            located(text, F.col(f"_found{i}"), k.pattern, k.valid).alias(f"_spans{i}")
+            located(text, F.col(f"_found{i}"), k.pattern, k.valid, k.taken).alias(f"_spans{i}")
             for i, k in enumerate(kinds)
         ),
     )

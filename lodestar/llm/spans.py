@@ -13,16 +13,24 @@ from pyspark.sql import Column, functions as F
 SPANS = "array<struct<start:int,end:int,match:string>>"
 
 
-def matches(text: Column, pattern: str, needs: Column | None = None) -> Column:
+def matches(text: Column, pattern: str, needs: Column | None = None, group: int = 0) -> Column:
     """All leftmost non-overlapping matches; ``needs`` is a cheap test they all imply."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     return found if needs is None else F.when(needs, found).otherwise(F.array().cast("array<string>"))
 
 
 def located(
-    text: Column, found: Column, pattern: str, valid: Callable[[Column], Column]
+    text: Column,
+    found: Column,
+    pattern: str,
+    valid: Callable[[Column], Column],
+    taken: int | None = None,
 ) -> Column:
-    """The valid ones of the matches ``found``, as structs of start, end and match."""
+    """The valid ones of the matches ``found``, as structs of start, end and match.
+
+    A pattern that takes only the first ``taken`` characters and looks ahead for the rest
+    proposes matches that overlap; of valid ones that do, the first is given.
+    """
     steps = F.zip_with(
         F.split(text, pattern, -1),
         found,
@@ -37,10 +45,14 @@ def located(
     def step(state: Column, part: Column) -> Column:
         start = state["at"] + part["gap"]
         end = start + part["size"]
+        at = end if taken is None else start + taken
         span = F.struct(start.alias("start"), end.alias("end"), part["match"].alias("match"))
         good = part["match"].isNotNull() & valid(part["match"])
+        if taken is not None:
+            last = F.try_element_at(state["out"], F.lit(-1))["end"]
+            good &= F.coalesce(last, F.lit(0)) <= start
         return F.struct(
-            end.alias("at"),
+            at.alias("at"),
             F.when(good, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"),
         )
 

@@ -68,5 +68,29 @@ def test_spans_of_the_method(spark):
     assert got == {0: "iban:5:32", 1: "", 2: "ssn:10:21", 3: "", 4: "card:10:25", 5: ""}
 
 
+def test_ibans_before_capitals_and_digits(spark):
+    de, plain = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000"
+    gb, no, mt = "GB29 NWBK 6016 1331 9268 19", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"
+    cases = [
+        ("IBAN {}", plain, " Bank"), ("IBAN {}", de, " Bitte"), ("IBAN {}", de, " BIC COBADEFFXXX"), ("Konto {}", de, " 12 Euro"),
+        ("IBAN é {}", gb, " A"), ("iban {}", no, " 2024"), ("IBAN {}", mt, " BIC VALLMTMT"), ("IBAN {}", de, ""), ("IBAN XY12 {}", de, " OK"),
+        ("IBAN DE12 {}", de, " Z"), ("IBAN {}", plain, ". Und"),
+    ]
+    texts = {i: head.format(iban) + after for i, (head, iban, after) in enumerate(cases)}
+    expected = {i: f"iban:{t.index(c[1])}:{t.index(c[1]) + len(c[1])}" for (i, t), c in zip(texts.items(), cases)}
+    texts[50], expected[50] = f"IBAN {de} {gb} {plain}", "iban:5:32,iban:33:60,iban:61:83"
+    for i, wrong in enumerate([f"IBAN {plain}X", f"IBAN {plain[:-1]} Bank", f"IBAN X{plain} Bank", "IBAN DE88 3704 0044 0532 0130 00 Bank"]):
+        texts[60 + i], expected[60 + i] = wrong, ""
+    found = pii.personal_data_report(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"))
+    got = {r["doc_id"]: ",".join(s for s in r["spans"].split(",") if s.startswith("iban")) for r in found.collect()}
+    assert got == expected
+
+
+def test_many_heads_of_ibans_end_in_time(spark):
+    texts = {0: "AB12 " * 20_000, 1: "DE89" * 20_000, 2: "DE89 370400440532013000 " * 2000}
+    rows = pii.personal_data_report(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["spans"].count("iban") for r in rows}[2] == 2000
+
+
 def test_empty_table(no_docs):
     assert pii.personal_data_report(no_docs).count() == 0
