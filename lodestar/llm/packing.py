@@ -85,6 +85,22 @@ def find_parts(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(data, starts, ends, text, len(offsets) - 1)
 
 
+def unlike(parts: Words, same: np.ndarray) -> np.ndarray:
+    """The parts whose bytes are not those of the parts ``same``, one for each."""
+    sizes = parts.ends - parts.starts
+    wrong = sizes != sizes[same]
+    alike = np.flatnonzero(~wrong & (same != np.arange(len(same))))
+    n = sizes[alike]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    place = np.arange(total, dtype=np.int32)
+    own = np.repeat((parts.starts[alike] - ends + n).astype(np.int32), n) + place
+    other = np.repeat((parts.starts[same[alike]] - ends + n).astype(np.int32), n) + place
+    differs = np.flatnonzero(parts.data[own] != parts.data[other])
+    wrong[alike[np.searchsorted(ends, differs, side="right")]] = True
+    return np.flatnonzero(wrong)
+
+
 class TokenIds:
     """Token ids of texts as little-endian unsigned 32-bit integers.
 
@@ -111,6 +127,9 @@ class TokenIds:
             self.known.clear()
         parts = find_parts(data, offsets)
         _, first, which = np.unique(word_hashes(parts), return_index=True, return_inverse=True)
+        apart = unlike(parts, first[which])  # another word of the same hash
+        which[apart] = len(first) + np.arange(len(apart))
+        first = np.concatenate([first, apart])
         spans = zip(parts.starts[first].tolist(), parts.ends[first].tolist())
         text = parts.data.tobytes()
         distinct = [text[s:e] for s, e in spans]

@@ -38,6 +38,14 @@ def test_ids_are_those_of_the_tokenizer(plain, edge_rows):
         assert encode(ids, texts) == [as_bytes(plain(t)) for t in texts]
 
 
+@pytest.mark.parametrize("different", [1, 7])
+def test_words_of_equal_hash_keep_their_own_ids(plain, monkeypatch, different):
+    hashes = packing.word_hashes
+    monkeypatch.setattr(packing, "word_hashes", lambda parts: hashes(parts) % np.uint64(different))
+    texts = ODD + ["ab cd ab ef, cd abc", "rain fell on old stones; rain fell", ""]
+    assert encode(packing.TokenIds(TOKENIZER), texts) == [as_bytes(plain(t)) for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("ab é'.,!\n«ß9İ×"), st.characters(codec="utf-8")), max_size=30), max_size=4))
 def test_ids_of_any_text(texts):
