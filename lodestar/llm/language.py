@@ -38,12 +38,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lodestar.llm.common import column, fresh_name, map_batches, prepare_workers
+from lodestar.scratch import materialise
 
 #: N-gram lengths and the number of places they are hashed into.
 LONGEST = 4
 BUCKETS = 1 << 16
-#: Bounds of the sample: texts per language, languages (the most frequent), code points of a text.
+#: Bounds of the sample: texts per language, languages that have so many (each of more has fewer
+#: texts, in proportion), code points of a text.
 SAMPLE_TEXTS, SAMPLE_LANGUAGES, SAMPLE_CHARACTERS = 300, 64, 20_000
+#: Code points of the longer texts of a language that has no others; its shortest is taken in any case.
+LONG_CHARACTERS = 1 << 20
 #: Landmarks in all, and the ridge.
 LANDMARKS, RIDGE = 192, 1e-3
 #: Texts scored by one matrix product; code points of a long text that are looked at together.
@@ -169,26 +173,30 @@ class LanguageModel:
 
 
 def sample(docs: DataFrame, text: Column, label: Column, key: Column, learn: Column) -> DataFrame:
-    """A bounded, repeatable sample of labelled texts, in a random order."""
+    """A bounded, repeatable sample of labelled texts of every language, in a random order."""
     rows = docs.where(
         learn & label.isNotNull() & text.isNotNull() & key.isNotNull()
-        & (F.char_length(text) <= SAMPLE_CHARACTERS)
     ).select(key.alias("key"), label.cast("string").alias("label"), text.alias("text"))
     rows = rows.withColumn("check", F.xxhash64("text"))
-    ids = rows.select("key", "label", "check").distinct()
+    ids = rows.select("key", "label", "check", F.char_length("text").alias("size")).distinct()
     order = F.xxhash64("key", "check")
-    languages = ids.groupBy("label").count().orderBy(F.desc("count"), "label").limit(SAMPLE_LANGUAGES)
+    short = F.col("size") <= SAMPLE_CHARACTERS
+    languages = materialise(ids.groupBy("label").agg(F.count_if(short).alias("count")), "languages")
+    wanted = min(SAMPLE_TEXTS, max(1, SAMPLE_TEXTS * SAMPLE_LANGUAGES // max(languages.count(), 1)))
     # About four times as many as wanted of each language are drawn by their hash, so the
     # window that picks the exact number sees a bounded group of each.
     share = F.pmod(order, F.lit(1 << 31)) * F.col("count")
-    drawn = ids.join(F.broadcast(languages), "label").where(share < 4 * SAMPLE_TEXTS * (1 << 31))
+    drawn = ids.where(short).join(languages.where("count > 0"), "label").where(share < 4 * SAMPLE_TEXTS * (1 << 31))
     top = Window.partitionBy("label").orderBy(F.pmod(order, F.lit(1 << 31)), order, "key")
-    picked = (
-        drawn.withColumn("_rank", F.row_number().over(top))
-        .where(F.col("_rank") <= SAMPLE_TEXTS)
-        .drop("_rank", "count")
-    )
-    # at most SAMPLE_TEXTS * SAMPLE_LANGUAGES ids, whatever the input
+    picked = drawn.withColumn("_rank", F.row_number().over(top)).where(F.col("_rank") <= wanted)
+    # of languages that have long texts only, the shortest of these
+    long = ids.where(~short).join(languages.where("count = 0"), "label")
+    by_size = Window.partitionBy("label").orderBy("size", order, "key")
+    ranked = long.withColumn("_rank", F.row_number().over(by_size)).where(F.col("_rank") <= wanted)
+    so_far = F.sum("size").over(Window.partitionBy("label").orderBy("_rank"))
+    shortest = ranked.withColumn("_sum", so_far).where((F.col("_sum") <= LONG_CHARACTERS) | (F.col("_rank") == 1))
+    picked = picked.select("key", "label", "check").unionByName(shortest.select("key", "label", "check"))
+    # at most SAMPLE_TEXTS * SAMPLE_LANGUAGES ids, or one for each of more languages
     texts = rows.join(F.broadcast(picked), ["key", "label", "check"])
     once = texts.dropDuplicates(["key", "label", "check"])
     return once.orderBy(F.xxhash64("key", "check"), "key", "label").select("label", "text")

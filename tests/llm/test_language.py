@@ -106,3 +106,17 @@ def test_what_is_familiar_does_not_depend_on_the_number_of_languages():
         for l in some:
             assert model.familiar(make(every[l], 60), model.languages.index(l))
             assert not model.familiar(foreign, model.languages.index(l))
+
+
+def test_every_label_is_learnt(spark):
+    rnd = random.Random(7)
+    sounds = {f"l{k:02}": ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(5)] for k in range(70)}
+    make = lambda l, n: " ".join("".join(rnd.choice(sounds[l]) for _ in range(2)) for _ in range(n))
+    rows = [(i * 100 + k, make(l, 30), l) for k, l in enumerate(sorted(sounds)) for i in range(8 if k else 5)]
+    rows += [(90_000 + i, make("l00", 30).upper() + " ", None) for i in range(3)]
+    sounds["long"] = ["жи", "шу", "цо"]
+    rows += [(80_000 + i, make("long", 6000), "long") for i in range(8)] + [(90_010, make("long", 20), None)]
+    assert all(len(t) > language.SAMPLE_CHARACTERS for _, t, l in rows if l == "long")
+    found = language.language_report(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    got = {r["doc_id"]: r["lang_pred"] for r in found.collect()}
+    assert got == {**{i: l for i, _, l in rows}, **{90_000 + i: "l00" for i in range(3)}, 90_010: "long"}
