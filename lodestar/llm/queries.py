@@ -17,7 +17,9 @@ from lodestar.llm.packing import pack
 from lodestar.llm.pii import personal_data_report
 from lodestar.llm.revisits import revisit_report
 from lodestar.llm.secrets import secret_report
+from lodestar.llm.token_counts import count_tokens
 from lodestar.llm.url_filter import judge_urls
+from lodestar.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,3 +180,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM d JOIN g USING (text_sha256)
     """
     return duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+#: The vocabulary whose tokens are counted.
+COUNTED = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of every document."""
+    return count_tokens(table(spark, sf_dir, "documents"), COUNTED)
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened principal components of every embedding."""
+    return whiten(table(spark, sf_dir, "embeddings"))

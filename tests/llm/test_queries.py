@@ -17,6 +17,8 @@ CONTRACT = {
     "op8": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     "op10": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    "op11": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    "op12": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
 }
 
 
