@@ -15,6 +15,7 @@ from lodestar.llm.kd_shards import kd_shards
 from lodestar.llm.language import language_report
 from lodestar.llm.packing import pack
 from lodestar.llm.pii import personal_data_report
+from lodestar.llm.prefix_trie import prefix_trie, turn_sequences, with_shared_heads
 from lodestar.llm.revisits import revisit_report
 from lodestar.llm.secrets import secret_report
 from lodestar.llm.token_counts import count_tokens
@@ -196,3 +197,47 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened principal components of every embedding."""
     return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix of the conversations, whose first turns come from one of a hundred.
+
+    SQL:
+    WITH t AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+      FROM conversations WHERE conv_id IS NOT NULL
+    ), c AS (
+      SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS turns FROM t GROUP BY 1
+    ), h AS (
+      SELECT conv_id, turns, conv_id - conv_id % 100 AS base,
+             xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+                 list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+               lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0::BIGINT FOR b IN range(8)]),
+                 lambda y, b: xor(y >> 1, (y % 2) * 3988292384)))) % 6 AS h
+      FROM c
+    ), r AS (
+      SELECT h.conv_id, list_concat(coalesce(b.turns[1:h.h], []), h.turns[h.h + 1:]) AS turns
+      FROM h LEFT JOIN c b ON b.conv_id = h.base
+    ), p AS (
+      SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM r
+    ), n AS (
+      SELECT turns[1:depth] AS prefix, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             (count(*) - 1) * coalesce(length(any_value(turns[depth].text)), 0) AS saved,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '')) AS ends
+      FROM p GROUP BY 1
+    ), k AS (
+      SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1
+    ), full_nodes AS (
+      SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (prefix)
+    ), up AS (
+      SELECT prefix[1:above] AS prefix, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS above FROM full_nodes) GROUP BY 1
+    )
+    SELECT f.conv_id, f.depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, up.n_leaves,
+           up.saved_tokens::BIGINT AS saved_tokens, f.ends AS ends_sha256
+    FROM full_nodes f JOIN up USING (prefix)
+    LEFT JOIN n q ON f.depth > 0 AND q.prefix = f.prefix[1:f.depth - 1]
+    """
+    return prefix_trie(with_shared_heads(turn_sequences(table(spark, sf_dir, "conversations"))))

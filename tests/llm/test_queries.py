@@ -19,6 +19,7 @@ CONTRACT = {
     "op10": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op11": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op12": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
 }
 
 
