@@ -1,6 +1,6 @@
 from lodestar.operators.keys import assign_surrogate_keys, max_key, split_new_existing
 from lodestar.operators.lookup import Lookup, build_fact, lookup_keys
-from lodestar.operators.merge import merge_rows, upsert
+from lodestar.operators.merge import merge_rows, upsert, upsert_pruned
 from lodestar.operators.quality import expect_all_or_drop, expectation_report
 from lodestar.operators.ranking import dedup_latest, rank_within, top_within
 from lodestar.operators.scd1 import scd1_rows, scd1_upsert
@@ -24,5 +24,6 @@ __all__ = [
     "split_new_existing",
     "top_within",
     "upsert",
+    "upsert_pruned",
     "versions",
 ]

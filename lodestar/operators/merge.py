@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lodestar.names import Plain, column, columns as named
 from lodestar.operators.segments import same
 from lodestar.scratch import discard, materialise, stored_bytes
-from lodestar.sources import tables
+from lodestar.sources import slices, tables
 
 
 def merge_rows(
@@ -30,38 +31,52 @@ def merge_rows(
     ``small_source``, one below the broadcast threshold, is left-joined and its
     unmatched rows are added instead, which never shuffles the target.
     """
-    columns = target.columns
-    wanted = {name.lower(): name for name in columns}
     if _types(source) != _types(target):
         raise ValueError(f"source {source.dtypes} differs from target {target.dtypes}")
-    source = source.select(*columns)
-    keys = [wanted[k.lower()] for k in keys]
-    tracked = [wanted[c.lower()] for c in only_changed]
-
-    source_keys = [F.col(k).alias(f"_source_{k}") for k in keys]
-    pairs = [(F.col(k), F.col(f"_source_{k}")) for k in keys]
-    at_key = reduce(
-        lambda a, b: a & b, (t.eqNullSafe(s) if null_safe else t == s for t, s in pairs)
-    )
-    incoming = source.select(F.struct(*columns).alias("_row"), *source_keys)
-    how = "left" if small_source else "full_outer"
-    joined = target.withColumn("_known", F.lit(True)).join(incoming, at_key, how)
-    replaced = F.col("_row").isNotNull()
-    if tracked:
-        unchanged = same([F.col(c) for c in tracked], [F.col(f"_row.{c}") for c in tracked])
-        replaced = replaced & (F.col("_known").isNull() | ~unchanged)
-    if sequence:
-        order = [wanted[c.lower()] for c in sequence]
-        theirs, ours = F.struct(*(f"_row.{c}" for c in order)), F.struct(*order)
-        replaced = replaced & (F.col("_known").isNull() | (theirs >= ours))
-    merged = joined.select(
-        *(F.when(replaced, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c) for c in columns)
+    old, new = Plain(target), Plain(source.select(*named(target.columns)), "s")
+    joined = _matched(
+        old, new, keys, "left" if small_source else "full_outer", null_safe, only_changed, sequence
     )
+    merged = old.back(joined.select(*_written(old, new)))
     if not small_source:
         return merged
-    found = target.select(*keys).join(source.select(*source_keys), at_key, "left_semi")
-    found = found.withColumnsRenamed({k: f"_source_{k}" for k in keys})
-    return merged.unionByName(source.join(found, at_key, "left_anti"))
+    known, incoming = Plain(target.select(*named(keys)), "k"), new.all_of(keys)
+    at_key = _at_key(known.plain, incoming, null_safe)
+    found = known.df.join(new.df.select(*incoming), at_key, "left_semi")
+    added = new.df.join(found, at_key, "left_anti")
+    return merged.unionByName(added.toDF(*target.columns))
+
+
+def _at_key(theirs: Sequence[str], ours: Sequence[str], null_safe: bool) -> Column:
+    pairs = ((F.col(t), F.col(o)) for t, o in zip(theirs, ours))
+    return reduce(lambda a, b: a & b, (t.eqNullSafe(o) if null_safe else t == o for t, o in pairs))
+
+
+def _matched(
+    old: Plain,
+    new: Plain,
+    keys: Sequence[str],
+    how: str,
+    null_safe: bool,
+    only_changed: Sequence[str],
+    sequence: Sequence[str],
+) -> DataFrame:
+    """Old and new rows side by side at their keys, and ``written``: whether the new one counts."""
+    at_key = _at_key(old.all_of(keys), new.all_of(keys), null_safe)
+    joined = old.df.withColumn("known", F.lit(True)).join(new.df.withColumn("given", F.lit(True)), at_key, how)
+    written = F.col("given").isNotNull()
+    if only_changed:
+        unchanged = same(*([F.col(c) for c in side.all_of(only_changed)] for side in (old, new)))
+        written = written & (F.col("known").isNull() | ~unchanged)
+    if sequence:
+        ours, theirs = (F.struct(*side.all_of(sequence)) for side in (old, new))
+        written = written & (F.col("known").isNull() | (theirs >= ours))
+    return joined.withColumn("written", written)
+
+
+def _written(old: Plain, new: Plain) -> list[Column]:
+    """The columns of the merged row."""
+    return [F.when(F.col("written"), F.col(n)).otherwise(F.col(o)).alias(o) for o, n in zip(old.plain, new.plain)]
 
 
 def _types(df: DataFrame) -> dict[str, str]:
@@ -77,9 +92,10 @@ def _broadcast_threshold(spark: SparkSession) -> int:
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
     """Raise if a key repeats; counted on the executors, one row is fetched."""
-    repeated = df.groupBy(*keys).count().where("count > 1").first()
+    times = df.groupBy(*(column(k).alias(f"k{i}") for i, k in enumerate(keys))).agg(F.count("*").alias("times"))
+    repeated = times.where("times > 1").first()
     if repeated is not None:
-        raise ValueError(f"{what} repeats the key {repeated.asDict()}")
+        raise ValueError(f"{what} repeats the key {dict(zip(keys, repeated))}")
 
 
 def upsert(
@@ -133,12 +149,69 @@ def _checked_buckets(
 ) -> list[int]:
     """The buckets with rows of the source (0 without buckets); a repeated key is an error."""
     bucket = tables.bucket_of(*layout) if layout else F.lit(0)
-    once = source.groupBy(*keys).agg(F.count("*").alias("_times"), F.first(bucket).alias("_number"))
-    by_bucket = once.groupBy("_number").agg(
-        F.max(F.when(F.col("_times") > 1, F.to_json(F.struct(*keys)))).alias("_repeated")
+    key = F.struct(*(column(k).alias(k) for k in keys)).alias("key")
+    once = source.groupBy(key).agg(F.count("*").alias("times"), F.first(bucket).alias("number"))
+    by_bucket = once.groupBy("number").agg(
+        F.max(F.when(F.col("times") > 1, F.to_json("key"))).alias("repeated")
     )
     rows = by_bucket.collect()  # one row per bucket
     for row in rows:
-        if row["_repeated"] is not None:
-            raise ValueError(f"the source repeats the key {row['_repeated']}")
-    return sorted(row["_number"] for row in rows)
+        if row["repeated"] is not None:
+            raise ValueError(f"the source repeats the key {row['repeated']}")
+    return sorted(row["number"] for row in rows)
+
+
+def upsert_pruned(
+    spark: SparkSession,
+    name: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    path: str,
+    *,
+    only_changed: Sequence[str] = (),
+    sequence: Sequence[str] = (),
+    part_bytes: int = slices.SLICE_BYTES,
+) -> None:
+    """Merge ``source`` into the table ``name``, of which only slices with rows that change are rewritten.
+
+    The record of keys (``lodestar.sources.slices``) names the slices that may
+    hold keys of the source. Of those only the columns compared are read, to find
+    the rows that the source matches; slices without one that changes stay as
+    they are. Rows that match nothing are added as new slices, so a load of new
+    keys rewrites nothing. Keys match NULL-safe. A load that is repeated changes nothing.
+    """
+    stored = materialise(source, "merge-source")
+    require_unique(stored, keys, "the source")
+    parts = slices.in_parts(stored, keys, part_bytes)
+    fresh_slice = slices.new_names(F.col(slices.PART)).alias(slices.SLICE)
+    if not tables.exists(spark, name):
+        slices.create(stored, name, path)
+        slices.add(parts.select("*", fresh_slice).drop(slices.PART), name, path, keys)
+        discard(stored)
+        return
+    target = slices.load(spark, name)
+    old_columns = [c for c in target.columns if c != slices.SLICE]
+    if _types(stored) != _types(target.drop(slices.SLICE)):
+        raise ValueError(f"source {stored.dtypes} differs from target {target.dtypes}")
+    added, hits = parts, None
+    held = slices.holding(spark, name, path, parts, keys)
+    if held:
+        # which rows match, and which of these change: only keys and compared columns are read
+        old = Plain(slices.load(spark, name, held).select(*named(old_columns), slices.SLICE))
+        new = Plain(stored.select(*named(old_columns)), "s")
+        matched = _matched(old, new, keys, "inner", True, only_changed, sequence)
+        place = F.col(old.of(slices.SLICE)).alias(slices.SLICE)
+        hits = materialise(matched.select(*new.all_of(keys), place, "written"), "hits")
+        changed = [r[0] for r in hits.where("written").select(slices.SLICE).distinct().collect()]
+        if changed:
+            old = Plain(slices.load(spark, name, changed).select(*named(old_columns), slices.SLICE))
+            merged = _matched(old, new, keys, "left", True, only_changed, sequence)
+            merged = old.back(merged.select(*_written(old, new), old.of(slices.SLICE)))
+            version, held = slices.write(merged, path, keys)
+            slices.publish(spark, name, version, replaced=held, added=[])
+        incoming = Plain(parts, "p")
+        at_key = _at_key(new.all_of(keys), incoming.all_of(keys), True)
+        added = incoming.back(incoming.df.join(hits.select(*new.all_of(keys)), at_key, "left_anti"))
+    if hits is None or hits.count() < stored.count():
+        slices.add(added.select(*named(old_columns), fresh_slice), name, path, keys)
+    discard(stored, *([hits] if hits else []))

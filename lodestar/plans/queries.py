@@ -25,13 +25,15 @@ from lodestar.operators import (
     split_new_existing,
     top_within,
     upsert,
+    upsert_pruned as pruned_upsert,
     versions,
 )
 from lodestar.operators.segments import MAX_GROUP_ROWS
 from lodestar.plans import clean, medallion
-from lodestar.scratch import materialise, new_folder
+from lodestar.scratch import delete_folder, folder_names, materialise, new_folder, rename_folder
 from lodestar.sources import tables
 from lodestar.sources.ingest import ingest_stream
+from lodestar.sources.ledger import current_rows, ingest_ledger as ledger_ingest
 from lodestar.streaming import append_stream, apply_changes_stream, staged, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -360,6 +362,46 @@ def upsert_orders_bucketed(spark, sf):
     return _upserted(spark, sf, buckets=8)
 
 
+@query(UPSERT)
+def upsert_pruned(spark, sf):
+    """The same into a table of many slices, of which the second load rewrites those that hold its keys."""
+    name, path = new_table(spark, "pruned")
+    for load in _two_loads(spark, sf):
+        pruned_upsert(spark, name, load, ["order_id"], path, part_bytes=100_000)
+    return tables.load(spark, name)
+
+
+@query(
+    "SELECT (SELECT count(*) FROM orders) AS known, (SELECT count(*) FROM orders WHERE o_orderkey % 50 = 0) AS changed,"
+    " CAST(0 AS BIGINT) AS replaced_by_new, CAST(1 AS BIGINT) AS replaced_by_one"
+)
+def upsert_pruned_slices(spark, sf):
+    """How many slices a load of new keys replaces, and a load of one key, after one of every fiftieth."""
+    orders = orders_of(spark, sf).select("order_id", "customer_id", F.lit(1).alias("load"))
+    name, path = new_table(spark, "pruned")
+    pruned_upsert(spark, name, orders, ["order_id"], path, part_bytes=100_000)
+    pruned_upsert(spark, name, orders.where("order_id % 50 = 0").withColumn("load", F.lit(2)), ["order_id"], path)
+
+    def files() -> set[str]:
+        return {r[0] for r in spark.table(name).selectExpr("_metadata.file_path").distinct().collect()}
+
+    counts = []
+    largest = orders.agg(F.max("order_id")).first()[0]
+    new = orders.withColumn("order_id", F.col("order_id") + largest + 1)
+    for load in (new, orders.where(F.col("order_id") == largest)):
+        before = files()
+        pruned_upsert(spark, name, load, ["order_id"], path)
+        counts.append(len(before - files()))
+    table = tables.load(spark, name)
+    known = table.where(F.col("order_id") <= largest)
+    return known.agg(
+        F.count("*").alias("known"),
+        F.count_if(F.col("order_id") % 50 == 0).alias("changed"),
+        F.lit(counts[0]).cast("bigint").alias("replaced_by_new"),
+        F.lit(counts[1]).cast("bigint").alias("replaced_by_one"),
+    )
+
+
 @query(UPSERT)
 def merge_orders(spark, sf):
     target, source = _two_loads(spark, sf)
@@ -704,6 +746,18 @@ def _deliver(rows: DataFrame, folder: str) -> None:
     rows.write.mode("append").parquet(folder)
 
 
+def _deliver_as(rows: DataFrame, path: str) -> None:
+    """One file under a given name, over one that may be there."""
+    made = f"{path}-made"
+    rows.coalesce(1).write.parquet(made)
+    spark = rows.sparkSession
+    system = spark._jvm.org.apache.hadoop.fs.Path(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    file = next(n for n in folder_names(spark, made) if n.startswith("part-"))
+    system.delete(spark._jvm.org.apache.hadoop.fs.Path(path), False)
+    rename_folder(spark, f"{made}/{file}", path)
+    delete_folder(spark, made)
+
+
 @query("SELECT event_id, ts, user_id, event_type, value FROM events")
 def ingest(spark, sf):
     """Two deliveries and an idle run."""
@@ -748,6 +802,26 @@ def ingest_backdated(spark, sf):
     return ingest_stream(spark, source, bronze, checkpoint, options=options).select(*events.columns)
 
 
+@query(
+    "SELECT event_id, ts, user_id, event_type, CASE WHEN event_type = 'click' THEN value + 1 ELSE value END AS value"
+    " FROM events"
+)
+def ingest_ledger(spark, sf):
+    """Three runs by the ledger: clicks and views, the clicks' files written again, and all others."""
+    events = read(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    source, bronze, checkpoint = (new_folder(spark, p) for p in ("source", "bronze", "checkpoint"))
+    clicks = events.where("event_type = 'click'")
+    _deliver_as(clicks, f"{source}/clicks.parquet")
+    _deliver(events.where("event_type = 'view'"), f"{source}/views")
+    options = {"recursiveFileLookup": "true"}
+    ledger_ingest(spark, source, bronze, checkpoint, options=options)
+    _deliver_as(clicks.withColumn("value", F.col("value") + 1), f"{source}/clicks.parquet")
+    ledger_ingest(spark, source, bronze, checkpoint, options=options)
+    _deliver(events.where("event_type NOT IN ('click', 'view')"), f"{source}/others")
+    landed = ledger_ingest(spark, source, bronze, checkpoint, options=options, max_files=1)
+    return current_rows(spark, landed, checkpoint).select(*events.columns)
+
+
 @query(
     "SELECT event_id, CASE WHEN event_type <> 'view' THEN user_id END AS user_id,"
     " CASE WHEN event_type = 'view' THEN '{\"user_id\":\"u' || user_id || '\"}' END AS _rescued_data FROM events"

@@ -85,7 +85,7 @@ def _inferred_schema(spark: SparkSession, source: str) -> T.StructType | None:
         return None
 
 
-def _literal_path(path: str) -> str:
+def literal_path(path: str) -> str:
     """The path with nothing left that reads as a pattern."""
     return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
 
@@ -189,7 +189,7 @@ def start_ingest(
     )
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        files = [_literal_path(row["path"]) for row in batch.collect()]
+        files = [literal_path(row["path"]) for row in batch.collect()]
         if not files:
             return
         rows = read_files(batch.sparkSession, source, sorted(files), known)

@@ -15,6 +15,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestar.scratch import delete_folder
+from lodestar.sources import slices
 
 BUCKET = "_bucket"
 _BUCKETS = "lodestar.buckets"
@@ -76,13 +77,13 @@ def touched_buckets(df: DataFrame, buckets: int, columns: Sequence[str]) -> list
 
 
 def load(spark: SparkSession, name: str, only: Iterable[int] | None = None) -> DataFrame:
-    """The table without its bucket column, optionally just some of its buckets."""
+    """The table without the column of its buckets or slices, optionally just some of its buckets."""
     # A session remembers where a table was; another one may have moved it since.
     spark.catalog.refreshTable(name)
     df = spark.table(name)
     if only is not None:
         df = df.where(F.col(BUCKET).isin(list(only)))
-    return df.drop(BUCKET)
+    return df.drop(BUCKET, slices.SLICE)
 
 
 def create(
@@ -164,7 +165,9 @@ def drop_old_versions(spark: SparkSession, name: str, path: str) -> None:
 
     Run it when no reader of an earlier version is left.
     """
-    if bucketing(spark, name):
+    if slices.is_sliced(spark, name):
+        used = slices.used_versions(spark, name)
+    elif bucketing(spark, name):
         partitions = spark.sql(f"SHOW PARTITIONS {name}").collect()
         used = {
             _partition_location(spark, name, row["partition"]).rsplit("/", 1)[0].rsplit("/", 1)[-1]

@@ -1,9 +1,11 @@
+import uuid
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from conftest import rows
-from lodestar.operators import merge_rows, upsert
-from lodestar.sources import tables
+from lodestar.operators import merge_rows, upsert, upsert_pruned
+from lodestar.sources import slices, tables
 
 DDL = "id string, k int, v int"
 
@@ -88,3 +90,123 @@ def test_merge_is_a_dictionary_update(spark, old, new):
     once = merge_rows(target, source, ["id"], small_source=True)
     assert rows(once) == expected
     assert rows(merge_rows(once, source, ["id"])) == expected
+
+
+# ---------------------------------------------------------------- sliced tables
+
+
+def files_of(spark, table):
+    return {r[0] for r in spark.table(table).selectExpr("_metadata.file_path").distinct().collect()}
+
+
+def numbers(spark, start, stop, v=1):
+    return spark.range(start, stop).selectExpr("cast(id as string) id", "cast(id as int) k", f"{v} v")
+
+
+@pytest.fixture
+def sliced(spark, table, tmp_path):
+    """A table of 3000 rows in several slices."""
+    path = str(tmp_path / "t")
+    upsert_pruned(spark, table, numbers(spark, 0, 3000), ["k"], path, part_bytes=2000)
+    assert len(slices.names(spark, table)) > 5
+    return table, path
+
+
+def test_one_row_replaces_one_file_and_new_rows_none(spark, sliced):
+    table, path = sliced
+    before = files_of(spark, table)
+    upsert_pruned(spark, table, numbers(spark, 1234, 1235, 2), ["k"], path)
+    after = files_of(spark, table)
+    assert len(before - after) == len(after - before) == 1
+    upsert_pruned(spark, table, numbers(spark, 5000, 5010, 3), ["k"], path)
+    last = files_of(spark, table)
+    assert after < last and len(last - after) == 1
+    upsert_pruned(spark, table, numbers(spark, 5000, 5011, 3), ["k"], path, only_changed=["v"])
+    assert last < files_of(spark, table)  # unchanged rows rewrite nothing
+    got = {r["k"]: r["v"] for r in tables.load(spark, table).collect()}
+    assert got == {**dict.fromkeys(range(3000), 1), 1234: 2, **dict.fromkeys(range(5000, 5011), 3)}
+
+
+def test_old_versions_of_a_sliced_table(spark, sliced):
+    import os
+
+    table, path = sliced
+    upsert_pruned(spark, table, numbers(spark, 0, 3000, 2), ["k"], path)
+    versions = [f for f in os.listdir(path) if f.startswith("version-")]
+    tables.drop_old_versions(spark, table, path)
+    assert len(versions) == 2 and len([f for f in os.listdir(path) if f.startswith("version-")]) == 1
+    assert tables.load(spark, table).where("v = 2").count() == 3000
+
+
+def test_small_slices_are_put_together(spark, sliced):
+    table, path = sliced
+    for i in range(4):
+        upsert_pruned(spark, table, numbers(spark, 4000 + i, 4001 + i), ["k"], path)
+    before = slices.names(spark, table)
+    slices.compact(spark, table, path, ["k"], small=10)
+    assert len(slices.names(spark, table)) == len(before) - 3
+    upsert_pruned(spark, table, numbers(spark, 4000, 4008, 7), ["k"], path)
+    assert sorted(r[0] for r in tables.load(spark, table).where("v = 7").select("k").collect()) == list(range(4000, 4008))
+    assert tables.load(spark, table).count() == 3008
+
+
+def test_filters_tell_slices_of_one_range_apart(spark, table, tmp_path):
+    """Loads whose ranges overlap entirely: the filters alone decide."""
+    path = str(tmp_path / "t")
+    for part in range(6):
+        rows = spark.range(3000).where(f"id % 6 = {part}").selectExpr("cast(id as string) id", "cast(id as int) k", "1 v")
+        upsert_pruned(spark, table, rows, ["id", "k"], path)
+    before = files_of(spark, table)
+    key = slices.in_parts(slices.materialise(numbers(spark, 601, 602), "key"), ["id", "k"])
+    assert len(slices.holding(spark, table, path, key, ["id", "k"])) <= 2
+    upsert_pruned(spark, table, numbers(spark, 601, 602, 9), ["id", "k"], path)
+    assert len(before - files_of(spark, table)) == 1
+    assert rows_of(spark, table)[601] == 9 and len(rows_of(spark, table)) == 3000
+
+
+def rows_of(spark, table):
+    return {r["k"]: r["v"] for r in tables.load(spark, table).collect()}
+
+
+def test_an_interrupted_load_leaves_nothing_behind(spark, sliced, monkeypatch):
+    table, path = sliced
+    expected = rows_of(spark, table)
+
+    def dies(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(slices, "publish", dies)
+        with pytest.raises(RuntimeError):
+            upsert_pruned(spark, table, numbers(spark, 6000, 6100), ["k"], path)
+    assert rows_of(spark, table) == expected
+    upsert_pruned(spark, table, numbers(spark, 6000, 6100), ["k"], path)
+    assert rows_of(spark, table) == {**expected, **dict.fromkeys(range(6000, 6100), 1)}
+
+
+NAMES = "`a.b` string, `_row` int, known int, `s0` int, written int, _part2 int, `x``y` int"
+
+
+def test_any_column_names(spark, table, tmp_path):
+    old = spark.createDataFrame([("a", None, 1, 1, 1, 1, 1), ("b", 2, 1, 1, 1, 1, 1)], NAMES)
+    new = spark.createDataFrame([("a", None, 2, 3, 4, 5, 6), ("c", 2, 2, 3, 4, 5, 6)], NAMES)
+    expected = [("a", None, 2, 3, 4, 5, 6), ("b", 2, 1, 1, 1, 1, 1), ("c", 2, 2, 3, 4, 5, 6)]
+    for small in (False, True):
+        got = merge_rows(old, new, ["a.b", "_row"], sequence=["known"], small_source=small)
+        assert sorted(map(tuple, got.collect()), key=repr) == expected and got.columns == old.columns
+    for load in (old, new, new):
+        upsert_pruned(spark, table, load, ["a.b", "_row"], str(tmp_path / "t"), sequence=["x`y"])
+    assert sorted(map(tuple, tables.load(spark, table).collect()), key=repr) == expected
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.dictionaries(st.one_of(st.none(), st.integers(0, 40)), st.integers(0, 5)), min_size=1, max_size=4))
+def test_pruned_upserts_are_dictionary_updates(spark, tmp_path_factory, loads):
+    path, name = str(tmp_path_factory.mktemp("p") / "t"), f"testing.p{uuid.uuid4().hex}"
+    spark.sql("CREATE SCHEMA IF NOT EXISTS testing")
+    expected = {}
+    for load in loads:
+        rows = spark.createDataFrame(list(load.items()), "k bigint, v bigint")
+        upsert_pruned(spark, name, rows, ["k"], path, part_bytes=300)
+        expected.update(load)
+    assert rows_of(spark, name) == expected
