@@ -5,6 +5,7 @@ from lodestar.operators.quality import expect_all_or_drop, expectation_report
 from lodestar.operators.ranking import dedup_latest, rank_within, top_within
 from lodestar.operators.scd1 import scd1_rows, scd1_upsert
 from lodestar.operators.scd2 import scd2_apply, scd2_create, versions
+from lodestar.operators.splice import scd2_splice
 
 __all__ = [
     "Lookup",
@@ -21,6 +22,7 @@ __all__ = [
     "scd1_upsert",
     "scd2_apply",
     "scd2_create",
+    "scd2_splice",
     "split_new_existing",
     "top_within",
     "upsert",

@@ -22,6 +22,7 @@ from lodestar.operators import (
     scd1_rows,
     scd1_upsert,
     scd2_apply,
+    scd2_splice as splice_changes,
     split_new_existing,
     top_within,
     upsert,
@@ -554,6 +555,23 @@ def scd2_batches(spark, sf):
     return tables.load(spark, name)
 
 
+@query(SCD2)
+def scd2_splice(spark, sf):
+    """Shuffled batches, spliced into slices: nearly all events, then some late ones, then one user's."""
+    changes = _changes(spark, sf)
+    part = F.pmod(F.xxhash64("user_id", "ts"), F.lit(1000))
+    one_user = F.col("user_id") == changes.agg(F.min("user_id")).first()[0]
+    batches = [
+        changes.where((part >= 30) & ~one_user),
+        changes.where((part < 30) & ~one_user),
+        changes.where(one_user),
+    ]
+    name, path = new_table(spark, "spliced")
+    for number, batch in enumerate(batches):
+        splice_changes(spark, name, batch, path, key=["user_id"], sequence_by="ts", batch_id=number, slice_rows=2000)
+    return tables.load(spark, name)
+
+
 @query(SCD2)
 def scd2_stream(spark, sf):
     """Three micro-batches in arbitrary order, through the quality rules."""

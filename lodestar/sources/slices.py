@@ -22,7 +22,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lodestar.names import columns as named
 from lodestar.scratch import discard, folder_exists, materialise, stored_bytes
@@ -223,3 +223,37 @@ def compact(
     add(parts.withColumn(SLICE, new_names(F.col(PART))).drop(PART), name, path, keys)
     drop(spark, name, old)
     discard(rows)
+
+
+# ---------------------------------------------------------------- slices in order
+
+#: Where a row stands in the order of a table whose slices are ranges of it: a struct of its key columns.
+POSITION = "_position"
+
+
+def record_fences(rows: DataFrame, path: str) -> None:
+    """Remember where new slices begin; ``rows`` have ``SLICE`` and ``POSITION``."""
+    lowest = rows.groupBy(SLICE).agg(F.min(POSITION).alias("low"))
+    lowest.write.mode("append").parquet(f"{path}/fences")
+
+
+def fences(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Where each slice begins (null: the first, before all), where the next one does, and its number; stored."""
+    live = spark.createDataFrame([(s,) for s in names(spark, name)], f"{SLICE} string")
+    known = spark.read.parquet(f"{path}/fences").join(live, SLICE).groupBy(SLICE).agg(F.min("low").alias("low"))
+    in_order = Window.orderBy("low")  # a row per slice
+    numbered = known.select(
+        SLICE, "low", F.lead("low").over(in_order).alias("high"), F.row_number().over(in_order).alias("at")
+    )
+    return materialise(numbered.withColumn("low", F.when(F.col("at") > 1, F.col("low"))), "fences")
+
+
+def located(rows: DataFrame, fence: DataFrame) -> DataFrame:
+    """``rows`` (with ``POSITION`` and ``PART``) with the ``SLICE`` that each belongs to."""
+    spans = rows.groupBy(PART).agg(F.min(POSITION).alias("from"), F.max(POSITION).alias("to"))
+    begun = F.col("low").isNull() | (F.col("low") <= F.col("to"))
+    near = spans.join(fence, begun & (F.col("high").isNull() | (F.col("from") < F.col("high"))))
+    inside = (F.col("low").isNull() | (F.col("low") <= F.col(POSITION))) & (
+        F.col("high").isNull() | (F.col(POSITION) < F.col("high"))
+    )
+    return rows.join(near.select(PART, SLICE, "low", "high"), PART).where(inside).drop("low", "high", PART)

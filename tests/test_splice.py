@@ -1,0 +1,126 @@
+import random
+
+import pytest
+
+from conftest import rows
+from lodestar.operators import splice
+from lodestar.operators.scd2 import versions
+from lodestar.operators.splice import scd2_splice
+from lodestar.sources import slices, tables
+
+DDL = "`k.1` int, k2 string, at int, v int, `w.x` string"
+KEY = ["k.1", "k2"]
+
+
+def history(events):
+    """The versions of {(key, at): value}, by brute force."""
+    out = []
+    for key in {k for k, _ in events}:
+        last, own = None, sorted(((at, v) for (k, at), v in events.items() if k == key), key=lambda p: p[0])
+        opened = []
+        for at, v in own:
+            if not opened or v != last:
+                opened.append((at, v))
+            last = v
+        ends = [at for at, _ in opened[1:]] + [None]
+        out += [(*key, *v, at, end, end is None) for (at, v), end in zip(opened, ends)]
+    return sorted(out, key=repr)
+
+
+def listed(spark, table):
+    got = tables.load(spark, table).select("`k.1`", "k2", "v", "`w.x`", "valid_from", "valid_to", "is_current")
+    return sorted(map(tuple, got.collect()), key=repr)
+
+
+def apply(spark, table, path, batch, number, **limits):
+    data = [(*key, at, *v) for (key, at), v in batch.items()]
+    frame = spark.createDataFrame(data, DDL).repartition(3)
+    return scd2_splice(spark, table, frame, path, key=KEY, sequence_by="at", batch_id=number, **limits)
+
+
+def random_events(rnd, n, keys=4, times=60):
+    made = {}
+    for _ in range(n):
+        key = (rnd.choice([1, 1, 1, 2, None][:keys + 1]), rnd.choice(["a", None]))
+        made[(key, rnd.randrange(times))] = (rnd.randrange(2), rnd.choice(["x", None]))
+    return made
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_batches_in_any_order(spark, table, tmp_path, seed, monkeypatch):
+    monkeypatch.setattr(splice, "NEW_SHARE", 1.0)  # splice even what touches most slices
+    rnd, events = random.Random(seed), {}
+    for number in range(4):
+        batch = random_events(rnd, 70 if number == 0 else rnd.choice([1, 4, 12]))
+        cost = apply(spark, table, str(tmp_path / "t"), batch, number, slice_rows=9)
+        events.update(batch)
+        assert listed(spark, table) == history(events)
+        assert cost.rebuilt == (number == 0)
+
+
+def test_one_slice_is_cut_and_neighbours_end(spark, table, tmp_path):
+    """Slices grow, lose all their versions, and are cut; a version ends in another slice than it begins."""
+    path, key = str(tmp_path / "t"), (1, "a")
+    events = {(key, at): (at // 40 % 2, "x") for at in range(0, 800, 2)}
+    apply(spark, table, path, events, 0, slice_rows=50)
+    before = len(slices.names(spark, f"{table}_events"))
+    steps = [
+        {(key, at): (0, "x") for at in range(101, 320, 2)},  # odd places: versions everywhere
+        {(key, at): (1, "x") for at in range(100, 320, 2)},
+        {(key, at): (1, "x") for at in range(101, 320, 2)},  # and gone again
+        {(key, -5): (1, "x"), (key, 900): (7, None)},
+    ]
+    for number, batch in enumerate(steps, 1):
+        apply(spark, table, path, batch, number, slice_rows=30)
+        events.update(batch)
+        assert listed(spark, table) == history(events)
+    assert len(slices.names(spark, f"{table}_events")) > before
+
+
+def test_cost_follows_the_batch(spark, table, tmp_path):
+    """A key with a third of all events: ten late events read a bounded number of slices."""
+    path = str(tmp_path / "t")
+    events = {((1, "a"), at): (at % 3, "x") for at in range(0, 8000, 2)}
+    events |= {((k, "b"), at): (at % 2, "x") for k in range(2, 10) for at in range(1000)}
+    apply(spark, table, path, events, 0, slice_rows=200)
+    total = len(slices.names(spark, f"{table}_events"))
+    late = {((1, "a"), 4001 + 2 * i): (9, "late") for i in range(10)}
+    cost = apply(spark, table, path, late, 1, slice_rows=200)
+    assert total >= 50 and not cost.rebuilt
+    assert cost.events_read <= 4 and cost.versions_read <= 4 and cost.versions_written <= 2
+    assert listed(spark, table) == history(events | late)
+
+
+def test_replay_and_late_batches(spark, table, tmp_path, monkeypatch):
+    path, key = str(tmp_path / "t"), (2, None)
+    events = {(key, at): (at % 4 // 2, "x") for at in range(300)}
+    apply(spark, table, path, events, 5, slice_rows=20)
+    batch = {(key, 100): (8, "y"), (key, 157): (8, "y"), (key, 301): (1, "z")}
+
+    def dies(*_, **__):
+        raise RuntimeError("lost")
+
+    real = splice._write
+    with monkeypatch.context() as m:  # versions are published, events are not
+        m.setattr(splice, "_write", lambda spark, store, *a, **k: (dies if store.name.endswith("_events") else real)(spark, store, *a, **k))
+        with pytest.raises(RuntimeError):
+            apply(spark, table, path, batch, 6, slice_rows=20)
+    for _ in range(2):
+        apply(spark, table, path, batch, 6, slice_rows=20)
+        assert listed(spark, table) == history(events | batch)
+    # an earlier batch that arrives late does not win over a later one
+    apply(spark, table, path, {(key, 100): (0, "old"), (key, 400): (3, "new")}, 1, slice_rows=20)
+    assert listed(spark, table) == history(events | batch | {(key, 400): (3, "new")})
+
+
+def test_edges(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    assert apply(spark, table, path, {}, 0).rebuilt and listed(spark, table) == []
+    apply(spark, table, path, {((None, None), 3): (None, None)}, 1)
+    assert listed(spark, table) == [(None, None, None, None, 3, None, True)]
+    none = spark.createDataFrame([(1, "a", None, 1, "x")], DDL)
+    scd2_splice(spark, table, none, path, key=KEY, sequence_by="at", batch_id=2)
+    assert len(listed(spark, table)) == 1
+    twice = spark.createDataFrame([(1, "a", 1, 1, "x"), (1, "a", 1, 2, "x")], DDL)
+    with pytest.raises(ValueError, match="different values"):
+        scd2_splice(spark, table, twice, path, key=KEY, sequence_by="at", batch_id=3)
