@@ -30,6 +30,7 @@ from lodestar.operators import (
     versions,
 )
 from lodestar.operators.segments import MAX_GROUP_ROWS
+from lodestar.operators.snapshots import feed_changes, snapshot_changes as changes_between
 from lodestar.plans import clean, medallion
 from lodestar.scratch import delete_folder, folder_names, materialise, new_folder, rename_folder
 from lodestar.sources import tables
@@ -600,6 +601,57 @@ def scd2_rebucketed(spark, sf):
     return tables.load(spark, name)
 
 
+@query(
+    """
+    SELECT p_partkey, CASE WHEN p_size < 10 THEN p_retailprice + 1 ELSE p_retailprice END AS price,
+           CASE WHEN p_partkey % 7 = 0 THEN 'inserted' WHEN p_partkey % 11 = 0 THEN 'deleted' ELSE 'updated' END AS _change
+    FROM part WHERE p_partkey % 7 = 0 AND p_partkey % 11 <> 0 AND p_size >= 10
+    UNION ALL
+    SELECT p_partkey, p_retailprice + 1, CASE WHEN p_partkey % 7 = 0 THEN 'inserted' ELSE 'updated' END
+    FROM part WHERE p_size < 10 AND p_partkey % 11 <> 0
+    UNION ALL
+    SELECT p_partkey, p_retailprice, 'deleted' FROM part WHERE p_partkey % 11 = 0 AND p_partkey % 7 <> 0"""
+)
+def snapshot_changes(spark, sf):
+    """Two snapshots: parts are added and removed, and small ones become dearer."""
+    parts = read(spark, sf, "part").select("p_partkey", F.col("p_retailprice").alias("price"), "p_size")
+    before = parts.where("p_partkey % 7 <> 0").drop("p_size")
+    dearer = F.when(F.col("p_size") < 10, F.col("price") + 1).otherwise(F.col("price"))
+    after = parts.withColumn("price", dearer).where("p_partkey % 11 <> 0").drop("p_size")
+    name, path = new_table(spark, "snapshots")
+    feed_changes(spark, name, path, before, ["p_partkey"], lambda changes: None, buckets=16)
+    return changes_between(spark, name, path, after, ["p_partkey"], buckets=16)
+
+
+SNAPSHOT_HISTORY = """
+    WITH c AS (SELECT c_custkey AS customer_id, c_mktsegment AS segment, c_acctbal AS balance FROM customer),
+         v AS (SELECT customer_id, segment, balance, 1 AS seen FROM c
+               UNION ALL SELECT customer_id, segment, balance + 100, 2 FROM c WHERE segment = 'BUILDING'
+               UNION ALL SELECT customer_id, segment, balance + 300, 4 FROM c WHERE segment = 'BUILDING' AND customer_id % 3 = 0)
+    SELECT customer_id, segment, balance, seen AS valid_from, n AS valid_to, n IS NULL AS is_current FROM (
+        SELECT *, lead(seen) OVER (PARTITION BY customer_id ORDER BY seen) AS n FROM v)"""
+
+
+@query(SNAPSHOT_HISTORY)
+def snapshot_feed(spark, sf):
+    """A customer table that is overwritten as a whole feeds a type 2 dimension with what has changed in it."""
+    customers = read(spark, sf, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance")
+    )
+    building = F.col("segment") == "BUILDING"
+    second = customers.withColumn("balance", F.when(building, F.col("balance") + 100).otherwise(F.col("balance")))
+    third = F.when(building & (F.col("customer_id") % 3 == 0), F.col("balance") + 200).otherwise(F.col("balance"))
+    (name, path), (history, folder) = new_table(spark, "snapshots"), new_table(spark, "fed")
+    for seen, rows in enumerate([customers, second, second, second.withColumn("balance", third)], 1):
+
+        def apply(changes: DataFrame, seen: int = seen) -> None:
+            changes = changes.where("_change <> 'deleted'").drop("_change").withColumn("seen", F.lit(seen))
+            splice_changes(spark, history, changes, folder, key=["customer_id"], sequence_by="seen", batch_id=seen)
+
+        feed_changes(spark, name, path, rows, ["customer_id"], apply, buckets=16)
+    return tables.load(spark, history)
+
+
 # ---------------------------------------------------------------- facts
 
 ASOF = f"""

@@ -136,16 +136,37 @@ def _move_buckets(
     emptied: Iterable[int] = (),
 ) -> None:
     """Write the buckets present in ``df`` and point the table's partitions at them."""
+    move_partitions(df.withColumn(BUCKET, bucket_of(buckets, bucket_by)), name, path, emptied)
+
+
+def create_partitioned(df: DataFrame, name: str, path: str) -> None:
+    """Create a table without rows that has the columns of ``df`` and ``BUCKET``, which the caller computes."""
+    empty = df.limit(0).withColumn(BUCKET, F.lit(0))
+    empty.write.format("parquet").partitionBy(BUCKET).option("path", f"{path}/table").saveAsTable(name)
+
+
+def bucket_numbers(spark: SparkSession, name: str) -> list[int]:
+    """The buckets that a table has, empty ones included."""
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    return sorted(int(row["partition"].split("=")[1]) for row in rows)
+
+
+def move_partitions(
+    df: DataFrame, name: str, path: str, emptied: Iterable[int] = (), sort_by: Sequence[str] = ()
+) -> None:
+    """Write rows that know their ``BUCKET``, and point the table's partitions at them.
+
+    Buckets of ``emptied`` without rows in ``df`` are dropped.
+    """
     spark = df.sparkSession
     version = _new_version(path)
     # The rebalance hint collects each bucket into few files and splits a large one.
-    rows = df.withColumn(BUCKET, bucket_of(buckets, bucket_by)).hint("rebalance", BUCKET)
+    rows = df.hint("rebalance", BUCKET)
+    rows = rows.sortWithinPartitions(BUCKET, *sort_by) if sort_by else rows
     rows.write.partitionBy(BUCKET).parquet(version)
     written = spark.read.schema(f"{BUCKET} INT").parquet(version)
     listed = written.select(BUCKET).distinct().collect()
-    known = {
-        int(row["partition"].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()
-    }
+    known = set(bucket_numbers(spark, name))
     held = {row[BUCKET] for row in listed}
     for number in sorted(known & set(emptied) - held):
         spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BUCKET} = {number})")
