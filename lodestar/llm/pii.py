@@ -19,11 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestar.llm.common import column
-from lodestar.llm.spans import located, matches, written
+from lodestar.llm.spans import FEW, excerpt, located, matches, parts_of, written
 
 
 def luhn(digits: Column) -> Column:
@@ -186,13 +187,13 @@ NEARBY = 40
 CONTEXT_SCORE, LEAST_SCORE = 0.2, 0.5
 
 
-def _scored(text: Column, kind: Kind, spans: Column) -> Column:
+def _scored(text: Column, parts: Column, kind: Kind, spans: Column) -> Column:
     """Spans as structs of kind, start, end, score and whether they are base spans."""
 
     def weigh(span: Column) -> Column:
         begin = F.greatest(span["start"] - NEARBY, F.lit(0))
-        before = F.substring(text, begin + 1, span["start"] - begin)
-        after = F.substring(text, span["end"] + 1, F.lit(NEARBY))
+        before = excerpt(text, parts, begin, span["start"] - begin)
+        after = excerpt(text, parts, span["end"], F.lit(NEARBY))
         words = F.lit(rf"(?i)(?:^|[^\p{{L}}])(?:{kind.context})")
         near = F.regexp_like(F.concat_ws(" ", before, after), words)
         score = F.lit(kind.score) + F.when(near, CONTEXT_SCORE).otherwise(0.0)
@@ -242,14 +243,17 @@ def find_personal_data(
             for i, k in enumerate(kinds)
         ),
     )
+    spans = [F.col(f"_spans{i}") for i in range(len(kinds))]
+    many = reduce(lambda a, b: a + b, (F.size(s) for s in spans)) > FEW
+    confirmed = confirmed.withColumn("_parts", parts_of(text, many))
     names = list(dict.fromkeys(k.name for k in kinds))
     by_kind = []
     for name in names:
-        parts = [_scored(text, k, F.col(f"_spans{i}")) for i, k in enumerate(kinds) if k.name == name]
-        if len(parts) == 1:
-            by_kind += parts
+        scored = [_scored(text, F.col("_parts"), k, spans[i]) for i, k in enumerate(kinds) if k.name == name]
+        if len(scored) == 1:
+            by_kind += scored
         else:
-            merged = F.concat(*parts)
+            merged = F.concat(*scored)
             by_kind.append(
                 F.array_sort(merged, lambda a, b: a["start"] - b["start"])
             )

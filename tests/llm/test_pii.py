@@ -94,3 +94,16 @@ def test_many_heads_of_ibans_end_in_time(spark):
 
 def test_empty_table(no_docs):
     assert pii.personal_data_report(no_docs).count() == 0
+
+
+def test_very_many_matches_in_one_text(spark, monkeypatch):
+    """Matches are located in blocks, and their surroundings read from parts, with the same result."""
+    rnd = random.Random(11)
+    kinds = ["bob{0}@mail.example.com", "10.0.{1}.7", "call +49 30 {0}5550", "IBAN DE89370400440532013000", "card 4111 1111 1111 1111", "\U0001F600 é {0}", "ssn 123-45-67{1}"]
+    text = " ".join(rnd.choice(kinds).format(i, i % 90 + 10) for i in range(3000))
+    docs = spark.createDataFrame([(0, text), (1, text[:900])], "doc_id bigint, text string")
+    rows = {r["doc_id"]: r for r in pii.personal_data_report(docs).collect()}
+    check(pii.personal_data_report(docs), {0: text, 1: text[:900]})
+    monkeypatch.setattr(pii, "FEW", 10**9)
+    whole = {r["doc_id"]: r for r in pii.personal_data_report(docs).collect()}
+    assert rows == whole and rows[0]["spans"].count("iban") > 300
