@@ -95,27 +95,34 @@ BROADCAST_ROWS = 1_000_000
 def with_places(docs: DataFrame) -> DataFrame:
     """``docs`` with ``FILE`` and ``PLACE``, which are the same whenever the result is read.
 
-    Rows of files have a place already. Any other table is stored first.
+    Rows of files have a place already. Any other table is stored first. Columns of ``docs``
+    keep their order; those that have one of the two names get another (``named_in``).
     """
     taken = {c.lower() for c in docs.columns}
-    if {FILE, PLACE} & taken:
-        raise ValueError(f"columns {FILE} and {PLACE} are reserved")
+    clashing = {c: fresh_name(docs, c + "_") for c in docs.columns if c.lower() in (FILE, PLACE)}
     marks = [
         F.xxhash64(F.col("_metadata.file_path")).alias(FILE),
         F.col("_metadata.row_index").alias(PLACE),
     ]
+    names = [clashing.get(c, c) for c in docs.columns]
     if "_metadata" not in taken:
         try:
-            return docs.select("*", *marks)
+            return docs.select(*(column(docs, c).alias(n) for c, n in zip(docs.columns, names)), *marks)
         except AnalysisException:
             pass  # not a scan of files
-    renamed = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    stored = materialise(docs.toDF(*renamed.values()), "placed")
-    return stored.select(*(F.col(n).alias(c) for c, n in renamed.items()), *marks)
+    plain = [f"c{i}" for i in range(len(names))]
+    stored = materialise(docs.toDF(*plain), "placed")
+    return stored.select(*(F.col(p).alias(n) for p, n in zip(plain, names)), *marks)
 
 
-def without_rows(placed: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of a ``with_places`` table that are not in ``dropped`` (stored FILE and PLACE)."""
+def named_in(placed: DataFrame, docs: DataFrame, name: str) -> str:
+    """What the column ``name`` of ``docs`` is called in ``with_places(docs)``."""
+    lower = [c.lower() for c in docs.columns]
+    return placed.columns[lower.index(name.lower())]
+
+
+def without_rows(placed: DataFrame, dropped: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, of which ``placed`` has the places, that are not in ``dropped`` (stored FILE and PLACE)."""
     few = dropped.count() <= BROADCAST_ROWS
     side = F.broadcast(dropped) if few else dropped.hint("shuffle_hash")
-    return placed.join(side, [FILE, PLACE], "left_anti").drop(FILE, PLACE)
+    return placed.join(side, [FILE, PLACE], "left_anti").drop(FILE, PLACE).toDF(*docs.columns)

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodestar.llm.common import FILE, PLACE, column, lower_ascii, with_places, without_rows
+from lodestar.llm.common import FILE, PLACE, column, lower_ascii, named_in, with_places, without_rows
 from lodestar.scratch import discard, materialise
 
 #: Runs that are merged at a time.
@@ -116,9 +116,9 @@ def drop_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each class, all columns as they were."""
     rows = with_places(docs)
-    runs = digest_runs(rows, id_column, text_column, [FILE, PLACE])
+    runs = digest_runs(rows, named_in(rows, docs, id_column), named_in(rows, docs, text_column), [FILE, PLACE])
     classes = materialise(merge_runs(runs, keep).where("_size > 1"), "digest-classes")
     copies = runs.join(classes, DIGEST).where("_row <> _keep_row")
     dropped = materialise(copies.select(FILE, PLACE), "copies")
     discard(runs, classes)
-    return without_rows(rows, dropped)
+    return without_rows(rows, dropped, docs)

@@ -7,10 +7,10 @@ show. The join adapts l to each document:
 
 1. Copies. Documents with the same set form a class; one of each goes on.
 2. Cost. The shingles of all shortest prefixes are counted. Frequent ones are
-   moved to the end of the global order, most frequent last; documents that
-   mostly consist of them have all their shingles counted. A document's
-   estimated cost is the sum of the counts of the frequent shingles it shows,
-   and its prefix grows by the logarithm of that.
+   moved to the end of the global order, most frequent last, and what the
+   prefixes show then is counted again, until no shingle that many documents
+   show passes as rare. A document's estimated cost is the sum of the counts of
+   the frequent shingles it shows, and its prefix grows by the logarithm of that.
 3. Rare shingles shown by two documents make a candidate. Sets of x and y
    shingles that show p and q of them must share as many as
    ceil(T (x + y) / (100 + T)) - max(x - p, y - q) there, which almost only
@@ -22,6 +22,8 @@ show. The join adapts l to each document:
    the difference of their differences: documents linked to the leader need no
    comparison, and two others can be similar only if they share some of these,
    which is a join on prefixes as above, but on differences, which are rare.
+   Where many documents differ from the leader alike, one of them becomes the
+   leader of those, and so on.
 
 Links become components by contraction.
 
@@ -36,6 +38,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +51,7 @@ from lodestar.llm.common import (
     PLACE,
     prepare_workers,
     column,
+    named_in,
     with_places,
     without_rows,
 )
@@ -64,6 +68,10 @@ from lodestar.scratch import discard, materialise
 
 #: A shingle counts as frequent from this many prefixes on; doubled until ``MOST_FREQUENT`` fit.
 FREQUENT = 32
+#: Rare shingles are shown by fewer documents than this; otherwise all is counted again.
+MANY = 128
+#: How far a count looks ahead for each shingle that was moved, and the most by which a prefix grows for its cost.
+AHEAD, LONGER = 3, 32
 #: The most frequent shingles that are broadcast (16 bytes each); only cost depends on it.
 MOST_FREQUENT = 1_000_000
 
@@ -152,53 +160,78 @@ class Frequent:
         return ranks, counts
 
 
+def in_order(sets: Sets, known: Frequent) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of each set in the global order, frequent ones last, with their ranks and counts."""
+    ranks, counts = known.find(sets.values)
+    order = np.argsort((sets.owners() << 32) | ranks, kind="stable")
+    return sets.values[order], ranks[order], counts[order]
+
+
 def _tokens(docs: DataFrame, size: int, least: int, known: Broadcast | None) -> DataFrame:
-    """Shingles with counts: of all shortest prefixes, or all of documents mostly made of ``known``."""
+    """Shingles with the number of documents that show them.
+
+    Without ``known`` these are all shingles of the shortest prefixes. With it, rare ones of the
+    prefixes as ``known`` orders them (``shown``), and ``count`` also has documents that would show
+    them if more became frequent: ``AHEAD`` times as many places as frequent ones were moved from.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in text_slices(batch["text"]):
                 sets = shingle_sets(data, offsets, size)
                 prefix = shortest_prefix(sets.sizes, least)
-                shown = sets.places() < np.repeat(prefix, sets.sizes)
+                place = sets.places()
                 if known is None:
-                    chosen = shown
+                    chosen = shown = place < np.repeat(prefix, sets.sizes)
+                    values = sets.values
                 else:
                     ranks, _ = known.value.find(sets.values)
-                    owner = sets.owners()
-                    often = np.bincount(owner, shown & (ranks > 0), len(prefix))
-                    chosen = np.repeat((often > 0) & (2 * often >= prefix), sets.sizes)
-                values, counts = np.unique(sets.values[chosen], return_counts=True)
+                    early = (ranks > 0) & (place < np.repeat(prefix, sets.sizes))
+                    moved = np.bincount(sets.owners(), early, len(prefix)).astype(np.int64)
+                    values, ranks, _ = in_order(sets, known.value)
+                    slack = np.where(moved > 0, LONGER, 0)
+                    shown = (ranks == 0) & (place < np.repeat(prefix + slack, sets.sizes))
+                    reach = np.where(2 * moved >= prefix, sets.sizes, prefix + slack + AHEAD * moved)
+                    chosen = (ranks == 0) & (place < np.repeat(reach, sets.sizes))
+                found, which, counts = np.unique(values[chosen], return_inverse=True, return_counts=True)
+                seen = np.bincount(which, shown[chosen], len(found)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(values), pa.array(counts, pa.int64())], names=["token", "count"]
+                    [_signed(found), pa.array(counts, pa.int64()), pa.array(seen)], names=["token", "count", "shown"]
                 )
 
-    rows = docs.select("text").mapInArrow(count, "token bigint, count bigint")
-    return rows.groupBy("token").agg(F.sum("count").alias("count"))
+    rows = docs.select("text").mapInArrow(count, "token bigint, count bigint, shown bigint")
+    return rows.groupBy("token").agg(F.sum("count").alias("count"), F.sum("shown").alias("shown"))
 
 
 def frequent_shingles(docs: DataFrame, size: int, least: int) -> Frequent:
-    """Shingles worth avoiding: counted exactly, as many as fit."""
-    spark = docs.sparkSession
+    """Shingles worth avoiding, as many as fit.
 
-    def most(counted: DataFrame, label: str) -> tuple[np.ndarray, np.ndarray]:
-        stored = materialise(counted.where(F.col("count") >= FREQUENT), label)
+    To move a frequent shingle away lets others move up, which may be just as frequent. So what
+    the prefixes then show is counted again, until ``MANY`` documents or more show none of the rare ones.
+    """
+    spark = docs.sparkSession
+    values, counts = np.empty(0, dtype=_U64), np.empty(0, dtype=np.int64)
+    known = None
+    while True:
+        counted = _tokens(docs, size, least, known).where(F.col("count") >= FREQUENT)
+        stored = materialise(counted, "frequent")
+        worst = stored.agg(F.max("shown")).first()[0] or 0
         floor = FREQUENT
         while stored.where(F.col("count") >= floor).count() > MOST_FREQUENT // 2:
             floor *= 2
         rows = stored.where(F.col("count") >= floor).toPandas()
-        return rows["token"].to_numpy(np.int64).view(_U64), rows["count"].to_numpy(np.int64)
-
-    values, counts = most(_tokens(docs, size, least, None), "frequent")
-    known = spark.sparkContext.broadcast(Frequent(values, counts))
-    more, more_counts = most(_tokens(docs, size, least, known), "frequent")
-    both = np.concatenate([values, more])
-    every = np.concatenate([counts, more_counts])
-    order = np.lexsort((-every, both))
-    both, every = both[order], every[order]
-    first = np.ones(len(both), dtype=bool)
-    first[1:] = both[1:] != both[:-1]
-    return Frequent(both[first], every[first])
+        discard(stored)
+        fresh = ~np.isin(rows["token"].to_numpy(np.int64).view(_U64), values)
+        values = np.concatenate([values, rows["token"].to_numpy(np.int64).view(_U64)[fresh]])
+        counts = np.concatenate([counts, rows["count"].to_numpy(np.int64)[fresh]])
+        most = np.argsort(-counts, kind="stable")[:MOST_FREQUENT]
+        values, counts = values[most], counts[most]
+        done = not fresh.any() or (known is not None and worst < MANY)
+        if known is not None:
+            known.unpersist()
+        if done:
+            return Frequent(values, counts)
+        known = spark.sparkContext.broadcast(Frequent(values, counts))
 
 
 def signatures(docs: DataFrame, size: int, least: int, frequent: Broadcast) -> DataFrame:
@@ -223,16 +256,14 @@ def signatures(docs: DataFrame, size: int, least: int, frequent: Broadcast) -> D
                     sums = np.zeros(len(sets.values) + 1, dtype=_U64)
                     np.cumsum(mix(sets.values ^ _U64(salt)), out=sums[1:])
                     digests.append(sums[sets.bounds[1:]] - sums[sets.bounds[:-1]])
-                ranks, counts = order_of.find(sets.values)
                 owner = sets.owners()
-                order = np.argsort((owner << 32) | ranks, kind="stable")
-                values, ranks, counts = sets.values[order], ranks[order], counts[order]
+                values, ranks, counts = in_order(sets, order_of)
                 place = sets.places()
                 prefix = shortest_prefix(sizes, least)
                 shortest = place < np.repeat(prefix, sizes)
                 cost = np.bincount(owner, counts * shortest, len(sizes))
                 longer = np.floor(np.log2(1 + cost / (FREQUENT * np.maximum(prefix, 1))))
-                prefix = np.minimum(prefix + longer.astype(np.int64), sizes)
+                prefix = np.minimum(prefix + np.minimum(longer, LONGER).astype(np.int64), sizes)
                 prefix[~can_link(sizes, least)] = 0
                 shown = place < np.repeat(prefix, sizes)
                 lists = []
@@ -387,15 +418,39 @@ def differences(stars: DataFrame, texts: DataFrame, size: int, least: int, frequ
     return materialise(rows, "differences")
 
 
-def difference_candidates(differing: DataFrame, least: int) -> DataFrame:
+def crowded_differences(differing: DataFrame) -> DataFrame:
+    """Differences from a leader that many documents show, with the one of them that differs least, stored.
+
+    Documents that are linked to the leader need no comparison with each other, so only
+    pairs with one that is not are counted.
+    """
+    posted = differing.select("leader", "node", "size", "linked", F.explode("shown").alias("token"))
+    groups = posted.groupBy("leader", "token").agg(
+        F.count("*").alias("showing"),
+        F.count_if(~F.col("linked")).alias("apart"),
+        F.min(F.struct("size", "node")).alias("lead"),
+    )
+    crowded = groups.where(F.col("apart") * F.col("showing") >= FREQUENT * FREQUENT)
+    return materialise(crowded.select("leader", "token", F.col("lead.node").alias("second")), "crowded")
+
+
+def second_leaders(differing: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Documents of crowded differences with the document that they are compared with next."""
+    posted = differing.select("leader", "node", F.explode("shown").alias("token"))
+    joined = posted.join(crowded, ["leader", "token"]).where("node <> second")
+    return joined.select(F.col("second").alias("leader"), "node").distinct()
+
+
+def difference_candidates(differing: DataFrame, least: int, crowded: DataFrame) -> DataFrame:
     """Pairs a < b of one leader, not both linked to it, that may share enough differences.
 
     Two documents with s and t differences that are to differ by no more than d
     share o = (s + t - d) / 2 of them, so one within the first s - o + 1 and t - o + 1.
+    Crowded differences are left to a second leader.
     """
     posted = differing.select(
         "leader", "node", "n", "size", "linked", F.posexplode("shown").alias("place", "token")
-    )
+    ).join(crowded.select("leader", "token"), ["leader", "token"], "left_anti")
     a, b = (
         posted.select(
             "leader", "token", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "size", "linked", "place"))
@@ -411,6 +466,26 @@ def difference_candidates(differing: DataFrame, least: int) -> DataFrame:
     return a.join(b, ["leader", "token"]).where(possible).select("node_a", "node_b").distinct()
 
 
+def leader_links(
+    stars: DataFrame, texts: DataFrame, size: int, least: int, frequent: Broadcast
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Links found by comparison with leaders, and with second ones where many differ alike; stored tables to discard.
+
+    The documents of a crowded difference all have it, so from one of them they do not differ by
+    it: each round has smaller groups.
+    """
+    found, used = [], []
+    while True:
+        differing = differences(stars, texts, size, least, frequent)
+        crowded = crowded_differences(differing)
+        pairs = materialise(difference_candidates(differing, least, crowded), "pairs")
+        found += [differing.where("linked").select("leader", "node"), verified(pairs, texts, size, least)]
+        used += [stars, differing, crowded, pairs]
+        if crowded.isEmpty():
+            return reduce(DataFrame.union, found), used
+        stars = materialise(second_leaders(differing, crowded), "stars")
+
+
 def similar_components(docs: DataFrame, size: int, least: int) -> tuple[DataFrame, DataFrame]:
     """Signatures of all documents, and root and smallest id of those in a component.
 
@@ -442,16 +517,10 @@ def similar_components(docs: DataFrame, size: int, least: int) -> tuple[DataFram
     nodes += [stars.select(F.col(c).alias("node")) for c in ("leader", "node")]
     wanted = nodes[0].union(nodes[1]).union(nodes[2]).union(nodes[3]).distinct()
     texts = fetch_texts(docs, signed, wanted)
-    differing = differences(stars, texts, size, least, frequent)
-    more = materialise(difference_candidates(differing, least), "pairs")
-    links = (
-        verified(pairs, texts, size, least)
-        .union(differing.where("linked").select("leader", "node"))
-        .union(verified(more, texts, size, least))
-        .union(members.select("node", "first"))
-    )
+    led, used = leader_links(stars, texts, size, least, frequent)
+    links = verified(pairs, texts, size, least).union(led).union(members.select("node", "first"))
     roots = connected(links)
-    discard(single, members, pairs, stars, texts, differing, more)
+    discard(single, members, pairs, texts, *used)
     smallest = (
         signed.select("node", "id").join(roots, "node").groupBy("root").agg(F.min("id").alias("least_id"))
     )
@@ -459,10 +528,10 @@ def similar_components(docs: DataFrame, size: int, least: int) -> tuple[DataFram
     return signed, materialise(placed, "components")
 
 
-def _prepared(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return docs.select(
-        column(docs, id_column).alias("id"),
-        F.coalesce(column(docs, text_column), F.lit("")).alias("text"),
+def _prepared(docs: DataFrame, placed: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return placed.select(
+        column(placed, named_in(placed, docs, id_column)).alias("id"),
+        F.coalesce(column(placed, named_in(placed, docs, text_column)), F.lit("")).alias("text"),
         FILE,
         PLACE,
     )
@@ -472,7 +541,7 @@ def near_duplicates(
     docs: DataFrame, size: int = 5, least: int = 80, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row per document: the size of its set and the smallest id of its component."""
-    signed, placed = similar_components(_prepared(with_places(docs), id_column, text_column), size, least)
+    signed, placed = similar_components(_prepared(docs, with_places(docs), id_column, text_column), size, least)
     rows = signed.select("node", "id", "n").join(placed, "node", "left")
     component = F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least_id"))
     return rows.select(
@@ -487,11 +556,11 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id, all columns as they were."""
     rows = with_places(docs)
-    signed, placed = similar_components(_prepared(rows, id_column, text_column), size, least)
+    signed, placed = similar_components(_prepared(docs, rows, id_column, text_column), size, least)
     inside = signed.select("node", "id", FILE, PLACE).join(placed, "node")
     stays = inside.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first")
     )
     keepers = materialise(stays.select(F.col("first.node").alias("node")), "keepers")
     gone = inside.select("node", FILE, PLACE).join(keepers, "node", "left_anti")
-    return without_rows(rows, materialise(gone.select(FILE, PLACE), "dropped"))
+    return without_rows(rows, materialise(gone.select(FILE, PLACE), "dropped"), docs)

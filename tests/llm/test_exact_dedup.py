@@ -53,3 +53,9 @@ def test_many_runs_meet_in_rounds(spark):
 def test_empty_table(no_docs):
     assert exact_dedup.duplicate_classes(no_docs).count() == 0
     assert exact_dedup.drop_duplicates(no_docs).columns == no_docs.columns
+
+
+def test_columns_of_the_names_of_places(spark):
+    docs = spark.createDataFrame([(1, "A", 7), (3, "a", 8), (2, "b", 9)], "_file_hash bigint, `_file_place` string, x int")
+    got = exact_dedup.drop_duplicates(docs, "_file_hash", "_file_place")
+    assert got.columns == docs.columns and sorted(r["x"] for r in got.collect()) == [8, 9]
