@@ -5,56 +5,70 @@ its widest dimension, until leaves are as small as wanted or there are as many
 as wanted. Weights are bytes, so all leaves hold nearly the same number.
 
 The medians are exact up to ``TOLERANCE`` and found together for all nodes of a
-level, from histograms: a document's place along a dimension is a list of
-digits (the cell of its value, then bits of a hash of id and text, then bits
-of a hash of its row), one pass over the stored metadata sums the bytes for
-each digit, and the digit that holds the median is refined by the next one.
-Equal values, equal documents and even repeated rows can so be told apart, and
-a value that most documents share is split like any other. The driver sees a
-row per node and pass, never documents.
+level, from histograms: one pass over the stored metadata cuts the values of
+each node into ``CELLS`` and sums their bytes, and the cell that holds the
+median is cut again, from its smallest value to its largest. So an outlier costs
+a pass, and no more. Only documents of one and the same value are told apart by
+other means: bits of a hash of id and text, then bits of a hash of the row, as
+digits, again with a pass for each. Equal documents and even repeated rows can
+so be split like any others. The driver sees a row per node and pass, never
+documents.
 
 The law is ``bytes``. Equal texts of different metadata may lie in different
 shards, and a large group of equal texts is split if the sizes ask for it.
 
-Null text has no bytes, and each document weighs its bytes plus one. Null
-metadata count as the smallest value. An empty table gives no rows. Columns
-not named as dimensions are not looked at.
+Null text has no bytes, and each document weighs its bytes plus one. Infinite
+metadata stand just beyond the smallest or largest finite value, null and NaN
+below all. An empty table gives no rows. Columns not named as dimensions are not
+looked at.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodestar.llm.common import column
-from lodestar.scratch import materialise
+from lodestar.scratch import discard, materialise
 
-#: Cells a dimension is cut into, and values of a further digit.
+#: Cells that the values of a node are cut into in a pass, and values of a digit.
 CELLS = 4096
 #: Part of a node's bytes by which a split may miss the median.
 TOLERANCE = 1e-4
+_LARGEST = sys.float_info.max
 #: Digits of each of the two hashes: 12 bits each, the upper ones first.
 HASH_DIGITS = 3
 
 
-#: What is known of the split of a node: bytes that shall go left, the digits of the boundary so
-#: far, and the bytes below them.
+#: What is known of the split of a node: bytes that shall go left; the values among which the boundary
+#: is, and the bytes below them; the digits of the boundary if these are equal; and, when it is found,
+#: the value there and whether documents of that value go left (null: those whose digits are not above).
 SPLITS = (
     "_node bigint, dimension int, low double, high double, wanted bigint, near bigint,"
-    " digits array<int>, below bigint, done boolean"
+    " digits array<int>, below bigint, cut double, inclusive boolean"
 )
 
 
-def _digits(names: Sequence[str]) -> Column:
-    """A document's place along the dimension of its node's split, digit by digit."""
-    value = F.element_at(F.array(*names), F.col("dimension") + 1)
-    width = F.col("high") - F.col("low")
-    scaled = (value - F.col("low")) / F.when(width > 0, width).otherwise(1.0) * CELLS
-    cell = F.least(F.greatest(scaled.cast("int"), F.lit(0)), F.lit(CELLS - 1))
+def _value(names: Sequence[str]) -> Column:
+    """A document's value along the dimension of its node's split."""
+    return F.element_at(F.array(*names), F.col("dimension") + 1)
 
-    return F.concat(F.array(cell), F.col("_ties"))
+
+def _cell(value: Column) -> Column:
+    """The cell of a value between ``low`` and ``high``; halves, as the difference may be too large for a double."""
+    scaled = (value / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * CELLS
+    return F.least(F.greatest(scaled, F.lit(0.0)), F.lit(CELLS - 1.0)).cast("int")
+
+
+def _goes_right(names: Sequence[str]) -> Column:
+    """Whether a document lies beyond the boundary of its node; false without a split."""
+    value = _value(names)
+    tied = F.slice("_ties", 1, F.size("digits")) > F.col("digits")
+    at_cut = F.when(F.col("inclusive").isNull(), tied).otherwise(~F.col("inclusive"))
+    return F.coalesce((value > F.col("cut")) | ((value == F.col("cut")) & at_cut), F.lit(False))
 
 
 def _bits(key: Column) -> list[Column]:
@@ -75,11 +89,11 @@ def _open_splits(
     found = {}
     for row in rows:
         spans = [(row[f"low_{i}"], row[f"high_{i}"]) for i in range(len(names))]
-        whole.extend(max(high - low, 1e-9) for low, high in spans if len(whole) < len(names))
+        whole.extend(max(high / 2 - low / 2, 1e-9) for low, high in spans if len(whole) < len(names))
         count = leaves[row["_node"]]
         if count < 2:
             continue
-        widest = max(range(len(names)), key=lambda i: (spans[i][1] - spans[i][0]) / whole[i])
+        widest = max(range(len(names)), key=lambda i: (spans[i][1] / 2 - spans[i][0] / 2) / whole[i])
         found[row["_node"]] = {
             "_node": row["_node"],
             "dimension": widest,
@@ -89,42 +103,48 @@ def _open_splits(
             "near": max(int(row["bytes"] * TOLERANCE), 1),
             "digits": [],
             "below": 0,
-            "done": False,
+            "cut": None,
+            "inclusive": None,
         }
     return found
 
 
 def _find_medians(stored: DataFrame, names: Sequence[str], splits: dict[int, dict]) -> None:
-    """Refine the boundaries of all nodes of a level, a digit at a time, until they are near enough."""
+    """Close in on the boundaries of all nodes of a level, a pass at a time, until they are near enough."""
     spark = stored.sparkSession
     last = 2 * HASH_DIGITS
-    for i in range(last + 1):
-        active = [s for s in splits.values() if not s["done"]]
+    while True:
+        active = [s for s in splits.values() if s["cut"] is None]
         if not active:
             return
         known = spark.createDataFrame([tuple(s.values()) for s in active], SPLITS)
         # one row per node
-        place = stored.join(F.broadcast(known), "_node").withColumn("place", _digits(names))
-        if i:
-            place = place.where(F.slice("place", 1, i) == F.col("digits"))
-        sums = place.groupBy("_node", "wanted", "below", F.element_at("place", i + 1).alias("digit")).agg(
-            F.sum("_size").alias("held")
+        value, among = _value(names), F.size("digits")
+        within = value.between(F.col("low"), F.col("high")) & (F.slice("_ties", 1, among) == F.col("digits"))
+        digit = F.when(F.col("low") < F.col("high"), _cell(value)).otherwise(F.element_at("_ties", among + 1))
+        place = stored.join(F.broadcast(known), "_node").where(within)
+        sums = place.groupBy("_node", "wanted", "below", digit.alias("digit")).agg(
+            F.sum("_size").alias("held"), F.min(value).alias("least"), F.max(value).alias("most")
         )
         upto = Window.partitionBy("_node").orderBy("digit")
         reached = sums.withColumn("upto", F.col("below") + F.sum("held").over(upto))
         first = reached.where("upto >= wanted").groupBy("_node").agg(
-            F.min(F.struct("digit", "held", "upto")).alias("at")
+            F.min(F.struct("digit", "held", "upto", "least", "most")).alias("at")
         )
         for row in first.collect():
-            split, (digit, held, upto_here) = splits[row["_node"]], row["at"]
+            split, (digit, held, upto_here, least, most) = splits[row["_node"]], row["at"]
+            tied = split["low"] == split["high"]
             split["below"] = upto_here - held
             short, over = split["wanted"] - split["below"], upto_here - split["wanted"]
-            if min(short, over) <= split["near"] or i == last:
+            near = min(short, over) <= split["near"] or tied and len(split["digits"]) == last - 1
+            if tied:
                 # the boundary lies behind this digit or before it, whichever is closer
-                split["digits"].append(digit if over <= short else digit - 1)
-                split["done"] = True
+                split["digits"].append(digit - 1 if near and over > short else digit)
+                split["cut"] = least if near else None
+            elif near:
+                split["cut"], split["inclusive"] = (most, True) if over <= short else (least, False)
             else:
-                split["digits"].append(digit)
+                split["low"], split["high"] = least, most
 
 
 def kd_shards(
@@ -152,12 +172,10 @@ def kd_shards(
         _find_medians(stored, names, splits)
         known = spark.createDataFrame([tuple(s.values()) for s in splits.values()], SPLITS)
         joined = stored.join(F.broadcast(known), "_node", "left")
-        beyond = F.slice(_digits(names), 1, F.size("digits")) > F.col("digits")
-        right = F.when(F.col("digits").isNotNull() & beyond, 1).otherwise(0)
-        node = (F.col("_node") * 2 + right).alias("_node")
-        stored = materialise(
-            joined.select(*(c for c in stored.columns if c != "_node"), node), "metadata"
-        )
+        node = (F.col("_node") * 2 + F.when(_goes_right(names), 1).otherwise(0)).alias("_node")
+        placed = materialise(joined.select(*(c for c in stored.columns if c != "_node"), node), "metadata")
+        discard(stored)
+        stored = placed
         below = {}
         for n, count in leaves.items():
             left = count // 2 if n in splits else count
@@ -181,7 +199,7 @@ def _metadata(docs: DataFrame, dimensions: Sequence[str], id_column: str, text_c
             ranks[name] = value
             values.append(value.alias(name))
         else:
-            values.append(F.coalesce(value.cast("double"), F.lit(-math.inf)).alias(name))
+            values.append(value.cast("double").alias(name))
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
     rows = docs.select(
         column(docs, id_column).alias("_id"),
@@ -204,13 +222,21 @@ def _metadata(docs: DataFrame, dimensions: Sequence[str], id_column: str, text_c
             .withColumn(name, F.coalesce("place", F.lit(float(CELLS))))
             .drop("value", "place")
         )
-    # numbers: nulls stand just below the smallest value
+    # numbers: what is not finite stands beyond the finite ones
     plain = [n for n in names if n not in ranks]
     if plain:
-        least = stored.agg(*(F.min(F.when(F.col(n) > -math.inf, F.col(n))).alias(n) for n in plain)).first()
+        finite = {n: F.when(F.abs(n) < math.inf, F.col(n)) for n in plain}
+        ends = stored.agg(
+            *(f(finite[n]).alias(f"{end}{n}") for n in plain for end, f in (("least", F.min), ("most", F.max)))
+        ).first()
         for n in plain:
-            floor = (least[n] if least[n] is not None else 0.0) - 1.0
-            stored = stored.withColumn(n, F.greatest(F.col(n), F.lit(floor)))
+            least, most = (0.0 if ends[f"{end}{n}"] is None else ends[f"{end}{n}"] for end in ("least", "most"))
+            apart = max((most / 2 - least / 2) / 50, 1.0)
+            lowest, low, high = (max(least - 2 * apart, -_LARGEST), max(least - apart, -_LARGEST), min(most + apart, _LARGEST))
+            stored = stored.withColumn(
+                n, F.when(F.col(n).isNull() | F.isnan(n), lowest).when(F.col(n) == math.inf, high)
+                .when(F.col(n) == -math.inf, low).otherwise(F.col(n))
+            )
     return stored, names
 
 

@@ -48,3 +48,60 @@ def test_split_follows_the_widest_dimension(spark):
     got = kd_shards.kd_shards(docs, ["x", "y"], shards=4).toPandas()
     boxes = [(p.doc_id % 64, p.doc_id // 64) for _, p in got.groupby("shard")]
     assert all(len(x) == 1024 and x.max() - x.min() <= 32 and y.max() - y.min() <= 32 for x, y in boxes)
+
+
+def brute_force(points, weights, shards):
+    """The boxes of a K-d tree whose splits are the weighted medians along the widest dimension."""
+    whole = [max(p[i] for p in points) - min(p[i] for p in points) for i in range(len(points[0]))]
+
+    def split(members, count):
+        if count < 2:
+            return [sorted(members)]
+        spans = [max(points[m][i] for m in members) - min(points[m][i] for m in members) for i in range(len(whole))]
+        widest = max(range(len(whole)), key=lambda i: spans[i] / (whole[i] or 1e-9))
+        wanted = sum(weights[m] for m in members) * (count // 2) // count
+        below, left = 0, []
+        values = sorted({points[m][widest] for m in members})
+        for v in values:
+            held = sum(weights[m] for m in members if points[m][widest] == v)
+            if below + held > wanted and (below + held - wanted > wanted - below):
+                break
+            left += [m for m in members if points[m][widest] == v]
+            below += held
+        right = [m for m in members if m not in set(left)]
+        return split(left, count // 2) + split(right, count - count // 2)
+
+    return split(list(range(len(points))), shards)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_leaves_are_those_of_a_plain_tree(spark, seed, monkeypatch):
+    """Distinct values, some of them far away, so that every median is a value."""
+    import random
+
+    monkeypatch.setattr(kd_shards, "TOLERANCE", 0.0)
+    rnd = random.Random(seed)
+    n = 300
+    points = [(rnd.random() * 10 ** rnd.choice([0, 1, 2, 9]), rnd.gauss(0, 1) ** 3) for _ in range(n)]
+    sizes = [rnd.randrange(1, 90) for _ in range(n)]
+    rows = [(i, "x" * (sizes[i] - 1), *points[i]) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, x double, y double").repartition(3)
+    got = kd_shards.kd_shards(docs, ["x", "y"], 5).toPandas()
+    leaves = sorted(sorted(p.doc_id.tolist()) for _, p in got.groupby("shard"))
+    assert leaves == sorted(brute_force(points, sizes, 5))
+
+
+def test_an_outlier_does_not_hide_the_values(spark):
+    docs = spark.range(4096).selectExpr("id AS doc_id", "'t' AS text", "cast(if(id = 4095, 1e12, id) AS double) AS x")
+    got = kd_shards.kd_shards(docs, ["x"], 2).toPandas()
+    sides = sorted((p.doc_id.min(), p.doc_id.max()) for _, p in got.groupby("shard"))
+    assert sides == [(0, 2047), (2048, 4095)]
+
+
+def test_values_that_are_not_finite(spark):
+    odd = ["double('nan')", "double('infinity')", "double('-infinity')", "cast(NULL AS double)", "1.7e308D", "-1.7e308D"]
+    docs = spark.range(600).selectExpr("id AS doc_id", "'t' AS text", f"element_at(array({', '.join(odd)}), cast(id % 6 + 1 AS int)) AS x")
+    got = kd_shards.kd_shards(docs, ["x"], 6).toPandas()
+    assert sorted(got.groupby("shard").size()) == [100] * 6
+    for _, part in got.groupby("shard"):
+        assert part.doc_id.mod(6).nunique() == 1 or set(part.doc_id.mod(6)) == {0, 3}
