@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lodestar.names import Plain, column
 from lodestar.operators.segments import POSITION, SEGMENT, same, sorted_segments
 
 
@@ -17,7 +18,8 @@ def assign_surrogate_keys(
     The rows are sorted in parallel and stored with their place; a row's key is
     the number of rows in earlier segments plus its own position.
     """
-    placed = sorted_segments(df, [F.col(c).asc() for c in key_columns])
+    rows = Plain(df.drop(column(out)))
+    placed = sorted_segments(rows.df, [F.col(c).asc() for c in rows.all_of(key_columns)])
     # One row per segment, so this window without a partition stays small.
     before = Window.orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -26,16 +28,13 @@ def assign_surrogate_keys(
         .select(SEGMENT, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
     )
     key = F.lit(start + 1).cast("bigint") + F.col("_offset") + F.col(POSITION)
-    return (
-        placed.join(F.broadcast(offsets), SEGMENT)
-        .withColumn(out, key)
-        .drop(SEGMENT, POSITION, "_offset")
-    )
+    numbered = placed.join(F.broadcast(offsets), SEGMENT).withColumn("key", key)
+    return rows.back(numbered.select(*rows.plain, "key"), out)
 
 
 def max_key(dimension: DataFrame, key: str) -> int:
     """The greatest surrogate key, 0 for an empty dimension."""
-    return dimension.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    return dimension.agg(F.coalesce(F.max(column(key)), F.lit(0))).first()[0]
 
 
 def split_new_existing(
@@ -46,12 +45,17 @@ def split_new_existing(
     Known rows get the ``keep`` columns of the dimension. Keys match NULL-safe.
     New rows are found against the known ones, not against the dimension: when
     a load is small both joins can broadcast it and the dimension is never
-    shuffled.
+    shuffled. A dimension that repeats a key of the load is an error.
     """
-    names = {key: f"_dim_{key}"}
-    known = dimension.select(key, *keep).withColumnsRenamed(names)
-    matches = same([F.col(key)], [F.col(names[key])])
-    existing = incoming.join(known, matches, "inner").drop(names[key])
-    found = existing.select(F.col(key).alias(names[key]))
-    new = incoming.join(found, matches, "left_anti")
-    return new, existing
+    rows = Plain(incoming)
+    mine, kept = rows.of(key), [f"kept{i}" for i in range(len(keep))]
+    known = dimension.select(column(key).alias("known"), *(column(c).alias(k) for c, k in zip(keep, kept)))
+    matches = same([F.col(mine)], [F.col("known")])
+    loaded = rows.df.select(mine).distinct()
+    repeated = known.select("known").join(loaded, matches, "left_semi").groupBy("known").count().where("count > 1").first()
+    if repeated is not None:
+        raise ValueError(f"the dimension repeats the key {repeated['known']}")
+    existing = rows.df.join(known, matches, "inner").drop("known")
+    found = existing.select(F.col(mine).alias("known"))
+    new = rows.df.join(found, matches, "left_anti")
+    return rows.back(new), rows.back(existing, *keep)

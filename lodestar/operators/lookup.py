@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lodestar.names import Plain, column
 from lodestar.operators.merge import require_unique
 from lodestar.operators.segments import (
     MAX_GROUP_ROWS,
@@ -51,22 +52,22 @@ def lookup_keys(
     valid at the fact's ``as_of`` column. Facts without a match get ``unknown``.
     """
     dimension = lookup.dimension
+    rows = Plain(fact)
+    mine = rows.of(lookup.fact_column)
     if lookup.as_of:
-        found = _as_of(fact, lookup, max_joined_versions, max_group_rows)
+        plain = replace(lookup, fact_column=mine, as_of=rows.of(lookup.as_of), out="found")
+        found = _as_of(rows.df, plain, max_joined_versions, max_group_rows)
     else:
         if "is_current" in dimension.columns:
             dimension = dimension.where("is_current")
-        names = dimension.select(
-            F.col(lookup.business_key).alias("_business_key"), F.col(lookup.key).alias(lookup.out)
-        )
+        names = dimension.select(column(lookup.business_key).alias("_business_key"), column(lookup.key).alias("found"))
         require_unique(names, ["_business_key"], "the dimension")
         # No hint: below the broadcast threshold Catalyst avoids the shuffle,
         # above it AQE splits the partitions of a frequent key.
-        found = fact.join(names, F.col(lookup.fact_column) == F.col("_business_key"), "left")
-        found = found.drop("_business_key")
+        found = rows.df.join(names, F.col(mine) == F.col("_business_key"), "left")
     if lookup.unknown is not None:
-        found = found.withColumn(lookup.out, F.coalesce(lookup.out, F.lit(lookup.unknown)))
-    return found
+        found = found.withColumn("found", F.coalesce("found", F.lit(lookup.unknown)))
+    return rows.back(found.select(*rows.plain, "found"), lookup.out)
 
 
 def _as_of(
@@ -78,10 +79,10 @@ def _as_of(
     A version without a beginning is never found.
     """
     periods = lookup.dimension.select(
-        F.col(lookup.business_key).alias("_business_key"),
+        column(lookup.business_key).alias("_business_key"),
         F.col("valid_from").alias("_from"),
         F.col("valid_to").alias("_to"),
-        F.col(lookup.key).alias(lookup.out),
+        column(lookup.key).alias(lookup.out),
     )
     # Stored, as the checks and the lookup would each compute the history again.
     periods = materialise(
@@ -178,4 +179,4 @@ def build_fact(facts: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     for lookup in lookups:
         facts = lookup_keys(facts, lookup)
     outputs = {lookup.out for lookup in lookups}
-    return facts.drop(*(l.fact_column for l in lookups if l.fact_column not in outputs))
+    return facts.drop(*(column(l.fact_column) for l in lookups if l.fact_column not in outputs))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lodestar.names import Plain
 from lodestar.operators.segments import (
     MAX_GROUP_ROWS,
     POSITION,
@@ -37,18 +38,21 @@ def rank_within(
     ``tie_break`` makes ``row_number`` repeatable. Where it leaves many rows of
     one value tied, a hash of the row keeps a split sort balanced.
     """
+    rows = Plain(df)
+    order_by = rows.of(order_by)
     value = F.col(order_by).desc() if descending else F.col(order_by).asc()
-    ties = [F.col(c).asc() for c in tie_break]
-    spread = [f"`{f.name}`" for f in df.schema.fields if hashable(f.dataType)]
+    ties = [F.col(c).asc() for c in rows.all_of(tie_break)]
+    spread = [f.name for f in rows.df.schema.fields if hashable(f.dataType)]
     order = [value, *ties, *([F.xxhash64(*spread)] if spread else [])]
-    layout = lay_out(df, partition_by, order, max_group_rows)
+    layout = lay_out(rows.df, rows.all_of(partition_by), order, max_group_rows)
     local = _local_rankings(layout, value, ties)
     if layout.split:
         local = _globalise(layout, local, order_by)
     wanted = {"_row_number": row_number, "_rank": rank, "_dense_rank": dense_rank}
     names = {k: v for k, v in wanted.items() if v}
     # bigint, because a split group may hold more rows than an int can count
-    return local.select(*df.columns, *(F.col(k).cast("bigint").alias(v) for k, v in names.items()))
+    ranked = local.select(*rows.plain, *(F.col(k).cast("bigint") for k in names))
+    return rows.back(ranked, *names.values())
 
 
 def _local_rankings(layout: Layout, value: Column, ties: Sequence[Column]) -> DataFrame:
@@ -135,10 +139,12 @@ def top_within(
     Catalyst limits each group to ``n`` rows before the shuffle, so a large
     group costs no more than a small one and needs no segments.
     """
+    rows = Plain(df)
+    order_by = rows.of(order_by)
     value = F.col(order_by).desc() if descending else F.col(order_by).asc()
-    rows = Window.partitionBy(*partition_by).orderBy(value, *tie_break)
-    numbered = df.withColumn(row_number, F.row_number().over(rows)).where(F.col(row_number) <= n)
-    return numbered.withColumn(row_number, F.col(row_number).cast("bigint"))
+    in_order = Window.partitionBy(*rows.all_of(partition_by)).orderBy(value, *rows.all_of(tie_break))
+    numbered = rows.df.withColumn("number", F.row_number().over(in_order)).where(F.col("number") <= n)
+    return rows.back(numbered.withColumn("number", F.col("number").cast("bigint")), row_number)
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) -> DataFrame:
@@ -147,12 +153,13 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) -> D
     The remaining columns break ties, so the survivor is always the same row.
     Only one row per key and map task is shuffled.
     """
-    named = {*keys, *latest}
+    rows = Plain(df)
+    keys, latest = rows.all_of(keys), rows.all_of(latest)
     others = [
         f.name
-        for f in df.schema.fields
-        if f.name not in named and "map<" not in f.dataType.simpleString()
+        for f in rows.df.schema.fields
+        if f.name not in {*keys, *latest} and "map<" not in f.dataType.simpleString()
         and f.dataType.typeName() != "variant"
     ]
-    rows = Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in [*latest, *others]))
-    return df.withColumn("_kept", F.row_number().over(rows)).where("_kept = 1").drop("_kept")
+    in_order = Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in [*latest, *others]))
+    return rows.back(rows.df.withColumn("kept", F.row_number().over(in_order)).where("kept = 1").drop("kept"))

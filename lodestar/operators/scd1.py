@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lodestar.names import Plain, column, columns as named
 from lodestar.operators.keys import assign_surrogate_keys, max_key
-from lodestar.operators.merge import upsert
+from lodestar.operators.merge import require_unique, upsert, upsert_pruned
 from lodestar.operators.ranking import dedup_latest
 from lodestar.scratch import discard, materialise
 from lodestar.sources import tables
@@ -34,22 +35,21 @@ def scd1_rows(
         return new.withColumns({UPDATED: load_ts, CREATED: load_ts})
     # One join tags the known rows with what they keep; the result is read twice and stored.
     known = dimension.select(
-        F.col(key).alias("_known_key"),
-        F.col(surrogate).alias("_known_surrogate"),
-        F.to_timestamp(CREATED).alias("_known_created")
+        column(key).alias("known"),
+        column(surrogate).alias("surrogate"),
+        F.to_timestamp(CREATED).alias("created")
         if dict(dimension.dtypes)[CREATED] == "string"
-        else F.col(CREATED).alias("_known_created"),
+        else F.col(CREATED).alias("created"),
     )
-    tagged = materialise(
-        incoming.join(known, F.col(key).eqNullSafe(F.col("_known_key")), "left"), "scd1-tagged"
-    )
-    own = [F.col(f"`{c}`") for c in incoming.columns]
-    new = tagged.where("_known_surrogate IS NULL").select(*own)
+    rows = Plain(incoming)
+    mine = rows.of(key)
+    tagged = materialise(rows.df.join(known, F.col(mine).eqNullSafe(F.col("known")), "left"), "scd1-tagged")
+    require_unique(tagged, [mine], "the load or the dimension")
+    new = rows.back(tagged.where("surrogate IS NULL").select(*rows.plain))
     new = assign_surrogate_keys(new, [key], max_key(dimension, surrogate), surrogate)
     new = new.withColumns({UPDATED: load_ts, CREATED: load_ts})
-    existing = tagged.where("_known_surrogate IS NOT NULL").select(
-        *own, F.col("_known_surrogate").alias(surrogate), F.col("_known_created").alias(CREATED)
-    )
+    existing = tagged.where("surrogate IS NOT NULL").select(*rows.plain, "surrogate", "created")
+    existing = rows.back(existing, surrogate, CREATED)
     return new.unionByName(existing.withColumn(UPDATED, load_ts))
 
 
@@ -76,7 +76,7 @@ def scd1_upsert(
     that are not technical stay in the dimension, and a row that is older by
     them than the one there changes nothing.
     """
-    rows = materialise(dedup_latest(incoming, [key], latest).drop(*technical), "scd1-rows")
+    rows = materialise(dedup_latest(incoming, [key], latest).drop(*named(technical)), "scd1-rows")
     dimension = tables.load(spark, name) if tables.exists(spark, name) else None
     attributes = [c for c in rows.columns if c != key] if only_changed else ()
     source = scd1_rows(rows, dimension, key, surrogate, load_ts)

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from lodestar.names import Plain, column, columns as named, fresh
 from lodestar.operators.ranking import dedup_latest
 from lodestar.operators.segments import (
     MAX_GROUP_ROWS,
@@ -61,10 +62,10 @@ def versions(
     Changes without a sequence value have no place in it and are left out.
     """
     check_sequence(key, sequence_by)
-    changes = changes.where(F.col(sequence_by).isNotNull())
-    group = list(key)
-    tracked = F.struct(*track)
-    layout = lay_out(changes, group, [F.col(sequence_by).asc()], max_group_rows)
+    rows = Plain(changes)
+    sequence_by, group = rows.of(sequence_by), rows.all_of(key)
+    tracked = F.struct(*rows.all_of(track))
+    layout = lay_out(rows.df.where(F.col(sequence_by).isNotNull()), group, [F.col(sequence_by).asc()], max_group_rows)
     in_order = Window.partitionBy(*layout.keys).orderBy(sequence_by)
     events = layout.rows.withColumn("_previous", F.lag(tracked).over(in_order))
     if layout.split:
@@ -85,7 +86,7 @@ def versions(
         opened = attach(opened, first.select(SEGMENT, "_next.*"), group)
         opened = opened.withColumn("valid_to", F.coalesce("valid_to", "_after"))
     return opened.select(
-        *(c for c in changes.columns if c != sequence_by),
+        *(F.col(c).alias(name) for c, name in zip(rows.plain, rows.names) if c != sequence_by),
         F.col(sequence_by).alias("valid_from"),
         "valid_to",
         F.col("valid_to").isNull().alias("is_current"),
@@ -94,12 +95,12 @@ def versions(
 
 def _require_consistent(batch: DataFrame, key: Sequence[str], sequence_by: str, track: Sequence[str]) -> None:
     """Within a batch one (key, sequence) may repeat only with the same values."""
-    value = F.struct(*track)
-    differing = batch.groupBy(*key, sequence_by).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    value = F.struct(*named(track))
+    group = [column(c).alias(f"c{i}") for i, c in enumerate([*key, sequence_by])]
+    differing = batch.groupBy(*group).agg(F.min(value).alias("low"), F.max(value).alias("high"))
     found = differing.where(~F.col("low").eqNullSafe(F.col("high"))).first()
     if found is not None:
-        clash = {c: found[c] for c in [*key, sequence_by]}
-        raise ValueError(f"one batch holds different values for {clash}")
+        raise ValueError(f"one batch holds different values for {dict(zip([*key, sequence_by], found))}")
 
 
 def _tracked(
@@ -122,7 +123,7 @@ class Layout:
 def _layout(spark: SparkSession, name: str, path: str, schema: T.StructType, buckets: int | None) -> Layout:
     """The layout remembered beside the log; a first call fixes it, later ones must agree in types."""
     place = f"{path}/layout"
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)  # as remembered
     try:
         found = json.loads(spark.read.text(place, wholetext=True).first()[0])
     except AnalysisException:
@@ -153,7 +154,7 @@ def scd2_create(
     if tables.exists(spark, name):
         return
     columns = [*key, sequence_by, *_tracked(schema.names, key, sequence_by, track, arrival)]
-    empty = spark.createDataFrame([], schema).select(*columns)
+    empty = spark.createDataFrame([], schema).select(*named(columns))
     layout = _layout(spark, name, path, empty.schema, buckets)
     history = versions(empty, key, sequence_by, columns[len(key) + 1 :])
     tables.create(history, name, path, layout.spread if buckets else None, list(key))
@@ -189,7 +190,7 @@ def scd2_apply(
     key = list(key)
     track = _tracked(changes.columns, key, sequence_by, track, arrival)
     columns = [*key, sequence_by, *track]
-    schema = changes.select(*columns).schema
+    schema = changes.select(*named(columns)).schema
     scd2_create(
         spark, name, path, schema, key=key, sequence_by=sequence_by, track=track, buckets=buckets
     )
@@ -197,43 +198,44 @@ def scd2_apply(
     log, former = f"{path}/log", f"{path}/replaced/{BATCH}={batch_id}"
     folder = f"{log}/{BATCH}={batch_id}"
 
-    rows = changes.where(F.col(sequence_by).isNotNull())
+    rows = changes.where(column(sequence_by).isNotNull())
     if arrival:
-        order = Window.partitionBy(*key, sequence_by).orderBy(*(F.desc(c) for c in arrival))
-        rows = rows.withColumn("_arrived", F.rank().over(order)).where("_arrived = 1")
-    rows = rows.select(*columns, tables.bucket_of(layout.spread, key).alias(tables.BUCKET))
+        order = Window.partitionBy(*named(key), column(sequence_by)).orderBy(*(c.desc() for c in named(arrival)))
+        arrived = fresh("_arrived", changes.columns)
+        rows = rows.withColumn(arrived, F.rank().over(order)).where(F.col(arrived) == 1)
+    rows = rows.select(*named(columns), tables.bucket_of(layout.spread, key).alias(tables.BUCKET))
     if layout.spread > 1:
         rows = rows.hint("rebalance", tables.BUCKET)
     if folder_exists(spark, folder):
         # Keys that only the former content of this batch had change too. They are kept until
         # the dimension is published, so a run that dies in between does not lose them.
-        replaced = spark.read.schema(schema).parquet(folder).select(*key).distinct()
+        replaced = spark.read.schema(schema).parquet(folder).select(*named(key)).distinct()
         materialise(replaced, "replaced").write.mode("append").parquet(former)
     rows.write.mode("overwrite").partitionBy(tables.BUCKET).parquet(folder)
     folders = [T.StructField(BATCH, T.LongType()), T.StructField(tables.BUCKET, T.IntegerType())]
     logged = spark.read.schema(T.StructType([*schema.fields, *folders])).parquet(log)
     batch = logged.where(F.col(BATCH) == batch_id)
     _require_consistent(batch, key, sequence_by, track)
-    touched_keys = batch.select(*key)
+    touched_keys = batch.select(*named(key))
     if folder_exists(spark, former):
         touched_keys = touched_keys.union(spark.read.schema(touched_keys.schema).parquet(former))
-    names = [f"_touched_{k}" for k in key]
+    names = [fresh(f"_touched{i}", columns) for i in range(len(key))]
     touched_keys = materialise(touched_keys.distinct().toDF(*names), "touched-keys")
     in_log = tables.touched_buckets(touched_keys, layout.spread, names)
     if not in_log:
         return
     logged = logged.where(F.col(tables.BUCKET).isin(in_log))
 
-    is_touched = same([F.col(k) for k in key], [F.col(n) for n in names])
+    is_touched = same(named(key), [F.col(n) for n in names])
     relevant = logged.join(touched_keys, is_touched, "left_semi")
-    latest = dedup_latest(relevant, [*key, sequence_by], [BATCH]).select(*columns)
+    latest = dedup_latest(relevant, [*key, sequence_by], [BATCH]).select(*named(columns))
     latest = materialise(latest, "scd2-touched")
-    fresh = versions(latest, key, sequence_by, track, max_group_rows)
+    rebuilt = versions(latest, key, sequence_by, track, max_group_rows)
     # the table knows its own buckets, whatever those of the log are
     own = tables.bucketing(spark, name)
     in_table = tables.touched_buckets(touched_keys, own[0], names) if own else None
     untouched = tables.load(spark, name, only=in_table).join(touched_keys, is_touched, "left_anti")
-    tables.replace(untouched.unionByName(fresh), name, path, touched=in_table)
+    tables.replace(untouched.unionByName(rebuilt), name, path, touched=in_table)
     discard(latest, touched_keys)
     if folder_exists(spark, former):
         delete_folder(spark, former)
@@ -263,7 +265,7 @@ def scd2_compact(
     logged = spark.read.schema(T.StructType([*schema.fields, *folders])).parquet(log)
     earlier = logged.where(F.col(BATCH) < last).drop(tables.BUCKET)
     rows = dedup_latest(earlier, [*key, sequence_by], [BATCH]).select(
-        *schema.names, tables.bucket_of(spread, key).alias(tables.BUCKET)
+        *named(schema.names), tables.bucket_of(spread, key).alias(tables.BUCKET)
     )
     # A batch counts as soon as its folder is there, so it is made complete elsewhere first.
     made = f"{path}/compacted/{BATCH}={number}"

@@ -9,11 +9,13 @@ There is one writer per table.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lodestar.names import columns as named, quoted
 from lodestar.scratch import delete_folder
 from lodestar.sources import slices
 
@@ -63,11 +65,11 @@ def bucketing(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
     properties = {row["key"]: row["value"] for row in rows.collect()}
     if _BUCKETS not in properties:
         return None
-    return int(properties[_BUCKETS]), properties[_BUCKET_BY].split(",")
+    return int(properties[_BUCKETS]), json.loads(properties[_BUCKET_BY])
 
 
 def bucket_of(buckets: int, columns: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(*named(columns)), F.lit(buckets)).cast("int")
 
 
 def touched_buckets(df: DataFrame, buckets: int, columns: Sequence[str]) -> list[int]:
@@ -98,11 +100,12 @@ def create(
     if buckets is None:
         df.write.option("path", _new_version(path)).format("parquet").saveAsTable(name)
         return
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+    by = json.dumps(list(bucket_by)).replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({columns}, {BUCKET} INT) USING parquet"
         f" PARTITIONED BY ({BUCKET}) LOCATION '{path}'"
-        f" TBLPROPERTIES ('{_BUCKETS}' = '{buckets}', '{_BUCKET_BY}' = '{','.join(bucket_by)}')"
+        f" TBLPROPERTIES ('{_BUCKETS}' = '{buckets}', '{_BUCKET_BY}' = '{by}')"
     )
     _move_buckets(df, name, path, buckets, bucket_by)
 
