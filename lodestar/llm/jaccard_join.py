@@ -70,6 +70,9 @@ from lodestar.scratch import discard, materialise
 FREQUENT = 32
 #: Rare shingles are shown by fewer documents than this; otherwise all is counted again.
 MANY = 128
+#: Pairs of one leader and difference beyond which these documents get a leader of their own, and
+#: rounds of that; what is crowded even then is joined.
+CROWDED, ROUNDS = 1_000_000, 4
 #: How far a count looks ahead for each shingle that was moved, and the most by which a prefix grows for its cost.
 AHEAD, LONGER = 3, 32
 #: The most frequent shingles that are broadcast (16 bytes each); only cost depends on it.
@@ -430,7 +433,7 @@ def crowded_differences(differing: DataFrame) -> DataFrame:
         F.count_if(~F.col("linked")).alias("apart"),
         F.min(F.struct("size", "node")).alias("lead"),
     )
-    crowded = groups.where(F.col("apart") * F.col("showing") >= FREQUENT * FREQUENT)
+    crowded = groups.where(F.col("apart") * F.col("showing") >= CROWDED)
     return materialise(crowded.select("leader", "token", F.col("lead.node").alias("second")), "crowded")
 
 
@@ -472,18 +475,30 @@ def leader_links(
     """Links found by comparison with leaders, and with second ones where many differ alike; stored tables to discard.
 
     The documents of a crowded difference all have it, so from one of them they do not differ by
-    it: each round has smaller groups.
+    it. A leader that gets more documents in a later round is compared with all it ever had, as any
+    two of these may be similar. The last round joins all differences, crowded or not.
     """
-    found, used = [], []
-    while True:
+    found, used, compared = [], [], []
+    for left in range(ROUNDS - 1, -1, -1):
         differing = differences(stars, texts, size, least, frequent)
         crowded = crowded_differences(differing)
-        pairs = materialise(difference_candidates(differing, least, crowded), "pairs")
+        compared.append(stars.select("leader", "node"))
+        used += [stars, differing, crowded]
+        stars = None
+        if left and not crowded.isEmpty():
+            before = reduce(DataFrame.union, compared)
+            new = materialise(second_leaders(differing, crowded).join(before, ["leader", "node"], "left_anti"), "stars")
+            used.append(new)
+            if not new.isEmpty():
+                grown = before.join(new.select("leader").distinct(), "leader", "left_semi")
+                stars = materialise(new.union(grown).distinct(), "stars")
+        elsewhere = crowded if stars is not None else crowded.limit(0)
+        pairs = materialise(difference_candidates(differing, least, elsewhere), "pairs")
+        used.append(pairs)
         found += [differing.where("linked").select("leader", "node"), verified(pairs, texts, size, least)]
-        used += [stars, differing, crowded, pairs]
-        if crowded.isEmpty():
-            return reduce(DataFrame.union, found), used
-        stars = materialise(second_leaders(differing, crowded), "stars")
+        if stars is None:
+            break
+    return reduce(DataFrame.union, found), used
 
 
 def similar_components(docs: DataFrame, size: int, least: int) -> tuple[DataFrame, DataFrame]:

@@ -64,6 +64,7 @@ def test_components_are_those_of_brute_force(spark, monkeypatch, seed, size, lea
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard_join, "MANY", 2 * frequent)
     monkeypatch.setattr(jaccard_join, "AHEAD", seed)
+    monkeypatch.setattr(jaccard_join, "CROWDED", 10**seed)
     rows = near_copies(seed)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     got = jaccard_join.near_duplicates(docs, size, least)
@@ -126,6 +127,7 @@ def test_a_shared_passage_makes_few_candidates(spark, monkeypatch):
 def test_copies_of_a_text_that_the_leader_only_shares_a_passage_with(spark, monkeypatch):
     """Documents that differ from their leader alike are given a leader of their own."""
     monkeypatch.setattr(jaccard_join, "FREQUENT", 4)
+    monkeypatch.setattr(jaccard_join, "CROWDED", 16)
     rnd = random.Random(9)
     word = lambda: f"w{rnd.randrange(10**6)}"
     passage, own = [word() for _ in range(80)], [word() for _ in range(60)]
