@@ -8,14 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
-def _holds(rule: str) -> Column:
+def holds(rule: str) -> Column:
     """A rule that evaluates to NULL counts as failed."""
     return F.coalesce(F.expr(rule), F.lit(False))
 
 
 def failures(rules: Mapping[str, str]) -> list[Column]:
     """One aggregate per rule: the number of rows that fail it."""
-    return [F.count_if(~_holds(rule)).alias(name) for name, rule in rules.items()]
+    return [F.count_if(~holds(rule)).alias(name) for name, rule in rules.items()]
 
 
 def expect_all_or_drop(
@@ -28,7 +28,7 @@ def expect_all_or_drop(
     """
     if observe_as is not None:
         df = df.observe(observe_as, F.count(F.lit(1)).alias("rows"), *failures(rules))
-    return df.where(reduce(lambda a, b: a & b, map(_holds, rules.values())))
+    return df.where(reduce(lambda a, b: a & b, map(holds, rules.values())))
 
 
 def expectation_report(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

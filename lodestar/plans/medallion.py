@@ -13,6 +13,7 @@ from lodestar.operators.merge import upsert
 from lodestar.operators.ranking import dedup_latest
 from lodestar.operators.scd1 import scd1_upsert
 from lodestar.plans import clean
+from lodestar.scratch import discard, materialise
 from lodestar.sources import tables
 from lodestar.sources.ingest import (
     ALL_AGES,
@@ -223,32 +224,78 @@ def load_orders(spark: SparkSession, s: Settings) -> None:
 
     def apply(rows: DataFrame, batch_id: int) -> None:
         session = rows.sparkSession
-        _merge_fact(session, s, _fact_rows(session, s, rows))
+        orders = materialise(dedup_latest(rows, ["order_id"], s.latest), "orders")
+        found = materialise(_fact_rows(session, s, orders), "fact-rows")
+        _merge_fact(session, s, found)
+        _keep_open(session, s, orders, found)
+        discard(orders, found)
 
     _resolve_open_keys(spark, s)
     for_each_batch(table_stream(spark, silver), apply, s.checkpoint("FactOrders"))
 
 
+#: Dimension keys of the fact, with the column that each is looked up by and the mark of a key that is open.
+OPEN_KEYS = {"DimCustomerKey": ("customer_id", "_open_customer"), "DimProductKey": ("product_id", "_open_product")}
+ANY_OPEN = " OR ".join(mark for _, mark in OPEN_KEYS.values())
+
+
+def _open_marks(orders: DataFrame, found: DataFrame) -> DataFrame:
+    """Orders with a mark for each key that was not found; a NULL business key has none to be found."""
+    missing = found.select(F.col("order_id").alias("_order"), *(F.col(k).alias(f"_{k}") for k in OPEN_KEYS))
+    marked = orders.join(missing, F.col("order_id").eqNullSafe(F.col("_order")))
+    marks = {m: F.col(f"_{k}").isNull() & F.col(c).isNotNull() for k, (c, m) in OPEN_KEYS.items()}
+    return marked.withColumns(marks).select(*orders.columns, *marks)
+
+
+def _write_open(spark: SparkSession, s: Settings, rows: DataFrame) -> None:
+    name, path = s.table("gold", "FactOrders_open"), s.folder("gold", "FactOrders_open")
+    if tables.exists(spark, name):
+        tables.replace(rows, name, path)
+        tables.drop_old_versions(spark, name, path)  # nobody else reads it
+    else:
+        tables.create(rows, name, path)
+
+
+def _keep_open(spark: SparkSession, s: Settings, orders: DataFrame, found: DataFrame) -> None:
+    """Remember the orders of a batch whose customer or product is unknown, whole, and forget those that are known now."""
+    marked = _open_marks(orders, found)
+    name = s.table("gold", "FactOrders_open")
+    if tables.exists(spark, name):
+        old = tables.load(spark, name)
+        # the later delivery of an order counts, whether its keys are known or not
+        marked = dedup_latest(old.unionByName(marked), ["order_id"], s.latest)
+        if old.isEmpty() and marked.where(ANY_OPEN).isEmpty():
+            return
+    still = materialise(marked.where(ANY_OPEN), "open-orders")
+    _write_open(spark, s, still)
+    discard(still)
+
+
 def _resolve_open_keys(spark: SparkSession, s: Settings) -> None:
     """Look up again the orders whose customer or product was unknown so far.
 
-    Silver is read only if there are such orders, and only orders that gain a
-    key are merged.
+    They are kept beside the fact, so no silver order is read again, and only
+    orders that gain a key are merged.
     """
-    name = s.table("gold", "FactOrders")
+    name = s.table("gold", "FactOrders_open")
     if not tables.exists(spark, name):
         return
-    keys = ["DimCustomerKey", "DimProductKey"]
-    missing = [F.col(k).isNull().alias(f"_open_{k}") for k in keys]
-    unresolved = tables.load(spark, name).select("order_id", *missing)
-    unresolved = unresolved.where(" OR ".join(f"_open_{k}" for k in keys))
+    marks = [m for _, m in OPEN_KEYS.values()]
+    unresolved = tables.load(spark, name)
     if unresolved.isEmpty():
         return
-    silver = spark.table(s.table("silver", "orders_silver"))
-    rows = _fact_rows(spark, s, silver.join(unresolved.select("order_id"), "order_id", "left_semi"))
-    gained = " OR ".join(f"(_open_{k} AND {k} IS NOT NULL)" for k in keys)
-    rows = rows.join(unresolved, "order_id").where(gained)
-    _merge_fact(spark, s, rows.drop(*(f"_open_{k}" for k in keys)))
+    orders = unresolved.drop(*marks)
+    found = materialise(_fact_rows(spark, s, orders), "fact-rows")
+    before = unresolved.select(F.col("order_id").alias("_order"), *marks)
+    gained = " OR ".join(f"({m} AND {k} IS NOT NULL)" for k, (_, m) in OPEN_KEYS.items())
+    more = found.join(before, F.col("order_id").eqNullSafe(F.col("_order"))).where(gained).drop("_order", *marks)
+    more = materialise(more, "resolved")
+    if not more.isEmpty():
+        _merge_fact(spark, s, more)
+        still = materialise(_open_marks(orders, found).where(ANY_OPEN), "open-orders")
+        _write_open(spark, s, still)
+        discard(still)
+    discard(found, more)
 
 
 def run(

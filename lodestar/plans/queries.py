@@ -29,6 +29,8 @@ from lodestar.operators import (
     upsert_pruned as pruned_upsert,
     versions,
 )
+from lodestar.operators import quarantine as quarantines
+from lodestar.operators.counts import read_counts, update_counts
 from lodestar.operators.segments import MAX_GROUP_ROWS
 from lodestar.operators.snapshots import feed_changes, snapshot_changes as changes_between
 from lodestar.plans import clean, medallion
@@ -36,7 +38,7 @@ from lodestar.scratch import delete_folder, folder_names, materialise, new_folde
 from lodestar.sources import tables
 from lodestar.sources.ingest import ingest_stream
 from lodestar.sources.ledger import current_rows, ingest_ledger as ledger_ingest
-from lodestar.streaming import append_stream, apply_changes_stream, staged, table_stream
+from lodestar.streaming import append_stream, apply_changes_stream, dedup_append, staged, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,6 +171,28 @@ def domain_counts(spark, sf):
     return clean.domain_counts(url_domain(spark, sf), "domain", "page_id")
 
 
+@query(
+    """
+    SELECT segment, count(*) AS total FROM (
+        SELECT CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN 'MOVED' ELSE c_mktsegment END AS segment
+        FROM customer) GROUP BY 1"""
+)
+def domain_counts_incremental(spark, sf):
+    """Customers per segment after three loads, each of which brings some and moves others; one load comes twice."""
+    customers = read(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"))
+    third, fifth, tenth = (F.col("id") % n == 0 for n in (3, 5, 10))
+    loads = [
+        customers.where(~third),
+        customers.where(fifth).withColumn("segment", F.lit("MOVED")),
+        customers.where(fifth).withColumn("segment", F.lit("MOVED")),
+        customers.where((third & ~fifth) | tenth).withColumn("segment", F.when(~tenth, F.col("segment"))),
+    ]
+    name, path = new_table(spark, "counts")
+    for number, rows in zip((0, 1, 1, 2), loads):
+        update_counts(spark, name, path, rows, key="id", group="segment", batch_id=number)
+    return read_counts(spark, name)
+
+
 @query(
     "SELECT c_custkey AS customer_id, c_name || '@' || c_mktsegment AS email,"
     " c_mktsegment AS Domain, c_mktsegment || ' ' || c_name AS Full_name"
@@ -518,6 +542,25 @@ def expectations_counted(spark, sf):
     return expectation_report(_events_with_gaps(spark, sf), RULES)
 
 
+@query(
+    f"""
+    WITH e AS ({EVENTS_WITH_GAPS}),
+         f AS (SELECT *, event_type IS NULL AS f1, NOT coalesce(value >= 10, false) AS f2 FROM e)
+    SELECT event_id, event_type, CASE WHEN f2 AND NOT f1 THEN 10 ELSE value END AS value,
+           CASE WHEN f1 THEN 1 + CASE WHEN f2 THEN 2 ELSE 0 END ELSE 0 END::BIGINT AS failed FROM f"""
+)
+def quarantine(spark, sf):
+    """Rows that pass and rows that do not; those whose value alone is too small are corrected and come again."""
+    events = _events_with_gaps(spark, sf)
+    path = new_folder(spark, "quarantine")
+    quarantines.deal(events, RULES, path, 0)
+    held = quarantines.quarantined(spark, path, events.schema)
+    quarantines.replay(held.where("_failed = 2").withColumn("value", F.lit(10.0)), RULES, path, 1)
+    left = quarantines.quarantined(spark, path, events.schema).select(*events.columns, F.col("_failed").alias("failed"))
+    passed = quarantines.kept(spark, path, events.schema)
+    return passed.withColumn("failed", F.lit(0).cast("bigint")).unionByName(left)
+
+
 SCD2 = """
     SELECT user_id, event_type, valid_from, valid_to, valid_to IS NULL AS is_current FROM (
         SELECT user_id, event_type, ts AS valid_from,
@@ -938,6 +981,19 @@ def table_to_stream(spark, sf):
     return spark.read.parquet(target)
 
 
+@query("SELECT event_id, ts, user_id, event_type, value FROM events")
+def dedup_stream(spark, sf):
+    """Three deliveries with a restart between, in which many rows come again."""
+    events = read(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    source, target, checkpoint = (new_folder(spark, p) for p in ("source", "appended", "checkpoint"))
+    part = F.col("event_id") % 10
+    for delivered in (part < 6, part > 2, (part == 9) | (part == 0)):
+        _deliver(events.where(delivered), source)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
+        dedup_append(stream, ["event_id"], "ts", "3650 days", target, checkpoint)
+    return spark.read.parquet(target)
+
+
 STAR = f"""
     SELECT n_name AS region_name, p_brand AS brand, CAST(year(order_date) AS INTEGER) AS year,
            count(*) AS orders, CAST(sum(total_amount) AS DOUBLE) AS revenue
@@ -968,6 +1024,41 @@ def star_summary_full(spark, sf):
     return _star_report(spark, _load_twice(spark, sf, incremental=False, buckets=None))
 
 
+@query(
+    """
+    SELECT o_orderkey AS order_id, c_custkey IS NOT NULL AS has_customer, o_orderkey % 4 <> 0 AS has_product
+    FROM orders LEFT JOIN customer ON c_custkey = CASE WHEN o_custkey % 5 <> 0 THEN o_custkey END"""
+)
+def fact_open_keys(spark, sf):
+    """Three loads: customers and products arrive after their orders, and some never do."""
+    settings = _star_settings(spark)
+    customers = customers_of(spark, sf)
+    products = spark.createDataFrame(
+        [(i, f"p{i}", 1.0 * i) for i in (1, 2, 3)], "product_id bigint, product_name string, price double"
+    ).withColumn("updated_at", F.expr("timestamp_ntz'2024-01-01'"))
+    orders = orders_of(spark, sf).select(
+        "order_id",
+        F.when(F.col("customer_id") % 5 != 0, F.col("customer_id")).alias("customer_id"),  # NULL, which nobody is
+        (F.col("order_id") % 4).alias("product_id"),  # product 0 never arrives
+        "order_date",
+        "total_amount",
+    )
+    late = F.col("customer_id") % 2 == 0
+    deliveries = [
+        {"customers": customers.where(~late), "products": products.where("product_id = 1"), "orders": orders.where("order_id % 3 > 0")},
+        {"customers": customers.where(late & (F.col("customer_id") % 3 == 0)), "products": products.where("product_id = 2")},
+        {"customers": customers.where(late), "products": products.where("product_id = 3"), "orders": orders.where("order_id % 3 = 0")},
+    ]
+    for delivery in deliveries:
+        for name, rows in delivery.items():
+            _deliver(rows, settings.folder("source", name))
+        medallion.run(spark, settings)
+    fact = tables.load(spark, settings.table("gold", "FactOrders"))
+    return fact.select(
+        "order_id", F.col("DimCustomerKey").isNotNull().alias("has_customer"), F.col("DimProductKey").isNotNull().alias("has_product")
+    )
+
+
 @query(
     f"""
     SELECT p_brand AS brand, order_date >= TIMESTAMP '1995-06-01' AS dearer, count(*) AS orders,

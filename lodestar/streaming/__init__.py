@@ -1,3 +1,10 @@
-from lodestar.streaming.flows import append_stream, apply_changes_stream, staged, table_stream
+from lodestar.streaming.flows import (
+    append_stream,
+    apply_changes_stream,
+    dedup_append,
+    staged,
+    table_stream,
+    without_repeats,
+)
 
-__all__ = ["append_stream", "apply_changes_stream", "staged", "table_stream"]
+__all__ = ["append_stream", "apply_changes_stream", "dedup_append", "staged", "table_stream", "without_repeats"]

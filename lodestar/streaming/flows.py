@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from lodestar.names import column
 from lodestar.operators.quality import expect_all_or_drop
 from lodestar.operators.scd2 import check_sequence, scd2_apply, scd2_create
 from lodestar.operators.segments import MAX_GROUP_ROWS
@@ -104,3 +105,30 @@ def apply_changes_stream(
         )
 
     return for_each_batch(changes, apply, checkpoint)
+
+
+def without_repeats(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """A stream without rows that repeat the keys of another one within ``delay`` of event time.
+
+    The keys seen are Spark's keyed state, which survives a restart with the checkpoint. A key is
+    forgotten when the watermark (the greatest event time less ``delay``) has passed it. Rows older
+    than the watermark cannot be told from repeats any more and are dropped, as are rows without
+    an event time.
+    """
+    timed = stream.where(column(event_time).isNotNull()).withWatermark(event_time, delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys))
+
+
+def dedup_append(
+    stream: DataFrame, keys: Sequence[str], event_time: str, delay: str, path: str, checkpoint: str
+) -> dict[str, int]:
+    """Append what is available without repeats; how many rows were read, repeated, late and written."""
+    query = start_append(without_repeats(stream, keys, event_time, delay), path, checkpoint)
+    query.awaitTermination()
+    counts = dict.fromkeys(("read", "repeated", "late"), 0)
+    for progress in query.recentProgress:
+        counts["read"] += progress.numInputRows
+        for state in progress.stateOperators:
+            counts["late"] += state.numRowsDroppedByWatermark
+            counts["repeated"] += state.customMetrics.get("numDroppedDuplicateRows", 0)
+    return counts

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from lodestar.operators.scd2 import versions
 from lodestar.sources import tables
-from lodestar.streaming import append_stream, apply_changes_stream, staged, table_stream
+from lodestar.streaming import append_stream, apply_changes_stream, dedup_append, staged, table_stream
 
 
 def test_failures_are_counted_in_the_progress(spark, table, tmp_path):
@@ -36,3 +36,23 @@ def test_replay_of_the_last_batch_changes_nothing(spark, table, tmp_path):
     for commit in (checkpoint / "commits").glob("*2*"):
         commit.unlink()
     assert run() == expected
+
+
+def test_repeats_are_dropped_and_late_rows_counted(spark, tmp_path):
+    """Three runs with a restart between each: keyed state survives, what is older than the watermark is counted."""
+    schema = "k int, at timestamp, v string"
+    source, target, checkpoint = (str(tmp_path / p) for p in ("source", "out", "cp"))
+
+    def run(data):
+        made = spark.createDataFrame(data, "k int, at string, v string").withColumn("at", F.to_timestamp("at"))
+        made.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        return dedup_append(stream, ["k"], "at", "1 hour", target, checkpoint)
+
+    assert run([(1, "2024-01-01 10:00", "a"), (1, "2024-01-01 10:05", "b"), (2, "2024-01-01 10:10", "c")])["repeated"] == 1
+    second = run([(2, "2024-01-01 10:20", "d"), (3, "2024-01-01 12:00", "e"), (None, None, "f")])
+    assert (second["read"], second["repeated"]) == (3, 1)
+    third = run([(4, "2024-01-01 09:00", "late"), (3, "2024-01-01 12:01", "g"), (5, "2024-01-01 11:30", "h")])
+    assert third["late"] == 1 and third["repeated"] == 1
+    assert [r[0] for r in rows(spark.read.parquet(target), "k")] == [1, 2, 3, 5]
+    assert run([])["read"] == 0
