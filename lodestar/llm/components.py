@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lodestar.scratch import materialise
+from lodestar.scratch import discard, materialise
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -22,6 +22,7 @@ def connected(links: DataFrame) -> DataFrame:
     nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
     roots = materialise(nodes.select("node", F.col("node").alias("root")), "roots")
     while not links.isEmpty():
+        old = (links, roots)
         both = links.select("a", "b").union(links.select("b", "a"))
         parents = both.groupBy("a").agg(F.min("b").alias("b")).where("b < a")
         parents = _flattened(materialise(parents.toDF("child", "parent"), "parents"))
@@ -39,6 +40,8 @@ def connected(links: DataFrame) -> DataFrame:
             .select("a", F.coalesce("parent", "b").alias("b"))
         )
         links = materialise(moved.where("a <> b").distinct(), "links")
+        discard(*old, parents)
+    discard(links)
     return roots
 
 
@@ -51,6 +54,7 @@ def _flattened(parents: DataFrame) -> DataFrame:
             jumped.select("child", F.coalesce("top", "parent").alias("parent"), F.col("top").isNotNull().alias("moved")),
             "parents",
         )
+        discard(parents)
         parents = jumped.select("child", "parent")
         if jumped.where("moved").isEmpty():
             return parents

@@ -8,6 +8,10 @@ sent: in every round a digest arrives at most once from each child, however
 many copies it has. After the last round one run is left with the row that
 stays and the size of each class.
 
+Spark's exchange stands for sending the slices of a digest range to their
+parent, and its sorted aggregation for the multiway merge there; it sorts the
+slices that arrive again rather than merging them as they are.
+
 A class is verified at every level: rows meet only if the SHA-256 of the
 text, a second 64-bit digest and the length all agree.
 

@@ -75,3 +75,14 @@ def test_empty_tables(spark, no_docs, edge_docs, benchmark):
     assert decontaminate.contamination_report(no_docs, benchmark).count() == 0
     nothing = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.remove_documents(edge_docs, nothing).count() == edge_docs.count()
+
+
+def test_a_window_of_very_many_items(spark):
+    """The items of a window are joined, not broadcast; null ids and other columns of the benchmark do no harm."""
+    items = spark.range(3000).selectExpr("if(id = 7, NULL, id) AS item_id", "'the old stones fell' AS text", "1 AS hash", "2 AS gram", "3 AS `window`")
+    docs = spark.createDataFrame([(1, "on The old, stones FELL down"), (2, "the old stones"), (3, None)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in decontaminate.contamination_report(docs, items).collect()}
+    ids = sorted(str(i) for i in range(3000) if i != 7)
+    assert (got[1]["n_items"], got[1]["n_hit"]) == (2999, 4)
+    assert got[1]["items_sha256"] == hashlib.sha256(",".join(ids).encode()).hexdigest()
+    assert not got[2]["contaminated"] and got[3]["items_sha256"] == hashlib.sha256(b"").hexdigest()
