@@ -93,14 +93,32 @@ def versions(
     )
 
 
-def _require_consistent(batch: DataFrame, key: Sequence[str], sequence_by: str, track: Sequence[str]) -> None:
-    """Within a batch one (key, sequence) may repeat only with the same values."""
+def _touched_keys(
+    batch: DataFrame, key: Sequence[str], sequence_by: str, track: Sequence[str], names: Sequence[str]
+) -> DataFrame:
+    """The keys of a batch under ``names``, with ``clash``: a sequence value that has different values, if any."""
     value = F.struct(*named(track))
-    group = [column(c).alias(f"c{i}") for i, c in enumerate([*key, sequence_by])]
-    differing = batch.groupBy(*group).agg(F.min(value).alias("low"), F.max(value).alias("high"))
-    found = differing.where(~F.col("low").eqNullSafe(F.col("high"))).first()
-    if found is not None:
-        raise ValueError(f"one batch holds different values for {dict(zip([*key, sequence_by], found))}")
+    at_key = [column(c).alias(n) for c, n in zip(key, names)]
+    events = batch.groupBy(*at_key, column(sequence_by).alias("at")).agg(
+        F.min(value).alias("low"), F.max(value).alias("high")
+    )
+    clash = F.max(F.when(~F.col("low").eqNullSafe(F.col("high")), F.col("at").cast("string")))
+    return events.groupBy(*names).agg(clash.alias("clash"))
+
+
+def _buckets_of(
+    touched: DataFrame, names: Sequence[str], in_log: int, in_table: int | None
+) -> tuple[list[int], list[int] | None]:
+    """The buckets of log and table that hold touched keys; a clash is an error. One aggregation."""
+    key = F.struct(*names)
+    found = touched.agg(
+        F.collect_set(tables.bucket_of(in_log, names)).alias("log"),
+        F.collect_set(tables.bucket_of(in_table or 1, names)).alias("table"),
+        F.max(F.when(F.col("clash").isNotNull(), F.to_json(F.struct(key.alias("key"), "clash")))).alias("clash"),
+    ).first()
+    if found["clash"] is not None:
+        raise ValueError(f"one batch holds different values for {found['clash']}")
+    return sorted(found["log"]), sorted(found["table"]) if in_table else None
 
 
 def _tracked(
@@ -120,10 +138,21 @@ class Layout:
         return json.dumps({"spread": self.spread, "columns": self.columns})
 
 
+#: Layouts read before, by the place they are kept at; one never changes.
+_layouts: dict[str, Layout] = {}
+
+
+def _written_columns(schema: T.StructType) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def _layout(spark: SparkSession, name: str, path: str, schema: T.StructType, buckets: int | None) -> Layout:
     """The layout remembered beside the log; a first call fixes it, later ones must agree in types."""
     place = f"{path}/layout"
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)  # as remembered
+    known_layout = _layouts.get(place)
+    if known_layout is not None and known_layout.columns == _written_columns(schema) and folder_exists(spark, place):
+        return known_layout
+    columns = _written_columns(schema)
     try:
         found = json.loads(spark.read.text(place, wholetext=True).first()[0])
     except AnalysisException:
@@ -131,10 +160,12 @@ def _layout(spark: SparkSession, name: str, path: str, schema: T.StructType, buc
         spread = known[0] if known else 1 if tables.exists(spark, name) else buckets or 1
         made = Layout(spread, columns)
         spark.createDataFrame([(made.to_json(),)], "value string").coalesce(1).write.text(place)
+        _layouts[place] = made
         return made
     layout = Layout(**found)
     if layout.columns != columns:
         raise ValueError(f"the changes have columns {columns}, the dimension has {layout.columns}")
+    _layouts[place] = layout
     return layout
 
 
@@ -215,13 +246,16 @@ def scd2_apply(
     folders = [T.StructField(BATCH, T.LongType()), T.StructField(tables.BUCKET, T.IntegerType())]
     logged = spark.read.schema(T.StructType([*schema.fields, *folders])).parquet(log)
     batch = logged.where(F.col(BATCH) == batch_id)
-    _require_consistent(batch, key, sequence_by, track)
-    touched_keys = batch.select(*named(key))
-    if folder_exists(spark, former):
-        touched_keys = touched_keys.union(spark.read.schema(touched_keys.schema).parquet(former))
     names = [fresh(f"_touched{i}", columns) for i in range(len(key))]
-    touched_keys = materialise(touched_keys.distinct().toDF(*names), "touched-keys")
-    in_log = tables.touched_buckets(touched_keys, layout.spread, names)
+    touched_keys = _touched_keys(batch, key, sequence_by, track, names)
+    if folder_exists(spark, former):
+        earlier = spark.read.schema(batch.select(*named(key)).schema).parquet(former).toDF(*names)
+        touched_keys = touched_keys.unionByName(earlier.distinct(), allowMissingColumns=True)
+    touched_keys = materialise(touched_keys, "touched-keys")
+    # the table knows its own buckets, whatever those of the log are
+    own = tables.bucketing(spark, name)
+    in_log, in_table = _buckets_of(touched_keys, names, layout.spread, own[0] if own else None)
+    touched_keys = touched_keys.drop("clash")
     if not in_log:
         return
     logged = logged.where(F.col(tables.BUCKET).isin(in_log))
@@ -231,9 +265,6 @@ def scd2_apply(
     latest = dedup_latest(relevant, [*key, sequence_by], [BATCH]).select(*named(columns))
     latest = materialise(latest, "scd2-touched")
     rebuilt = versions(latest, key, sequence_by, track, max_group_rows)
-    # the table knows its own buckets, whatever those of the log are
-    own = tables.bucketing(spark, name)
-    in_table = tables.touched_buckets(touched_keys, own[0], names) if own else None
     untouched = tables.load(spark, name, only=in_table).join(touched_keys, is_touched, "left_anti")
     tables.replace(untouched.unionByName(rebuilt), name, path, touched=in_table)
     discard(latest, touched_keys)

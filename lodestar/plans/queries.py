@@ -969,6 +969,48 @@ def ingest_nested(spark, sf):
     return landed.select("event_id", F.col("detail.event_type").alias("event_type"), "_rescued_data")
 
 
+@query(
+    "SELECT event_id, CAST(user_id AS BIGINT) + CASE WHEN event_type = 'view' THEN 5000000000 ELSE 0 END AS user_id,"
+    " CAST(value AS DECIMAL(12,2))::DOUBLE AS value, CASE WHEN event_type NOT IN ('click', 'view') THEN"
+    " '{\"value\":\"x\"}' END AS _rescued_data FROM events WHERE event_type IN ('click', 'view')"
+    " UNION ALL SELECT event_id, CAST(user_id AS BIGINT), NULL, '{\"value\":\"x\"}' FROM events"
+    " WHERE event_type NOT IN ('click', 'view')"
+)
+def ingest_widened(spark, sf):
+    """Numbers become longer from one delivery to the next, then text comes, which no number holds."""
+    events = read(spark, sf, "events")
+    click, view = F.col("event_type") == "click", F.col("event_type") == "view"
+    amount = F.col("value").cast("decimal(12,2)")
+    first = events.where(click).select("event_id", F.col("user_id").cast("int").alias("user_id"), amount.alias("value"))
+    longer = (F.col("user_id").cast("bigint") + 5000000000).alias("user_id")
+    second = events.where(view).select("event_id", longer, F.col("value").cast("decimal(16,4)").cast("decimal(12,2)").cast("decimal(16,4)").alias("value"))
+    third = events.where(~click & ~view).select("event_id", F.col("user_id").cast("smallint").alias("user_id"), F.lit("x").alias("value"))
+    source, bronze, checkpoint = (new_folder(spark, p) for p in ("source", "bronze", "checkpoint"))
+    for delivery in (first, second, third):
+        _deliver(delivery, source)
+        landed = ingest_stream(spark, source, bronze, checkpoint, widen=True)
+    return landed.select("event_id", "user_id", F.col("value").cast("double").alias("value"), "_rescued_data")
+
+
+@query(
+    "SELECT event_id, event_type AS kind, CAST(user_id AS BIGINT) AS id, CASE WHEN event_type <> 'click' THEN"
+    " '{\"parts\":[{\"kind\":\"' || event_type || '\",\"id\":' || user_id || ',\"more\":1}]}' END AS _rescued_data FROM events"
+)
+def ingest_nested_array(spark, sf):
+    """Structs in an array get wider numbers and a field that was not known."""
+    events = read(spark, sf, "events")
+    click = F.col("event_type") == "click"
+    kind = F.col("event_type").alias("kind")
+    short = F.array(F.struct(kind, F.col("user_id").cast("int").alias("id"))).alias("parts")
+    longer = F.array(F.struct(kind, F.col("user_id").cast("bigint").alias("id"), F.lit(1).alias("more"))).alias("parts")
+    source, bronze, checkpoint = (new_folder(spark, p) for p in ("source", "bronze", "checkpoint"))
+    for rows in (events.where(click).select("event_id", short), events.where(~click).select("event_id", longer)):
+        _deliver(rows, source)
+        landed = ingest_stream(spark, source, bronze, checkpoint, widen=True)
+    part = F.col("parts")[0]
+    return landed.select("event_id", part["kind"].alias("kind"), part["id"].alias("id"), "_rescued_data")
+
+
 @query("SELECT event_id, event_type, value FROM events WHERE value >= 10")
 def table_to_stream(spark, sf):
     """A table read as a stream, filtered by rules, appended to a folder."""

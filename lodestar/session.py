@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Safe on any cluster: AQE sizes the partitions after each shuffle and splits
@@ -17,7 +19,11 @@ SETTINGS = {
 
 
 def local_session(cpus: int | str = "*", memory: str = "8g", **settings: str) -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+    """A session for tests and benchmarks on one machine; intermediate tables go to a folder of its own.
+
+    ``spark.checkpoint.dir`` names another one.
+    """
+    settings.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lodestar-"))
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("lodestar")

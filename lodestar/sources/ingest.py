@@ -6,15 +6,17 @@ comparing their schema with the remembered one, and writes them to its own
 folder ``_batch_id=N``, so a replayed batch replaces itself.
 
 Whatever does not fit the remembered schema is kept as JSON in ``_rescued_data``
-under its own name: unknown columns, columns of another type (which are then
-NULL), and structs with fields of their own (of which the known fields are also
-read). No file stops the others.
+under its own name: unknown columns, columns of a type that has none in common
+with the remembered one (which are then NULL), and structs with fields of their
+own, in arrays and maps too (of which the known fields are also read). Narrower
+numbers are read as the wider ones remembered. No file stops the others.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -24,6 +26,9 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lodestar.scratch import folder_exists, folder_names, rename_folder
+from lodestar.sources.widening import holds_all, known_part, widened
+
 RESCUED = "_rescued_data"
 SOURCE_FILE = "_source_file"
 FILE_TIME = "_file_time"
@@ -35,6 +40,9 @@ LINEAGE = [SOURCE_FILE, FILE_TIME, BATCH_ID]
 # Fixed schema of a file entry; only the path is read.
 FILE_ENTRY = "path string, modificationTime timestamp, length bigint, content binary"
 
+# Beside the checkpoint, wider schemas are kept under this name and a number.
+WIDENED = "schema-"
+
 # New files per micro-batch; the driver holds their names.
 FILES_PER_BATCH = 10_000
 
@@ -58,13 +66,14 @@ class Dataset:
 def remembered_schema(
     spark: SparkSession, source: str, checkpoint: str, schema: T.StructType | None = None
 ) -> T.StructType | None:
-    """The schema of the first run: given or inferred once, then kept beside the checkpoint.
+    """The schema of the first run: given or inferred once, then kept beside the checkpoint, and widened.
 
     None for a folder without files, as long as no schema is given.
     """
     path = f"{checkpoint}/schema"
+    wider = _widened_places(spark, checkpoint)
     try:
-        text = spark.read.text(path, wholetext=True).first()[0]
+        text = spark.read.text(wider[-1] if wider else path, wholetext=True).first()[0]
         return T.StructType.fromJson(json.loads(text))
     except AnalysisException:
         schema = schema or _inferred_schema(spark, source)
@@ -73,6 +82,34 @@ def remembered_schema(
         return schema
 
 
+def _widened_places(spark: SparkSession, checkpoint: str) -> list[str]:
+    """Where wider schemas are kept, the last one last."""
+    if not folder_exists(spark, checkpoint):
+        return []
+    numbers = sorted(
+        int(n.removeprefix(WIDENED)) for n in folder_names(spark, checkpoint) if n.startswith(WIDENED)
+    )
+    return [f"{checkpoint}/{WIDENED}{n}" for n in numbers]
+
+
+def widen_schema(
+    spark: SparkSession, source: str, files: list[str], checkpoint: str, known: T.StructType
+) -> T.StructType:
+    """The remembered schema, made as wide as some files need it, and remembered so.
+
+    Files that were ingested before are not written anew: Spark reads narrower numbers as wider ones.
+    """
+    wide = known
+    for _, found in readable_groups(spark, source, files):
+        wide = widened(wide, found)
+    if wide != known:
+        place = f"{checkpoint}/{WIDENED}{len(_widened_places(spark, checkpoint)) + 1}"
+        made = f"{checkpoint}/_made-{uuid.uuid4().hex}"
+        spark.createDataFrame([(wide.json(),)], "value string").coalesce(1).write.text(made)
+        rename_folder(spark, made, place)
+    return wide
+
+
 def _inferred_schema(spark: SparkSession, source: str) -> T.StructType | None:
     """The columns of all files; of one file, if their types contradict each other."""
     try:
@@ -90,7 +127,7 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
 
 
-def _readable_groups(
+def readable_groups(
     spark: SparkSession, source: str, files: list[str]
 ) -> list[tuple[list[str], T.StructType]]:
     """Files in groups whose schemas can be merged: all of them, unless types contradict."""
@@ -101,23 +138,7 @@ def _readable_groups(
         if len(files) == 1:
             raise
         half = len(files) // 2
-        return [g for part in (files[:half], files[half:]) for g in _readable_groups(spark, source, part)]
-
-
-def _known_part(value: Column, found: T.DataType, known: T.DataType) -> Column:
-    """What of ``value`` the known type can hold; NULL if the types contradict."""
-    if found.simpleString() == known.simpleString():
-        return value
-    if isinstance(found, T.StructType) and isinstance(known, T.StructType):
-        there = {f.name: f.dataType for f in found.fields}
-        fields = [
-            _known_part(value[f.name], there[f.name], f.dataType).alias(f.name)
-            if f.name in there
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in known.fields
-        ]
-        return F.when(value.isNotNull(), F.struct(*fields))
-    return F.lit(None).cast(known)
+        return [g for part in (files[:half], files[half:]) for g in readable_groups(spark, source, part)]
 
 
 def _read_group(
@@ -128,14 +149,13 @@ def _read_group(
     odd = [
         f
         for f in found.fields
-        if f.name.lower() not in types
-        or f.dataType.simpleString() != types[f.name.lower()].dataType.simpleString()
+        if f.name.lower() not in types or not holds_all(f.dataType, types[f.name.lower()].dataType)
     ]
     # a file without some of the columns has NULLs there
     absent = [f for f in known.fields if f.name.lower() not in here]
     rows = spark.read.option("basePath", source).schema(T.StructType([*found.fields, *absent])).parquet(*files)
     columns = [
-        _known_part(F.col(f"`{f.name}`"), here[f.name.lower()].dataType, f.dataType).alias(f.name)
+        known_part(F.col(f"`{f.name}`"), here[f.name.lower()].dataType, f.dataType).alias(f.name)
         if f.name.lower() in here
         else F.col(f"`{f.name}`")
         for f in known.fields
@@ -157,7 +177,7 @@ def read_files(
     spark: SparkSession, source: str, files: list[str], schema: T.StructType
 ) -> DataFrame:
     """Rows of ``files`` in the known schema, with all else packed into JSON."""
-    groups = _readable_groups(spark, source, files)
+    groups = readable_groups(spark, source, files)
     parts = [_read_group(spark, source, some, found, schema) for some, found in groups]
     return reduce(DataFrame.unionAll, parts)
 
@@ -171,10 +191,12 @@ def start_ingest(
     schema: T.StructType | None = None,
     max_files: int = FILES_PER_BATCH,
     options: Mapping[str, str] | None = None,
+    widen: bool = False,
 ) -> tuple[StreamingQuery | None, T.StructType | None]:
     """Start appending the files that are new since the last run; nothing starts without files.
 
-    ``options`` are those of Spark's file sources, for example a file name pattern.
+    ``options`` are those of Spark's file sources, for example a file name pattern. With ``widen``
+    the remembered schema grows where files have wider types, else such values are rescued.
     """
     known = remembered_schema(spark, source, checkpoint, schema)
     if known is None:
@@ -192,7 +214,10 @@ def start_ingest(
         files = [literal_path(row["path"]) for row in batch.collect()]
         if not files:
             return
-        rows = read_files(batch.sparkSession, source, sorted(files), known)
+        schema = remembered_schema(batch.sparkSession, source, checkpoint)
+        if widen:
+            schema = widen_schema(batch.sparkSession, source, sorted(files), checkpoint, schema)
+        rows = read_files(batch.sparkSession, source, sorted(files), schema)
         rows.write.mode("overwrite").parquet(f"{target}/{BATCH_ID}={batch_id}")
 
     query = (
@@ -215,6 +240,7 @@ def ingest_stream(
     query, known = start_ingest(spark, source, target, checkpoint, **options)
     if query is not None:
         query.awaitTermination()
+        known = remembered_schema(spark, source, checkpoint)
     return read_ingested(spark, target, known)
 
 

@@ -45,6 +45,7 @@ from lodestar.sources.ingest import (
     read_files,
     read_ingested,
     remembered_schema,
+    widen_schema,
 )
 
 #: Files up to this size have a checksum; larger ones are told apart by length and time.
@@ -133,6 +134,7 @@ def _ingest_batch(
     files: DataFrame,
     batch: int,
     checksum_bytes: int,
+    widen: bool,
 ) -> None:
     """Land the files of a stored batch, and enter them."""
     names = files.select("path", "length").collect()  # as many as a batch may have
@@ -151,6 +153,7 @@ def _ingest_batch(
     if paths:
         # hidden from readers, as its name begins with a line and has no equals sign
         staged = f"{target}/_staged-{uuid.uuid4().hex}"
+        known = widen_schema(spark, source, paths, checkpoint, known) if widen else known
         read_files(spark, source, paths, known).write.parquet(staged)
         rename_folder(spark, staged, f"{target}/{BATCH_ID}={batch}")
     _move(spark, checkpoint, batch)
@@ -167,10 +170,11 @@ def ingest_ledger(
     max_files: int = FILES_PER_BATCH,
     options: Mapping[str, str] | None = None,
     checksum_bytes: int = CHECKSUM_BYTES,
+    widen: bool = False,
 ) -> DataFrame:
     """Append the files that are new or written again since the last run; return the target.
 
-    ``options`` are those of Spark's file sources. Rows carry the same technical
+    ``options`` are those of Spark's file sources; ``widen`` is that of ``ingest_stream``. Rows carry the same technical
     columns as those of ``ingest_stream``, older files come first.
     """
     known = remembered_schema(spark, source, checkpoint, schema)
@@ -186,7 +190,8 @@ def ingest_ledger(
     first = max(used, default=-1) + 1
     for i in range(-(-numbered.count() // max_files)):
         files = numbered.where(F.col("number").between(i * max_files + 1, (i + 1) * max_files)).drop("number")
-        _ingest_batch(spark, source, target, checkpoint, known, files, first + i, checksum_bytes)
+        _ingest_batch(spark, source, target, checkpoint, known, files, first + i, checksum_bytes, widen)
+        known = remembered_schema(spark, source, checkpoint)
     discard(numbered)
     if len(_numbers(spark, f"{checkpoint}/ledger", "batch-")) > COMPACT_AFTER:
         compact_ledger(spark, checkpoint)

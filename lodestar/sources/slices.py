@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lodestar.names import columns as named
-from lodestar.scratch import discard, folder_exists, materialise, stored_bytes
+from lodestar.scratch import discard, folder_exists, folder_names, materialise, stored_bytes
 
 SLICE = "_slice"
 #: The part of a load that a row belongs to; parts are ranges of the keys.
@@ -84,9 +84,7 @@ def write(rows: DataFrame, path: str, keys: Sequence[str]) -> tuple[str, list[st
     version = f"{path}/version-{uuid.uuid4().hex}"
     collected = rows.hint("rebalance", SLICE).sortWithinPartitions(SLICE, *named(keys))
     collected.write.partitionBy(SLICE).parquet(version)
-    spark = rows.sparkSession
-    written = spark.read.schema(f"{SLICE} STRING").parquet(version).distinct().collect()
-    return version, sorted(r[SLICE] for r in written)
+    return version, sorted(n.split("=", 1)[1] for n in folder_names(rows.sparkSession, version) if n.startswith(f"{SLICE}="))
 
 
 def publish(spark: SparkSession, name: str, version: str, replaced: Iterable[str], added: Iterable[str]) -> None:

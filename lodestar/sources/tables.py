@@ -16,7 +16,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestar.names import columns as named, quoted
-from lodestar.scratch import delete_folder
+from lodestar.scratch import delete_folder, folder_names
 from lodestar.sources import slices
 
 BUCKET = "_bucket"
@@ -167,10 +167,8 @@ def move_partitions(
     rows = df.hint("rebalance", BUCKET)
     rows = rows.sortWithinPartitions(BUCKET, *sort_by) if sort_by else rows
     rows.write.partitionBy(BUCKET).parquet(version)
-    written = spark.read.schema(f"{BUCKET} INT").parquet(version)
-    listed = written.select(BUCKET).distinct().collect()
     known = set(bucket_numbers(spark, name))
-    held = {row[BUCKET] for row in listed}
+    held = {int(n.split("=")[1]) for n in folder_names(spark, version) if n.startswith(f"{BUCKET}=")}
     for number in sorted(known & set(emptied) - held):
         spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BUCKET} = {number})")
     places = {n: f"PARTITION ({BUCKET} = {n})" for n in sorted(held)}

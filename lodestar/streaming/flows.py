@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lodestar.names import column
+from lodestar.names import column, fresh
 from lodestar.operators.quality import expect_all_or_drop
 from lodestar.operators.scd2 import check_sequence, scd2_apply, scd2_create
 from lodestar.operators.segments import MAX_GROUP_ROWS
@@ -115,8 +115,10 @@ def without_repeats(stream: DataFrame, keys: Sequence[str], event_time: str, del
     than the watermark cannot be told from repeats any more and are dropped, as are rows without
     an event time.
     """
-    timed = stream.where(column(event_time).isNotNull()).withWatermark(event_time, delay)
-    return timed.dropDuplicatesWithinWatermark(list(keys))
+    at = fresh("_event_time", stream.columns)
+    # a watermark wants a timestamp with zone, whatever kind of time the rows have
+    timed = stream.withColumn(at, column(event_time).cast("timestamp")).where(F.col(at).isNotNull())
+    return timed.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(keys)).drop(at)
 
 
 def dedup_append(
