@@ -31,6 +31,7 @@ from lodestar.operators import (
 )
 from lodestar.operators import quarantine as quarantines
 from lodestar.operators.counts import read_counts, update_counts
+from lodestar.operators.key_blocks import keys_from_blocks
 from lodestar.operators.segments import MAX_GROUP_ROWS
 from lodestar.operators.snapshots import feed_changes, snapshot_changes as changes_between
 from lodestar.plans import clean, medallion
@@ -293,6 +294,24 @@ def surrogate_keys_composite(spark, sf):
     return assign_surrogate_keys(read(spark, sf, "lineitem").select(*columns), columns)
 
 
+@query(
+    "SELECT o_orderkey, o_orderkey % 2 AS load, true AS has_key, true AS has_own_key, true AS keeps_it FROM orders"
+)
+def surrogate_keys_blocks(spark, sf):
+    """Two loads numbered from blocks, and one of them again: every row has a key of its own and keeps it."""
+    orders = read(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 2).alias("load"))
+    path = new_folder(spark, "key-blocks")
+    loads = [keys_from_blocks(orders.where(F.col("load") == i), path, f"load{i}", "key", block=1000) for i in (0, 1)]
+    again = keys_from_blocks(orders.where("load = 0"), path, "load0", "again", block=1000).drop("load")
+    both = loads[0].unionByName(loads[1])
+    holders = both.groupBy("key").agg(F.count("*").alias("holders"))
+    joined = both.join(holders, "key", "left").join(again, "o_orderkey", "left")
+    return joined.select(
+        "o_orderkey", "load", (F.col("key") > 0).alias("has_key"), (F.col("holders") == 1).alias("has_own_key"),
+        (F.col("again").isNull() | (F.col("again") == F.col("key"))).alias("keeps_it"),
+    )
+
+
 @query("SELECT max(c_custkey) + 1 AS max_surrog_key FROM customer")
 def max_surrogate_key(spark, sf):
     customers = read(spark, sf, "customer").withColumn("DimCustomerKey", F.col("c_custkey") + 1)
