@@ -66,6 +66,7 @@ def scd1_upsert(
     load_ts: Column | None = None,
     only_changed: bool = False,
     buckets: int | None = None,
+    sliced: bool = False,
 ) -> None:
     """Load ``incoming`` into the dimension ``name``.
 
@@ -74,7 +75,8 @@ def scd1_upsert(
     on the business key, which the surrogate key follows one to one. With
     ``only_changed`` an unchanged row keeps its update time. ``latest`` columns
     that are not technical stay in the dimension, and a row that is older by
-    them than the one there changes nothing.
+    them than the one there changes nothing. A ``sliced`` dimension is one of
+    ``upsert_pruned``, from its first load on.
     """
     rows = materialise(dedup_latest(incoming, [key], latest).drop(*named(technical)), "scd1-rows")
     dimension = tables.load(spark, name) if tables.exists(spark, name) else None
@@ -82,8 +84,11 @@ def scd1_upsert(
     source = scd1_rows(rows, dimension, key, surrogate, load_ts)
     dropped = {c.lower() for c in technical}
     sequence = [c for c in latest if c.lower() not in dropped]
-    upsert(
-        spark, name, source, [key], path,
-        only_changed=attributes, sequence=sequence, buckets=buckets,
-    )
+    if sliced:
+        upsert_pruned(spark, name, source, [key], path, only_changed=attributes, sequence=sequence)
+    else:
+        upsert(
+            spark, name, source, [key], path,
+            only_changed=attributes, sequence=sequence, buckets=buckets,
+        )
     discard(rows)

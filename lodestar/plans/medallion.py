@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestar.operators.lookup import Lookup, build_fact
-from lodestar.operators.merge import upsert
+from lodestar.operators.merge import upsert, upsert_pruned
 from lodestar.operators.ranking import dedup_latest
 from lodestar.operators.scd1 import scd1_upsert
 from lodestar.plans import clean
@@ -67,6 +67,11 @@ class Settings:
     ``as_of_order_date`` points each order at the product version that was
     valid at its date, by the version's ``DimProductKey``; otherwise orders
     carry the product's business key.
+
+    With ``sliced`` customers and orders are tables in slices, of which a load
+    rewrites only those with rows that change. Without ``keep_versions`` a load
+    ends by removing the files that no gold table uses any more, for tables that
+    nobody reads meanwhile.
     """
 
     root: str
@@ -80,6 +85,8 @@ class Settings:
     only_changed: bool = False
     incremental: bool = True
     buckets: int | None = 4
+    sliced: bool = False
+    keep_versions: bool = True
 
     def folder(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -143,6 +150,7 @@ def load_customers(spark: SparkSession, s: Settings, load_ts: Column | None = No
             load_ts=load_ts,
             only_changed=s.only_changed,
             buckets=s.buckets,
+            sliced=s.sliced,
         )
 
     if s.incremental:
@@ -202,16 +210,15 @@ def _fact_rows(spark: SparkSession, s: Settings, orders: DataFrame) -> DataFrame
 
 
 def _merge_fact(spark: SparkSession, s: Settings, rows: DataFrame) -> None:
-    upsert(
-        spark,
-        s.table("gold", "FactOrders"),
-        rows,
-        list(s.fact_keys),
-        s.folder("gold", "FactOrders"),
-        sequence=[c for c in s.latest if c not in LINEAGE],
-        buckets=s.buckets,
-        bucket_by=["order_id"],
-    )
+    name, path = s.table("gold", "FactOrders"), s.folder("gold", "FactOrders")
+    sequence = [c for c in s.latest if c not in LINEAGE]
+    if s.sliced:
+        upsert_pruned(spark, name, rows, list(s.fact_keys), path, sequence=sequence)
+    else:
+        upsert(
+            spark, name, rows, list(s.fact_keys), path,
+            sequence=sequence, buckets=s.buckets, bucket_by=["order_id"],
+        )
 
 
 def load_orders(spark: SparkSession, s: Settings) -> None:
@@ -316,3 +323,7 @@ def run(
             done.result()
     if all(have):
         load_orders(spark, settings)
+    if not settings.keep_versions:
+        for name in ("DimCustomers", "DimProducts", "FactOrders"):
+            if tables.exists(spark, settings.table("gold", name)):
+                tables.drop_old_versions(spark, settings.table("gold", name), settings.folder("gold", name))

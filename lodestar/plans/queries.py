@@ -1079,6 +1079,12 @@ def star_summary_incremental(spark, sf):
     return _star_report(spark, _load_twice(spark, sf, incremental=True, buckets=16))
 
 
+@query(STAR)
+def star_summary_sliced(spark, sf):
+    """The same with customers and orders in slices, and no old versions kept."""
+    return _star_report(spark, _load_twice(spark, sf, sliced=True, keep_versions=False))
+
+
 @query(STAR)
 def star_summary_full(spark, sf):
     """The same, where each load reads all silver rows and rewrites whole tables."""

@@ -95,6 +95,34 @@ def test_two_deliveries(spark, tmp_path, buckets, incremental):
     assert {r[0] for r in tables.list_schemas(spark).collect()} >= set(s.schemas.values())
 
 
+def test_sliced_tables_without_old_versions(spark, tmp_path):
+    s = settings_of(tmp_path, sliced=True, keep_versions=False, buckets=2)
+    for delivery in (FIRST, SECOND):
+        deliver(spark, s, delivery)
+    fact = rows(tables.load(spark, s.table("gold", "FactOrders")), "order_id", "DimCustomerKey", "DimProductKey", "total_amount")
+    assert fact == [("O1", 1, "P1", 50.0), ("O2", 3, "P1", 6.0), ("O3", 2, None, 7.0)]
+    assert rows(tables.load(spark, s.table("gold", "DimCustomers")), "DimCustomerKey", "email") == [
+        (1, "ann@gmail.com"), (2, "bob@y.org"), (3, "new@y.org")
+    ]
+    for name in ("DimCustomers", "FactOrders"):
+        used = {f.split("/version-")[1][:32] for f in spark.table(s.table("gold", name)).inputFiles()}
+        there = {p.name.removeprefix("version-") for p in (tmp_path / "gold" / name).glob("version-*")}
+        assert there == used
+
+
+def test_unknown_customers_do_not_make_silver_be_read_again(spark, tmp_path, monkeypatch):
+    """O2's customer comes late and O3's product never: they are looked up from beside the fact."""
+    s = settings_of(tmp_path, buckets=2)
+    deliver(spark, s, FIRST)
+    old = set(spark.table(s.table("silver", "orders_silver")).inputFiles())
+    read, real = [], medallion._fact_rows
+    monkeypatch.setattr(medallion, "_fact_rows", lambda spark, s, orders: read.append(set(orders.inputFiles())) or real(spark, s, orders))
+    deliver(spark, s, {"customers": SECOND["customers"]})
+    assert read and not any(files & old for files in read)
+    assert rows(tables.load(spark, s.table("gold", "FactOrders")), "order_id", "DimCustomerKey") == [("O1", 1), ("O2", 3), ("O3", 2)]
+    assert rows(tables.load(spark, s.table("gold", "FactOrders_open")), "order_id") == [("O3",)]
+
+
 def settings_of(tmp_path, **options):
     unique = uuid.uuid4().hex
     return medallion.Settings(str(tmp_path), {k: f"{k}_{unique}" for k in ("bronze", "silver", "gold")}, **options)
