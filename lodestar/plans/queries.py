@@ -996,16 +996,25 @@ def ingest_nested(spark, sf):
     " WHERE event_type NOT IN ('click', 'view')"
 )
 def ingest_widened(spark, sf):
-    """Numbers become longer from one delivery to the next, then text comes, which no number holds."""
+    """Numbers become longer from one delivery to the next, then text comes, which no number holds.
+
+    Numbers too long for a delivery's short type come in a longer one.
+    """
     events = read(spark, sf, "events")
     click, view = F.col("event_type") == "click", F.col("event_type") == "view"
-    amount = F.col("value").cast("decimal(12,2)")
-    first = events.where(click).select("event_id", F.col("user_id").cast("int").alias("user_id"), amount.alias("value"))
-    longer = (F.col("user_id").cast("bigint") + 5000000000).alias("user_id")
-    second = events.where(view).select("event_id", longer, F.col("value").cast("decimal(16,4)").cast("decimal(12,2)").cast("decimal(16,4)").alias("value"))
-    third = events.where(~click & ~view).select("event_id", F.col("user_id").cast("smallint").alias("user_id"), F.lit("x").alias("value"))
+    number, amount = F.col("user_id"), F.col("value").cast("decimal(12,2)")
+    fits = {kind: number.isNull() | number.try_cast(kind).isNotNull() for kind in ("int", "smallint")}
+
+    def part(rows, kind, user, value):
+        return events.where(rows).select("event_id", user.cast(kind).alias("user_id"), value.alias("value"))
+
+    first = part(click & fits["int"], "int", number, amount)
+    longer = F.when(view, number.cast("bigint") + 5000000000).otherwise(number.cast("bigint"))
+    second = part(view | (click & ~fits["int"]), "bigint", longer, amount.cast("decimal(16,4)"))
+    third = part(~click & ~view & fits["smallint"], "smallint", number, F.lit("x"))
+    fourth = part(~click & ~view & ~fits["smallint"], "bigint", number, F.lit("x"))
     source, bronze, checkpoint = (new_folder(spark, p) for p in ("source", "bronze", "checkpoint"))
-    for delivery in (first, second, third):
+    for delivery in (first, second, third, fourth):
         _deliver(delivery, source)
         landed = ingest_stream(spark, source, bronze, checkpoint, widen=True)
     return landed.select("event_id", "user_id", F.col("value").cast("double").alias("value"), "_rescued_data")
