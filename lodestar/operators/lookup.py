@@ -174,9 +174,11 @@ def _last_versions(timeline: DataFrame) -> DataFrame:
     return ends.select(SEGMENT, shifted.alias("_end")).select(SEGMENT, "_end.*")
 
 
-def build_fact(facts: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Replace the business keys of ``facts`` by dimension keys."""
+def build_fact(facts: DataFrame, lookups: Sequence[Lookup], *, keep_business_keys: bool = False) -> DataFrame:
+    """Replace the business keys of ``facts`` by dimension keys, or add these beside them."""
     for lookup in lookups:
         facts = lookup_keys(facts, lookup)
+    if keep_business_keys:
+        return facts
     outputs = {lookup.out for lookup in lookups}
     return facts.drop(*(column(l.fact_column) for l in lookups if l.fact_column not in outputs))

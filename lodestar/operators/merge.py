@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lodestar.names import Plain, column, columns as named
 from lodestar.operators.segments import same
@@ -91,13 +91,58 @@ def _broadcast_threshold(spark: SparkSession) -> int:
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
-    """Raise if a key repeats; counted on the executors, one row is fetched."""
-    times = df.groupBy(*(column(k).alias(f"k{i}") for i, k in enumerate(keys))).agg(F.count("*").alias("times"))
+    """Raise if a key repeats; counted on the executors, one row is fetched.
+
+    Hashes of the keys are counted first. Only keys whose hash repeats are compared themselves.
+    """
+    key = df.select(*(column(k).alias(f"k{i}") for i, k in enumerate(keys)))
+    key = key.withColumn("hashed", F.xxhash64(*key.columns))
+    again = key.groupBy("hashed").agg(F.count("*").alias("times")).where("times > 1").select("hashed")
+    if again.isEmpty():
+        return
+    times = key.join(again, "hashed", "left_semi").groupBy(*key.columns).agg(F.count("*").alias("times"))
     repeated = times.where("times > 1").first()
     if repeated is not None:
         raise ValueError(f"{what} repeats the key {dict(zip(keys, repeated))}")
 
 
+def _merged_in_buckets(
+    target: DataFrame,
+    source: DataFrame,
+    layout: tuple[int, Sequence[str]],
+    keys: Sequence[str],
+    only_changed: Sequence[str],
+    sequence: Sequence[str],
+) -> DataFrame:
+    """``merge_rows`` for keys that match NULL-safe, with ``BUCKET``: rows are shuffled once, to where they are written.
+
+    No key of the source repeats, so a key has an old row, a new one, or one of each side by side.
+    """
+    old = Plain(target)
+    if _types(source) != _types(target):
+        raise ValueError(f"source {source.dtypes} differs from target {target.dtypes}")
+    new = Plain(source.select(*named(target.columns)))
+    both = old.df.withColumn("given", F.lit(False)).unionAll(new.df.withColumn("given", F.lit(True)))
+    rows, bucket = tables.by_bucket(both, layout[0], old.all_of(layout[1]))
+    at_key = Window.partitionBy(tables.PIECE, *old.all_of(keys)).orderBy(F.desc("given"))
+    rows = rows.withColumn("place", F.row_number().over(at_key))
+    columns = [F.col(c) for c in old.plain]
+    if only_changed or sequence:
+        # the old row comes after the new one, if there is one
+        rows = rows.withColumn("old", F.lead(F.struct(*old.plain)).over(at_key))
+        before = lambda names: [F.col(f"old.{c}") for c in old.all_of(names)]
+        after = lambda names: [F.col(c) for c in old.all_of(names)]
+        stays = F.lit(False)
+        if only_changed:
+            stays = stays | same(after(only_changed), before(only_changed))
+        if sequence:
+            stays = stays | ~F.coalesce(F.struct(*after(sequence)) >= F.struct(*before(sequence)), F.lit(True))
+        stays = F.col("old").isNotNull() & stays
+        columns = [F.when(stays, F.col(f"old.{c}")).otherwise(F.col(c)).alias(c) for c in old.plain]
+    merged = rows.where("place = 1").select(*columns, bucket)
+    return old.back(merged, tables.BUCKET)
+
+
 def upsert(
     spark: SparkSession,
     name: str,
@@ -110,55 +155,48 @@ def upsert(
     sequence: Sequence[str] = (),
     buckets: int | None = None,
     bucket_by: Sequence[str] | None = None,
+    stored: bool = False,
+    unique: bool = False,
 ) -> None:
     """Merge ``source`` into the table ``name`` (folder ``path``); the first load creates it.
 
     ``buckets`` counts on the first load: later loads rewrite only the buckets
     that hold keys of the source. ``bucket_by`` must be among the merge keys.
+    A ``stored`` source is cheap to read again and not stored once more; of a
+    ``unique`` one the caller knows that no key repeats, which is an error.
     """
     bucket_by = list(bucket_by or keys)
     if not {c.lower() for c in bucket_by} <= {k.lower() for k in keys}:
         raise ValueError("bucket_by must consist of merge keys")
-    source = materialise(source, "merge-source")
+    rows = source if stored else materialise(source, "merge-source")
+    if not unique:
+        require_unique(rows, keys, "the source")
     created = not tables.exists(spark, name)
-    layout = None if created else tables.bucketing(spark, name)
-    touched = _checked_buckets(source, keys, layout)
     if created:
-        tables.create(source, name, path, buckets, bucket_by)
-        discard(source)
-        return
-    if not touched:
-        return
-    touched = touched if layout else None
-    target = tables.load(spark, name, only=touched)
-    merged = merge_rows(
-        target,
-        source,
-        keys,
-        null_safe=null_safe,
-        only_changed=only_changed,
-        sequence=sequence,
-        small_source=stored_bytes(source) <= _broadcast_threshold(spark),
-    )
-    tables.replace(merged, name, path)
-    discard(source)
-
-
-def _checked_buckets(
-    source: DataFrame, keys: Sequence[str], layout: tuple[int, Sequence[str]] | None
-) -> list[int]:
-    """The buckets with rows of the source (0 without buckets); a repeated key is an error."""
-    bucket = tables.bucket_of(*layout) if layout else F.lit(0)
-    key = F.struct(*(column(k).alias(k) for k in keys)).alias("key")
-    once = source.groupBy(key).agg(F.count("*").alias("times"), F.first(bucket).alias("number"))
-    by_bucket = once.groupBy("number").agg(
-        F.max(F.when(F.col("times") > 1, F.to_json("key"))).alias("repeated")
-    )
-    rows = by_bucket.collect()  # one row per bucket
-    for row in rows:
-        if row["repeated"] is not None:
-            raise ValueError(f"the source repeats the key {row['repeated']}")
-    return sorted(row["number"] for row in rows)
+        # each task writes its rows of every bucket; to collect buckets first would shuffle all rows
+        bucket = tables.bucket_of(buckets, bucket_by) if buckets else None
+        tables.create(rows if bucket is None else rows.withColumn(tables.BUCKET, bucket), name, path, buckets, bucket_by)
+    else:
+        layout = tables.bucketing(spark, name)
+        touched = tables.touched_buckets(rows, *layout) if layout else [] if rows.isEmpty() else [0]
+        small = stored_bytes(rows) <= _broadcast_threshold(spark)
+        if touched:
+            target = tables.load(spark, name, only=touched if layout else None)
+            if layout and null_safe and not small:
+                merged = _merged_in_buckets(target, rows, layout, keys, only_changed, sequence)
+            else:
+                merged = merge_rows(
+                    target,
+                    rows,
+                    keys,
+                    null_safe=null_safe,
+                    only_changed=only_changed,
+                    sequence=sequence,
+                    small_source=small,
+                )
+            tables.replace(merged, name, path)
+    if not stored:
+        discard(rows)
 
 
 def upsert_pruned(
@@ -171,6 +209,8 @@ def upsert_pruned(
     only_changed: Sequence[str] = (),
     sequence: Sequence[str] = (),
     part_bytes: int = slices.SLICE_BYTES,
+    stored: bool = False,
+    unique: bool = False,
 ) -> None:
     """Merge ``source`` into the table ``name``, of which only slices with rows that change are rewritten.
 
@@ -180,14 +220,15 @@ def upsert_pruned(
     they are. Rows that match nothing are added as new slices, so a load of new
     keys rewrites nothing. Keys match NULL-safe. A load that is repeated changes nothing.
     """
-    stored = materialise(source, "merge-source")
-    require_unique(stored, keys, "the source")
+    given, stored = stored, source if stored else materialise(source, "merge-source")
+    if not unique:
+        require_unique(stored, keys, "the source")
     parts = slices.in_parts(stored, keys, part_bytes)
     fresh_slice = slices.new_names(F.col(slices.PART)).alias(slices.SLICE)
     if not tables.exists(spark, name):
         slices.create(stored, name, path)
         slices.add(parts.select("*", fresh_slice).drop(slices.PART), name, path, keys)
-        discard(stored)
+        discard(*([] if given else [stored]))
         return
     target = slices.load(spark, name)
     old_columns = [c for c in target.columns if c != slices.SLICE]
@@ -214,4 +255,4 @@ def upsert_pruned(
         added = incoming.back(incoming.df.join(hits.select(*new.all_of(keys)), at_key, "left_anti"))
     if hits is None or hits.count() < stored.count():
         slices.add(added.select(*named(old_columns), fresh_slice), name, path, keys)
-    discard(stored, *([hits] if hits else []))
+    discard(*([] if given else [stored]), *([hits] if hits else []))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lodestar.functions import discounted, joined_name, part_at, register_functions
 from lodestar.operators import (
@@ -35,7 +35,7 @@ from lodestar.operators.key_blocks import keys_from_blocks
 from lodestar.operators.segments import MAX_GROUP_ROWS
 from lodestar.operators.snapshots import feed_changes, snapshot_changes as changes_between
 from lodestar.plans import clean, medallion
-from lodestar.scratch import delete_folder, folder_names, materialise, new_folder, rename_folder
+from lodestar.scratch import PACKED, delete_folder, folder_exists, folder_names, materialise, new_folder, rename_folder
 from lodestar.sources import tables
 from lodestar.sources.ingest import ingest_stream
 from lodestar.sources.ledger import current_rows, ingest_ledger as ledger_ingest
@@ -781,21 +781,21 @@ def current_lookup(spark, sf):
 
 
 def _order_lines(spark, sf):
+    amount = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     lines = read(spark, sf, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                    F.col("l_shipdate").cast("date")).alias("order_id"),
-        "l_orderkey",
-        F.col("l_partkey").alias("product_id"),
-        (
-            F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
-        ).cast("decimal(18,4)").alias("total_amount"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("shipped"),
+        amount.cast("decimal(18,4)").alias("total_amount"),
     )
     orders = read(spark, sf, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_date"),
     )
-    return lines.join(orders, "l_orderkey").drop("l_orderkey")
+    # the long text is made of its parts after the shuffle
+    return lines.join(orders, "l_orderkey").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "shipped").alias("order_id"),
+        F.col("l_partkey").alias("product_id"), "total_amount", "customer_id", "order_date",
+    )
 
 
 ORDER_LINES = """
@@ -839,7 +839,7 @@ def fact_orders(spark, sf):
 @query(FACT)
 def fact_upsert(spark, sf):
     """Two overlapping loads, merged on three keys of which two may be NULL."""
-    lines = _order_lines(spark, sf)
+    lines = materialise(_order_lines(spark, sf), "order-lines")
     name, path = new_table(spark, "fact")
     for part in ("order_date < timestamp_ntz'1996-01-01'", "order_date >= timestamp_ntz'1994-01-01'"):
         fact = _fact(spark, sf, lines.where(part))
@@ -875,7 +875,16 @@ def published_table(spark, sf):
 
 
 def _deliver(rows: DataFrame, folder: str) -> None:
-    rows.write.mode("append").parquet(folder)
+    rows.write.options(**PACKED).mode("append").parquet(folder)
+
+
+def _deliver_files(spark: SparkSession, stored: str, folder: str, label: str) -> None:
+    """The files of a stored table, moved under a name with ``label`` rather than written again."""
+    if not folder_exists(spark, stored):
+        return  # a part without rows
+    for name in folder_names(spark, stored):
+        if name.startswith("part-"):
+            rename_folder(spark, f"{stored}/{name}", f"{folder}/{label}-{name}")
 
 
 def _deliver_as(rows: DataFrame, path: str) -> None:
@@ -1208,23 +1217,32 @@ def _load_twice(spark: SparkSession, sf: str, **options) -> medallion.Settings:
     dearer = products.withColumns(
         {"price": F.col("price") + 1, "updated_at": F.expr("timestamp_ntz'2024-06-01'")}
     )
-    orders = materialise(_order_lines(spark, sf), "order-lines")
+    # stored by delivery: those of the first one only, of both, and of the second one only
+    first, second = F.col("order_date") < F.expr("timestamp_ntz'1996-01-01'"), F.col("order_date") >= F.expr("timestamp_ntz'1994-01-01'")
+    lines = new_folder(spark, "order-lines")
+    orders = _order_lines(spark, sf)
+    when = F.when(first & second, "both").when(first, "first").when(second, "second")
+    orders.withColumn("delivery", when).where("delivery IS NOT NULL").write.options(**PACKED).partitionBy("delivery").parquet(lines)
+    stored = spark.read.schema(T.StructType([*orders.schema.fields, T.StructField("delivery", T.StringType())])).parquet(lines)
     regions = read(spark, sf, "nation").selectExpr("n_nationkey AS region_id", "n_name AS region_name")
     deliveries = [
         {
             "customers": customers.where("first_name = 'BUILDING'"),
             "products": products,
-            "orders": orders.where("order_date < timestamp_ntz'1996-01-01'"),
+            "orders": stored.where("delivery IN ('first', 'both')").drop("delivery"),
             "regions": regions,
         },
         {
             "customers": customers,
             "products": dearer,
-            "orders": orders.where("order_date >= timestamp_ntz'1994-01-01'"),
         },
     ]
-    for delivery in deliveries:
+    for number, delivery in enumerate(deliveries):
         for name, rows in delivery.items():
             _deliver(rows, settings.folder("source", name))
+        if number:
+            for part in ("both", "second"):
+                _deliver_files(spark, f"{lines}/delivery={part}", settings.folder("source", "orders"), part)
         medallion.run(spark, settings)
+    delete_folder(spark, lines)
     return settings

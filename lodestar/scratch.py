@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 
+#: How stored rows are packed: half the size of Spark's default for keys made of text, at little more time.
+PACKED = {"compression": "zstd"}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
@@ -39,7 +42,7 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of what was written."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**PACKED).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lodestar.scratch import folder_exists, folder_names, rename_folder
+from lodestar.scratch import PACKED, folder_exists, folder_names, rename_folder
 from lodestar.sources.widening import holds_all, known_part, widened
 
 RESCUED = "_rescued_data"
@@ -218,7 +218,7 @@ def start_ingest(
         if widen:
             schema = widen_schema(batch.sparkSession, source, sorted(files), checkpoint, schema)
         rows = read_files(batch.sparkSession, source, sorted(files), schema)
-        rows.write.mode("overwrite").parquet(f"{target}/{BATCH_ID}={batch_id}")
+        rows.write.options(**PACKED).mode("overwrite").parquet(f"{target}/{BATCH_ID}={batch_id}")
 
     query = (
         arrivals.writeStream.foreachBatch(land)

@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lodestar.names import columns as named
-from lodestar.scratch import discard, folder_exists, folder_names, materialise, stored_bytes
+from lodestar.scratch import PACKED, discard, folder_exists, folder_names, materialise, stored_bytes
 
 SLICE = "_slice"
 #: The part of a load that a row belongs to; parts are ranges of the keys.
@@ -83,7 +83,7 @@ def write(rows: DataFrame, path: str, keys: Sequence[str]) -> tuple[str, list[st
     """Write rows that know their ``SLICE`` to a new version; its folder, and the slices it holds."""
     version = f"{path}/version-{uuid.uuid4().hex}"
     collected = rows.hint("rebalance", SLICE).sortWithinPartitions(SLICE, *named(keys))
-    collected.write.partitionBy(SLICE).parquet(version)
+    collected.write.options(**PACKED).partitionBy(SLICE).parquet(version)
     return version, sorted(n.split("=", 1)[1] for n in folder_names(rows.sparkSession, version) if n.startswith(f"{SLICE}="))
 
 

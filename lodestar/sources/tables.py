@@ -16,10 +16,13 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestar.names import columns as named, quoted
-from lodestar.scratch import delete_folder, folder_names
+from lodestar.scratch import PACKED, delete_folder, folder_names
 from lodestar.sources import slices
 
 BUCKET = "_bucket"
+#: The part of a bucket that a row is shuffled with; never stored.
+PIECE = "_piece"
+PIECES_OF_A_TASK = 4
 _BUCKETS = "lodestar.buckets"
 _BUCKET_BY = "lodestar.bucket_by"
 
@@ -88,6 +91,20 @@ def load(spark: SparkSession, name: str, only: Iterable[int] | None = None) -> D
     return df.drop(BUCKET, slices.SLICE)
 
 
+def by_bucket(df: DataFrame, buckets: int, columns: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``df`` with ``PIECE``, shuffled so that a task holds whole pieces of few buckets, and the bucket of a piece.
+
+    Rows that agree in ``columns`` share a piece, so windows by ``PIECE`` and those columns need no other
+    shuffle, and a bucket is written to few files.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = -(-PIECES_OF_A_TASK * tasks // buckets)
+    of_bucket = F.pmod(F.xxhash64(F.xxhash64(*named(columns)), F.lit(1)), F.lit(pieces))
+    piece = (bucket_of(buckets, columns) * pieces + of_bucket).cast("int")
+    spread = df.withColumn(PIECE, piece).repartition(PIECE)
+    return spread, F.floor(F.col(PIECE) / pieces).cast("int").alias(BUCKET)
+
+
 def create(
     df: DataFrame,
     name: str,
@@ -98,30 +115,34 @@ def create(
     """Publish the first version of a table below ``path``."""
     spark = df.sparkSession
     if buckets is None:
-        df.write.option("path", _new_version(path)).format("parquet").saveAsTable(name)
+        df.write.options(**PACKED).option("path", _new_version(path)).format("parquet").saveAsTable(name)
         return
-    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields if f.name != BUCKET)
     by = json.dumps(list(bucket_by)).replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({columns}, {BUCKET} INT) USING parquet"
         f" PARTITIONED BY ({BUCKET}) LOCATION '{path}'"
         f" TBLPROPERTIES ('{_BUCKETS}' = '{buckets}', '{_BUCKET_BY}' = '{by}')"
     )
-    _move_buckets(df, name, path, buckets, bucket_by)
+    replace(df, name, path)
 
 
 def replace(df: DataFrame, name: str, path: str, touched: Iterable[int] | None = None) -> None:
     """Publish ``df`` as the new content: of the whole table, or of the buckets it holds.
 
-    Buckets of ``touched`` without rows in ``df`` become empty.
+    Buckets of ``touched`` without rows in ``df`` become empty. Rows that come with their
+    ``BUCKET`` are written as they are spread, else each bucket is collected first.
     """
     spark = df.sparkSession
     layout = bucketing(spark, name)
     if layout:
-        _move_buckets(df, name, path, *layout, emptied=touched or ())
+        if BUCKET in df.columns:
+            move_partitions(df, name, path, touched or (), spread=True)
+        else:
+            _move_buckets(df, name, path, *layout, emptied=touched or ())
         return
     version = _new_version(path)
-    df.write.parquet(version)
+    df.write.options(**PACKED).parquet(version)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
     spark.catalog.refreshTable(name)
 
@@ -155,18 +176,24 @@ def bucket_numbers(spark: SparkSession, name: str) -> list[int]:
 
 
 def move_partitions(
-    df: DataFrame, name: str, path: str, emptied: Iterable[int] = (), sort_by: Sequence[str] = ()
+    df: DataFrame,
+    name: str,
+    path: str,
+    emptied: Iterable[int] = (),
+    sort_by: Sequence[str] = (),
+    spread: bool = False,
 ) -> None:
     """Write rows that know their ``BUCKET``, and point the table's partitions at them.
 
-    Buckets of ``emptied`` without rows in ``df`` are dropped.
+    Buckets of ``emptied`` without rows in ``df`` are dropped. With ``spread`` the rows of a bucket
+    are in few tasks already (``by_bucket``).
     """
     spark = df.sparkSession
     version = _new_version(path)
     # The rebalance hint collects each bucket into few files and splits a large one.
-    rows = df.hint("rebalance", BUCKET)
+    rows = df if spread else df.hint("rebalance", BUCKET)
     rows = rows.sortWithinPartitions(BUCKET, *sort_by) if sort_by else rows
-    rows.write.partitionBy(BUCKET).parquet(version)
+    rows.write.options(**PACKED).partitionBy(BUCKET).parquet(version)
     known = set(bucket_numbers(spark, name))
     held = {int(n.split("=")[1]) for n in folder_names(spark, version) if n.startswith(f"{BUCKET}=")}
     for number in sorted(known & set(emptied) - held):

@@ -11,6 +11,7 @@ from lodestar.names import column, fresh
 from lodestar.operators.quality import expect_all_or_drop
 from lodestar.operators.scd2 import check_sequence, scd2_apply, scd2_create
 from lodestar.operators.segments import MAX_GROUP_ROWS
+from lodestar.scratch import PACKED
 from lodestar.sources.ingest import ALL_AGES
 
 
@@ -18,7 +19,7 @@ def start_append(
     rows: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
     """Start appending a stream to a Parquet folder, exactly once."""
-    writer = rows.writeStream.format("parquet").outputMode("append")
+    writer = rows.writeStream.format("parquet").options(**PACKED).outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return (

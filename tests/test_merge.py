@@ -210,3 +210,33 @@ def test_pruned_upserts_are_dictionary_updates(spark, tmp_path_factory, loads):
         upsert_pruned(spark, name, rows, ["k"], path, part_bytes=300)
         expected.update(load)
     assert rows_of(spark, name) == expected
+
+
+# ---------------------------------------------------------------- merges into buckets
+
+
+@pytest.mark.parametrize("limits", [{}, {"only_changed": ["v"]}, {"sequence": ["k"]}])
+def test_a_bucketed_merge_shuffles_once_and_equals_the_join(spark, capsys, limits):
+    from lodestar.operators.merge import _merged_in_buckets
+
+    old = frame(spark, [("a", 1, 1), ("b", 2, 2), (None, 3, 3), ("d", 4, 4)])
+    new = frame(spark, [("a", 1, 1), ("b", 1, 20), (None, 3, 30), ("e", None, 5)])
+    merged = _merged_in_buckets(old, new, (3, ["id"]), ["id"], limits.get("only_changed", ()), limits.get("sequence", ()))
+    assert rows(merged.drop(tables.BUCKET)) == rows(merge_rows(old, new, ["id"], **limits))
+    assert merged.where(tables.bucket_of(3, ["id"]) != merged[tables.BUCKET]).isEmpty()
+    merged.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
+
+
+def test_a_large_load_into_buckets(spark, table, tmp_path):
+    path, setting = str(tmp_path / "t"), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, -1)
+    try:
+        for load in (numbers(spark, 0, 500), numbers(spark, 400, 900, 2), numbers(spark, 400, 900, 2)):
+            upsert(spark, table, load, ["id"], path, buckets=5)
+        with pytest.raises(ValueError, match="repeats the key"):
+            upsert(spark, table, numbers(spark, 0, 5).unionAll(numbers(spark, 4, 5, 7)), ["id"], path)
+    finally:
+        spark.conf.set(setting, before)
+    assert rows_of(spark, table) == {**dict.fromkeys(range(400), 1), **dict.fromkeys(range(400, 900), 2)}
