@@ -12,6 +12,7 @@ from lodestar.operators.lookup import Lookup, build_fact
 from lodestar.operators.merge import upsert, upsert_pruned
 from lodestar.operators.ranking import dedup_latest
 from lodestar.operators.scd1 import scd1_upsert
+from lodestar.operators.segments import same
 from lodestar.plans import clean
 from lodestar.scratch import discard, materialise
 from lodestar.sources import tables
@@ -46,6 +47,9 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 # The order of arrival, most significant first.
 LINEAGE_ORDER = (BATCH_ID, FILE_TIME, SOURCE_FILE)
 
+# The number of a source file within a batch.
+ARRIVAL = "_arrival"
+
 # The quality rules of the product dimension.
 PRODUCT_RULES = {
     "rule1": "product_id IS NOT NULL",
@@ -194,9 +198,16 @@ def product_versions(spark: SparkSession, s: Settings) -> DataFrame:
     return products.withColumn("DimProductKey", F.concat_ws("@", "product_id", begin))
 
 
+def _latest_orders(s: Settings, orders: DataFrame) -> DataFrame:
+    """The latest delivery of each order. Without a repeated one the rows as they are: only hashes are shuffled."""
+    hashed = orders.select(F.xxhash64("order_id").alias("hashed"))
+    if hashed.groupBy("hashed").agg(F.count("*").alias("times")).where("times > 1").isEmpty():
+        return orders
+    return dedup_latest(orders, ["order_id"], s.latest)
+
+
 def _fact_rows(spark: SparkSession, s: Settings, orders: DataFrame) -> DataFrame:
-    """The latest delivery of each order, with dimension keys."""
-    orders = dedup_latest(orders, ["order_id"], s.latest).drop(*LINEAGE)
+    """Orders, one row each, with dimension keys beside their own columns."""
     customers = tables.load(spark, s.table("gold", "DimCustomers"))
     products = product_versions(spark, s)
     as_of, product_key = ("order_date", "DimProductKey") if s.as_of_order_date else (None, "product_id")
@@ -206,36 +217,50 @@ def _fact_rows(spark: SparkSession, s: Settings, orders: DataFrame) -> DataFrame
             Lookup(customers, "customer_id", "customer_id", "DimCustomerKey", "DimCustomerKey"),
             Lookup(products, "product_id", "product_id", product_key, "DimProductKey", as_of),
         ],
+        keep_business_keys=True,
     )
 
 
-def _merge_fact(spark: SparkSession, s: Settings, rows: DataFrame) -> None:
+def _merge_fact(spark: SparkSession, s: Settings, found: DataFrame) -> None:
+    """Merge stored rows of ``_fact_rows``, without the columns that only the lookups need."""
     name, path = s.table("gold", "FactOrders"), s.folder("gold", "FactOrders")
+    rows = found.drop(*LINEAGE, *(c for c, _ in OPEN_KEYS.values()), *(m for _, m in OPEN_KEYS.values()))
     sequence = [c for c in s.latest if c not in LINEAGE]
+    once = [k.lower() for k in s.fact_keys] == ["order_id"]  # of which the rows are the latest
     if s.sliced:
-        upsert_pruned(spark, name, rows, list(s.fact_keys), path, sequence=sequence)
+        upsert_pruned(spark, name, rows, list(s.fact_keys), path, sequence=sequence, stored=True, unique=once)
     else:
         upsert(
             spark, name, rows, list(s.fact_keys), path,
-            sequence=sequence, buckets=s.buckets, bucket_by=["order_id"],
+            sequence=sequence, buckets=s.buckets, bucket_by=["order_id"], stored=True, unique=once,
         )
 
 
 def load_orders(spark: SparkSession, s: Settings) -> None:
     silver = s.table("silver", "orders_silver")
     if not s.incremental:
-        _merge_fact(spark, s, _fact_rows(spark, s, spark.table(silver)))
+        orders = _latest_orders(s, spark.table(silver)).drop(*LINEAGE)
+        found = materialise(_fact_rows(spark, s, orders), "fact-rows")
+        _merge_fact(spark, s, found)
+        discard(found)
         return
     if [k.lower() for k in s.fact_keys] != ["order_id"]:
         raise ValueError("an incremental load merges orders by order_id alone")
 
     def apply(rows: DataFrame, batch_id: int) -> None:
         session = rows.sparkSession
-        orders = materialise(dedup_latest(rows, ["order_id"], s.latest), "orders")
-        found = materialise(_fact_rows(session, s, orders), "fact-rows")
-        _merge_fact(session, s, found)
-        _keep_open(session, s, orders, found)
-        discard(orders, found)
+        # a row per source file; orders are shuffled with its number instead of names and times
+        arrivals = rows.select(*LINEAGE).distinct().withColumn(ARRIVAL, F.monotonically_increasing_id())
+        arrivals = materialise(arrivals, "arrivals")
+        same_file = same([F.col(f"o.{c}") for c in LINEAGE], [F.col(f"a.{c}") for c in LINEAGE])
+        orders = _latest_orders(s, rows)
+        numbered = orders.alias("o").join(arrivals.alias("a"), same_file).select(
+            *(f"o.{c}" for c in orders.columns if c not in LINEAGE), ARRIVAL
+        )
+        found = materialise(_fact_rows(session, s, numbered), "fact-rows")
+        _merge_fact(session, s, found.drop(ARRIVAL))
+        _keep_open(session, s, found.join(arrivals, ARRIVAL).select(*orders.columns, *OPEN_KEYS))
+        discard(found, arrivals)
 
     _resolve_open_keys(spark, s)
     for_each_batch(table_stream(spark, silver), apply, s.checkpoint("FactOrders"))
@@ -246,12 +271,10 @@ OPEN_KEYS = {"DimCustomerKey": ("customer_id", "_open_customer"), "DimProductKey
 ANY_OPEN = " OR ".join(mark for _, mark in OPEN_KEYS.values())
 
 
-def _open_marks(orders: DataFrame, found: DataFrame) -> DataFrame:
+def _open_marks(found: DataFrame) -> DataFrame:
     """Orders with a mark for each key that was not found; a NULL business key has none to be found."""
-    missing = found.select(F.col("order_id").alias("_order"), *(F.col(k).alias(f"_{k}") for k in OPEN_KEYS))
-    marked = orders.join(missing, F.col("order_id").eqNullSafe(F.col("_order")))
-    marks = {m: F.col(f"_{k}").isNull() & F.col(c).isNotNull() for k, (c, m) in OPEN_KEYS.items()}
-    return marked.withColumns(marks).select(*orders.columns, *marks)
+    marks = {m: F.col(k).isNull() & F.col(c).isNotNull() for k, (c, m) in OPEN_KEYS.items()}
+    return found.withColumns(marks).drop(*OPEN_KEYS)
 
 
 def _write_open(spark: SparkSession, s: Settings, rows: DataFrame) -> None:
@@ -263,19 +286,23 @@ def _write_open(spark: SparkSession, s: Settings, rows: DataFrame) -> None:
         tables.create(rows, name, path)
 
 
-def _keep_open(spark: SparkSession, s: Settings, orders: DataFrame, found: DataFrame) -> None:
+def _keep_open(spark: SparkSession, s: Settings, found: DataFrame) -> None:
     """Remember the orders of a batch whose customer or product is unknown, whole, and forget those that are known now."""
-    marked = _open_marks(orders, found)
+    marked = _open_marks(found)
+    still = marked.where(ANY_OPEN)
     name = s.table("gold", "FactOrders_open")
     if tables.exists(spark, name):
         old = tables.load(spark, name)
-        # the later delivery of an order counts, whether its keys are known or not
-        marked = dedup_latest(old.unionByName(marked), ["order_id"], s.latest)
-        if old.isEmpty() and marked.where(ANY_OPEN).isEmpty():
+        if not old.isEmpty():
+            # the later delivery of an order counts, whether its keys are known or not; of known ones only that is needed
+            known = marked.where(f"NOT ({ANY_OPEN})").select("order_id", *s.latest, *(m for _, m in OPEN_KEYS.values()))
+            there = old.select(F.col("order_id").alias("_order"))
+            known = known.join(there, F.col("order_id").eqNullSafe(F.col("_order")), "left_semi")
+            either = old.unionByName(still).unionByName(known, allowMissingColumns=True)
+            still = dedup_latest(either, ["order_id"], s.latest).where(ANY_OPEN)
+        elif still.isEmpty():
             return
-    still = materialise(marked.where(ANY_OPEN), "open-orders")
     _write_open(spark, s, still)
-    discard(still)
 
 
 def _resolve_open_keys(spark: SparkSession, s: Settings) -> None:
@@ -287,22 +314,15 @@ def _resolve_open_keys(spark: SparkSession, s: Settings) -> None:
     name = s.table("gold", "FactOrders_open")
     if not tables.exists(spark, name):
         return
-    marks = [m for _, m in OPEN_KEYS.values()]
     unresolved = tables.load(spark, name)
     if unresolved.isEmpty():
         return
-    orders = unresolved.drop(*marks)
-    found = materialise(_fact_rows(spark, s, orders), "fact-rows")
-    before = unresolved.select(F.col("order_id").alias("_order"), *marks)
-    gained = " OR ".join(f"({m} AND {k} IS NOT NULL)" for k, (_, m) in OPEN_KEYS.items())
-    more = found.join(before, F.col("order_id").eqNullSafe(F.col("_order"))).where(gained).drop("_order", *marks)
-    more = materialise(more, "resolved")
+    found = materialise(_fact_rows(spark, s, unresolved), "fact-rows")
+    more = found.where(" OR ".join(f"({m} AND {k} IS NOT NULL)" for k, (_, m) in OPEN_KEYS.items()))
     if not more.isEmpty():
         _merge_fact(spark, s, more)
-        still = materialise(_open_marks(orders, found).where(ANY_OPEN), "open-orders")
-        _write_open(spark, s, still)
-        discard(still)
-    discard(found, more)
+        _write_open(spark, s, _open_marks(found).where(ANY_OPEN))
+    discard(found)
 
 
 def run(

@@ -178,3 +178,21 @@ def test_a_correction_of_a_product_in_one_load_and_in_two(spark, tmp_path):
             medallion.run(spark, s)
         got.append(rows(tables.load(spark, s.table("gold", "DimProducts")), "product_id", "price"))
     assert got == [[("P1", 2.0)]] * 2
+
+
+def test_orders_are_compared_only_where_one_repeats(spark, tmp_path, monkeypatch):
+    seen, real = [], medallion.dedup_latest
+    monkeypatch.setattr(medallion, "dedup_latest", lambda df, keys, latest: seen.append(keys) or real(df, keys, latest))
+    s = settings_of(tmp_path, buckets=2)
+    known = {"customers": (CUSTOMER, [("C1", "a@x", "A", "B")]), "products": (PRODUCT, [("P1", "Pen", 1.0, day(1))])}
+    deliver(spark, s, known | {"orders": (ORDER, [("O1", "C1", "P1", day(1), 1.0), ("O2", "C8", "P1", day(1), 1.0)])})
+    assert seen == []
+    # O2 is open; of two deliveries of it the later one counts, and of O1 too
+    again = [("O1", "C1", "P1", day(2), 2.0), ("O2", "C9", "P1", day(2), 2.0)]
+    for load in (again, [(o, "C1", p, d, 3.0) for o, _, p, d, _ in again]):
+        frame(spark, load, ORDER).coalesce(1).write.mode("append").parquet(s.folder("source", "orders"))
+        time.sleep(1.1)
+    medallion.run(spark, s)
+    assert ["order_id"] in seen
+    assert rows(tables.load(spark, s.table("gold", "FactOrders")), "order_id", "DimCustomerKey", "total_amount") == [("O1", 1, 3.0), ("O2", 1, 3.0)]
+    assert tables.load(spark, s.table("gold", "FactOrders_open")).count() == 0
