@@ -40,6 +40,8 @@ from lodestar.sources.slices import PART, POSITION, SLICE
 
 #: Rows of a slice; one that grows to twice as many is cut.
 SLICE_ROWS = 100_000
+#: Rows that a task sorts when everything is laid out anew, of as many slices as that makes.
+TASK_ROWS = 200_000
 #: With more rows for one slice than so many slices hold, or more than this share of the slices, all is sorted anew.
 NEW_SLICES, NEW_SHARE = 20, 0.5
 
@@ -379,9 +381,12 @@ def _lay_out(spark: SparkSession, store: _Store, rows: DataFrame, shape: _Shape,
     if not tables.exists(spark, store.name):
         slices.create(store.out(rows.withColumn(SLICE, F.lit(""))).drop(SLICE), store.name, store.path)
     old = slices.names(spark, store.name)
-    number = max(1, -(-rows.count() // slice_rows))
-    dealt = rows.repartitionByRange(number, *shape.k, "at").withColumn(SLICE, slices.new_names(F.spark_partition_id()))
-    dealt = materialise(dealt, "dealt")
+    # a task sorts the rows of many slices; the place of a row in its task tells which one it is in
+    number = max(1, -(-rows.count() // max(slice_rows, TASK_ROWS)))
+    in_order = rows.repartitionByRange(number, *shape.k, "at").sortWithinPartitions(*shape.k, "at")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    cut = F.concat_ws("-", F.spark_partition_id(), F.floor(place / slice_rows))
+    dealt = materialise(in_order.withColumn(SLICE, slices.new_names(cut)), "dealt")
     version, added = slices.write(store.out(dealt), store.path, store.order)
     slices.record_fences(dealt.withColumn(POSITION, shape.position()), store.path)
     slices.publish(spark, store.name, version, [], added)

@@ -251,7 +251,11 @@ def located(rows: DataFrame, fence: DataFrame) -> DataFrame:
     spans = rows.groupBy(PART).agg(F.min(POSITION).alias("from"), F.max(POSITION).alias("to"))
     begun = F.col("low").isNull() | (F.col("low") <= F.col("to"))
     near = spans.join(fence, begun & (F.col("high").isNull() | (F.col("from") < F.col("high"))))
-    inside = (F.col("low").isNull() | (F.col("low") <= F.col(POSITION))) & (
-        F.col("high").isNull() | (F.col(POSITION) < F.col("high"))
+    # fences and rows of a part in one order: a row is in the slice that began last, however many slices there are
+    points = near.select(PART, F.col("low").alias(POSITION), F.col(SLICE).alias("_began"), F.lit(0).alias("_is_row"))
+    every = rows.withColumn("_is_row", F.lit(1)).unionByName(points, allowMissingColumns=True)
+    so_far = Window.partitionBy(PART).orderBy(F.asc_nulls_first(POSITION), "_is_row").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    return rows.join(near.select(PART, SLICE, "low", "high"), PART).where(inside).drop("low", "high", PART)
+    found = every.withColumn(SLICE, F.last("_began", ignorenulls=True).over(so_far))
+    return found.where("_is_row = 1").drop(PART, "_began", "_is_row")

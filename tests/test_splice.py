@@ -124,3 +124,37 @@ def test_edges(spark, table, tmp_path):
     twice = spark.createDataFrame([(1, "a", 1, 1, "x"), (1, "a", 1, 2, "x")], DDL)
     with pytest.raises(ValueError, match="different values"):
         scd2_splice(spark, table, twice, path, key=KEY, sequence_by="at", batch_id=3)
+
+
+def test_a_task_lays_out_many_slices(spark, table, tmp_path, monkeypatch):
+    """Slices are no larger than asked for, and their number is not that of the tasks that sort."""
+    from lodestar.operators import splice
+
+    tasks, real = [], splice.materialise
+
+    def count(df, label):
+        if label == "dealt":
+            tasks.append(df.rdd.getNumPartitions())
+        return real(df, label)
+
+    monkeypatch.setattr(splice, "materialise", count)
+    events = spark.range(3000).selectExpr("id % 50 id", "id at", "id % 7 v")
+    scd2_splice(spark, table, events, str(tmp_path / "p"), key=["id"], sequence_by="at", batch_id=0, slice_rows=100)
+    stored = spark.table(f"{table}_events")
+    sizes = [r["count"] for r in stored.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 100 and len(sizes) == 30
+    assert tasks and max(tasks) < 30
+
+
+def test_rows_are_located_without_comparing_each_with_every_slice(spark, capsys):
+    from pyspark.sql import functions as F
+
+    from lodestar.sources import slices
+
+    fence = spark.range(1, 21).selectExpr("concat('s', id) _slice", "if(id > 1, struct(id * 5 as k0), NULL) low", "if(id < 20, struct((id + 1) * 5 as k0), NULL) high", "id at")
+    some = spark.range(0, 130).select("id", F.lit(0).alias(slices.PART), F.struct(F.col("id").alias("k0")).alias(slices.POSITION))
+    found = slices.located(some, fence)
+    assert {r["id"]: r["_slice"] for r in found.collect()} == {i: f"s{min(max(i // 5, 1), 20)}" for i in range(130)}
+    found.explain()
+    plan = capsys.readouterr().out.split("Initial Plan")[-1]  # one nested loop, of parts and slices
+    assert plan.count("BroadcastNestedLoopJoin") <= 1 and "SortMergeJoin" not in plan and "Window" in plan
