@@ -37,6 +37,8 @@ SLICE_BYTES = 64 << 20
 BITS_PER_KEY, BITS_SET = 10, 4
 #: Bits of a block; the size is that of Spark's bitmap functions.
 BLOCK_BITS = 32768
+#: Rows whose bits a task sorts when it makes filters.
+ROWS_AT_ONCE = 250_000
 #: Slices named in a filter on the record, or in one statement.
 NAMED_AT_ONCE = 500
 
@@ -151,8 +153,10 @@ def record(rows: DataFrame, path: str, keys: Sequence[str]) -> None:
     ranges = materialise(ranges, "ranges")
     hashed = rows.select(SLICE, _hash(keys).alias("hashed")).join(ranges.select(SLICE, "blocks"), SLICE)
     block = F.pmod("hashed", "blocks").cast("int").alias("block")
-    bits = hashed.select(SLICE, block, F.explode(F.array(*_bits(F.col("hashed")))).alias("bit"))
-    # a bitmap is 4 KB, so rows are combined before the shuffle by their distinct bits only
+    # whole blocks of a bounded number of rows to a task, which sorts all bits of its rows
+    tasks = max(1, -(-(ranges.agg(F.sum("rows")).first()[0] or 0) // ROWS_AT_ONCE))
+    hashed = hashed.select(SLICE, block, "hashed").repartition(tasks, SLICE, "block")
+    bits = hashed.select(SLICE, "block", F.explode(F.array(*_bits(F.col("hashed")))).alias("bit"))
     filters = bits.groupBy(SLICE, "block").agg(F.call_function("bitmap_construct_agg", "bit").alias("bits"))
     every = ranges.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows_of_record = every.join(filters, [SLICE, "block"], "left")

@@ -240,3 +240,17 @@ def test_a_large_load_into_buckets(spark, table, tmp_path):
     finally:
         spark.conf.set(setting, before)
     assert rows_of(spark, table) == {**dict.fromkeys(range(400), 1), **dict.fromkeys(range(400, 900), 2)}
+
+
+def test_filters_are_made_of_a_bounded_number_of_rows_a_task(spark, tmp_path, monkeypatch):
+    tasks = []
+    monkeypatch.setattr(slices, "ROWS_AT_ONCE", 100)
+    rows = spark.range(1000).selectExpr("id k", "concat('s', id % 3) _slice")
+    frame_class = type(rows)
+    repartition = frame_class.repartition
+    monkeypatch.setattr(frame_class, "repartition", lambda df, n, *by: tasks.append(n) or repartition(df, n, *by))
+    slices.record(rows, str(tmp_path), ["k"])
+    assert tasks == [10]
+    kept = spark.read.parquet(f"{tmp_path}/keys")
+    assert kept.count() == 3 and kept.where("bits IS NULL").isEmpty()
+    assert kept.selectExpr("sum(bitmap_count(bits))").first()[0] > 3900  # four bits a key, of which few meet
