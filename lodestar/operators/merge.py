@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, WindowSpec, functions as F
 
 from lodestar.names import Plain, column, columns as named
 from lodestar.operators.segments import same
@@ -106,6 +106,26 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
         raise ValueError(f"{what} repeats the key {dict(zip(keys, repeated))}")
 
 
+def _newest(
+    rows: DataFrame, old: Plain, at_key: WindowSpec, only_changed: Sequence[str], sequence: Sequence[str]
+) -> tuple[DataFrame, list[Column], Column]:
+    """Of the old row and the new one at a key one row, its columns as merged, and whether the old ones stay."""
+    rows = rows.withColumn("place", F.row_number().over(at_key))
+    columns, stays = [F.col(c) for c in old.plain], F.lit(False)
+    if only_changed or sequence:
+        # the old row comes after the new one, if there is one
+        rows = rows.withColumn("old", F.lead(F.struct(*old.plain)).over(at_key))
+        before = lambda names: [F.col(f"old.{c}") for c in old.all_of(names)]
+        after = lambda names: [F.col(c) for c in old.all_of(names)]
+        if only_changed:
+            stays = stays | same(after(only_changed), before(only_changed))
+        if sequence:
+            stays = stays | ~F.coalesce(F.struct(*after(sequence)) >= F.struct(*before(sequence)), F.lit(True))
+        stays = F.col("old").isNotNull() & stays
+        columns = [F.when(stays, F.col(f"old.{c}")).otherwise(F.col(c)).alias(c) for c in old.plain]
+    return rows.where("place = 1"), columns, stays
+
+
 def _merged_in_buckets(
     target: DataFrame,
     source: DataFrame,
@@ -125,21 +145,8 @@ def _merged_in_buckets(
     both = old.df.withColumn("given", F.lit(False)).unionAll(new.df.withColumn("given", F.lit(True)))
     rows, bucket = tables.by_bucket(both, layout[0], old.all_of(layout[1]))
     at_key = Window.partitionBy(tables.PIECE, *old.all_of(keys)).orderBy(F.desc("given"))
-    rows = rows.withColumn("place", F.row_number().over(at_key))
-    columns = [F.col(c) for c in old.plain]
-    if only_changed or sequence:
-        # the old row comes after the new one, if there is one
-        rows = rows.withColumn("old", F.lead(F.struct(*old.plain)).over(at_key))
-        before = lambda names: [F.col(f"old.{c}") for c in old.all_of(names)]
-        after = lambda names: [F.col(c) for c in old.all_of(names)]
-        stays = F.lit(False)
-        if only_changed:
-            stays = stays | same(after(only_changed), before(only_changed))
-        if sequence:
-            stays = stays | ~F.coalesce(F.struct(*after(sequence)) >= F.struct(*before(sequence)), F.lit(True))
-        stays = F.col("old").isNotNull() & stays
-        columns = [F.when(stays, F.col(f"old.{c}")).otherwise(F.col(c)).alias(c) for c in old.plain]
-    merged = rows.where("place = 1").select(*columns, bucket)
+    rows, columns, _ = _newest(rows, old, at_key, only_changed, sequence)
+    merged = rows.select(*columns, bucket)
     return old.back(merged, tables.BUCKET)
 
 
@@ -199,6 +206,10 @@ def upsert(
         discard(rows)
 
 
+#: A load into slices takes all in its reach that hold at most so many times its rows, and are at most so many to a task.
+MOST_OLD, MOST_SLICES = 2, 4
+
+
 def upsert_pruned(
     spark: SparkSession,
     name: str,
@@ -219,21 +230,76 @@ def upsert_pruned(
     the rows that the source matches; slices without one that changes stay as
     they are. Rows that match nothing are added as new slices, so a load of new
     keys rewrites nothing. Keys match NULL-safe. A load that is repeated changes nothing.
+    A load that has no less than half the rows of all slices in its range of the
+    first key asks no filters: their rows are shuffled with its own, once.
     """
     given, stored = stored, source if stored else materialise(source, "merge-source")
     if not unique:
         require_unique(stored, keys, "the source")
-    parts = slices.in_parts(stored, keys, part_bytes)
-    fresh_slice = slices.new_names(F.col(slices.PART)).alias(slices.SLICE)
     if not tables.exists(spark, name):
         slices.create(stored, name, path)
-        slices.add(parts.select("*", fresh_slice).drop(slices.PART), name, path, keys)
+        slices.add(slices.as_new(stored, keys, part_bytes), name, path, keys, spread=True)
         discard(*([] if given else [stored]))
         return
-    target = slices.load(spark, name)
-    old_columns = [c for c in target.columns if c != slices.SLICE]
-    if _types(stored) != _types(target.drop(slices.SLICE)):
+    target = slices.load(spark, name).drop(slices.SLICE)
+    if _types(stored) != _types(target):
         raise ValueError(f"source {stored.dtypes} differs from target {target.dtypes}")
+    reach, count = slices.in_reach(spark, name, path, stored, keys)
+    old_rows, size = sum(reach.values()), stored_bytes(stored)
+    size += size * old_rows // max(count, 1)
+    if not reach:
+        slices.add(slices.as_new(stored, keys, part_bytes), name, path, keys, spread=True)
+    elif old_rows <= MOST_OLD * count and len(reach) <= MOST_SLICES * max(1, size // part_bytes):
+        _merge_in_ranges(spark, name, stored, keys, path, sorted(reach), size, only_changed, sequence, part_bytes)
+    else:
+        _merge_held(spark, name, stored, keys, path, only_changed, sequence, part_bytes)
+    discard(*([] if given else [stored]))
+
+
+def _merge_in_ranges(
+    spark: SparkSession,
+    name: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    path: str,
+    reach: Sequence[str],
+    size: int,
+    only_changed: Sequence[str],
+    sequence: Sequence[str],
+    part_bytes: int,
+) -> None:
+    """Merge a load that is not small beside the slices in its ``reach``: all their rows are shuffled with it, once."""
+    old_slices = slices.load(spark, name, reach)
+    columns = named(c for c in old_slices.columns if c != slices.SLICE)
+    old = Plain(old_slices.select(*columns, slices.SLICE))
+    new = source.select(*columns, F.lit(None).cast("string")).toDF(*old.plain)
+    both = old.df.withColumn("given", F.lit(False)).unionAll(new.withColumn("given", F.lit(True)))
+    at_key = Window.partitionBy(*old.all_of(keys)).orderBy(F.desc("given"))
+    held = F.col(old.of(slices.SLICE))
+    rows = slices.in_ranges(both, old.all_of(keys), size, part_bytes).withColumn("there", F.lead(held).over(at_key))
+    rows, merged, stays = _newest(rows, old, at_key, only_changed, sequence)
+    place = F.coalesce("there", held, slices.new_names(F.col(slices.PART)))
+    changed = F.when(F.col("given") & ~stays, F.col("there"))
+    seen = Observation()
+    rows = rows.select(*merged[:-1], place.alias(old.plain[-1]), changed.alias("changed"))
+    rows = rows.observe(seen, F.collect_set("changed").alias("changed")).drop("changed")
+    slices.exchange(old.back(rows), name, path, keys, reach, seen)
+
+
+def _merge_held(
+    spark: SparkSession,
+    name: str,
+    stored: DataFrame,
+    keys: Sequence[str],
+    path: str,
+    only_changed: Sequence[str],
+    sequence: Sequence[str],
+    part_bytes: int,
+) -> None:
+    """Merge a load that is small beside the slices in its reach: the record of keys names those to look into."""
+    parts = slices.in_parts(stored, keys, part_bytes)
+    old_columns = [c for c in slices.load(spark, name).columns if c != slices.SLICE]
+    fresh_slice = slices.new_names(F.col(slices.PART)).alias(slices.SLICE)
     added, hits = parts, None
     held = slices.holding(spark, name, path, parts, keys)
     if held:
@@ -255,4 +321,4 @@ def upsert_pruned(
         added = incoming.back(incoming.df.join(hits.select(*new.all_of(keys)), at_key, "left_anti"))
     if hits is None or hits.count() < stored.count():
         slices.add(added.select(*named(old_columns), fresh_slice), name, path, keys)
-    discard(*([] if given else [stored]), *([hits] if hits else []))
+    discard(*([hits] if hits else []))

@@ -22,10 +22,10 @@ import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from lodestar.names import columns as named
-from lodestar.scratch import PACKED, discard, folder_exists, folder_names, materialise, stored_bytes
+from lodestar.scratch import PACKED, delete_folder, discard, folder_exists, folder_names, materialise, stored_bytes
 
 SLICE = "_slice"
 #: The part of a load that a row belongs to; parts are ranges of the keys.
@@ -49,9 +49,22 @@ def in_parts(rows: DataFrame, keys: Sequence[str], part_bytes: int = SLICE_BYTES
     """``rows`` (a stored table) with ``PART``: one for a small table, else ranges of the keys, stored again."""
     if stored_bytes(rows) <= part_bytes:
         return rows.withColumn(PART, F.lit(0))
-    ranges = max(2, -(-stored_bytes(rows) // part_bytes))
-    dealt = rows.repartitionByRange(ranges, *named(keys)).sortWithinPartitions(*named(keys))
-    return materialise(dealt.withColumn(PART, F.spark_partition_id()), "parts")
+    return materialise(in_ranges(rows, keys, stored_bytes(rows), part_bytes).sortWithinPartitions(*named(keys)), "parts")
+
+
+def in_ranges(rows: DataFrame, keys: Sequence[str], stored: int, part_bytes: int = SLICE_BYTES) -> DataFrame:
+    """``rows`` shuffled to ranges of the keys, one to a task, with ``PART``; ``stored`` are their bytes.
+
+    The ranges belong to the shuffle, so a task that is run again has the same one.
+    """
+    ranges = max(1, -(-stored // part_bytes))
+    return rows.repartitionByRange(ranges, *named(keys)).withColumn(PART, F.spark_partition_id())
+
+
+def as_new(rows: DataFrame, keys: Sequence[str], part_bytes: int = SLICE_BYTES) -> DataFrame:
+    """``rows`` (a stored table) with the ``SLICE`` of each, all new; each slice is in one task."""
+    dealt = in_ranges(rows, keys, stored_bytes(rows), part_bytes)
+    return dealt.withColumn(SLICE, new_names(F.col(PART))).drop(PART)
 
 
 def create(rows: DataFrame, name: str, path: str) -> None:
@@ -81,10 +94,13 @@ def new_names(part: Column) -> Column:
     return F.concat(F.lit(f"{uuid.uuid4().hex}-"), part.cast("string"))
 
 
-def write(rows: DataFrame, path: str, keys: Sequence[str]) -> tuple[str, list[str]]:
-    """Write rows that know their ``SLICE`` to a new version; its folder, and the slices it holds."""
+def write(rows: DataFrame, path: str, keys: Sequence[str], spread: bool = False) -> tuple[str, list[str]]:
+    """Write rows that know their ``SLICE`` to a new version; its folder, and the slices it holds.
+
+    With ``spread`` the rows of a slice are in few tasks already (``in_ranges``).
+    """
     version = f"{path}/version-{uuid.uuid4().hex}"
-    collected = rows.hint("rebalance", SLICE).sortWithinPartitions(SLICE, *named(keys))
+    collected = (rows if spread else rows.hint("rebalance", SLICE)).sortWithinPartitions(SLICE, *named(keys))
     collected.write.options(**PACKED).partitionBy(SLICE).parquet(version)
     return version, sorted(n.split("=", 1)[1] for n in folder_names(rows.sparkSession, version) if n.startswith(f"{SLICE}="))
 
@@ -110,10 +126,10 @@ def drop(spark: SparkSession, name: str, slices: Iterable[str]) -> None:
     spark.catalog.refreshTable(name)
 
 
-def add(rows: DataFrame, name: str, path: str, keys: Sequence[str]) -> list[str]:
+def add(rows: DataFrame, name: str, path: str, keys: Sequence[str], spread: bool = False) -> list[str]:
     """Publish rows that know their ``SLICE`` as new slices, with a record of their keys."""
     spark = rows.sparkSession
-    version, added = write(rows, path, keys)
+    version, added = write(rows, path, keys, spread)
     if added:
         written = spark.read.schema(rows.select(*named(keys), SLICE).schema).parquet(version)
         record(written, path, keys)
@@ -121,6 +137,25 @@ def add(rows: DataFrame, name: str, path: str, keys: Sequence[str]) -> list[str]
     return added
 
 
+def exchange(rows: DataFrame, name: str, path: str, keys: Sequence[str], old: Iterable[str], seen: Observation) -> None:
+    """Publish rows of ``old`` slices as their new content, and all others as new slices.
+
+    Rows know their ``SLICE`` and are dealt ``in_ranges``. ``changed`` of what is ``seen`` while they
+    are written are the old slices that did change; the others stay as they are.
+    """
+    spark = rows.sparkSession
+    version, held = write(rows, path, keys, spread=True)
+    changed, kept = sorted(set(seen.get["changed"])), sorted(set(held) & set(old))
+    for s in kept:
+        if s not in changed:
+            delete_folder(spark, f"{version}/{SLICE}={s}")
+    added = [s for s in held if s not in kept]
+    if added:
+        written = spark.read.schema(rows.select(*named(keys), SLICE).schema).parquet(version)
+        record(written.where(~F.col(SLICE).isin(kept)) if kept else written, path, keys)
+    publish(spark, name, version, changed, added)
+
+
 def used_versions(spark: SparkSession, name: str) -> set[str]:
     """The version folders that hold files of the table."""
     spark.catalog.refreshTable(name)
@@ -164,6 +199,28 @@ def record(rows: DataFrame, path: str, keys: Sequence[str]) -> None:
     discard(ranges)
 
 
+def in_reach(
+    spark: SparkSession, name: str, path: str, rows: DataFrame, keys: Sequence[str]
+) -> tuple[dict[str, int], int]:
+    """Slices whose range meets that of all ``rows`` (stored), with the rows of each, and how many ``rows`` there are."""
+    first = named(keys)[0]
+    span = rows.agg(
+        F.min(first).alias("from"), F.max(first).alias("to"), F.count_if(first.isNull()).alias("none"), F.count("*").alias("all")
+    )
+    if not folder_exists(spark, f"{path}/keys"):
+        return {}, span.first()["all"]
+    ranges = spark.read.parquet(f"{path}/keys").where("block = 0").select(SLICE, "rows", "low", "high", "nulls")
+    near = span.join(ranges, _overlap(), "left").select("all", SLICE, "rows").collect()  # a row per slice
+    live = set(names(spark, name))
+    return {r[SLICE]: r["rows"] for r in near if r[SLICE] in live}, near[0]["all"]
+
+
+def _overlap() -> Column:
+    """Whether a range of rows (from, to, none) meets that of a slice (low, high, nulls)."""
+    both = (F.col("low") <= F.col("to")) & (F.col("from") <= F.col("high"))
+    return both | ((F.col("none") > 0) & (F.col("nulls") > 0))
+
+
 def holding(spark: SparkSession, name: str, path: str, parts: DataFrame, keys: Sequence[str]) -> list[str]:
     """Slices that may hold keys of ``parts``; those that do are never missed."""
     if not folder_exists(spark, f"{path}/keys"):
@@ -175,11 +232,8 @@ def holding(spark: SparkSession, name: str, path: str, parts: DataFrame, keys: S
         F.min(first).alias("from"), F.max(first).alias("to"), F.count_if(first.isNull()).alias("none")
     )
     ranges = kept.where("block = 0").select(SLICE, "low", "high", "nulls", "blocks")
-    overlap = ((F.col("low") <= F.col("to")) & (F.col("from") <= F.col("high"))) | (
-        (F.col("none") > 0) & (F.col("nulls") > 0)
-    )
     # a row per part of the load and slice whose ranges overlap
-    near = materialise(spans.join(ranges, overlap).select(PART, SLICE, "low", "high", "nulls", "blocks"), "near")
+    near = materialise(spans.join(ranges, _overlap()).select(PART, SLICE, "low", "high", "nulls", "blocks"), "near")
     possible = sorted(live & {r[SLICE] for r in near.select(SLICE).distinct().collect()})
     if not possible:
         discard(near)

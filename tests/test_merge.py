@@ -184,6 +184,40 @@ def test_an_interrupted_load_leaves_nothing_behind(spark, sliced, monkeypatch):
     assert rows_of(spark, table) == {**expected, **dict.fromkeys(range(6000, 6100), 1)}
 
 
+@pytest.mark.parametrize("limits", [{}, {"only_changed": ["v"]}, {"sequence": ["v"]}])
+def test_a_load_as_large_as_the_slices_in_its_range_is_shuffled_once(spark, sliced, monkeypatch, limits):
+    table, path = sliced
+    upsert_pruned(spark, table, numbers(spark, 9000, 9010), ["k"], path)
+    before, versions = files_of(spark, table), []
+    write = slices.write
+    monkeypatch.setattr(slices, "write", lambda rows, *a, **k: versions.append(rows) or write(rows, *a, **k))
+    monkeypatch.setattr(slices, "holding", lambda *_: pytest.fail("the filters are asked"))
+    # older than what is there, the same, and newer or new
+    load = numbers(spark, 0, 1000, 0).unionAll(numbers(spark, 1000, 2000)).unionAll(numbers(spark, 2000, 5000, 2))
+    expected = rows_of(spark, table) | dict.fromkeys(range(2000, 5000), 2) | ({} if "sequence" in limits else dict.fromkeys(range(1000), 0))
+    upsert_pruned(spark, table, load, ["k"], path, part_bytes=2000, **limits)
+    assert rows_of(spark, table) == expected and tables.load(spark, table).count() == 5010
+    assert len(versions) == 1
+    plan = versions[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
+    same_files = before & files_of(spark, table)
+    assert len(same_files) == (1 if not limits else len(same_files)) and same_files  # that of 9000 and more
+    assert "only_changed" not in limits or len(same_files) > 1
+    monkeypatch.undo()
+    # the record of the new slices is as good as that of the old ones
+    upsert_pruned(spark, table, numbers(spark, 4321, 4322, 7), ["k"], path)
+    assert rows_of(spark, table) == expected | {4321: 7}
+
+
+def test_a_large_load_leaves_slices_without_changes(spark, sliced):
+    table, path = sliced
+    before = files_of(spark, table)
+    upsert_pruned(spark, table, numbers(spark, 0, 3000), ["k"], path, part_bytes=2000, only_changed=["v"])
+    assert files_of(spark, table) == before
+    upsert_pruned(spark, table, numbers(spark, 0, 3000, 2), ["k"], path, part_bytes=2000, only_changed=["v"])
+    assert not files_of(spark, table) & before
+
+
 NAMES = "`a.b` string, `_row` int, known int, `s0` int, written int, _part2 int, `x``y` int"
 
 
