@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, Wi
 
 from lodestar.names import Plain, column, columns as named
 from lodestar.operators.segments import same
-from lodestar.scratch import discard, materialise, stored_bytes
+from lodestar.scratch import discard, fits_in, materialise, stored_bytes
 from lodestar.sources import slices, tables
 
 
@@ -186,7 +186,7 @@ def upsert(
     else:
         layout = tables.bucketing(spark, name)
         touched = tables.touched_buckets(rows, *layout) if layout else [] if rows.isEmpty() else [0]
-        small = stored_bytes(rows) <= _broadcast_threshold(spark)
+        small = fits_in(rows, _broadcast_threshold(spark))
         if touched:
             target = tables.load(spark, name, only=touched if layout else None)
             if layout and null_safe and not small:

@@ -11,13 +11,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from lodestar.names import quoted
 
 _local_folders: dict[str, str] = {}
 
 #: How stored rows are packed: half the size of Spark's default for keys made of text, at little more time.
 PACKED = {"compression": "zstd"}
 
+#: Types whose values take one word of a row in memory.
+_ONE_WORD = (T.BooleanType, T.IntegralType, T.FractionalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
@@ -57,6 +62,23 @@ def stored_bytes(stored: DataFrame) -> int:
     return system.getContentSummary(folder).getLength()
 
 
+def fits_in(stored: DataFrame, limit: int) -> bool:
+    """Whether a materialised table takes at most ``limit`` bytes as rows in memory, where nothing is packed.
+
+    On disk millions of numbers in order, or of equal values, may take a byte each or less.
+    """
+    if limit < 0 or stored_bytes(stored) > limit:
+        return False
+    fields = stored.schema.fields
+    fixed = 8 * (len(fields) + 1)  # a word for each field, and one for what is NULL
+    if fixed * stored.count() > limit:
+        return False
+    # only a table of few rows is read
+    longer = [F.col(quoted(f.name)) for f in fields if not isinstance(f.dataType, _ONE_WORD)]
+    more = sum((F.coalesce(F.octet_length(c.cast("string")), F.lit(0)) for c in longer), F.lit(fixed))
+    return (stored.agg(F.sum(more)).first()[0] or 0) <= limit
+
+
 def discard(*stored: DataFrame) -> None:
     """Remove materialised tables that no later step reads."""
     for df in stored:

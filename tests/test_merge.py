@@ -4,7 +4,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from conftest import rows
+from pyspark.sql import functions as F
+
 from lodestar.operators import merge_rows, upsert, upsert_pruned
+from lodestar.scratch import fits_in, materialise, stored_bytes
 from lodestar.sources import slices, tables
 
 DDL = "id string, k int, v int"
@@ -276,6 +279,32 @@ def test_a_large_load_into_buckets(spark, table, tmp_path):
     assert rows_of(spark, table) == {**dict.fromkeys(range(400), 1), **dict.fromkeys(range(400, 900), 2)}
 
 
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_many_rows_that_are_short_on_disk_are_not_broadcast(spark, table, tmp_path, monkeypatch, buckets):
+    path, setting, merged = str(tmp_path / "t"), "spark.sql.autoBroadcastJoinThreshold", []
+    load = spark.range(0, 40_000, 1, 2).selectExpr("id", "1L v", "1L w")
+    upsert(spark, table, load.where("id < 100"), ["id"], path, buckets=buckets)
+    replace, before = tables.replace, spark.conf.get(setting)
+    monkeypatch.setattr(tables, "replace", lambda df, *a, **k: merged.append(df) or replace(df, *a, **k))
+    spark.conf.set(setting, "400k")
+    try:
+        assert stored_bytes(materialise(load, "test")) < 400 << 10  # and four words a row in memory
+        for part in (load, load.where("id < 10")):
+            upsert(spark, table, part, ["id"], path)
+            plan = merged[-1]._jdf.queryExecution().executedPlan().toString()
+            assert ("Broadcast" in plan) == (part is not load)
+    finally:
+        spark.conf.set(setting, before)
+    assert tables.load(spark, table).count() == 40_000
+
+
+def test_rows_are_measured_as_they_are_in_memory(spark):
+    texts = materialise(spark.range(0, 100, 1, 1).select(F.lit("x" * 1000).alias("a.b"), F.array("id").alias("c")), "test")
+    assert stored_bytes(texts) < 10_000 and not fits_in(texts, 100_000) and fits_in(texts, 110_000)
+    none = materialise(spark.createDataFrame([], "a string"), "test")
+    assert fits_in(none, 10_000) and not fits_in(none, -1)
+
+
 def test_filters_are_made_of_a_bounded_number_of_rows_a_task(spark, tmp_path, monkeypatch):
     tasks = []
     monkeypatch.setattr(slices, "ROWS_AT_ONCE", 100)
