@@ -14,7 +14,7 @@ from lodestar.operators.ranking import dedup_latest
 from lodestar.operators.scd1 import scd1_upsert
 from lodestar.operators.segments import same
 from lodestar.plans import clean
-from lodestar.scratch import discard, materialise
+from lodestar.scratch import discard, freed_shuffles, materialise
 from lodestar.sources import tables
 from lodestar.sources.ingest import (
     ALL_AGES,
@@ -332,6 +332,11 @@ def run(
     load_ts: Column | None = None,
 ) -> None:
     """One load, in the order in which the layers depend on each other."""
+    with freed_shuffles(spark):
+        _run(spark, settings, datasets, load_ts)
+
+
+def _run(spark: SparkSession, settings: Settings, datasets: Sequence[Dataset], load_ts: Column | None) -> None:
     load_bronze(spark, settings, datasets)
     load_silver(spark, settings, datasets)
     tables.create_schema(spark, settings.schemas["gold"], f"{settings.root}/gold")

@@ -35,7 +35,16 @@ from lodestar.operators.key_blocks import keys_from_blocks
 from lodestar.operators.segments import MAX_GROUP_ROWS
 from lodestar.operators.snapshots import feed_changes, snapshot_changes as changes_between
 from lodestar.plans import clean, medallion
-from lodestar.scratch import PACKED, delete_folder, folder_exists, folder_names, materialise, new_folder, rename_folder
+from lodestar.scratch import (
+    PACKED,
+    delete_folder,
+    folder_exists,
+    folder_names,
+    freed_shuffles,
+    materialise,
+    new_folder,
+    rename_folder,
+)
 from lodestar.sources import tables
 from lodestar.sources.ingest import ingest_stream
 from lodestar.sources.ledger import current_rows, ingest_ledger as ledger_ingest
@@ -1222,7 +1231,8 @@ def _load_twice(spark: SparkSession, sf: str, **options) -> medallion.Settings:
     lines = new_folder(spark, "order-lines")
     orders = _order_lines(spark, sf)
     when = F.when(first & second, "both").when(first, "first").when(second, "second")
-    orders.withColumn("delivery", when).where("delivery IS NOT NULL").write.options(**PACKED).partitionBy("delivery").parquet(lines)
+    with freed_shuffles(spark):
+        orders.withColumn("delivery", when).where("delivery IS NOT NULL").write.options(**PACKED).partitionBy("delivery").parquet(lines)
     stored = spark.read.schema(T.StructType([*orders.schema.fields, T.StructField("delivery", T.StringType())])).parquet(lines)
     regions = read(spark, sf, "nation").selectExpr("n_nationkey AS region_id", "n_name AS region_name")
     deliveries = [
@@ -1238,8 +1248,9 @@ def _load_twice(spark: SparkSession, sf: str, **options) -> medallion.Settings:
         },
     ]
     for number, delivery in enumerate(deliveries):
-        for name, rows in delivery.items():
-            _deliver(rows, settings.folder("source", name))
+        with freed_shuffles(spark):
+            for name, rows in delivery.items():
+                _deliver(rows, settings.folder("source", name))
         if number:
             for part in ("both", "second"):
                 _deliver_files(spark, f"{lines}/delivery={part}", settings.folder("source", "orders"), part)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -24,6 +26,25 @@ PACKED = {"compression": "zstd"}
 _ONE_WORD = (T.BooleanType, T.IntegralType, T.FractionalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+#: Spark's setting that removes the shuffle files of a statement when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Statements started meanwhile, in streams too, remove their shuffle files when they end.
+
+    Else these stay until the driver collects its garbage, so that a load of many steps holds on disk
+    whatever one of them has shuffled. A DataFrame that is run again shuffles again.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from lodestar.plans import medallion
+from lodestar.scratch import FREE_SHUFFLES, folder_exists, freed_shuffles
 from lodestar.sources import tables
 
 CUSTOMER = "customer_id string, email string, first_name string, last_name string"
@@ -196,3 +197,32 @@ def test_orders_are_compared_only_where_one_repeats(spark, tmp_path, monkeypatch
     assert ["order_id"] in seen
     assert rows(tables.load(spark, s.table("gold", "FactOrders")), "order_id", "DimCustomerKey", "total_amount") == [("O1", 1, 3.0), ("O2", 1, 3.0)]
     assert tables.load(spark, s.table("gold", "FactOrders_open")).count() == 0
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if "/shuffle_" in f}
+
+
+@pytest.mark.parametrize("incremental", [True, False])
+def test_a_load_leaves_no_shuffle_files(spark, tmp_path, incremental):
+    s = settings_of(tmp_path, buckets=2, incremental=incremental)
+    before, setting = shuffle_files(spark), spark.conf.get(FREE_SHUFFLES)
+    for delivery in (FIRST, SECOND):
+        deliver(spark, s, delivery)
+    until = time.time() + 20  # they are removed beside what goes on
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(FREE_SHUFFLES) == setting
+
+
+def test_the_setting_for_shuffle_files_is_put_back(spark):
+    before = spark.conf.get(FREE_SHUFFLES)
+    with pytest.raises(KeyError):
+        with freed_shuffles(spark), freed_shuffles(spark):
+            assert spark.conf.get(FREE_SHUFFLES) == "true"
+            counted = spark.range(1000).groupBy(F.col("id") % 7).count()
+            assert len(counted.collect()) == len(counted.collect()) == counted.count() == 7  # shuffled again
+            raise KeyError
+    assert spark.conf.get(FREE_SHUFFLES) == before
