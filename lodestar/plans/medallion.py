@@ -6,8 +6,9 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from lodestar.names import column
 from lodestar.operators.lookup import Lookup, build_fact
 from lodestar.operators.merge import upsert, upsert_pruned
 from lodestar.operators.ranking import dedup_latest
@@ -198,12 +199,32 @@ def product_versions(spark: SparkSession, s: Settings) -> DataFrame:
     return products.withColumn("DimProductKey", F.concat_ws("@", "product_id", begin))
 
 
-def _latest_orders(s: Settings, orders: DataFrame) -> DataFrame:
-    """The latest delivery of each order. Without a repeated one the rows as they are: only hashes are shuffled."""
+def _latest_orders(s: Settings, orders: DataFrame, *left_out: str) -> tuple[DataFrame, list[DataFrame]]:
+    """The latest delivery of each order, and what of it is stored.
+
+    Without a repeated one these are the rows as they are: only hashes are shuffled. Else they are
+    stored, so that what the comparison has shuffled is gone from disk before the lookups shuffle.
+    Orders are compared by the place of their file's name among all names, not by the name.
+    """
     hashed = orders.select(F.xxhash64("order_id").alias("hashed"))
     if hashed.groupBy("hashed").agg(F.count("*").alias("times")).where("times > 1").isEmpty():
-        return orders
-    return dedup_latest(orders, ["order_id"], s.latest)
+        return orders.drop(*left_out), []
+    in_order = Window.orderBy(SOURCE_FILE)  # a row per source file
+    files = orders.select(SOURCE_FILE).distinct().withColumn("number", F.row_number().over(in_order))
+    files = materialise(files, "source-files")
+    latest = dedup_latest(_by_file(orders, files, SOURCE_FILE, "number"), ["order_id"], s.latest)
+    if SOURCE_FILE not in left_out:
+        latest = _by_file(latest, files, "number", SOURCE_FILE)
+    latest = materialise(latest.drop(*left_out), "latest-orders")
+    discard(files)
+    return latest, [latest]
+
+
+def _by_file(orders: DataFrame, files: DataFrame, known: str, put: str) -> DataFrame:
+    """Orders that know their source file as ``known``, with ``put`` in its place."""
+    same_file = same([F.col(f"o.{SOURCE_FILE}")], [F.col(f"f.{known}")])
+    columns = (F.col(f"f.{put}").alias(c) if c == SOURCE_FILE else column(c, "o") for c in orders.columns)
+    return orders.alias("o").join(files.alias("f"), same_file).select(*columns)
 
 
 def _fact_rows(spark: SparkSession, s: Settings, orders: DataFrame) -> DataFrame:
@@ -239,8 +260,9 @@ def _merge_fact(spark: SparkSession, s: Settings, found: DataFrame) -> None:
 def load_orders(spark: SparkSession, s: Settings) -> None:
     silver = s.table("silver", "orders_silver")
     if not s.incremental:
-        orders = _latest_orders(s, spark.table(silver)).drop(*LINEAGE)
+        orders, stored = _latest_orders(s, spark.table(silver), *LINEAGE)
         found = materialise(_fact_rows(spark, s, orders), "fact-rows")
+        discard(*stored)
         _merge_fact(spark, s, found)
         discard(found)
         return
@@ -253,11 +275,12 @@ def load_orders(spark: SparkSession, s: Settings) -> None:
         arrivals = rows.select(*LINEAGE).distinct().withColumn(ARRIVAL, F.monotonically_increasing_id())
         arrivals = materialise(arrivals, "arrivals")
         same_file = same([F.col(f"o.{c}") for c in LINEAGE], [F.col(f"a.{c}") for c in LINEAGE])
-        orders = _latest_orders(s, rows)
+        orders, stored = _latest_orders(s, rows)
         numbered = orders.alias("o").join(arrivals.alias("a"), same_file).select(
             *(f"o.{c}" for c in orders.columns if c not in LINEAGE), ARRIVAL
         )
         found = materialise(_fact_rows(session, s, numbered), "fact-rows")
+        discard(*stored)
         _merge_fact(session, s, found.drop(ARRIVAL))
         _keep_open(session, s, found.join(arrivals, ARRIVAL).select(*orders.columns, *OPEN_KEYS))
         discard(found, arrivals)

@@ -1,5 +1,6 @@
 """The literal fixtures through all layers, in two deliveries."""
 
+import os
 import time
 import uuid
 
@@ -226,3 +227,41 @@ def test_the_setting_for_shuffle_files_is_put_back(spark):
             assert len(counted.collect()) == len(counted.collect()) == counted.count() == 7  # shuffled again
             raise KeyError
     assert spark.conf.get(FREE_SHUFFLES) == before
+
+
+@pytest.mark.parametrize("incremental", [True, False])
+def test_lookups_of_repeated_orders_do_not_compare_them(spark, tmp_path, monkeypatch, incremental):
+    """What the comparison shuffles is done with, and gone, before the lookups shuffle."""
+    plans, made, real = {}, [], medallion.materialise
+
+    def materialise(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        made.append(real(df, label))
+        return made[-1]
+
+    monkeypatch.setattr(medallion, "materialise", materialise)
+    s = settings_of(tmp_path, buckets=2, incremental=incremental)
+    orders = [("O1", "C1", "P1", day(1), 1.0), ("O1", "C1", "P1", day(2), 2.0), ("O2", "C1", "P1", day(2), 3.0)]
+    known = {"customers": (CUSTOMER, [("C1", "a@x", "A", "B")]), "products": (PRODUCT, [("P1", "Pen", 1.0, day(1))])}
+    deliver(spark, s, known | {"orders": (ORDER, orders)})
+    assert "Window" in plans["latest-orders"] and "Window" not in plans["fact-rows"]
+    assert len(rows(tables.load(spark, s.table("gold", "FactOrders")), "order_id")) == 2
+    assert not any(folder_exists(spark, df.inputFiles()[0].rsplit("/", 1)[0]) for df in made)
+
+
+@pytest.mark.parametrize("incremental", [True, False])
+def test_of_files_of_one_time_the_last_by_name_counts(spark, tmp_path, monkeypatch, incremental):
+    seen, real = [], medallion.dedup_latest
+    monkeypatch.setattr(medallion, "dedup_latest", lambda df, *a: seen.append(df.schema) or real(df, *a))
+    s = settings_of(tmp_path, buckets=2, incremental=incremental)
+    for i in range(1, 12):  # by name the ninth is the last one
+        amount = [("O1", "C1", "P1", day(1), float(i))]
+        frame(spark, amount, ORDER).coalesce(1).write.parquet(str(tmp_path / "made" / str(i)))
+        (tmp_path / "source" / "orders").mkdir(parents=True, exist_ok=True)
+        file = next((tmp_path / "made" / str(i)).glob("part-*"))
+        os.utime(file, (1_700_000_000, 1_700_000_000))
+        file.rename(tmp_path / "source" / "orders" / f"f{i}.parquet")
+    deliver(spark, s, {"customers": (CUSTOMER, [("C1", "a@x", "A", "B")]), "products": (PRODUCT, [("P1", "Pen", 1.0, day(1))])})
+    assert rows(tables.load(spark, s.table("gold", "FactOrders")), "order_id", "DimCustomerKey", "total_amount") == [("O1", 1, 9.0)]
+    # they are compared by a number in place of the name
+    assert [schema[medallion.SOURCE_FILE].dataType.typeName() for schema in seen] == ["integer"]
